@@ -28,6 +28,14 @@ def _typed(df: DataFrame, schema) -> list:
     return out
 
 
+def passes(keys: list) -> Column:
+    """All keys present and not NULL (a plain conjunction: stays in generated code)."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
 def violations(keys: list) -> Column:
     """ARRAY<STRING> of the keys that are missing or NULL (NULL is the wrong type for a strict
     contract), in contract order."""
@@ -42,9 +50,9 @@ def check_features(df: DataFrame, keep: tuple = ()) -> DataFrame:
 
 def split_contract(df: DataFrame, keep: tuple = ()):
     """(passing records in contract schema, rejects with violations)."""
-    checked = check_features(df, keep)
-    ok = checked.filter(F.size("violations") == 0).drop("violations")
-    bad = checked.filter(F.size("violations") > 0)
+    typed = df.select(*[F.col(c) for c in keep], *_typed(df, FEATURES))
+    ok = typed.filter(passes(FEATURE_KEYS))
+    bad = typed.filter(~passes(FEATURE_KEYS)).withColumn("violations", violations(FEATURE_KEYS))
     return ok, bad
 
 
@@ -57,6 +65,6 @@ def check_model_input(df: DataFrame, keep: tuple = ("transaction_id",)) -> DataF
 
 
 def split_model_input(df: DataFrame, keep: tuple = ("transaction_id",)):
-    checked = check_model_input(df, keep)
-    return (checked.filter(F.size("violations") == 0).drop("violations"),
-            checked.filter(F.size("violations") > 0))
+    typed = df.select(*[F.col(c) for c in keep], *_typed(df, MODEL_INPUT))
+    return (typed.filter(passes(MODEL_KEYS)),
+            typed.filter(~passes(MODEL_KEYS)).withColumn("violations", violations(MODEL_KEYS)))

@@ -147,7 +147,7 @@ SELECT transaction_id, amount, is_high_amount, is_card_not_present, tx_hour, is_
 FROM fstore""",
 
     "features_online": ONLINE + f"""
-SELECT {_MODEL} FROM online_f""",
+SELECT transaction_id, {_MODEL} FROM online_f""",
 
     "rule_tiers": PARSED.split(",\nparsed AS")[0] + """
 SELECT rule_score,

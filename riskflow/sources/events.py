@@ -88,10 +88,11 @@ def raw_events(events: DataFrame, inject_bad_rows: bool = True) -> DataFrame:
         "timestamp": F.when(e % BAD_TIMESTAMP_MOD == 0, F.lit(BAD_TIMESTAMP))
                       .otherwise(F.col("timestamp")),
     }
-    # to_json drops null fields, which is how a key is omitted
+    # to_json drops null fields, which is how a key is omitted; the text is referenced once
     text = F.to_json(F.struct(*[fields.get(c, F.col(c)).alias(c) for c in _JSON_FIELDS]))
-    with_text_amount = F.concat(F.regexp_replace(text, r"\}$", ""), F.lit(',"amount":"abc"}'))
-    text = F.when(e % TEXT_AMOUNT_MOD == 0, with_text_amount).otherwise(text)
+    text = F.concat(F.regexp_replace(text, r"\}$", ""),
+                    F.when(e % TEXT_AMOUNT_MOD == 0, F.lit(',"amount":"abc"}'))
+                    .otherwise(F.lit("}")))
     text = F.when(e % BROKEN_TEXT_MOD == 0, F.lit(BROKEN_TEXT)).otherwise(text)
     return t.select("event_id", text.alias("json_str"))
 
