@@ -264,3 +264,74 @@ QUERIES = {
     "scored_sample": scored_sample,
     "rf_metrics": rf_metrics,
 }
+
+
+# --- streams (availableNow runs over files in the shared checkpoint folder) --------------
+
+def _publish_bronze(spark, sf_dir, root, files: int = 4):
+    """Producer side (SNK13): raw text written as bronze JSON lines, a few files so the
+    streams see several micro-batches."""
+    path = f"{root}/bronze"
+    D.raw(spark, sf_dir).select("json_str").repartition(files).write.json(path)
+    return path
+
+
+def _run_silver(spark, sf_dir, root):
+    from ..streaming.medallion import silver_query
+    bronze = _publish_bronze(spark, sf_dir, root)
+    q = silver_query(spark, bronze, f"{root}/silver", f"{root}/quarantine",
+                     f"{root}/_chk/silver", trigger={"availableNow": True},
+                     max_files_per_trigger=1)
+    q.awaitTermination()
+    return f"{root}/silver"
+
+
+def stream_silver(spark, sf_dir):
+    """SRC4, SNK2, SNK3, STR1-STR5: bronze files -> silver stream (one parse per batch)."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "stream_silver")
+    path = _run_silver(spark, sf_dir, root)
+    df = spark.read.schema(TRANSACTION).option("recursiveFileLookup", "true").parquet(path)
+    return _flat_location(df)
+
+
+def stream_gold(spark, sf_dir):
+    """SRC5, SNK4: silver files -> gold stream (file sink with its commit log)."""
+    from ..session import scratch_path
+    from ..streaming.medallion import gold_query
+    root = scratch_path(spark, "stream_gold")
+    silver_path = _run_silver(spark, sf_dir, root)
+    q = gold_query(spark, silver_path, f"{root}/gold", f"{root}/_chk/gold",
+                   trigger={"availableNow": True})
+    q.awaitTermination()
+    g = spark.read.parquet(f"{root}/gold")
+    return g.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def stream_scored(spark, sf_dir):
+    """SRC2/SRC3 (file source), ML7, SNK7, SNK8, STR6, STR7: raw stream -> features ->
+    contract -> score -> feature store + prediction log + rejects."""
+    from ..session import scratch_path
+    from ..sources.raw import read_raw_stream
+    from ..streaming.scoring import scoring_query
+    root = scratch_path(spark, "stream_scored")
+    bronze = _publish_bronze(spark, sf_dir, root)
+    raw = read_raw_stream(spark, "json", bronze, max_files_per_trigger=1)
+    q = scoring_query(raw, f"{root}/features", f"{root}/predictions", f"{root}/rejects",
+                      f"{root}/_chk/scoring", trigger={"availableNow": True})
+    q.awaitTermination()
+    log = spark.read.parquet(f"{root}/predictions")
+    return log.select(
+        "model_run_id", "transaction_id",
+        F.col("transaction.user_id").alias("user_id"),
+        F.col("transaction.payment_method").alias("payment_method"),
+        F.col("transaction.card_present").alias("card_present"),
+        *[F.col(f"features.{c}").alias(c) for c in MODEL_FEATURES],
+        *[F.col(f"prediction.{c}").alias(c) for c in scoring.SCORE_COLS])
+
+
+QUERIES.update({
+    "stream_silver": stream_silver,
+    "stream_gold": stream_gold,
+    "stream_scored": stream_scored,
+})

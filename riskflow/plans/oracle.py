@@ -265,3 +265,12 @@ SELECT model_name,
   max(version) AS latest_version
 FROM runs GROUP BY ALL""",
 }
+
+# Streams must equal their batch twins (the scored stream stamps inference time at run time,
+# so that column is left out)
+ORACLES["stream_silver"] = ORACLES["silver_valid"]
+ORACLES["stream_gold"] = ORACLES["features_gold"]
+ORACLES["stream_scored"] = ONLINE + f"""
+SELECT 'unknown' AS model_run_id, transaction_id, user_id, payment_method, card_present,
+  {_MODEL}, prediction, fraud_probability, 1.0 - fraud_probability AS non_fraud_probability
+FROM predlog"""
