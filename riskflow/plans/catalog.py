@@ -214,7 +214,12 @@ def latest_version(spark, sf_dir):
 def _fit(spark, sf_dir):
     tf = training.training_frame(D.feature_store(spark, sf_dir), keep=("transaction_id",))
     train, test = training.hash_split(tf)
-    model = training.fit_model(train.drop("transaction_id"))
+    # the forest reads its input several times (metadata, split candidates, bagging)
+    train = train.drop("transaction_id").persist()
+    try:
+        model = training.fit_model(train)
+    finally:
+        train.unpersist()
     return model, test
 
 
