@@ -61,7 +61,11 @@ def score_batch(batch: DataFrame, model=None, run_id: str | None = None,
 def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path: str,
                    champion: ChampionLoader | None = None, kafka: dict | None = None):
     """foreachBatch function. Feature rows are written before scoring, so they survive a
-    failed scoring step; every output is keyed by batch_id, so a replay is idempotent."""
+    failed scoring step; every output is keyed by batch_id, so a replay is idempotent.
+
+    With a ``champion`` loader and no champion yet, features and rejects are still written
+    but nothing is scored (the reference's service answers "model not available"). Without a
+    loader the rule stand-in scores."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
@@ -69,6 +73,8 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
             feats, records, rejects = score_batch(batch, model, run_id)
             write_batch(feats, feature_store_path, batch_id)
             write_batch(rejects, rejects_path, batch_id)
+            if champion is not None and model is None:
+                return
             records = records.persist()
             write_batch(records, predictions_path, batch_id)
             if kafka:
