@@ -167,9 +167,11 @@ def label_first_k(df: DataFrame, cut: Cut, flag_col: str = "in_first_k",
     else:
         # indistinguishable rows: one representative carries both multiplicities
         rep = df.filter(inside).limit(1)
-        split = df.sparkSession.createDataFrame(
-            [(True, cut.r), (False, cut.count - cut.r)], f"{flag_col} boolean, {weight_col} long")
-        inner = rep.crossJoin(F.broadcast(split)).filter(F.col(weight_col) > 0)
+        inner = rep.select("*", F.lit(True).alias(flag_col),
+                           F.lit(cut.r).cast("bigint").alias(weight_col)) \
+            .unionByName(rep.select("*", F.lit(False).alias(flag_col),
+                                    F.lit(cut.count - cut.r).cast("bigint").alias(weight_col))) \
+            .filter(F.col(weight_col) > 0)
     return outside.unionByName(inner)
 
 

@@ -41,11 +41,15 @@ class ChampionLoader:
         return self._model, self._run_id
 
 
-def score_batch(batch: DataFrame, model=None, run_id: str | None = None,
-                inference_ts=None):
-    """(feature-store rows, prediction records, rejects) for a batch of raw text."""
+def parse_fields(batch: DataFrame) -> DataFrame:
+    """Raw text -> one row of transaction fields per message (NULLs where parsing failed)."""
     p = silver.parse_raw(batch)
-    fields = p.select(*[F.col(f"data.{c}").alias(c) for c in _TX_FIELDS])
+    return p.select(*[F.col(f"data.{c}").alias(c) for c in _TX_FIELDS])
+
+
+def score_batch(fields: DataFrame, model=None, run_id: str | None = None,
+                inference_ts=None):
+    """(feature-store rows, prediction records, rejects) from parsed transaction fields."""
     store_ok, store_bad = contract.split_contract(store_features(fields))
     online = online_features(fields, keep=_KEEP)
     ok, bad = contract.split_model_input(online, keep=_KEEP)
@@ -67,10 +71,11 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
     but nothing is scored (the reference's service answers "model not available"). Without a
     loader the rule stand-in scores."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        # parsed once per micro-batch; the three outputs read the persisted fields
+        fields = parse_fields(batch).persist()
         try:
             model, run_id = champion.get() if champion is not None else (None, None)
-            feats, records, rejects = score_batch(batch, model, run_id)
+            feats, records, rejects = score_batch(fields, model, run_id)
             write_batch(feats, feature_store_path, batch_id)
             write_batch(rejects, rejects_path, batch_id)
             if champion is not None and model is None:
@@ -81,7 +86,7 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
                 write_kafka(scoring.to_json_value(records), kafka["servers"], kafka["topic"])
             records.unpersist()
         finally:
-            batch.unpersist()
+            fields.unpersist()
     return write
 
 

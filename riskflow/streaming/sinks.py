@@ -10,8 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
+                compression: str | None = None) -> None:
+    """``compression`` e.g. "uncompressed" (the reference's parquet setting); default is the
+    session's codec."""
+    w = df.write.mode("overwrite").format(fmt)
+    if compression:
+        w = w.option("compression", compression)
+    w.save(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:

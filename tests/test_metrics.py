@@ -22,8 +22,11 @@ def test_auc_ties_and_spread(spark):
     random.seed(3)
     rows = [(float(random.random() < 0.3), round(random.random(), 2)) for _ in range(600)]
     df = spark.createDataFrame(rows, "label double, score double")
-    got = metrics.auc_exact(df, num_buckets=16).first()["auc"]
-    assert got == pytest.approx(_auc_brute(rows), abs=1e-12)
+    want = _auc_brute(rows)
+    got = metrics.auc_exact(df, num_buckets=16).first()["auc"]            # small path
+    assert got == pytest.approx(want, abs=1e-12)
+    got = metrics.auc_exact(df, num_buckets=16, small_distinct=0).first()["auc"]  # bucketed
+    assert got == pytest.approx(want, abs=1e-12)
 
 
 def test_auc_single_class_is_null(spark):
