@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 UTC = "UTC"
+_UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "Universal", "Zulu"}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -35,7 +36,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_utc(spark: SparkSession) -> None:
     """Gold features take the hour in the session time zone; riskflow pins it to UTC so that
     results do not depend on the machine the driver runs on."""
-    if spark.conf.get("spark.sql.session.timeZone") != UTC:
+    if spark.conf.get("spark.sql.session.timeZone") not in _UTC_NAMES:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
