@@ -99,10 +99,14 @@ def scoring_query(raw: DataFrame, feature_store_path: str, predictions_path: str
     does not deduplicate."""
     src = raw
     if dedup_within:
-        tid = F.get_json_object("json_str", "$.transaction_id")
-        src = (raw.withColumn("_tid", tid).withColumn("_arrival", F.current_timestamp())
-               .withWatermark("_arrival", dedup_within)
-               .dropDuplicatesWithinWatermark(["_tid"]).drop("_tid", "_arrival"))
+        # only rows that carry an id are deduplicated; rows without one (unparseable text)
+        # pass through, so they still reach the rejects table
+        keyed = (raw.withColumn("_tid", F.get_json_object("json_str", "$.transaction_id"))
+                 .withColumn("_arrival", F.current_timestamp())
+                 .withWatermark("_arrival", dedup_within))
+        with_id = keyed.filter(F.col("_tid").isNotNull()).dropDuplicatesWithinWatermark(["_tid"])
+        src = with_id.unionByName(keyed.filter(F.col("_tid").isNull())) \
+            .drop("_tid", "_arrival")
     w = (src.writeStream
          .foreachBatch(scoring_writer(feature_store_path, predictions_path, rejects_path,
                                       champion, kafka))
