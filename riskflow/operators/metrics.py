@@ -61,15 +61,21 @@ def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "predicti
 def classification_metrics(df: DataFrame, label_col: str = "label",
                            pred_col: str = "prediction", by: tuple = ()) -> DataFrame:
     """``f1`` (F-measure per label class, weighted by class frequency, as the ML evaluator's
-    "f1"), and ``accuracy``, per group of ``by``."""
+    "f1"), and ``accuracy``, per group of ``by``.
+
+    Join-free: every confusion cell (l, p, n) is stacked into its label class (actual n,
+    true positives n when l = p) and its predicted class (predicted n), then summed per class.
+    """
     c = confusion(df, label_col, pred_col, by)
     by = list(by)
-    actual = c.groupBy(*by, "_l").agg(F.sum("_c").alias("actual"),
-                                      F.sum(F.when(F.col("_l") == F.col("_p"), F.col("_c"))
-                                            .otherwise(0)).alias("tp"))
-    predicted = c.groupBy(*by, F.col("_p").alias("_l")).agg(F.sum("_c").alias("predicted"))
-    per = actual.join(predicted, by + ["_l"], "left")
-    prec = F.when(F.coalesce(F.col("predicted"), F.lit(0)) == 0, F.lit(0.0)) \
+    cells = c.select(*by, F.expr(
+        "stack(2, _l, _c, CASE WHEN _l = _p THEN _c ELSE 0L END, 0L, "
+        "_p, 0L, 0L, _c) AS (cls, actual, tp, predicted)"))
+    per = cells.groupBy(*by, "cls").agg(F.sum("actual").alias("actual"),
+                                        F.sum("tp").alias("tp"),
+                                        F.sum("predicted").alias("predicted"))
+    per = per.filter(F.col("actual") > 0)      # classes present among the labels
+    prec = F.when(F.col("predicted") == 0, F.lit(0.0)) \
         .otherwise(F.col("tp") / F.col("predicted"))
     rec = F.col("tp") / F.col("actual")
     per = per.select(*by, "actual", "tp", prec.alias("p"), rec.alias("r"))
