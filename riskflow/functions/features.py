@@ -9,6 +9,7 @@ expressions, so they run inside whole-stage codegen on batch and streaming frame
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +72,19 @@ def feature_columns(spec: FeatureSpec, amount: Column = None, card_present: Colu
 
     Flags are built from the inputs directly (no reference to other output columns), so one
     ``select`` computes all of them and the optimizer collapses them into one projection.
+    With the default input columns the expressions are built once per process.
     """
+    if amount is None and card_present is None and timestamp is None and payment_method is None:
+        return dict(_default_feature_columns(spec))
+    return _feature_columns(spec, amount, card_present, timestamp, payment_method)
+
+
+@cache
+def _default_feature_columns(spec: FeatureSpec) -> tuple:
+    return tuple(_feature_columns(spec, None, None, None, None).items())
+
+
+def _feature_columns(spec, amount, card_present, timestamp, payment_method) -> dict:
     amount = F.col("amount") if amount is None else amount
     card_present = F.col("card_present") if card_present is None else card_present
     timestamp = F.col("timestamp") if timestamp is None else timestamp
@@ -117,8 +130,13 @@ def gold_features(silver: DataFrame) -> DataFrame:
 
 def store_features(tx: DataFrame) -> DataFrame:
     """Feature-store record (10 keys) from a parsed transaction, preset ``store``."""
+    return tx.select(*_store_columns())
+
+
+@cache
+def _store_columns() -> tuple:
     cols = feature_columns(STORE)
-    return tx.select(
+    return (
         F.col("transaction_id"),
         F.col("amount"),
         cols["is_high_amount"].alias("is_high_amount"),
@@ -134,14 +152,19 @@ def store_features(tx: DataFrame) -> DataFrame:
 
 def model_input_columns(spec: FeatureSpec) -> list:
     """The 7 model inputs in canonical order, computed with ``spec``."""
+    return list(_model_input_columns(spec))
+
+
+@cache
+def _model_input_columns(spec: FeatureSpec) -> tuple:
     cols = feature_columns(spec)
-    return [F.col("amount").alias("amount"),
+    return (F.col("amount").alias("amount"),
             cols["is_high_amount"].alias("is_high_amount"),
             cols["is_card_not_present"].alias("is_card_not_present"),
             cols["tx_hour"].alias("tx_hour"),
             cols["is_night_tx"].alias("is_night_tx"),
             cols["is_risky_payment"].alias("is_risky_payment"),
-            cols["risk_score"].cast("double").alias("risk_score")]
+            cols["risk_score"].cast("double").alias("risk_score"))
 
 
 def online_features(tx: DataFrame, keep=("transaction_id",)) -> DataFrame:

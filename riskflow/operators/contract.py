@@ -6,6 +6,8 @@ list of violations and failing rows go to a rejects table, so nothing is lost si
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,30 +17,50 @@ FEATURE_KEYS = [f.name for f in FEATURES.fields]
 MODEL_KEYS = [f.name for f in MODEL_INPUT.fields]
 
 
+_SCHEMAS = {"features": FEATURES, "model": MODEL_INPUT}
+
+
 def _typed(df: DataFrame, schema) -> list:
     """Per contract field: the column converted to the contract type (``try_cast``, so
     numeric text passes and anything else is NULL), or NULL when the field is absent."""
-    have = set(df.columns)
+    name = "features" if schema is FEATURES else "model"
+    present = frozenset(c for c in df.columns if c in {f.name for f in schema.fields})
+    return list(_typed_columns(name, present))
+
+
+@cache
+def _typed_columns(schema_name: str, have: frozenset) -> tuple:
+    schema = _SCHEMAS[schema_name]
     out = []
     for f in schema.fields:
         if f.name in have:
             out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return out
+    return tuple(out)
 
 
-def passes(keys: list) -> Column:
+def passes(keys) -> Column:
     """All keys present and not NULL (a plain conjunction: stays in generated code)."""
+    return _passes(tuple(keys))
+
+
+@cache
+def _passes(keys: tuple) -> Column:
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
     return cond
 
 
-def violations(keys: list) -> Column:
+def violations(keys) -> Column:
     """ARRAY<STRING> of the keys that are missing or NULL (NULL is the wrong type for a strict
     contract), in contract order."""
+    return _violations(tuple(keys))
+
+
+@cache
+def _violations(keys: tuple) -> Column:
     return F.array_compact(F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in keys]))
 
 

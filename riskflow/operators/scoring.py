@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,16 +38,23 @@ def rule_model_score(df: DataFrame) -> DataFrame:
     """Stand-in model with the same output columns as :func:`score`: the share of the three
     rule flags (high amount, card not present, night) is P(fraud), and prediction is 1 when at
     least two are set. Used where a deterministic, SQL-checkable scorer is needed."""
+    return df.select("*", *_rule_score_columns())
+
+
+@cache
+def _rule_score_columns() -> tuple:
     s = (F.col("is_high_amount") + F.col("is_card_not_present") + F.col("is_night_tx"))
     p = s.cast("double") / F.lit(3.0)
-    return df.select("*", F.when(s >= 2, 1).otherwise(0).alias("prediction"),
-                     p.alias("fraud_probability"), (F.lit(1.0) - p).alias("non_fraud_probability"))
+    return (F.when(s >= 2, 1).otherwise(0).alias("prediction"), p.alias("fraud_probability"),
+            (F.lit(1.0) - p).alias("non_fraud_probability"))
 
 
+@cache
 def features_struct() -> Column:
     return F.struct(*[F.col(c) for c in MODEL_FEATURES])
 
 
+@cache
 def prediction_struct() -> Column:
     return F.struct(*[F.col(c) for c in SCORE_COLS])
 
@@ -64,13 +73,15 @@ def rich_record(scored: DataFrame, run_id: str | None = None,
     log's order key is (inference_timestamp, transaction_id)). ``run_id`` NULL -> "unknown".
     ``scored`` must carry the transaction fields."""
     ts = F.current_timestamp() if inference_ts is None else inference_ts
+    return scored.select(ts.alias("inference_timestamp"), *_rich_columns(run_id))
+
+
+@cache
+def _rich_columns(run_id) -> tuple:
     tx = F.struct(*[F.col(f.name) for f in TRANSACTION.fields])
-    return scored.select(ts.alias("inference_timestamp"),
-                         F.coalesce(F.lit(run_id).cast("string"), F.lit("unknown"))
-                         .alias("model_run_id"),
-                         F.col("transaction_id"), tx.alias("transaction"),
-                         features_struct().alias("features"),
-                         prediction_struct().alias("prediction"))
+    return (F.coalesce(F.lit(run_id).cast("string"), F.lit("unknown")).alias("model_run_id"),
+            F.col("transaction_id"), tx.alias("transaction"),
+            features_struct().alias("features"), prediction_struct().alias("prediction"))
 
 
 def to_json_value(records: DataFrame) -> DataFrame:

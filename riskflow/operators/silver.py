@@ -9,6 +9,8 @@ instead of re-parsing per predicate.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,18 +32,24 @@ def parse_raw(bronze: DataFrame, text_col: str = "json_str") -> DataFrame:
     """Add ``data``: the typed transaction parsed from ``text_col`` (plus ``_malformed`` with
     the text of a record that did not fully convert). NULL/blank text gives ``data`` NULL; bad
     JSON gives a struct of NULLs; a wrongly typed field gives NULL for that field only."""
+    return bronze.select("*", _parsed_column(text_col))
+
+
+@cache
+def _parsed_column(text_col: str) -> Column:
     parsed = F.from_json(F.col(text_col), TRANSACTION_PARSE, JSON_OPTIONS)
     # The parse sits in a Generate node (a one-element explode). Predicates on parsed fields
     # cannot be pushed below a generator's output, so the text is parsed once per row instead
     # of once per predicate that mentions a field (plain projections would be inlined into
     # every pushed-down filter).
-    return bronze.select("*", F.explode(F.array(parsed)).alias(DATA))
+    return F.explode(F.array(parsed)).alias(DATA)
 
 
 def _field(name: str) -> Column:
     return F.col(f"{DATA}.{name}")
 
 
+@cache
 def is_valid() -> Column:
     """The silver rule as one never-NULL boolean."""
     cond = F.col(DATA).isNotNull()
@@ -51,6 +59,7 @@ def is_valid() -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
+@cache
 def reasons() -> Column:
     """ARRAY<STRING> of reason codes for a rejected row, in ``REASON_CODES`` order; empty for
     a valid row."""
@@ -69,8 +78,13 @@ def with_validity(parsed: DataFrame) -> DataFrame:
 
 def flatten_valid(parsed: DataFrame, keep: tuple = ()) -> DataFrame:
     """Valid rows, flattened to the transaction schema (``keep`` columns in front)."""
-    fields = [_field(f.name).alias(f.name) for f in TRANSACTION.fields]
-    return parsed.filter(is_valid()).select(*[F.col(c) for c in keep], *fields)
+    return parsed.filter(is_valid()).select(*[F.col(c) for c in keep], *transaction_fields())
+
+
+@cache
+def transaction_fields() -> tuple:
+    """The parsed struct flattened to the transaction columns."""
+    return tuple(_field(f.name).alias(f.name) for f in TRANSACTION.fields)
 
 
 def quarantine(parsed: DataFrame, text_col: str = "json_str", keep: tuple = ()) -> DataFrame:

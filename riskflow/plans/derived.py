@@ -4,6 +4,8 @@ a lazy plan over ``events``, so its work grows with the table."""
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +43,7 @@ def parsed(spark, sf_dir) -> DataFrame:
 def parsed_fields(spark, sf_dir) -> DataFrame:
     """Every raw row flattened to transaction fields (NULLs where parsing failed): what the
     consumers see, since they read the raw topic rather than silver."""
-    p = parsed(spark, sf_dir)
-    return p.select("event_id", *[F.col(f"data.{f.name}").alias(f.name)
-                                  for f in TRANSACTION.fields])
+    return parsed(spark, sf_dir).select("event_id", *silver.transaction_fields())
 
 
 def feature_store(spark, sf_dir) -> DataFrame:
@@ -61,8 +61,12 @@ def scored_log(spark, sf_dir) -> DataFrame:
     on = online_features(tx, keep=keep)
     ok, _ = contract.split_model_input(on, keep=keep)
     scored = scoring.rule_model_score(ok)
-    return scoring.rich_record(scored, run_id=None,
-                               inference_ts=F.try_to_timestamp(F.col("timestamp")))
+    return scoring.rich_record(scored, run_id=None, inference_ts=_event_time())
+
+
+@cache
+def _event_time():
+    return F.try_to_timestamp(F.col("timestamp"))
 
 
 def daily_runs(spark, sf_dir) -> DataFrame:

@@ -7,6 +7,8 @@ pure projection: no shuffle, and it scales with the ``events`` scan.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def _iso_utc(ts: Column) -> Column:
 
 def transactions_from_events(events: DataFrame) -> DataFrame:
     """One transaction per event, typed like silver, plus ``event_id`` and ``event_ts``."""
+    return events.select(*_transaction_columns())
+
+
+@cache
+def _transaction_columns() -> tuple:
+    # built once per process: column expressions are plain, name-based trees
     e = F.col("event_id")
     u = F.col("user_id")
     amount = F.col("value") * F.lit(50)
@@ -45,7 +53,7 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     h = md5_prefix_int(e.cast("string"))
     is_fraud = F.when(rule >= 2, (h % 100) < HIGH_TIER_RATE_PCT) \
         .otherwise((h % 100) < LOW_TIER_RATE_PCT).cast("int")
-    return events.select(
+    return (
         e.alias("event_id"),
         F.col("ts").alias("event_ts"),
         e.cast("string").alias("transaction_id"),
@@ -74,11 +82,15 @@ def raw_events(events: DataFrame, inject_bad_rows: bool = True) -> DataFrame:
     With ``inject_bad_rows`` the text of some events is damaged (rules above) so that silver,
     the feature contract and the scoring-input checks all see rejects.
     """
-    t = transactions_from_events(events)
+    return transactions_from_events(events).select("event_id",
+                                                   _raw_text(inject_bad_rows).alias("json_str"))
+
+
+@cache
+def _raw_text(inject_bad_rows: bool) -> Column:
     e = F.col("event_id")
     if not inject_bad_rows:
-        body = F.to_json(F.struct(*[F.col(c) for c in _JSON_FIELDS]))
-        return t.select("event_id", body.alias("json_str"))
+        return F.to_json(F.struct(*[F.col(c) for c in _JSON_FIELDS]))
     amount = (F.when(e % TEXT_AMOUNT_MOD == 0, F.lit(None).cast("double"))
               .when(e % NEGATIVE_AMOUNT_MOD == 0, -F.col("amount"))
               .otherwise(F.col("amount")))
@@ -93,8 +105,7 @@ def raw_events(events: DataFrame, inject_bad_rows: bool = True) -> DataFrame:
     text = F.concat(F.regexp_replace(text, r"\}$", ""),
                     F.when(e % TEXT_AMOUNT_MOD == 0, F.lit(',"amount":"abc"}'))
                     .otherwise(F.lit("}")))
-    text = F.when(e % BROKEN_TEXT_MOD == 0, F.lit(BROKEN_TEXT)).otherwise(text)
-    return t.select("event_id", text.alias("json_str"))
+    return F.when(e % BROKEN_TEXT_MOD == 0, F.lit(BROKEN_TEXT)).otherwise(text)
 
 
 _JSON_FIELDS = ["transaction_id", "user_id", "merchant_id", "device_id", "amount", "currency",
