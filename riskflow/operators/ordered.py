@@ -41,6 +41,21 @@ def order_number(df: DataFrame, col: str) -> Column:
     raise TypeError(f"order column {col} must be a timestamp, date or integer, not {t}")
 
 
+def raw_range(df: DataFrame, col: str, lo: int, hi: int) -> Column:
+    """``lo <= order_number(col) <= hi`` written on the raw column with literal bounds, so the
+    scan can push it down (parquet row-group min/max skipping on a time-clustered log)."""
+    t = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(t, TimestampType):
+        return c.between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
+    if isinstance(t, TimestampNTZType):
+        return c.between(F.timestamp_micros(F.lit(lo)).cast("timestamp_ntz"),
+                         F.timestamp_micros(F.lit(hi)).cast("timestamp_ntz"))
+    if isinstance(t, DateType):
+        return c.between(F.date_from_unix_date(F.lit(lo)), F.date_from_unix_date(F.lit(hi)))
+    return c.between(F.lit(lo), F.lit(hi))
+
+
 def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
@@ -60,8 +75,9 @@ class Cut:
 
 
 def _refine_numeric(df, key: Column, scope: Column, lo: int, hi: int, r: int, cnt: int,
-                    fanout: int, exact_limit: int, wide: bool):
-    """Narrow [lo, hi] of ``key`` (within ``scope``) to the bucket holding rank r."""
+                    fanout: int, exact_limit: int, wide: bool, pushable=None):
+    """Narrow [lo, hi] of ``key`` (within ``scope``) to the bucket holding rank r.
+    ``pushable(lo, hi)`` gives the same range as a predicate the scan can push down."""
     before = F.lit(False)
     while cnt > exact_limit and lo < hi:
         width = -(-(hi - lo + 1) // fanout)
@@ -70,8 +86,10 @@ def _refine_numeric(df, key: Column, scope: Column, lo: int, hi: int, r: int, cn
             bucket = F.floor(off / F.lit(width).cast("decimal(21,0)")).cast("bigint")
         else:
             bucket = F.floor((key - F.lit(lo)) / F.lit(width)).cast("bigint")
-        rows = (df.filter(scope & key.between(lo, hi))
-                .groupBy(bucket.alias("b")).count().collect())
+        rng = key.between(lo, hi)
+        if pushable is not None:
+            rng = pushable(lo, hi) & rng
+        rows = df.filter(scope & rng).groupBy(bucket.alias("b")).count().collect()
         acc = 0
         for row in sorted(rows, key=lambda x: x["b"]):
             if acc + row["count"] >= r:
@@ -104,15 +122,16 @@ def positional_cut(df: DataFrame, k: int, time_col: str, id_col: str | None = No
         raise ValueError(f"k={k} outside 1..{n}")
     lo, hi = bounds
     scope = t.isNotNull()
+    pushable = lambda a, b: raw_range(df, time_col, a, b)
     before, lo, hi, r, cnt = _refine_numeric(df, t, scope, lo, hi, k, n, fanout,
-                                             exact_limit, wide=False)
-    inside = scope & t.between(lo, hi)
+                                             exact_limit, wide=False, pushable=pushable)
+    inside = scope & pushable(lo, hi) & t.between(lo, hi)
     order = [t] + ([F.col(id_col)] if id_col else [])
     if cnt <= exact_limit:
         return Cut(k, before, inside, r, cnt, order + [row_hash(df)])
 
     # Every remaining row has the same time: refine by id prefix, one character per pass
-    scope = t == F.lit(lo)
+    scope = pushable(lo, lo) & (t == F.lit(lo))
     if id_col:
         s = F.col(id_col)
         plen = 0
