@@ -1,8 +1,11 @@
 """Per-micro-batch writers used inside ``foreachBatch``.
 
-Each batch is written to ``<path>/batch_id=<n>`` with overwrite, so a batch replayed after a
-failure (at-least-once delivery of ``foreachBatch``) replaces its own output instead of
-duplicating it. Readers see the folder as one table with a ``batch_id`` partition column.
+Each batch is written to ``<path>/batch_id=<n>``. A batch replayed after a failure
+(``foreachBatch`` is at-least-once) carries the same input, since the offset log fixes it, so:
+a folder whose write committed (``_SUCCESS`` present) is left alone, and one that did not
+commit is overwritten. No duplicate rows, and no new file names for a downstream file-stream
+reader to pick up a second time. Readers see the folder as one table with a ``batch_id``
+partition column.
 """
 
 from __future__ import annotations
@@ -14,10 +17,18 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
                 compression: str | None = None) -> None:
     """``compression`` e.g. "uncompressed" (the reference's parquet setting); default is the
     session's codec."""
+    target = f"{path.rstrip('/')}/batch_id={batch_id}"
+    if _committed(df.sparkSession, target):
+        return
     w = df.write.mode("overwrite").format(fmt)
     if compression:
         w = w.option("compression", compression)
-    w.save(f"{path.rstrip('/')}/batch_id={batch_id}")
+    w.save(target)
+
+
+def _committed(spark, folder: str) -> bool:
+    from ..sources.tables import _exists
+    return _exists(spark, f"{folder}/_SUCCESS")
 
 
 def write_kafka(df: DataFrame, servers: str, topic: str) -> None:

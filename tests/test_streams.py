@@ -42,9 +42,15 @@ def test_restart_adds_nothing(spark, sf_small):
 
 
 def test_replayed_batch_is_idempotent(spark):
+    import os
     root = scratch_path(spark, "test_idem")
     df = spark.range(10)
     write_batch(df, root, 3)
+    files = sorted(os.listdir(f"{root}/batch_id=3"))
+    write_batch(df, root, 3)              # replay of a committed batch: left alone
+    assert sorted(os.listdir(f"{root}/batch_id=3")) == files
+    assert spark.read.parquet(root).count() == 10
+    os.remove(f"{root}/batch_id=3/_SUCCESS")   # an uncommitted attempt is overwritten
     write_batch(df, root, 3)
     assert spark.read.parquet(root).count() == 10
 
