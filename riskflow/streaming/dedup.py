@@ -1,0 +1,39 @@
+"""Optional replay deduplication for the scoring stream, done per micro-batch.
+
+Off by default (the reference does not deduplicate). When on, copies of one transaction id
+inside a micro-batch are removed by a batch ``dropDuplicates``; its partial aggregation
+collapses copies on the map side, so a replay storm of one id (even a third of the rows) is
+one row per partition in the shuffle, not a hot task. Ids already seen in earlier batches
+within the window are removed by a left-anti join against the seen-ids table (one row per
+id, kept in the shared folder; parquet min/max on ``_seen_at`` prunes expired files). Rows
+without an id (unparseable text) are never deduplicated, so they still reach the rejects.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..sources.tables import _exists
+from .sinks import write_batch
+
+ID = "_tid"
+
+
+def dedup_batch(batch: DataFrame, seen_path: str, batch_id: int, within: str):
+    """(``batch`` without ids seen in this batch or in earlier batches within ``within``,
+    e.g. "1 hour"; the persisted frame to release when the batch is done). Records this
+    batch's new ids under ``seen_path``. A replay of batch n only compares against batches
+    before n, so it keeps its rows."""
+    spark = batch.sparkSession
+    keyed = batch.withColumn(ID, F.get_json_object("json_str", "$.transaction_id"))
+    fresh = keyed.filter(F.col(ID).isNotNull()).dropDuplicates([ID])
+    if _exists(spark, seen_path):
+        since = F.expr(f"current_timestamp() - INTERVAL {within}")
+        seen = (spark.read.parquet(seen_path)
+                .filter((F.col("batch_id") < batch_id) & (F.col("_seen_at") >= since))
+                .select(ID))
+        fresh = fresh.join(seen, ID, "left_anti")
+    fresh = fresh.persist()
+    write_batch(fresh.select(ID, F.current_timestamp().alias("_seen_at")), seen_path, batch_id)
+    return fresh.drop(ID).unionByName(keyed.filter(F.col(ID).isNull()).drop(ID)), fresh

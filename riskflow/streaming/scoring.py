@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.features import online_features, store_features
 from ..operators import contract, registry, scoring, silver
 from ..schemas import TRANSACTION
+from .dedup import dedup_batch
 from .sinks import apply_trigger, write_batch, write_kafka
 
 _TX_FIELDS = tuple(f.name for f in TRANSACTION.fields)
@@ -63,7 +64,8 @@ def score_batch(fields: DataFrame, model=None, run_id: str | None = None,
 
 
 def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path: str,
-                   champion: ChampionLoader | None = None, kafka: dict | None = None):
+                   champion: ChampionLoader | None = None, kafka: dict | None = None,
+                   dedup: tuple | None = None):
     """foreachBatch function. Feature rows are written before scoring, so they survive a
     failed scoring step; every output is keyed by batch_id, so a replay is idempotent.
 
@@ -71,6 +73,10 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
     but nothing is scored (the reference's service answers "model not available"). Without a
     loader the rule stand-in scores."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        held = None
+        if dedup:
+            seen_path, within = dedup
+            batch, held = dedup_batch(batch, seen_path, batch_id, within)
         # parsed once per micro-batch; the three outputs read the persisted fields
         fields = parse_fields(batch).persist()
         try:
@@ -87,28 +93,25 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
             records.unpersist()
         finally:
             fields.unpersist()
+            if held is not None:
+                held.unpersist()
     return write
 
 
 def scoring_query(raw: DataFrame, feature_store_path: str, predictions_path: str,
                   rejects_path: str, checkpoint: str, champion: ChampionLoader | None = None,
                   trigger: dict | None = None, kafka: dict | None = None,
-                  dedup_within: str | None = None) -> StreamingQuery:
+                  dedup_within: str | None = None,
+                  seen_ids_path: str | None = None) -> StreamingQuery:
     """``raw`` is a streaming frame with ``json_str``. ``dedup_within`` (e.g. "1 hour") drops
-    replayed events by transaction id within a watermark; off by default, as the reference
-    does not deduplicate."""
-    src = raw
+    replayed events by transaction id within that window (see ``dedup.py``); off by default,
+    as the reference does not deduplicate. The seen-ids table lives next to the checkpoint
+    unless ``seen_ids_path`` is given."""
+    dedup = None
     if dedup_within:
-        # only rows that carry an id are deduplicated; rows without one (unparseable text)
-        # pass through, so they still reach the rejects table
-        keyed = (raw.withColumn("_tid", F.get_json_object("json_str", "$.transaction_id"))
-                 .withColumn("_arrival", F.current_timestamp())
-                 .withWatermark("_arrival", dedup_within))
-        with_id = keyed.filter(F.col("_tid").isNotNull()).dropDuplicatesWithinWatermark(["_tid"])
-        src = with_id.unionByName(keyed.filter(F.col("_tid").isNull())) \
-            .drop("_tid", "_arrival")
-    w = (src.writeStream
+        dedup = (seen_ids_path or f"{checkpoint.rstrip('/')}_seen_ids", dedup_within)
+    w = (raw.writeStream
          .foreachBatch(scoring_writer(feature_store_path, predictions_path, rejects_path,
-                                      champion, kafka))
+                                      champion, kafka, dedup))
          .option("checkpointLocation", checkpoint))
     return apply_trigger(w, trigger).start()

@@ -61,11 +61,13 @@ def test_scoring_dedup_option(spark, sf_small):
     from riskflow.streaming.scoring import scoring_query
     root = scratch_path(spark, "test_dedup")
     raw = D.raw(spark, sf_small).select("json_str")
-    raw.unionAll(raw).repartition(2).write.json(f"{root}/bronze")   # every event twice
+    # every event twice, in different files (so in different micro-batches too)
+    raw.coalesce(1).write.json(f"{root}/bronze/a")
+    raw.coalesce(1).write.json(f"{root}/bronze/b")
     counts = {}
     for dedup in (None, "1 hour"):
         tag = "on" if dedup else "off"
-        src = read_raw_stream(spark, "json", f"{root}/bronze")
+        src = read_raw_stream(spark, "json", f"{root}/bronze/*", max_files_per_trigger=1)
         q = scoring_query(src, f"{root}/f_{tag}", f"{root}/p_{tag}", f"{root}/r_{tag}",
                           f"{root}/_chk_{tag}", trigger={"availableNow": True},
                           dedup_within=dedup)
