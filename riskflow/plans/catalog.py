@@ -200,6 +200,18 @@ def champion_history(spark, sf_dir):
                     F.round("champion_f1_before", 6).alias("champion_f1_before"), "promoted")
 
 
+def current_champion(spark, sf_dir):
+    """REG3, REG4, SRC10: the version the champion alias points to after the daily runs."""
+    c = registry.current_champion(D.daily_runs(spark, sf_dir))
+    return c.select("model_name", "version", "run_id", F.round("f1_score", 6).alias("f1_score"))
+
+
+def drift_gauge_rows(spark, sf_dir):
+    """SNK11: the gauge table rows (metric, value) a refresh appends (time column left out)."""
+    g = drift.gauge_rows(drift.drift_gauges(D.scored_log(spark, sf_dir)))
+    return g.select("metric", F.round("value", 6).alias("value"))
+
+
 def latest_version(spark, sf_dir):
     """SRT1, FLT7, REG5: newest version of each weekly run (versions are numbers)."""
     runs = D.daily_runs(spark, sf_dir)
@@ -266,6 +278,8 @@ QUERIES = {
     "retrain_decision": retrain_decision,
     "champion_history": champion_history,
     "latest_version": latest_version,
+    "current_champion": current_champion,
+    "drift_gauge_rows": drift_gauge_rows,
     "scored_sample": scored_sample,
     "rf_metrics": rf_metrics,
 }

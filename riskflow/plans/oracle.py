@@ -259,6 +259,24 @@ SELECT model_name, version, run_id, round(f1_score, 6) AS f1_score,
   n_prior = 0 OR f1_score > prior_best AS promoted
 FROM h""",
 
+    "current_champion": _RUNS + """,
+h AS (
+  SELECT model_name, version, run_id, f1_score,
+    count(*) OVER w AS n_prior, max(f1_score) OVER w AS prior_best
+  FROM runs
+  WINDOW w AS (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+promoted AS (SELECT * FROM h WHERE n_prior = 0 OR f1_score > prior_best)
+SELECT model_name, version, run_id, round(f1_score, 6) AS f1_score
+FROM promoted WHERE version = (SELECT max(version) FROM promoted)""",
+
+    "drift_gauge_rows": _LOG + """
+SELECT metric || '_pct_change' AS metric, round(pct, 6) AS value
+FROM cmp WHERE metric <> 'avg_tx_hour'
+UNION ALL
+SELECT metric || '_drift_detected', CAST(abs(pct) > 10 AS DOUBLE)
+FROM cmp WHERE metric <> 'avg_tx_hour'""",
+
     "latest_version": _RUNS + """
 SELECT model_name,
   'week-' || strftime(date_trunc('week', CAST(day AS DATE)), '%Y-%m-%d') AS run_id,
