@@ -21,6 +21,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = (b.config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", UTC)
          .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true"))
