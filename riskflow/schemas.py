@@ -1,7 +1,7 @@
 """Every table riskflow reads or writes, as an explicit StructType (no schema inference)."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, IntegerType, LongType,
-                               MapType, StringType, StructField, StructType, TimestampType)
+from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, MapType, StringType,
+                               StructField, StructType, TimestampType)
 
 # Raw message as it arrives (Kafka value or one JSON line per event)
 BRONZE = StructType([StructField("json_str", StringType(), True)])
@@ -115,5 +115,4 @@ GAUGES = StructType([
 
 __all__ = ["BRONZE", "LOCATION", "TRANSACTION", "TRANSACTION_PARSE", "CORRUPT_COL",
            "REQUIRED_FIELDS", "FEATURES", "MODEL_INPUT", "MODEL_FEATURES", "SCORE",
-           "PREDICTION_SHORT", "PREDICTION", "DRIFT_REPORT", "MODEL_RUNS", "GAUGES",
-           "ArrayType", "LongType"]
+           "PREDICTION_SHORT", "PREDICTION", "DRIFT_REPORT", "MODEL_RUNS", "GAUGES"]

@@ -17,14 +17,26 @@ def bronze_projection(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").cast("string").alias("json_str"))
 
 
+KAFKA_PACKAGE = "org.apache.spark:spark-sql-kafka-0-10_2.13"
+
+
 def _kafka_reader(reader, servers: str, topic: str, starting_offsets: str, options: dict):
+    if not servers or not topic:
+        raise ValueError("the kafka source needs servers and topic")
     r = (reader.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
          .option("startingOffsets", starting_offsets))
     for k, v in options.items():
         r = r.option(k, v)
-    return r.load()
+    try:
+        return r.load()
+    except Exception as e:  # connector missing: say what to add instead of a class lookup error
+        if "kafka" in str(e).lower() and ("find data source" in str(e).lower()
+                                          or "data_source_not_found" in str(e).lower()):
+            raise RuntimeError(f"Kafka connector not on the classpath: add {KAFKA_PACKAGE} "
+                               "(spark.jars.packages) matching the Spark version") from e
+        raise
 
 
 def read_raw_stream(spark: SparkSession, fmt: str = "json", path: str | None = None, *,

@@ -66,3 +66,12 @@ def test_uncompressed_batch(spark):
     files = [f for f in os.listdir(f"{path}/batch_id=0") if f.endswith(".parquet")]
     assert files and all(".snappy." not in f for f in files)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_kafka_source_reports_missing_connector(spark):
+    from riskflow.sources.raw import read_raw_stream
+    with pytest.raises((RuntimeError, ValueError)) as ei:
+        read_raw_stream(spark, "kafka", servers="localhost:1", topic="transactions_raw")
+    assert "kafka" in str(ei.value).lower()
+    with pytest.raises(ValueError):
+        read_raw_stream(spark, "kafka")
