@@ -34,10 +34,16 @@ def hour_from_text(ts_text: Column) -> Column:
     return F.substring(ts_text, 12, 2).try_cast("int")
 
 
+# Fixed value: a trailing UTC offset after an ISO date-time ("Z", "+05:30", "-0800", "+01")
+ISO_OFFSET = r"^(\d{4}-\d{2}-\d{2}[T ][0-9:.]+)(Z|z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def hour_iso_wallclock(ts_text: Column) -> Column:
-    """Hour of an ISO-8601 text in the text's own offset; NULL when the text does not parse
-    as a timestamp."""
-    return F.when(F.try_to_timestamp(ts_text).isNotNull(), hour_from_text(ts_text))
+    """Hour of an ISO-8601 text in the text's own offset (its wall clock): the offset is
+    stripped and the rest parsed, so "...T03:04:05+05:30" gives 3 and a date alone gives 0.
+    NULL when the text does not parse as a timestamp."""
+    local = F.regexp_replace(ts_text, ISO_OFFSET, "$1")
+    return F.when(F.try_to_timestamp(ts_text).isNotNull(), F.hour(F.try_to_timestamp(local)))
 
 
 def hour_session(ts_text: Column) -> Column:

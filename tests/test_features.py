@@ -60,3 +60,12 @@ def test_nan_amount_python_vs_spark(spark):
     rows = [(float("nan"), True, "2026-04-01T12:00:00+00:00", "upi")]
     assert _feat(spark, GOLD, rows, "is_high_amount") == [1]    # Spark ordering
     assert _feat(spark, STORE, rows, "is_high_amount") == [0]   # Python comparison
+
+
+def test_online_hour_iso_forms(spark):
+    texts = ["2026-04-01T03:04:05+05:30", "2026-04-01T23:59:59Z", "2026-04-01 07:00:00-08:00",
+             "2026-04-01", "2026-04-01T05:06:07.123456+00:00", "not-a-ts"]
+    rows = [(1.0, True, t, "upi") for t in texts]
+    assert _feat(spark, ONLINE, rows, "tx_hour") == [3, 23, 7, 0, 5, None]
+    # the store variant slices characters 12-13: a date alone has no hour there
+    assert _feat(spark, STORE, rows, "tx_hour")[3] is None
