@@ -81,6 +81,28 @@ def flatten_valid(parsed: DataFrame, keep: tuple = ()) -> DataFrame:
     return parsed.filter(is_valid()).select(*[F.col(c) for c in keep], *transaction_fields())
 
 
+@cache
+def lenient_amount(text_col: str = "json_str") -> Column:
+    """The amount as the feature-store consumer reads it (FN10): a JSON number, or text that
+    holds a number ("12.5"); NULL otherwise. The raw text is read again only for rows whose
+    amount did not parse as a number."""
+    typed = _field("amount")
+    return F.when(typed.isNotNull(), typed).otherwise(
+        F.get_json_object(F.col(text_col), "$.amount").try_cast("double"))
+
+
+def consumer_fields(parsed: DataFrame, keep: tuple = (), text_col: str = "json_str"):
+    """Every parsed row as transaction fields plus ``amount_lenient`` (see
+    :func:`lenient_amount`): what the consumers see, since they read raw events."""
+    return parsed.select(*[F.col(c) for c in keep], *transaction_fields(),
+                         lenient_amount(text_col).alias("amount_lenient"))
+
+
+def store_view(fields: DataFrame) -> DataFrame:
+    """Consumer fields with the lenient amount in place of the typed one (feature store)."""
+    return fields.withColumn("amount", F.col("amount_lenient")).drop("amount_lenient")
+
+
 @cache
 def transaction_fields() -> tuple:
     """The parsed struct flattened to the transaction columns."""

@@ -89,7 +89,7 @@ def rule_tiers(spark, sf_dir):
 
 def feature_contract_violations(spark, sf_dir):
     """FLT3, FLT4: rejected feature records and the keys that failed."""
-    _, bad = contract.split_contract(store_features(D.parsed_fields(spark, sf_dir)))
+    _, bad = contract.split_contract(store_features(D.store_input(spark, sf_dir)))
     return bad.select("transaction_id", _reasons_text(F.col("violations")).alias("violations"))
 
 

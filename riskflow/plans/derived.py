@@ -43,12 +43,17 @@ def parsed(spark, sf_dir) -> DataFrame:
 def parsed_fields(spark, sf_dir) -> DataFrame:
     """Every raw row flattened to transaction fields (NULLs where parsing failed): what the
     consumers see, since they read the raw topic rather than silver."""
-    return parsed(spark, sf_dir).select("event_id", *silver.transaction_fields())
+    return silver.consumer_fields(parsed(spark, sf_dir), keep=("event_id",))
+
+
+def store_input(spark, sf_dir) -> DataFrame:
+    """Consumer fields as the feature-store path reads them (lenient amount)."""
+    return silver.store_view(parsed_fields(spark, sf_dir))
 
 
 def feature_store(spark, sf_dir) -> DataFrame:
     """Contract-passing feature-store records (preset ``store``)."""
-    ok, _ = contract.split_contract(store_features(parsed_fields(spark, sf_dir)))
+    ok, _ = contract.split_contract(store_features(store_input(spark, sf_dir)))
     return ok
 
 

@@ -43,15 +43,15 @@ class ChampionLoader:
 
 
 def parse_fields(batch: DataFrame) -> DataFrame:
-    """Raw text -> one row of transaction fields per message (NULLs where parsing failed)."""
-    p = silver.parse_raw(batch)
-    return p.select(*[F.col(f"data.{c}").alias(c) for c in _TX_FIELDS])
+    """Raw text -> one row of transaction fields per message (NULLs where parsing failed),
+    plus the feature store's lenient amount."""
+    return silver.consumer_fields(silver.parse_raw(batch))
 
 
 def score_batch(fields: DataFrame, model=None, run_id: str | None = None,
                 inference_ts=None):
     """(feature-store rows, prediction records, rejects) from parsed transaction fields."""
-    store_ok, store_bad = contract.split_contract(store_features(fields))
+    store_ok, store_bad = contract.split_contract(store_features(silver.store_view(fields)))
     online = online_features(fields, keep=_KEEP)
     ok, bad = contract.split_model_input(online, keep=_KEEP)
     scored = scoring.score(ok, model) if model is not None else scoring.rule_model_score(ok)

@@ -54,3 +54,22 @@ def test_model_input_rejects(spark):
     ok, bad = contract.split_model_input(df)
     assert [r["transaction_id"] for r in ok.collect()] == ["a"]
     assert bad.first()["violations"] == ["amount", "tx_hour"]
+
+
+def test_quoted_amount_store_lenient_online_strict(spark):
+    """FN10: the feature store takes numeric text for amount; the online scorer does not."""
+    import json
+    from riskflow.functions.features import online_features, store_features
+    from riskflow.operators import silver
+    ev = {"transaction_id": "t1", "user_id": "u", "merchant_id": "m", "device_id": "d",
+          "amount": "2500.5", "currency": "USD", "timestamp": "2024-01-01T23:00:00+00:00",
+          "payment_method": "upi", "card_present": False, "is_fraud": 1}
+    raw = spark.createDataFrame([(json.dumps(ev),), (json.dumps({**ev, "amount": "abc"}),)],
+                                "json_str string")
+    fields = silver.consumer_fields(silver.parse_raw(raw))
+    ok, bad = contract.split_contract(store_features(silver.store_view(fields)))
+    r = ok.first()
+    assert ok.count() == 1 and r["amount"] == 2500.5 and r["is_high_amount"] == 1
+    assert bad.first()["violations"] == ["amount"]
+    ok2, bad2 = contract.split_model_input(online_features(fields))
+    assert ok2.count() == 0 and bad2.count() == 2
