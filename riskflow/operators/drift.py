@@ -148,13 +148,10 @@ def drift_gauges(log: DataFrame, fraction: float = BASELINE_FRACTION,
 def gauge_rows(gauges: DataFrame) -> DataFrame:
     """Long gauge table (metric, value, computed_at) to append to a metrics table: one
     ``<metric>_pct_change`` and one ``<metric>_drift_detected`` row per metric."""
-    ts = F.current_timestamp()
-    a = gauges.select(F.concat("metric", F.lit("_pct_change")).alias("metric"),
-                      F.col("pct_change").alias("value"), ts.alias("computed_at"))
-    b = gauges.select(F.concat("metric", F.lit("_drift_detected")).alias("metric"),
-                      F.col("drift_detected").cast("double").alias("value"),
-                      ts.alias("computed_at"))
-    return a.unionByName(b)
+    rows = gauges.select(F.expr(
+        "stack(2, concat(metric, '_pct_change'), pct_change, "
+        "concat(metric, '_drift_detected'), CAST(drift_detected AS DOUBLE)) AS (metric, value)"))
+    return rows.select("metric", "value", F.current_timestamp().alias("computed_at"))
 
 
 def drift_alerts(report: DataFrame) -> DataFrame:

@@ -69,15 +69,17 @@ def champion_history(runs: DataFrame, f1_col: str = "f1_score") -> DataFrame:
         .when(first_nan, F.lit(float("nan"))).otherwise(prior_best)
     promoted = ~has_prior | (~first_nan & F.coalesce(~F.isnan(f1) & (f1 > prior_best),
                                                      F.lit(False)))
-    return c.select("model_name", "version", "run_id", f1,
-                    champion_before.alias("champion_f1_before"), promoted.alias("promoted"))
+    return c.select("*", champion_before.alias("champion_f1_before"),
+                    promoted.alias("promoted"))
 
 
 def current_champion(runs: DataFrame) -> DataFrame:
-    """Per model: the last promoted version (the ``champion`` alias)."""
+    """Per model: the run row of the last promoted version (the ``champion`` alias). One
+    pass over the runs: the newest promoted row is picked with ``max_by``, no self-join."""
     h = champion_history(runs).filter("promoted")
-    return h.groupBy("model_name").agg(F.max("version").alias("version")) \
-        .join(runs, ["model_name", "version"])
+    cols = [c for c in runs.columns if c != "model_name"]
+    best = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("version"))
+    return h.groupBy("model_name").agg(best.alias("_c")).select("model_name", "_c.*")
 
 
 def champion_f1(runs: DataFrame, model_name: str):
