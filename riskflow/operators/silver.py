@@ -14,7 +14,6 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import BRONZE as BRONZE_SCHEMA
 from ..schemas import CORRUPT_COL, REQUIRED_FIELDS, TRANSACTION, TRANSACTION_PARSE
 
 DATA = "data"

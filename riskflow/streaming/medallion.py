@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import gold_features
 from ..operators import silver
-from ..schemas import TRANSACTION
+from ..schemas import BRONZE, TRANSACTION
 from .sinks import apply_trigger, write_batch
 
 
@@ -40,7 +40,7 @@ def silver_writer(valid_path: str, quarantine_path: str, fmt: str = "parquet"):
 def silver_query(spark: SparkSession, bronze_path: str, valid_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = spark.readStream.schema(silver.BRONZE_SCHEMA)
+    reader = spark.readStream.schema(BRONZE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     w = (reader.json(bronze_path).writeStream

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from riskflow import schemas
 from riskflow.operators import drift
 
 

@@ -1,7 +1,6 @@
 """Driver contract: entry runs, every query has the right shape, SQL twins agree at sf0.001."""
 
 import math
-import os
 
 import duckdb
 import pytest

@@ -1,7 +1,5 @@
 """Feature presets and their boundaries (FIXTURES 2)."""
 
-from pyspark.sql import functions as F
-
 from riskflow.functions.features import GOLD, ONLINE, STORE, feature_columns
 
 

@@ -3,7 +3,6 @@ champion -> prediction log -> drift report and decision -> gauges."""
 
 from pyspark.sql import functions as F
 
-from riskflow.operators import registry
 from riskflow.plans import catalog as C
 from riskflow.plans.jobs import Paths, drift_job, gauges_job, retrain_job, train_job
 from riskflow.session import scratch_path

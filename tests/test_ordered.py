@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from riskflow.operators.ordered import label_first_k, positional_cut, running_sum
 

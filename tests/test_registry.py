@@ -1,7 +1,5 @@
 """Champion derivation and versions (FIXTURES 2)."""
 
-import math
-
 from riskflow.operators import registry
 from riskflow.schemas import MODEL_RUNS
 

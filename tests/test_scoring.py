@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
 
 from riskflow.operators import scoring, training
 from riskflow.schemas import MODEL_FEATURES
