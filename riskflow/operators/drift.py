@@ -32,9 +32,14 @@ RETRAIN_METRICS = ["avg_risk_score", "avg_amount"]
 ORDER = ("inference_timestamp", "transaction_id")
 
 
+DATE_COL = "inference_date"
+
+
 def _flat(log: DataFrame, order=ORDER) -> DataFrame:
-    # only the nested leaves that are used: parquet reads just these columns
-    return log.select(*[F.col(c) for c in order],
+    # only the nested leaves that are used: parquet reads just these columns; the date
+    # partition column (when the log has one) lets the selection passes prune folders
+    extra = [F.col(DATE_COL)] if DATE_COL in log.columns and order[0] == ORDER[0] else []
+    return log.select(*[F.col(c) for c in order], *extra,
                       *[F.col(path).cast("double").alias(m) for m, path in METRICS])
 
 
@@ -73,8 +78,9 @@ def labelled_log(log: DataFrame, fraction: float = BASELINE_FRACTION, min_rows:
     if k == 0:
         return flat.select("*", F.lit(False).alias("is_baseline"),
                            F.lit(1).cast("bigint").alias("_w")), n
+    date_col = DATE_COL if DATE_COL in flat.columns else None
     cut = positional_cut(flat, k, order[0], order[1] if len(order) > 1 else None,
-                         n=n, bounds=(st["lo"], st["hi"]), **cut_options)
+                         n=n, bounds=(st["lo"], st["hi"]), date_col=date_col, **cut_options)
     return label_first_k(flat, cut, "is_baseline", "_w"), n
 
 

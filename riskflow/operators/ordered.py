@@ -41,13 +41,19 @@ def order_number(df: DataFrame, col: str) -> Column:
     raise TypeError(f"order column {col} must be a timestamp, date or integer, not {t}")
 
 
-def raw_range(df: DataFrame, col: str, lo: int, hi: int) -> Column:
+def raw_range(df: DataFrame, col: str, lo: int, hi: int, date_col: str | None = None) -> Column:
     """``lo <= order_number(col) <= hi`` written on the raw column with literal bounds, so the
-    scan can push it down (parquet row-group min/max skipping on a time-clustered log)."""
+    scan can push it down (parquet row-group min/max skipping on a time-clustered log). With
+    ``date_col`` (a date partition column equal to ``to_date(col)``) the same range also
+    prunes partition folders."""
     t = df.schema[col].dataType
     c = F.col(col)
     if isinstance(t, TimestampType):
-        return c.between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
+        rng = c.between(F.timestamp_micros(F.lit(lo)), F.timestamp_micros(F.lit(hi)))
+        if date_col:
+            rng = rng & F.col(date_col).between(F.to_date(F.timestamp_micros(F.lit(lo))),
+                                                F.to_date(F.timestamp_micros(F.lit(hi))))
+        return rng
     if isinstance(t, TimestampNTZType):
         return c.between(F.timestamp_micros(F.lit(lo)).cast("timestamp_ntz"),
                          F.timestamp_micros(F.lit(hi)).cast("timestamp_ntz"))
@@ -108,8 +114,9 @@ def _refine_numeric(df, key: Column, scope: Column, lo: int, hi: int, r: int, cn
 def positional_cut(df: DataFrame, k: int, time_col: str, id_col: str | None = None,
                    n: int | None = None, bounds: tuple | None = None,
                    fanout: int = DEFAULT_FANOUT,
-                   exact_limit: int = DEFAULT_EXACT_LIMIT) -> Cut:
-    """Locate the first ``k`` rows of ``df`` in (time_col, id_col) order (1 <= k <= n)."""
+                   exact_limit: int = DEFAULT_EXACT_LIMIT, date_col: str | None = None) -> Cut:
+    """Locate the first ``k`` rows of ``df`` in (time_col, id_col) order (1 <= k <= n).
+    ``date_col``: a partition column holding ``to_date(time_col)``, used for pruning."""
     t = order_number(df, time_col)
     if n is None or bounds is None:
         st = df.agg(F.count(F.lit(1)).alias("n"), F.count(t).alias("nn"),
@@ -122,7 +129,7 @@ def positional_cut(df: DataFrame, k: int, time_col: str, id_col: str | None = No
         raise ValueError(f"k={k} outside 1..{n}")
     lo, hi = bounds
     scope = t.isNotNull()
-    pushable = lambda a, b: raw_range(df, time_col, a, b)
+    pushable = lambda a, b: raw_range(df, time_col, a, b, date_col)
     before, lo, hi, r, cnt = _refine_numeric(df, t, scope, lo, hi, k, n, fanout,
                                              exact_limit, wide=False, pushable=pushable)
     inside = scope & pushable(lo, hi) & t.between(lo, hi)

@@ -323,7 +323,7 @@ def stream_gold(spark, sf_dir):
     q = gold_query(spark, silver_path, f"{root}/gold", f"{root}/_chk/gold",
                    trigger={"availableNow": True})
     q.awaitTermination()
-    g = spark.read.parquet(f"{root}/gold")
+    g = spark.read.parquet(f"{root}/gold").drop("event_date")
     return g.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 

@@ -8,6 +8,7 @@ storage on a cluster.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import gold_features
@@ -52,13 +53,14 @@ def silver_query(spark: SparkSession, bronze_path: str, valid_path: str, quarant
 def gold_query(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str,
                trigger: dict | None = None, max_files_per_trigger: int | None = None,
                fmt: str = "parquet") -> StreamingQuery:
-    """Silver files -> gold features -> file sink (exactly-once through the sink's log).
-    Parquet by default: the JSON sink would cut timestamps to milliseconds and drop NULL
-    fields."""
+    """Silver files -> gold features -> file sink (exactly-once through the sink's log),
+    partitioned by ``event_date`` for pruning. Parquet by default: the JSON sink would cut
+    timestamps to milliseconds and drop NULL fields."""
     reader = spark.readStream.schema(TRANSACTION)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.option("recursiveFileLookup", "true").parquet(silver_path)
-    w = (gold_features(src).writeStream.format(fmt).outputMode("append")
+    gold = gold_features(src).withColumn("event_date", F.to_date("timestamp"))
+    w = (gold.writeStream.format(fmt).outputMode("append").partitionBy("event_date")
          .option("path", gold_path).option("checkpointLocation", checkpoint))
     return apply_trigger(w, trigger).start()

@@ -82,14 +82,17 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
         try:
             model, run_id = champion.get() if champion is not None else (None, None)
             feats, records, rejects = score_batch(fields, model, run_id)
-            write_batch(feats, feature_store_path, batch_id)
+            feats = feats.withColumn("event_date", F.to_date(F.try_to_timestamp("timestamp")))
+            write_batch(feats, feature_store_path, batch_id, partition_by=["event_date"])
             write_batch(rejects, rejects_path, batch_id)
             if champion is not None and model is None:
                 return
-            records = records.persist()
-            write_batch(records, predictions_path, batch_id)
+            records = records.withColumn("inference_date",
+                                         F.to_date("inference_timestamp")).persist()
+            write_batch(records, predictions_path, batch_id, partition_by=["inference_date"])
             if kafka:
-                write_kafka(scoring.to_json_value(records), kafka["servers"], kafka["topic"])
+                write_kafka(scoring.to_json_value(records.drop("inference_date")),
+                            kafka["servers"], kafka["topic"])
             records.unpersist()
         finally:
             fields.unpersist()

@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
-                compression: str | None = None) -> None:
+                compression: str | None = None, partition_by: list | None = None) -> None:
     """``compression`` e.g. "uncompressed" (the reference's parquet setting); default is the
-    session's codec."""
+    session's codec. ``partition_by`` adds folders below the batch (e.g. a date), which
+    readers use for partition pruning."""
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     if _committed(df.sparkSession, target):
         return
     w = df.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if compression:
         w = w.option("compression", compression)
     w.save(target)
