@@ -52,15 +52,18 @@ def silver_query(spark: SparkSession, bronze_path: str, valid_path: str, quarant
 
 def gold_query(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str,
                trigger: dict | None = None, max_files_per_trigger: int | None = None,
-               fmt: str = "parquet") -> StreamingQuery:
+               fmt: str = "parquet", partition_by_date: bool = False) -> StreamingQuery:
     """Silver files -> gold features -> file sink (exactly-once through the sink's log),
-    partitioned by ``event_date`` for pruning. Parquet by default: the JSON sink would cut
-    timestamps to milliseconds and drop NULL fields."""
+    optionally partitioned by ``event_date`` for readers that filter by date. Parquet by
+    default: the JSON sink would cut timestamps to milliseconds and drop NULL fields."""
     reader = spark.readStream.schema(TRANSACTION)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.option("recursiveFileLookup", "true").parquet(silver_path)
-    gold = gold_features(src).withColumn("event_date", F.to_date("timestamp"))
-    w = (gold.writeStream.format(fmt).outputMode("append").partitionBy("event_date")
-         .option("path", gold_path).option("checkpointLocation", checkpoint))
+    gold = gold_features(src)
+    w = gold.writeStream.format(fmt).outputMode("append")
+    if partition_by_date:
+        w = gold.withColumn("event_date", F.to_date("timestamp")).writeStream.format(fmt) \
+            .outputMode("append").partitionBy("event_date")
+    w = w.option("path", gold_path).option("checkpointLocation", checkpoint)
     return apply_trigger(w, trigger).start()

@@ -81,3 +81,21 @@ def test_scoring_dedup_option(spark, sf_small):
     # rejects (one per stage: feature contract and scoring input)
     broken = D.raw(spark, sf_small).filter(F.col("json_str") == "{bad").count()
     assert counts["on"][1] == counts["off"][1] // 2 + 2 * broken
+
+
+def test_scoring_partition_by_date(spark, sf_small):
+    from riskflow.operators import drift
+    from riskflow.sources.raw import read_raw_stream
+    from riskflow.sources.tables import read_predictions
+    from riskflow.streaming.scoring import scoring_query
+    root = scratch_path(spark, "test_pdate")
+    bronze = C._publish_bronze(spark, sf_small, root, files=1)
+    q = scoring_query(read_raw_stream(spark, "json", bronze), f"{root}/f", f"{root}/p",
+                      f"{root}/r", f"{root}/_chk", trigger={"availableNow": True},
+                      partition_by_date=True)
+    q.awaitTermination()
+    log = read_predictions(spark, f"{root}/p")
+    assert "inference_date" in log.columns
+    assert log.count() == D.scored_log(spark, sf_small).count()
+    assert "event_date" in spark.read.parquet(f"{root}/f").columns
+    assert drift.drift_report(log).count() == 5
