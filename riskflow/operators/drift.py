@@ -43,13 +43,12 @@ def _flat(log: DataFrame, order=ORDER) -> DataFrame:
                       *[F.col(path).cast("double").alias(m) for m, path in METRICS])
 
 
-def _materialized(flat: DataFrame) -> DataFrame:
+def _materialized(flat: DataFrame, materialize: bool) -> DataFrame:
     """The selection reads the log several times. A stored log is re-read cheaply (two
-    pruned columns, ranges pushed down); a computed one is written once as parquet to the
-    shared checkpoint folder and read back, which also cuts its lineage."""
-    from ..plans.plan_util import is_plain_scan
+    pruned columns, ranges pushed down); a computed one (``materialize=True``) is written once
+    as parquet to the shared checkpoint folder and read back, which also cuts its lineage."""
     from ..session import scratch_path
-    if is_plain_scan(flat):
+    if not materialize:
         return flat
     path = scratch_path(flat.sparkSession, "drift_log")
     flat.write.parquet(path)
@@ -62,9 +61,10 @@ def baseline_count(n: int, fraction: float = BASELINE_FRACTION) -> int:
 
 
 def labelled_log(log: DataFrame, fraction: float = BASELINE_FRACTION, min_rows: int = MIN_ROWS,
-                 order=ORDER, **cut_options):
-    """(flat log with ``is_baseline`` and weight ``_w``, n), or (None, n) below ``min_rows``."""
-    flat = _materialized(_flat(log, order))
+                 order=ORDER, materialize: bool = False, **cut_options):
+    """(flat log with ``is_baseline`` and weight ``_w``, n), or (None, n) below ``min_rows``.
+    ``materialize``: the log is computed (not a stored table), write its flat form once."""
+    flat = _materialized(_flat(log, order), materialize)
     from .ordered import order_number
     t = order_number(flat, order[0])
     st = flat.agg(F.count(F.lit(1)).alias("n"), F.count(t).alias("nn"),

@@ -167,27 +167,28 @@ def eval_accuracy(spark, sf_dir):
 
 def drift_segments(spark, sf_dir):
     """WIN1, AGG1-AGG3, FN14: 70/30 positional split of the log and the segment summaries."""
-    return drift.segment_summaries(D.scored_log(spark, sf_dir))
+    return drift.segment_summaries(D.scored_log(spark, sf_dir), materialize=True)
 
 
 def drift_report(spark, sf_dir):
     """DRF1, DRF2, FN11-FN13, FN20, FN21, LIM2."""
-    return drift.drift_report(D.scored_log(spark, sf_dir))
+    return drift.drift_report(D.scored_log(spark, sf_dir), materialize=True)
 
 
 def drift_gauges(spark, sf_dir):
     """DRF3, AGG4: gauge values (pct change published to 6 digits here)."""
-    return drift.drift_gauges(D.scored_log(spark, sf_dir), digits=6)
+    return drift.drift_gauges(D.scored_log(spark, sf_dir), digits=6, materialize=True)
 
 
 def drift_alerts(spark, sf_dir):
     """DRF5: only the drifted metrics."""
-    return drift.drift_alerts(drift.drift_report(D.scored_log(spark, sf_dir)))
+    return drift.drift_alerts(drift.drift_report(D.scored_log(spark, sf_dir), materialize=True))
 
 
 def retrain_decision(spark, sf_dir):
     """DRF4, AGG8: retrain when risk score or amount drifted."""
-    return drift.retrain_decision(drift.drift_report(D.scored_log(spark, sf_dir)))
+    return drift.retrain_decision(drift.drift_report(D.scored_log(spark, sf_dir),
+                                                       materialize=True))
 
 
 # --- registry ----------------------------------------------------------------------------
@@ -208,7 +209,7 @@ def current_champion(spark, sf_dir):
 
 def drift_gauge_rows(spark, sf_dir):
     """SNK11: the gauge table rows (metric, value) a refresh appends (time column left out)."""
-    g = drift.gauge_rows(drift.drift_gauges(D.scored_log(spark, sf_dir)))
+    g = drift.gauge_rows(drift.drift_gauges(D.scored_log(spark, sf_dir), materialize=True))
     return g.select("metric", F.round("value", 6).alias("value"))
 
 

@@ -1,36 +1,16 @@
-"""Small plan-shape helpers used to decide when to spread or materialise an input."""
+"""Scan-shape helper used to spread small inputs before CPU-bound work."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-# node names of a logical plan that only scan, filter or project
-_CHEAP_NODES = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "RelationV2",
-                "Union", "SubqueryAlias", "StreamingRelation"}
-
-
-def plan_nodes(df: DataFrame) -> list:
-    text = df._jdf.queryExecution().optimizedPlan().toString()
-    names = []
-    for line in text.splitlines():
-        s = line.lstrip(" :|+-")
-        if s:
-            names.append(s.split(" ", 1)[0].split("[", 1)[0])
-    return names
-
-
-def is_plain_scan(df: DataFrame) -> bool:
-    """True when the plan is only scans, filters and projections (cheap to re-read, with
-    column pruning and filter pushdown at the source)."""
-    return all(n in _CHEAP_NODES for n in plan_nodes(df))
-
 
 def spread_small_scan(df: DataFrame) -> DataFrame:
     """Round-robin the rows over the cluster's cores when the scan yields fewer splits than
     cores (one small file or one row group). On large inputs the scan already has many more
-    splits than cores and this returns ``df`` unchanged, adding no shuffle."""
+    splits than cores and this returns ``df`` unchanged, adding no shuffle. Counting the
+    splits plans the scan; it reads no data."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
-    if parts >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
