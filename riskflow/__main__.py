@@ -9,6 +9,7 @@ _checkpoints. ``--source kafka --servers host:9092 --topic transactions_raw`` re
 from __future__ import annotations
 
 import argparse
+import time
 
 from .plans.jobs import Paths, drift_job, gauges_job, retrain_job, train_job
 
@@ -23,6 +24,8 @@ def main(argv=None):
     ap.add_argument("--topic", default="transactions_raw")
     ap.add_argument("--once", action="store_true", help="process what is available and stop")
     ap.add_argument("--no-retrain", action="store_true")
+    ap.add_argument("--every", type=float, default=0,
+                    help="drift/gauges: run again every N seconds until interrupted (STR6)")
     a = ap.parse_args(argv)
 
     from .session import build_session
@@ -35,12 +38,17 @@ def main(argv=None):
         train_job(spark, paths).show(truncate=False)
     elif a.job == "retrain":
         retrain_job(spark, paths).show(truncate=False)
-    elif a.job == "drift":
-        report, decision, result = drift_job(spark, paths, retrain=not a.no_retrain)
-        report.show(truncate=False)
-        print(decision)
-    elif a.job == "gauges":
-        gauges_job(spark, paths).show(truncate=False)
+    elif a.job in ("drift", "gauges"):
+        while True:
+            if a.job == "drift":
+                report, decision, _ = drift_job(spark, paths, retrain=not a.no_retrain)
+                report.show(truncate=False)
+                print(decision)
+            else:
+                gauges_job(spark, paths).show(truncate=False)
+            if a.every <= 0:
+                break
+            time.sleep(a.every)
     else:
         from .sources.raw import read_raw_stream
         from .streaming import (ChampionLoader, bronze_query, gold_query, scoring_query,
