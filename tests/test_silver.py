@@ -91,3 +91,30 @@ def test_parse_once_in_plan(spark, sf_small):
     df = C.features_store(spark, sf_small)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_complement_property(spark):
+    """Property: for arbitrary objects (fields present, missing, NULL, wrongly typed), every
+    row lands in exactly one of valid / quarantine, and reasons are empty iff valid."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    values = st.one_of(st.none(), st.booleans(), st.integers(-5, 5),
+                       st.floats(allow_nan=False, allow_infinity=False, width=32),
+                       st.text(max_size=3))
+    keys = st.sampled_from(list(GOOD))
+    objs = st.dictionaries(keys, values, max_size=len(GOOD))
+    texts = st.one_of(objs.map(json.dumps), objs.map(lambda d: json.dumps({**GOOD, **d})),
+                      st.text(max_size=8))
+
+    @settings(max_examples=5, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(texts, min_size=1, max_size=40))
+    def check(batch):
+        df = spark.createDataFrame([(t,) for t in batch], "json_str string")
+        valid, quar = silver.split_valid(df)
+        assert valid.count() + quar.count() == len(batch)
+        res = _run(spark, batch)
+        assert all((len(r) == 0) == v for v, r in res)
+
+    check()
