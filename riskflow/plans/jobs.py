@@ -37,11 +37,9 @@ def _train_eval(spark: SparkSession, paths: Paths, split: str):
     else:
         train, test = training.hash_split(tf)
         train = train.drop("transaction_id")
-    train = train.persist()
-    try:
-        model = training.fit_model(train)
-    finally:
-        train.unpersist()
+    # a stored table: the forest re-reads seven pruned columns for its metadata and split
+    # candidates and caches its own bagged points, so the input is not persisted here
+    model = training.fit_model(train)
     return model, training.evaluate(model, test)
 
 
