@@ -75,3 +75,15 @@ def test_kafka_source_reports_missing_connector(spark):
     assert "kafka" in str(ei.value).lower()
     with pytest.raises(ValueError):
         read_raw_stream(spark, "kafka")
+
+
+def test_log_snapshot_is_stable(spark):
+    """A log frame keeps the file list it was read with: appends during a drift report do not
+    change the counts its selection passes see."""
+    path = scratch_path(spark, "snap")
+    write_batch(spark.range(10), path, 0)
+    df = spark.read.parquet(path)
+    assert df.count() == 10
+    write_batch(spark.range(5), path, 1)
+    assert df.filter("id >= 0").count() == 10
+    assert spark.read.parquet(path).count() == 15
