@@ -87,3 +87,10 @@ def test_log_snapshot_is_stable(spark):
     write_batch(spark.range(5), path, 1)
     assert df.filter("id >= 0").count() == 10
     assert spark.read.parquet(path).count() == 15
+
+
+def test_bronze_projection_from_bytes(spark):
+    """PRJ1: a topic's binary value becomes the json_str text, verbatim."""
+    from riskflow.sources.raw import bronze_projection
+    df = spark.createDataFrame([(bytearray(b'{"a": 1}'),), (None,)], "value binary")
+    assert [r[0] for r in bronze_projection(df).collect()] == ['{"a": 1}', None]
