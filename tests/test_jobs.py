@@ -49,3 +49,20 @@ def test_end_to_end(spark, sf_small):
     g = gauges_job(spark, paths)
     assert g.count() == 8
     assert spark.read.parquet(paths.gauges).count() == 8
+
+
+def test_single_class_retrain_does_not_compete(spark):
+    """SURVEY 7.5: with one class in the validation split the AUC is undefined; the run is
+    registered but cannot become champion."""
+    from riskflow import schemas
+    from riskflow.operators import registry as reg
+    root = scratch_path(spark, "test_oneclass")
+    rows = [(f"t{i}", float(i), i % 2, i % 2, i % 24, 0, 0, float(i % 3), 0,
+             "2024-01-01T00:00:00+00:00") for i in range(60)]
+    spark.createDataFrame(rows, schemas.FEATURES).write.parquet(f"{root}/features")
+    paths = Paths(features=f"{root}/features", predictions=f"{root}/p", runs=f"{root}/runs",
+                  models=f"{root}/models")
+    assert retrain_job(spark, paths).count() == 0
+    runs = reg.read_runs(spark, paths.runs).collect()
+    assert len(runs) == 1 and not runs[0]["candidate"]
+    assert reg.champion_f1(reg.read_runs(spark, paths.runs), "fraud_model") is None
