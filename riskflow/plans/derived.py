@@ -22,9 +22,9 @@ MODEL_NAME = "fraud_model"
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table; spread over the cores when it arrives as fewer splits than
     cores, since every row then goes through a JSON round trip (CPU-bound)."""
-    from .plan_util import spread_small_scan
+    from ..operators.partitioning import spread_if_narrow
     ensure_utc(spark)
-    return spread_small_scan(read_table(spark, sf_dir, "events"))
+    return spread_if_narrow(read_table(spark, sf_dir, "events"))
 
 
 def transactions(spark, sf_dir) -> DataFrame:

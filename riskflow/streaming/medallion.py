@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import gold_features
 from ..operators import silver
+from ..operators.partitioning import spread_if_narrow
 from ..schemas import BRONZE, TRANSACTION
 from .sinks import apply_trigger, write_batch
 
@@ -29,7 +30,7 @@ def silver_writer(valid_path: str, quarantine_path: str, fmt: str = "parquet"):
     """foreachBatch function: parse the batch once, write valid rows and quarantined rows
     (text + reasons). Both outputs of a batch come from the same persisted parse."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = silver.parse_raw(batch).persist()
+        parsed = silver.parse_raw(spread_if_narrow(batch)).persist()
         try:
             write_batch(silver.flatten_valid(parsed), valid_path, batch_id, fmt)
             write_batch(silver.quarantine(parsed), quarantine_path, batch_id, fmt)

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.features import online_features, store_features
 from ..operators import contract, registry, scoring, silver
 from ..schemas import TRANSACTION
+from ..operators.partitioning import spread_if_narrow
 from .dedup import dedup_batch
 from .sinks import apply_trigger, write_batch, write_kafka
 
@@ -82,8 +83,9 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
         if dedup:
             seen_path, within = dedup
             batch, held = dedup_batch(batch, seen_path, batch_id, within)
-        # parsed once per micro-batch; the three outputs read the persisted fields
-        fields = parse_fields(batch).persist()
+        # parsed once per micro-batch (over all cores); the three outputs read the
+        # persisted fields
+        fields = parse_fields(spread_if_narrow(batch)).persist()
         try:
             model, run_id = champion.get() if champion is not None else (None, None)
             feats, records, rejects = score_batch(fields, model, run_id)
