@@ -33,7 +33,8 @@ def silver_writer(valid_path: str, quarantine_path: str, fmt: str = "parquet"):
         parsed = silver.parse_raw(spread_if_narrow(batch)).persist()
         try:
             write_batch(silver.flatten_valid(parsed), valid_path, batch_id, fmt)
-            write_batch(silver.quarantine(parsed), quarantine_path, batch_id, fmt)
+            write_batch(silver.quarantine(parsed), quarantine_path, batch_id, fmt,
+                        rebalance=True)
         finally:
             parsed.unpersist()
     return write

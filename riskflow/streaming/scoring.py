@@ -94,7 +94,7 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
                                          F.to_date(F.try_to_timestamp("timestamp")))
             write_batch(feats, feature_store_path, batch_id,
                         partition_by=["event_date"] if partition_by_date else None)
-            write_batch(rejects, rejects_path, batch_id)
+            write_batch(rejects, rejects_path, batch_id, rebalance=True)
             if champion is not None and model is None:
                 return
             if partition_by_date:

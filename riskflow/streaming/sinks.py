@@ -14,13 +14,18 @@ from pyspark.sql import DataFrame
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
-                compression: str | None = None, partition_by: list | None = None) -> None:
+                compression: str | None = None, partition_by: list | None = None,
+                rebalance: bool = False) -> None:
     """``compression`` e.g. "uncompressed" (the reference's parquet setting); default is the
     session's codec. ``partition_by`` adds folders below the batch (e.g. a date), which
-    readers use for partition pruning."""
+    readers use for partition pruning. ``rebalance`` lets adaptive execution size the output
+    partitions (one shuffle of this output): for small side outputs such as quarantine and
+    rejects, which would otherwise leave one tiny file per task."""
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     if _committed(df.sparkSession, target):
         return
+    if rebalance:
+        df = df.hint("rebalance")
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -121,3 +121,14 @@ def test_bronze_sink_and_stream_quarantine(spark, sf_small):
     batch = silver.quarantine(silver.parse_raw(D.raw(spark, sf_small))) \
         .select("json_str", F.array_join("reasons", ",").alias("r"))
     assert _sorted(streamed) == _sorted(batch)
+
+
+def test_rebalanced_side_output_has_few_files(spark):
+    import os
+    root = scratch_path(spark, "test_rebal")
+    df = spark.range(0, 2000, numPartitions=16).filter("id % 100 = 0")   # sparse rows
+    write_batch(df, f"{root}/plain", 0)
+    write_batch(df, f"{root}/rebal", 0, rebalance=True)
+    files = lambda p: [f for f in os.listdir(f"{p}/batch_id=0") if f.endswith(".parquet")]  # noqa
+    assert len(files(f"{root}/rebal")) < len(files(f"{root}/plain"))
+    assert spark.read.parquet(f"{root}/rebal").count() == 20
