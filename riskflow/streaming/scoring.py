@@ -99,13 +99,14 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
                 return
             if partition_by_date:
                 records = records.withColumn("inference_date", F.to_date("inference_timestamp"))
-            records = records.persist()
+            if kafka:                   # written twice: keep one copy of the records
+                records = records.persist()
             write_batch(records, predictions_path, batch_id,
                         partition_by=["inference_date"] if partition_by_date else None)
             if kafka:
                 write_kafka(scoring.to_json_value(records.drop("inference_date")),
                             kafka["servers"], kafka["topic"])
-            records.unpersist()
+                records.unpersist()
         finally:
             fields.unpersist()
             if held is not None:
