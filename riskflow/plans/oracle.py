@@ -105,6 +105,29 @@ runs AS (
 )"""
 
 ORACLES = {
+    # the raw text, byte for byte: JSON built by hand in the key order and number formatting
+    # Spark's to_json uses (checked equal on every row of sf0.001, sf0.01 and sf0.1)
+    "bronze_json": PARSED.split(",\nparsed AS")[0] + """
+SELECT event_id,
+  CASE WHEN f_broken THEN '{bad' ELSE
+    '{"transaction_id":"' || transaction_id || '"'
+    || CASE WHEN f_no_user THEN '' ELSE ',"user_id":"' || user_id || '"' END
+    || ',"merchant_id":"' || merchant_id || '","device_id":"' || device_id || '"'
+    || CASE WHEN f_text_amount THEN '' ELSE ',"amount":'
+         || CAST(CASE WHEN f_neg_amount THEN -amount ELSE amount END AS VARCHAR) END
+    || ',"currency":"USD","timestamp":"'
+    || CASE WHEN f_bad_ts THEN 'not-a-ts' ELSE timestamp END || '"'
+    || ',"merchant_category":"' || merchant_category || '","payment_method":"'
+    || payment_method || '"'
+    || ',"card_present":' || CASE WHEN card_present THEN 'true' ELSE 'false' END
+    || ',"location":{"city":"' || location_city || '","state":"' || location_state
+    || '","country":"USA"}'
+    || ',"ip_address":"' || ip_address || '","is_fraud":' || CAST(is_fraud AS VARCHAR)
+    || CASE WHEN f_text_amount THEN ',"amount":"abc"' ELSE '' END
+    || '}'
+  END AS json_str
+FROM txl""",
+
     "silver_valid": PARSED + f"""
 SELECT {_VALID_COLS} FROM checked WHERE is_valid""",
 
