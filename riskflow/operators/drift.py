@@ -29,6 +29,15 @@ METRICS = [
 GAUGE_METRICS = ["avg_amount", "avg_risk_score", "avg_fraud_probability",
                  "fraud_prediction_rate"]
 RETRAIN_METRICS = ["avg_risk_score", "avg_amount"]
+# The published gauge names, per metric (percent change, drift flag 0/1)
+GAUGE_NAMES = {
+    "avg_amount": ("fraud_avg_amount_pct_change", "fraud_avg_amount_drift_detected"),
+    "avg_risk_score": ("fraud_avg_risk_score_pct_change", "fraud_avg_risk_score_drift_detected"),
+    "avg_fraud_probability": ("fraud_avg_fraud_probability_pct_change",
+                              "fraud_avg_fraud_probability_drift_detected"),
+    "fraud_prediction_rate": ("fraud_prediction_rate_pct_change",
+                              "fraud_prediction_rate_drift_detected"),
+}
 ORDER = ("inference_timestamp", "transaction_id")
 
 
@@ -152,11 +161,16 @@ def drift_gauges(log: DataFrame, fraction: float = BASELINE_FRACTION,
 
 
 def gauge_rows(gauges: DataFrame) -> DataFrame:
-    """Long gauge table (metric, value, computed_at) to append to a metrics table: one
-    ``<metric>_pct_change`` and one ``<metric>_drift_detected`` row per metric."""
-    rows = gauges.select(F.expr(
-        "stack(2, concat(metric, '_pct_change'), pct_change, "
-        "concat(metric, '_drift_detected'), CAST(drift_detected AS DOUBLE)) AS (metric, value)"))
+    """Long gauge table (metric, value, computed_at) to append to a metrics table: the
+    percent-change gauge and the drift-flag gauge of each metric, under the published names."""
+    pct_name = F.create_map(*[x for m, (p, _) in GAUGE_NAMES.items() for x in (F.lit(m), F.lit(p))])
+    flag_name = F.create_map(*[x for m, (_, d) in GAUGE_NAMES.items()
+                               for x in (F.lit(m), F.lit(d))])
+    named = gauges.select(pct_name[F.col("metric")].alias("pct_name"), "pct_change",
+                          flag_name[F.col("metric")].alias("flag_name"), "drift_detected")
+    rows = named.select(F.expr(
+        "stack(2, pct_name, pct_change, flag_name, CAST(drift_detected AS DOUBLE)) "
+        "AS (metric, value)"))
     return rows.select("metric", "value", F.current_timestamp().alias("computed_at"))
 
 

@@ -293,12 +293,19 @@ promoted AS (SELECT * FROM h WHERE n_prior = 0 OR f1_score > prior_best)
 SELECT model_name, version, run_id, round(f1_score, 6) AS f1_score
 FROM promoted WHERE version = (SELECT max(version) FROM promoted)""",
 
-    "drift_gauge_rows": _LOG + """
-SELECT metric || '_pct_change' AS metric, round(pct, 6) AS value
-FROM cmp WHERE metric <> 'avg_tx_hour'
+    "drift_gauge_rows": _LOG + """,
+names AS (
+  SELECT * FROM (VALUES
+    ('avg_amount', 'fraud_avg_amount_pct_change', 'fraud_avg_amount_drift_detected'),
+    ('avg_risk_score', 'fraud_avg_risk_score_pct_change', 'fraud_avg_risk_score_drift_detected'),
+    ('avg_fraud_probability', 'fraud_avg_fraud_probability_pct_change',
+     'fraud_avg_fraud_probability_drift_detected'),
+    ('fraud_prediction_rate', 'fraud_prediction_rate_pct_change',
+     'fraud_prediction_rate_drift_detected')) AS t(metric, pct_name, flag_name)
+)
+SELECT pct_name AS metric, round(pct, 6) AS value FROM cmp JOIN names USING (metric)
 UNION ALL
-SELECT metric || '_drift_detected', CAST(abs(pct) > 10 AS DOUBLE)
-FROM cmp WHERE metric <> 'avg_tx_hour'""",
+SELECT flag_name, CAST(abs(pct) > 10 AS DOUBLE) FROM cmp JOIN names USING (metric)""",
 
     "latest_version": _RUNS + """
 SELECT model_name,

@@ -48,6 +48,7 @@ def test_end_to_end(spark, sf_small):
     assert report.count() == 5 and decision is not None
     g = gauges_job(spark, paths)
     assert g.count() == 8
+    assert "fraud_avg_amount_pct_change" in {r["metric"] for r in g.collect()}
     assert spark.read.parquet(paths.gauges).count() == 8
 
 
