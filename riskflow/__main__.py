@@ -22,6 +22,9 @@ def main(argv=None):
     ap.add_argument("--source", default="text", choices=["text", "json", "kafka"])
     ap.add_argument("--servers")
     ap.add_argument("--topic", default="transactions_raw")
+    ap.add_argument("--kafka-out", action="store_true",
+                    help="score: also publish prediction records to --predictions-topic")
+    ap.add_argument("--predictions-topic", default="fraud_predictions")
     ap.add_argument("--once", action="store_true", help="process what is available and stop")
     ap.add_argument("--no-retrain", action="store_true")
     ap.add_argument("--every", type=float, default=0,
@@ -66,8 +69,11 @@ def main(argv=None):
             qs.append(gold_query(spark, f"{r}/silver", f"{r}/gold", f"{chk}/gold", trigger))
         else:
             champ = ChampionLoader(spark, paths.runs, "fraud_model")
+            kafka = ({"servers": a.servers, "topic": a.predictions_topic}
+                     if a.kafka_out else None)
             qs = [scoring_query(raw, paths.features, paths.predictions, f"{r}/rejects",
-                                f"{chk}/scoring", champion=champ, trigger=trigger)]
+                                f"{chk}/scoring", champion=champ, trigger=trigger,
+                                kafka=kafka)]
         if a.once:
             for q in qs:
                 q.awaitTermination()

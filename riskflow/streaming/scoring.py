@@ -20,6 +20,10 @@ from ..operators.partitioning import spread_if_narrow
 from .dedup import dedup_batch
 from .sinks import apply_trigger, write_batch, write_kafka
 
+# Topic names of the reference's deployment
+RAW_TOPIC = "transactions_raw"
+PREDICTION_TOPIC = "fraud_predictions"
+
 _TX_FIELDS = tuple(f.name for f in TRANSACTION.fields)
 _KEEP = tuple(c for c in _TX_FIELDS if c != "amount")
 
