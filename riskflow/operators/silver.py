@@ -90,10 +90,29 @@ def lenient_amount(text_col: str = "json_str") -> Column:
         F.get_json_object(F.col(text_col), "$.amount").try_cast("double"))
 
 
+# Fixed value: the raw JSON token of card_present (a quoted string or a bare word/number)
+CARD_PRESENT_TOKEN = r'"card_present"\s*:\s*("(?:[^"\\]|\\.)*"|[^,}\s\]]+)'
+
+
+@cache
+def truthy_card_present(text_col: str = "json_str") -> Column:
+    """``card_present`` with Python truthiness, as the consumers evaluate it: a JSON boolean
+    as is; a string is true unless empty; a number is true unless zero; JSON null (or a
+    missing key) stays NULL. The raw text is read again only when the typed value is NULL."""
+    typed = _field("card_present")
+    tok = F.regexp_extract(F.col(text_col), CARD_PRESENT_TOKEN, 1)
+    truthy = (F.when(tok.startswith('"'), tok != F.lit('""'))
+              .when(tok.rlike(r"^-?[0-9.]"), tok.try_cast("double") != 0))
+    return F.when(typed.isNotNull(), typed).otherwise(truthy)
+
+
 def consumer_fields(parsed: DataFrame, keep: tuple = (), text_col: str = "json_str"):
-    """Every parsed row as transaction fields plus ``amount_lenient`` (see
-    :func:`lenient_amount`): what the consumers see, since they read raw events."""
-    return parsed.select(*[F.col(c) for c in keep], *transaction_fields(),
+    """Every parsed row as transaction fields, with ``card_present`` under Python truthiness,
+    plus ``amount_lenient`` (see :func:`lenient_amount`): what the consumers see, since they
+    read raw events."""
+    fields = [truthy_card_present(text_col).alias("card_present") if f.name == "card_present"
+              else _field(f.name).alias(f.name) for f in TRANSACTION.fields]
+    return parsed.select(*[F.col(c) for c in keep], *fields,
                          lenient_amount(text_col).alias("amount_lenient"))
 
 

@@ -73,3 +73,26 @@ def test_quoted_amount_store_lenient_online_strict(spark):
     assert bad.first()["violations"] == ["amount"]
     ok2, bad2 = contract.split_model_input(online_features(fields))
     assert ok2.count() == 0 and bad2.count() == 2
+
+
+def test_card_present_python_truthiness(spark):
+    """Consumers evaluate card_present with Python truthiness: non-empty string or non-zero
+    number -> present (0), empty string / zero / null -> not present (1)."""
+    import json
+    from riskflow.functions.features import online_features, store_features
+    from riskflow.operators import silver
+    base = {"transaction_id": "t", "user_id": "u", "merchant_id": "m", "device_id": "d",
+            "amount": 10.0, "currency": "USD", "timestamp": "2024-01-01T12:00:00+00:00",
+            "payment_method": "upi", "is_fraud": 0}
+    values = [True, False, "false", "", 0, 1, 2.5, None]
+    texts = [json.dumps({**base, "transaction_id": f"t{i}", "card_present": v})
+             for i, v in enumerate(values)]
+    raw = spark.createDataFrame([(t,) for t in texts], "json_str string")
+    fields = silver.consumer_fields(silver.parse_raw(raw))
+    store = {r["transaction_id"]: r["is_card_not_present"]
+             for r in store_features(silver.store_view(fields)).collect()}
+    online = {r["transaction_id"]: r["is_card_not_present"]
+              for r in online_features(fields).collect()}
+    expect = [0, 1, 0, 1, 1, 0, 0, 1]
+    assert [store[f"t{i}"] for i in range(len(values))] == expect
+    assert [online[f"t{i}"] for i in range(len(values))] == expect
