@@ -90,8 +90,20 @@ def lenient_amount(text_col: str = "json_str") -> Column:
         F.get_json_object(F.col(text_col), "$.amount").try_cast("double"))
 
 
-# Fixed value: the raw JSON token of card_present (a quoted string or a bare word/number)
+# The raw JSON token of a top-level key (a quoted string or a bare word/number)
 CARD_PRESENT_TOKEN = r'"card_present"\s*:\s*("(?:[^"\\]|\\.)*"|[^,}\s\]]+)'
+IS_FRAUD_TOKEN = r'"is_fraud"\s*:\s*("(?:[^"\\]|\\.)*"|[^,}\s\]]+)'
+
+
+@cache
+def bool_as_int_is_fraud(text_col: str = "json_str") -> Column:
+    """``is_fraud`` as the feature store accepts it: an integer, or a JSON boolean as 1 / 0
+    (a Python ``bool`` is an ``int``); floats and strings stay NULL (contract violation). The
+    raw text is read again only when the typed value is NULL."""
+    typed = _field("is_fraud")
+    tok = F.regexp_extract(F.col(text_col), IS_FRAUD_TOKEN, 1)
+    return F.when(typed.isNotNull(), typed).otherwise(
+        F.when(tok == "true", F.lit(1)).when(tok == "false", F.lit(0)))
 
 
 @cache
@@ -108,17 +120,22 @@ def truthy_card_present(text_col: str = "json_str") -> Column:
 
 def consumer_fields(parsed: DataFrame, keep: tuple = (), text_col: str = "json_str"):
     """Every parsed row as transaction fields, with ``card_present`` under Python truthiness,
-    plus ``amount_lenient`` (see :func:`lenient_amount`): what the consumers see, since they
+    plus ``amount_lenient`` and ``is_fraud_lenient`` for the feature store (see
+    :func:`lenient_amount`, :func:`bool_as_int_is_fraud`): what the consumers see, since they
     read raw events."""
     fields = [truthy_card_present(text_col).alias("card_present") if f.name == "card_present"
               else _field(f.name).alias(f.name) for f in TRANSACTION.fields]
     return parsed.select(*[F.col(c) for c in keep], *fields,
-                         lenient_amount(text_col).alias("amount_lenient"))
+                         lenient_amount(text_col).alias("amount_lenient"),
+                         bool_as_int_is_fraud(text_col).alias("is_fraud_lenient"))
 
 
 def store_view(fields: DataFrame) -> DataFrame:
-    """Consumer fields with the lenient amount in place of the typed one (feature store)."""
-    return fields.withColumn("amount", F.col("amount_lenient")).drop("amount_lenient")
+    """Consumer fields with the feature store's lenient amount and is_fraud in place of the
+    typed ones."""
+    return (fields.withColumn("amount", F.col("amount_lenient"))
+            .withColumn("is_fraud", F.col("is_fraud_lenient"))
+            .drop("amount_lenient", "is_fraud_lenient"))
 
 
 @cache

@@ -96,3 +96,21 @@ def test_card_present_python_truthiness(spark):
     expect = [0, 1, 0, 1, 1, 0, 0, 1]
     assert [store[f"t{i}"] for i in range(len(values))] == expect
     assert [online[f"t{i}"] for i in range(len(values))] == expect
+
+
+def test_is_fraud_bool_accepted_by_store(spark):
+    """The feature store takes JSON true/false as is_fraud 1/0 (Python bool is int); a float
+    or a string still fails the contract."""
+    import json
+    from riskflow.functions.features import store_features
+    from riskflow.operators import silver
+    base = {"user_id": "u", "merchant_id": "m", "device_id": "d", "amount": 10.0,
+            "currency": "USD", "timestamp": "2024-01-01T12:00:00+00:00", "card_present": True}
+    vals = [True, False, 1, 1.5, "1"]
+    raw = spark.createDataFrame([(json.dumps({**base, "transaction_id": f"t{i}", "is_fraud": v}),)
+                                 for i, v in enumerate(vals)], "json_str string")
+    fields = silver.consumer_fields(silver.parse_raw(raw))
+    ok, bad = contract.split_contract(store_features(silver.store_view(fields)))
+    assert {r["transaction_id"]: r["is_fraud"] for r in ok.collect()} == \
+        {"t0": 1, "t1": 0, "t2": 1}
+    assert sorted(r["transaction_id"] for r in bad.collect()) == ["t3", "t4"]
