@@ -47,6 +47,7 @@ def main(argv=None):
                 report, decision, _ = drift_job(spark, paths, retrain=not a.no_retrain)
                 report.show(truncate=False)
                 print(decision)
+                report.unpersist()
             else:
                 gauges_job(spark, paths).show(truncate=False)
             if a.every <= 0:

@@ -72,7 +72,8 @@ def retrain_job(spark: SparkSession, paths: Paths, split: str = "hash") -> DataF
 
 def drift_job(spark: SparkSession, paths: Paths, retrain: bool = True):
     """Drift report over the prediction log; when risk score or amount drifted (and
-    ``retrain``), run :func:`retrain_job`. Returns (report, decision, retrain result)."""
+    ``retrain``), run :func:`retrain_job`. Returns (report, decision, retrain result); the
+    report is persisted (five rows), the caller unpersists it when done."""
     log = read_predictions(spark, paths.predictions)
     report = drift.drift_report(log).persist()
     decision = drift.retrain_decision(report).first()

@@ -46,6 +46,7 @@ def test_end_to_end(spark, sf_small):
 
     report, decision, _ = drift_job(spark, paths, retrain=False)
     assert report.count() == 5 and decision is not None
+    report.unpersist()
     g = gauges_job(spark, paths)
     assert g.count() == 8
     assert "fraud_avg_amount_pct_change" in {r["metric"] for r in g.collect()}
