@@ -68,3 +68,14 @@ def test_single_class_retrain_does_not_compete(spark):
     runs = reg.read_runs(spark, paths.runs).collect()
     assert len(runs) == 1 and not runs[0]["candidate"]
     assert reg.champion_f1(reg.read_runs(spark, paths.runs), "fraud_model") is None
+
+
+def test_cli_jobs_on_empty_lake(spark, capsys):
+    """The command line runs drift and gauges on a lake with no predictions yet: empty
+    report, no decision, no error."""
+    from riskflow.__main__ import main
+    root = scratch_path(spark, "test_cli")
+    main(["gauges", "--root", root])
+    main(["drift", "--root", root, "--no-retrain"])
+    out = capsys.readouterr().out
+    assert "None" in out            # no decision below 20 predictions
