@@ -105,3 +105,19 @@ def test_cut_property_random(spark):
         assert _first_k_values(df, cut) == _brute(rows, k)
 
     check()
+
+
+def test_cut_integer_and_date_keys(spark):
+    """Order columns other than timestamps: a BIGINT key without an id, and a DATE key."""
+    import datetime as dt
+    rows = [(i * 7 % 101, dt.date(2024, 1, 1) + dt.timedelta(days=i % 13), float(i))
+            for i in range(101)]
+    df = spark.createDataFrame(rows, "n bigint, d date, v double").repartition(3)
+    for k in (1, 40, 101):
+        cut = positional_cut(df, k, "n", None, fanout=4, exact_limit=5)
+        got = sorted(r["v"] for r in label_first_k(df, cut, "f", "w").filter("f").collect())
+        want = sorted(v for _, _, v in sorted(rows)[:k])
+        assert got == want
+    cut = positional_cut(df, 50, "d", None, fanout=4, exact_limit=5)
+    got = label_first_k(df, cut, "f", "w").filter("f").agg({"w": "sum"}).first()[0]
+    assert got == 50
