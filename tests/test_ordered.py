@@ -94,7 +94,7 @@ def test_cut_property_random(spark):
     rows_st = st.lists(st.tuples(st.integers(0, 6), st.text("ab", min_size=0, max_size=3)),
                        min_size=1, max_size=60, unique=True)
 
-    @settings(max_examples=8, deadline=None,
+    @settings(max_examples=8, deadline=None, derandomize=True,
               suppress_health_check=[HealthCheck.function_scoped_fixture])
     @given(rows_st, st.floats(0.01, 1.0))
     def check(pairs, frac):

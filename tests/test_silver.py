@@ -107,7 +107,7 @@ def test_complement_property(spark):
     texts = st.one_of(objs.map(json.dumps), objs.map(lambda d: json.dumps({**GOOD, **d})),
                       st.text(max_size=8))
 
-    @settings(max_examples=5, deadline=None,
+    @settings(max_examples=5, deadline=None, derandomize=True,
               suppress_health_check=[HealthCheck.function_scoped_fixture])
     @given(st.lists(texts, min_size=1, max_size=40))
     def check(batch):
