@@ -4,12 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_spread, mixing
+from . import line_rules, line_spread, mixing, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 
+def op4_url_rules(spark, sf_dir):
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"), url_rules.default_rules(spark))
+
+
+OP4_SQL = """
+WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS host FROM u),
+p AS (SELECT page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path FROM h),
+r(rh, rp, verdict) AS (VALUES """ + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.RULES) + """),
+m AS (SELECT host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
+      FROM (SELECT DISTINCT host, path FROM p) JOIN r
+        ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY host, path)
+SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
+FROM p LEFT JOIN m ON p.host = m.host AND p.path = m.path
+"""
+
+
+def op5_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_line_spread(spark, sf_dir):
     out = line_spread.remove_spread_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "source", F.md5("text").alias("text_md5"), "lines", "lines_removed")
@@ -64,5 +86,9 @@ SELECT n.doc_id, n.size, t.source_size, t.target,
 FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source
 """
 
-QUERIES = {"op7_line_spread": op7_line_spread, "op9_mixing": op9_mixing}
-ORACLES = {"op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL}
+def op10_line_rules(spark, sf_dir):
+    return line_rules.measure(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_url_rules": op4_url_rules, "op5_secret_scan": op5_secret_scan, "op10_line_rules": op10_line_rules, "op7_line_spread": op7_line_spread, "op9_mixing": op9_mixing}
+ORACLES = {"op4_url_rules": OP4_SQL, "op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL}

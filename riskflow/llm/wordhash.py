@@ -50,9 +50,10 @@ def _piece_words(data: bytes) -> np.ndarray:
     return mix(sums + lens.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """One 64-bit hash per word of a UTF-8 text, in order, case of A-Z ignored."""
-    data = data.lower()
+def word_hashes(data: bytes, lower: bool = True) -> np.ndarray:
+    """One 64-bit hash per word of a UTF-8 text, in order; ``lower`` ignores the case of A-Z."""
+    if lower:
+        data = data.lower()
     if len(data) <= _PIECE:
         return _piece_words(data)
     out, at = [], 0
@@ -65,14 +66,19 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(out)
 
 
+def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """One hash per run of ``width`` words, in order; a shorter text is one run of all its words."""
+    span = min(width, len(words))
+    last = len(words) - span + 1
+    acc = np.full(last, span, np.uint64)
+    for k in range(span):
+        acc = mix(acc * _U(0x9FB21C651E98DF25) + words[k:last + k])
+    return acc
+
+
 def shingle_set(words: np.ndarray, width: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the ``width``-word shingles; a shorter text is one shingle
-    (the whole sequence); no words give an empty set."""
-    n = len(words)
-    if n == 0:
+    """Sorted distinct hashes of the ``width``-word shingles; no words give an empty set."""
+    if not len(words):
         return words
-    span = min(width, n)
-    acc = np.full(n - span + 1, span, np.uint64)
-    for k in range(span):
-        acc = mix(acc * _U(0x9FB21C651E98DF25) + words[k:n - span + 1 + k])
-    return np.unique(acc)
+    out = np.sort(shingle_hashes(words, width))
+    return out[np.append(True, out[1:] != out[:-1])]
