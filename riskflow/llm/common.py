@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +51,21 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark) -> None:
+    """Give the package to the Python workers of the session's executors, once per application,
+    so that tasks can import it whatever the executors' search path is."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import ship
 from .wordhash import shingle_hashes, word_hashes
 
 SYMBOLS = "#*$%&|<>"
@@ -125,6 +126,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Null and empty texts have no words, fail the base rule and are not kept. Repeated rows are
     judged alike. An empty table gives no rows. Memory holds one Arrow batch and the lines of
     one text."""
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_rules, line_spread, mixing, secret_scan, url_rules
+from . import line_rules, line_spread, mixing, ngram_join, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -32,6 +32,10 @@ def op5_secret_scan(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark, sf_dir):
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op7_line_spread(spark, sf_dir):
     out = line_spread.remove_spread_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "source", F.md5("text").alias("text_md5"), "lines", "lines_removed")
@@ -90,5 +94,12 @@ def op10_line_rules(spark, sf_dir):
     return line_rules.measure(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_url_rules": op4_url_rules, "op5_secret_scan": op5_secret_scan, "op10_line_rules": op10_line_rules, "op7_line_spread": op7_line_spread, "op9_mixing": op9_mixing}
+QUERIES = {
+    "op4_url_rules": op4_url_rules,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_ngram_join": op6_ngram_join,
+    "op7_line_spread": op7_line_spread,
+    "op9_mixing": op9_mixing,
+    "op10_line_rules": op10_line_rules,
+}
 ORACLES = {"op4_url_rules": OP4_SQL, "op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL}

@@ -15,6 +15,8 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 
+from .common import ship
+
 KINDS = ("assign", "access", "hex", "novel")
 #: Characters of text on each side that prime the compressor, beside the dictionary.
 AROUND = 256
@@ -123,6 +125,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     Null and empty texts have no spans; repeated rows are scanned alike; an empty table gives
     no rows. Offsets are code points, ends exclusive. Memory holds one Arrow batch."""
+    ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
