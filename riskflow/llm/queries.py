@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import line_rules, line_spread, mixing, ngram_join, secret_scan, url_rules
+from . import ann, line_rules, line_spread, mixing, ngram_join, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 
+def op1_adaptive_scan(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_url_rules(spark, sf_dir):
     return url_rules.filter_urls(table(spark, sf_dir, "pages"), url_rules.default_rules(spark))
 
@@ -95,6 +99,7 @@ def op10_line_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_adaptive_scan": op1_adaptive_scan,
     "op4_url_rules": op4_url_rules,
     "op5_secret_scan": op5_secret_scan,
     "op6_ngram_join": op6_ngram_join,
