@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import ship
@@ -130,10 +130,13 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for pdf in batches:
-            rows = [judge(t) for t in pdf["text"]]
-            yield pd.concat([pdf[["id"]], pd.DataFrame(rows, columns=names)], axis=1).rename(columns={"id": id_col})
+        for b in batches:
+            rows = [judge(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds))],
+                names=[id_col, *names])
 
     names = [x.split()[0] for x in SCHEMA.split(", ")]
+    kinds = [pa.bool_() if " boolean" in x else pa.int64() for x in SCHEMA.split(", ")]
     rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text")
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, {SCHEMA}")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, {SCHEMA}")

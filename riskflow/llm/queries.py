@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, line_rules, line_spread, mixing, ngram_join, secret_scan, url_rules
+from . import ann, line_rules, line_spread, mixing, ngram_join, packing, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -71,6 +71,10 @@ def op9_mixing(spark, sf_dir):
                       (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op8_retrieval_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 OP9_SQL = rf"""
 WITH d AS (SELECT doc_id, source, {_WORDS} AS size, md5(coalesce(doc_id::VARCHAR, '')) AS dg FROM documents),
 p AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -104,6 +108,7 @@ QUERIES = {
     "op5_secret_scan": op5_secret_scan,
     "op6_ngram_join": op6_ngram_join,
     "op7_line_spread": op7_line_spread,
+    "op8_retrieval_packing": op8_retrieval_packing,
     "op9_mixing": op9_mixing,
     "op10_line_rules": op10_line_rules,
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
@@ -129,15 +129,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        for pdf in batches:
+        for b in batches:
             rows = []
-            for text in pdf["text"]:
+            for text in b.column(1).to_pylist():
                 base, spans = scan_text(text)
                 n = [sum(k == kind_ for k, _, _ in spans) for kind_ in KINDS]
                 rows.append((*n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(spans)))
-            got = pd.DataFrame(rows, columns=names)
-            yield pd.concat([pdf[["id"]], got], axis=1).rename(columns={"id": id_col})
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *(pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds))],
+                names=[id_col, *names])
 
     names = [x.split()[0] for x in SCHEMA.split(", ")]
+    kinds = [pa.int64()] * len(KINDS) + [pa.string()] * 2
     rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text")
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, {SCHEMA}")
+    return rows.mapInArrow(run, f"`{id_col}` {kind}, {SCHEMA}")

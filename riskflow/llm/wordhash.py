@@ -35,19 +35,40 @@ def _powers(n: int) -> np.ndarray:
     return _POW
 
 
-def _piece_words(data: bytes) -> np.ndarray:
-    buf = np.frombuffer(data, np.uint8)
-    inside = _IS_WORD[buf]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edge[0::2], edge[1::2]
+def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in a byte array."""
+    inside = np.zeros(len(buf) + 2, bool)
+    inside[1:-1] = _IS_WORD[buf]
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    return edge[0::2], edge[1::2]
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per span; spans are in order, do not overlap, and hold no white space."""
     if not len(starts):
         return np.empty(0, np.uint64)
-    lens = ends - starts
+    body = buf[starts[0]:]
     ahead = np.diff(starts, append=len(buf))
-    off = np.arange(starts[0], len(buf)) - np.repeat(starts, ahead)
+    off = np.arange(len(body)) - np.repeat(starts - starts[0], ahead)
     table = _powers(int(ahead.max()) + 1)
-    sums = np.add.reduceat(_BYTE[buf[starts[0]:]] * table[off], starts - starts[0])
-    return mix(sums + lens.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    sums = np.add.reduceat(_BYTE[body] * table[off], starts - starts[0])
+    return mix(sums + (ends - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
+def _piece_words(data: bytes) -> np.ndarray:
+    buf = np.frombuffer(data, np.uint8)
+    return span_hashes(buf, *word_bounds(buf))
+
+
+def pieces(data: bytes):
+    """A long byte text in pieces of about ``_PIECE`` bytes that end at a word's end."""
+    at = 0
+    while at < len(data):
+        end = min(at + _PIECE, len(data))
+        while end < len(data) and _IS_WORD[data[end]]:
+            end += 1
+        yield data[at:end]
+        at = end
 
 
 def word_hashes(data: bytes, lower: bool = True) -> np.ndarray:
@@ -56,14 +77,7 @@ def word_hashes(data: bytes, lower: bool = True) -> np.ndarray:
         data = data.lower()
     if len(data) <= _PIECE:
         return _piece_words(data)
-    out, at = [], 0
-    while at < len(data):
-        end = min(at + _PIECE, len(data))
-        while end < len(data) and _IS_WORD[data[end]]:
-            end += 1
-        out.append(_piece_words(data[at:end]))
-        at = end
-    return np.concatenate(out)
+    return np.concatenate([_piece_words(x) for x in pieces(data)])
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
