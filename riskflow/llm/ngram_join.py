@@ -279,13 +279,9 @@ def candidate_links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str
     return pairs.unionByName(stars), sets
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable).
-
-    Null texts and texts without a word have the empty set and are linked with nothing, not
-    even with each other: their component is their own id. Equal sets always link. Repeated
-    rows share a component; null ids count only where a component has no other id. An empty
-    table gives no rows."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n, cls, root (one class of the component), component
+    (its smallest id, null where it has none; null for empty sets)."""
     ship(docs.sparkSession)
     known = materialize(classes(docs, id_col, text_col))
     reps = known.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
@@ -304,10 +300,41 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
              .groupBy("root").agg(F.min("doc_id").alias("low")))
     top = group.join(reps.select(F.col("cls").alias("root"), F.col("doc_id").alias("own")), "root")
     top = top.select("root", F.least("low", "own").alias("low"))
-    moved = (linked.join(top, "root").select("node", "low")
-             .unionByName(top.select(F.col("root").alias("node"), "low")))
+    moved = (linked.join(top, "root").select("node", "low", "root")
+             .unionByName(top.select("root", F.col("root").alias("node"), "low").select("node", "low", "root")))
     final = (reps.join(moved, F.col("cls") == F.col("node"), "left")
-             .select(F.col("cls").alias("c"), F.coalesce("low", "doc_id").alias("component")))
-    return (known.join(final, F.col("cls") == F.col("c"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")))
+             .select(F.col("cls").alias("c"), F.coalesce("root", "cls").alias("root"),
+                     F.coalesce("low", "doc_id").alias("component")))
+    return known.join(final, F.col("cls") == F.col("c"), "left").drop("c")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest id reachable).
+
+    Null texts and texts without a word have the empty set and are linked with nothing, not
+    even with each other: their component is their own id. Equal sets always link. Repeated
+    rows share a component; null ids count only where a component has no other id. An empty
+    table gives no rows."""
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
+    return _grouped(docs, id_col, text_col).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group: the one of smallest id (null last), then of
+    smallest text hash. Every row with an empty set stays. The columns stay the same."""
+    cols = docs.columns
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    doc, text = f"c{cols.index(id_col)}", f"c{cols.index(text_col)}"
+    rows = rows.withColumn("h1", F.xxhash64(doc, text)).withColumn("h2", F.hash(text, doc))
+    # the key travels as the id, so that a row's group is found again whatever its id
+    key = F.struct(F.col(doc).isNull().alias("none"), F.col(doc).alias("id"), "h1", "h2")
+    grouped = materialize(_grouped(rows.select(key.alias("key"), F.col(text).alias("text")), "key", "text"))
+    first = grouped.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("key"), F.lit(False).alias("empty"))
+    empty = grouped.where("n = 0").select(F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("key"),
+                                          F.lit(True).alias("empty")).distinct()
+    stays = first.unionByName(empty).select(F.col("key.h1").alias("k1"), F.col("key.h2").alias("k2"), "empty")
+    copy = F.row_number().over(Window.partitionBy("h1", "h2").orderBy(F.lit(1)))
+    return (rows.join(stays, (F.col("h1") == F.col("k1")) & (F.col("h2") == F.col("k2")))
+            .withColumn("copy", copy).where("empty OR copy = 1")
+            .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(cols)]))

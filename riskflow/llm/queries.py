@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, line_rules, line_spread, mixing, ngram_join, packing, quality_rank, secret_scan, url_rules
+from . import ann, langid, line_rules, line_spread, mixing, ngram_join, packing, quality_rank, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -14,6 +14,10 @@ def op1_adaptive_scan(spark, sf_dir):
     return ann.search(table(spark, sf_dir, "embeddings"))
 
 
+def op2_byte_gru(spark, sf_dir):
+    return langid.identify_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rank(spark, sf_dir):
     return quality_rank.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -108,6 +112,7 @@ def op10_line_rules(spark, sf_dir):
 
 QUERIES = {
     "op1_adaptive_scan": op1_adaptive_scan,
+    "op2_byte_gru": op2_byte_gru,
     "op3_quality_rank": op3_quality_rank,
     "op4_url_rules": op4_url_rules,
     "op5_secret_scan": op5_secret_scan,
