@@ -24,6 +24,7 @@ AROUND = 256
 CONTEXT = 48
 #: Marginal compressed bytes per character from which a candidate is reported, and its length.
 MIN_NOVELTY, MIN_LENGTH = 0.77, 20
+PART = 32
 
 # The base patterns (keywords in either case; lengths are checked afterwards).
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -65,9 +66,15 @@ def _packed(data: bytes) -> int:
 
 
 def novelty(before: str, candidate: str, after: str) -> float:
-    """Marginal compressed bytes of a candidate between its neighbours, per character."""
+    """Marginal compressed bytes of a candidate between its neighbours, per character.
+
+    Long candidates are measured in parts of about ``PART`` characters and averaged: beyond
+    that the compressor's entropy stage shrinks random text too, down to its alphabet."""
     near = (before[-AROUND:] + " " + after[:AROUND] + " ").encode("utf-8", "surrogatepass")
-    return (_packed(near + candidate.encode()) - _packed(near)) / len(candidate)
+    parts = max(1, len(candidate) // PART)
+    cuts = [len(candidate) * i // parts for i in range(parts + 1)]
+    alone = _packed(near)
+    return sum(_packed(near + candidate[a:b].encode()) - alone for a, b in zip(cuts, cuts[1:])) / len(candidate)
 
 
 def base_spans(text: str, data: bytes | None = None) -> list[tuple[str, int, int]]:
