@@ -11,7 +11,8 @@ from __future__ import annotations
 import argparse
 import time
 
-from .plans.jobs import Paths, drift_job, gauges_job, retrain_job, train_job
+from .plans.jobs import MODEL_NAME, Paths, drift_job, gauges_job, retrain_job, train_job
+from .streaming.scoring import PREDICTION_TOPIC, RAW_TOPIC
 
 
 def main(argv=None):
@@ -21,12 +22,15 @@ def main(argv=None):
     ap.add_argument("--raw", help="folder of raw JSON lines (file source)")
     ap.add_argument("--source", default="text", choices=["text", "json", "kafka"])
     ap.add_argument("--servers")
-    ap.add_argument("--topic", default="transactions_raw")
+    ap.add_argument("--topic", default=RAW_TOPIC)
     ap.add_argument("--kafka-out", action="store_true",
                     help="score: also publish prediction records to --predictions-topic")
-    ap.add_argument("--predictions-topic", default="fraud_predictions")
+    ap.add_argument("--predictions-topic", default=PREDICTION_TOPIC)
     ap.add_argument("--once", action="store_true", help="process what is available and stop")
     ap.add_argument("--no-retrain", action="store_true")
+    ap.add_argument("--preset", default="store", choices=["store", "online"],
+                    help="score: which consumer's features are scored")
+    ap.add_argument("--record", default="rich", choices=["rich", "short"])
     ap.add_argument("--every", type=float, default=0,
                     help="drift/gauges: run again every N seconds until interrupted (STR6)")
     a = ap.parse_args(argv)
@@ -54,6 +58,7 @@ def main(argv=None):
                 break
             time.sleep(a.every)
     else:
+        from .functions.features import PRESETS
         from .sources.raw import read_raw_stream
         from .streaming import (ChampionLoader, bronze_query, gold_query, scoring_query,
                                 silver_query)
@@ -69,12 +74,12 @@ def main(argv=None):
                 qs[1].awaitTermination()
             qs.append(gold_query(spark, f"{r}/silver", f"{r}/gold", f"{chk}/gold", trigger))
         else:
-            champ = ChampionLoader(spark, paths.runs, "fraud_model")
+            champ = ChampionLoader(spark, paths.runs, MODEL_NAME)
             kafka = ({"servers": a.servers, "topic": a.predictions_topic}
                      if a.kafka_out else None)
             qs = [scoring_query(raw, paths.features, paths.predictions, f"{r}/rejects",
                                 f"{chk}/scoring", champion=champ, trigger=trigger,
-                                kafka=kafka)]
+                                kafka=kafka, spec=PRESETS[a.preset], record=a.record)]
         if a.once:
             for q in qs:
                 q.awaitTermination()

@@ -28,7 +28,7 @@ class FeatureSpec:
     score_terms: tuple             # flags summed into risk_score
     score_type: str                # "int" or "double"
     hour_rule: str                 # "session", "text" or "iso"
-    null_card_present_flag: int    # is_card_not_present when card_present is NULL
+    null_card_present_flag: int | None  # is_card_not_present when card_present is NULL
     nan_is_high: bool              # Spark orders NaN above every number; Python's > says no
 
 
@@ -38,10 +38,10 @@ GOLD = FeatureSpec("gold", 3000.0, "lt6", "credit_card",
                    "int", "session", 0, True)
 STORE = FeatureSpec("store", 2000.0, "lt6_or_gt22", "high_and_cnp",
                     ("is_high_amount", "is_card_not_present", "is_night_tx"),
-                    "double", "text", 1, False)
+                    "double", "text", None, False)
 ONLINE = FeatureSpec("online", 2000.0, "lt6_or_gt22", "credit_card",
                      ("is_high_amount", "is_card_not_present", "is_night_tx", "is_risky_payment"),
-                     "double", "iso", 1, False)
+                     "double", "iso", None, False)
 PRESETS = {s.name: s for s in (GOLD, STORE, ONLINE)}
 
 # Simulator rule score and its tiers (score >= 2 -> expected fraud rate 0.8)
@@ -93,10 +93,9 @@ def _feature_columns(spec, amount, card_present, timestamp, payment_method) -> d
     hour = _hour(spec, timestamp)
     above = amount > F.lit(spec.high_threshold)
     high = flag(above if spec.nan_is_high else above & ~F.isnan(amount))
-    if spec.null_card_present_flag:
-        cnp = flag(~F.coalesce(card_present, F.lit(False)))
-    else:
-        cnp = flag(~card_present)
+    # without a value there is no flag (the consumers fail on a missing key), or a fixed one
+    cnp = F.when(card_present.isNull(), F.lit(spec.null_card_present_flag).cast("int")) \
+        .otherwise(flag(~card_present))
     night = _night(spec, hour)
     if spec.risky_rule == "credit_card":
         risky = flag(payment_method == F.lit("credit_card"))
@@ -128,9 +127,10 @@ def gold_features(silver: DataFrame) -> DataFrame:
     return silver.select(*out, *[cols[n].alias(n) for n in order])
 
 
-def store_features(tx: DataFrame) -> DataFrame:
-    """Feature-store record (10 keys) from a parsed transaction, preset ``store``."""
-    return tx.select(*_store_columns())
+def store_features(tx: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Feature-store record (10 keys) from a parsed transaction, preset ``store``, behind the
+    ``keep`` columns."""
+    return tx.select(*[F.col(c) for c in keep], *_store_columns())
 
 
 @cache

@@ -17,11 +17,6 @@ def flag(cond: Column) -> Column:
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def lenient_double(c: Column) -> Column:
-    """Numeric text or number -> DOUBLE, NULL when it is not a number (no ANSI error)."""
-    return c.try_cast("double")
-
-
 def pct_change(base: Column, recent: Column) -> Column:
     """(recent - base) / base * 100, and 0.0 where the base is 0 (guarded: ANSI division by
     zero would raise)."""
@@ -34,6 +29,8 @@ def hour_from_text(ts_text: Column) -> Column:
     return F.substring(ts_text, 12, 2).try_cast("int")
 
 
+# Fixed value: an ISO text that names at least a day
+ISO_DAY = r"^\d{4}-\d{2}-\d{2}([T ]|$)"
 # Fixed value: a trailing UTC offset after an ISO date-time ("Z", "+05:30", "-0800", "+01")
 ISO_OFFSET = r"^(\d{4}-\d{2}-\d{2}[T ][0-9:.]+)(Z|z|[+-]\d{2}(:?\d{2})?)$"
 
@@ -41,9 +38,10 @@ ISO_OFFSET = r"^(\d{4}-\d{2}-\d{2}[T ][0-9:.]+)(Z|z|[+-]\d{2}(:?\d{2})?)$"
 def hour_iso_wallclock(ts_text: Column) -> Column:
     """Hour of an ISO-8601 text in the text's own offset (its wall clock): the offset is
     stripped and the rest parsed, so "...T03:04:05+05:30" gives 3 and a date alone gives 0.
-    NULL when the text does not parse as a timestamp."""
+    NULL when the text does not parse as a timestamp or names no day ("2026-04", "12:30:00")."""
     local = F.regexp_replace(ts_text, ISO_OFFSET, "$1")
-    return F.when(F.try_to_timestamp(ts_text).isNotNull(), F.hour(F.try_to_timestamp(local)))
+    whole = ts_text.rlike(ISO_DAY) & F.try_to_timestamp(ts_text).isNotNull()
+    return F.when(whole, F.hour(F.try_to_timestamp(local)))
 
 
 def hour_session(ts_text: Column) -> Column:

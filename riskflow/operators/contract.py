@@ -21,23 +21,39 @@ _SCHEMAS = {"features": FEATURES, "model": MODEL_INPUT}
 
 
 def _typed(df: DataFrame, schema) -> list:
-    """Per contract field: the column converted to the contract type (``try_cast``, so
-    numeric text passes and anything else is NULL), or NULL when the field is absent."""
+    """Per contract field: the column in the contract type, or NULL when the field is absent
+    or its value is not of that type (the rules differ, see ``_typed_column``)."""
     name = "features" if schema is FEATURES else "model"
-    present = frozenset(c for c in df.columns if c in {f.name for f in schema.fields})
-    return list(_typed_columns(name, present))
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    return list(_typed_columns(name, tuple(kinds.get(f.name, "") for f in schema.fields)))
 
 
 @cache
-def _typed_columns(schema_name: str, have: frozenset) -> tuple:
-    schema = _SCHEMAS[schema_name]
-    out = []
-    for f in schema.fields:
-        if f.name in have:
-            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return tuple(out)
+def _typed_columns(schema_name: str, kinds: tuple) -> tuple:
+    return tuple(_typed_column(schema_name, f, kind).alias(f.name)
+                 for f, kind in zip(_SCHEMAS[schema_name].fields, kinds))
+
+
+# Spark types that hold what the checks call an integer or a float
+_INTEGERS, _FLOATS = ("byte", "short", "integer", "long"), ("float", "double")
+
+
+def _typed_column(schema_name: str, f, kind: str) -> Column:
+    """The feature contract is strict: an int field takes integers (and booleans, which are
+    integers there), a float field floats, a text field text; nothing is converted. The
+    request schema of the scorer converts: numbers and numeric text, but no fractional value
+    for an int field."""
+    c, wanted = F.col(f.name), f.dataType.typeName()
+    nothing = F.lit(None).cast(f.dataType)
+    if not kind:
+        return nothing
+    if schema_name == "features":
+        fits = {"integer": (*_INTEGERS, "boolean"), "double": _FLOATS}.get(wanted, (wanted,))
+        return c.try_cast(f.dataType) if kind in fits else nothing
+    if wanted == "integer" and kind not in (*_INTEGERS, "boolean"):
+        number = c.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    return c.try_cast(f.dataType)
 
 
 def passes(keys) -> Column:

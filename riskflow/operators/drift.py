@@ -54,14 +54,9 @@ def _flat(log: DataFrame, order=ORDER) -> DataFrame:
 
 def _materialized(flat: DataFrame, materialize: bool) -> DataFrame:
     """The selection reads the log several times. A stored log is re-read cheaply (two
-    pruned columns, ranges pushed down); a computed one (``materialize=True``) is written once
-    as parquet to the shared checkpoint folder and read back, which also cuts its lineage."""
-    from ..session import scratch_path
-    if not materialize:
-        return flat
-    path = scratch_path(flat.sparkSession, "drift_log")
-    flat.write.parquet(path)
-    return flat.sparkSession.read.parquet(path)
+    pruned columns, ranges pushed down); a computed one (``materialize=True``) is checkpointed
+    once in its flat form (Spark removes it when the report is no longer referenced)."""
+    return flat.checkpoint(eager=True) if materialize else flat
 
 
 def baseline_count(n: int, fraction: float = BASELINE_FRACTION) -> int:
@@ -93,9 +88,14 @@ def labelled_log(log: DataFrame, fraction: float = BASELINE_FRACTION, min_rows:
     return label_first_k(flat, cut, "is_baseline", "_w"), n
 
 
-def _wavg(x, cond):
+def _mean(x):
+    """Weighted mean of the values that are not NULL."""
     w = F.col("_w")
-    return F.coalesce(F.sum(F.when(cond, x * w)) / F.sum(F.when(cond, w)), F.lit(0.0))
+    return F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))
+
+
+def _wavg(x, cond):
+    return F.coalesce(_mean(F.when(cond, x)), F.lit(0.0))
 
 
 def segment_summaries(log: DataFrame, fraction: float = BASELINE_FRACTION,
@@ -111,7 +111,7 @@ def segment_summaries(log: DataFrame, fraction: float = BASELINE_FRACTION,
     w = F.col("_w")
     out = lab.groupBy(seg.alias("segment")).agg(
         F.sum(w).alias("count"),
-        *[(F.sum(F.col(m) * w) / F.sum(w)).alias(m) for m, _ in METRICS])
+        *[_mean(F.col(m)).alias(m) for m, _ in METRICS])
     if digits is not None:
         out = out.select("segment", "count", *[F.round(m, digits).alias(m) for m, _ in METRICS])
     return out.select(*cols)

@@ -8,7 +8,7 @@ metrics per group (e.g. per day) in the same pass.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordered import running_sum
@@ -19,30 +19,19 @@ def _is_pos(label: Column) -> Column:
     return label > 0.5
 
 
-SMALL_DISTINCT = 100_000
-
-
 def auc_exact(df: DataFrame, label_col: str = "label", score_col: str = "score",
-              num_buckets: int = 1024, materialize: bool = True,
-              small_distinct: int = SMALL_DISTINCT) -> DataFrame:
+              num_buckets: int = 1024, materialize: bool = True) -> DataFrame:
     """One row ``auc``: area under the ROC curve with ties counted half (Mann-Whitney),
-    exact (the ML evaluator bins thresholds). NULL when one class is absent."""
+    exact (the ML evaluator bins thresholds). NULL when one class is absent. ``materialize``
+    writes the distinct scores to the checkpoint folder, as the prefix sums read them twice."""
     lab, sc = F.col(label_col), F.col(score_col)
     g = (df.filter(lab.isNotNull() & sc.isNotNull())
          .groupBy(sc.alias("_s"))
          .agg(F.sum(F.when(_is_pos(lab), 1).otherwise(0)).cast("bigint").alias("pos"),
               F.sum(F.when(_is_pos(lab), 0).otherwise(1)).cast("bigint").alias("neg")))
     if materialize:
-        # reused by the size check and the prefix pass: cut lineage in the shared folder
-        g = g.checkpoint(eager=True)
-        if g.count() <= small_distinct:
-            # checked size: one bounded window over the distinct scores
-            w = Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-            pref = g.withColumn("neg_before", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-        else:
-            pref = running_sum(g, "_s", ["neg"], num_buckets=num_buckets)
-    else:
-        pref = running_sum(g, "_s", ["neg"], num_buckets=num_buckets)
+        g = g.checkpoint(eager=False)  # written by the quantile pass, read by the sums
+    pref = running_sum(g, "_s", ["neg"], num_buckets=num_buckets)
     out = pref.agg(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5))
                    .alias("_num"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     return out.select(F.when((F.col("_p") > 0) & (F.col("_n") > 0),

@@ -80,6 +80,12 @@ class Cut:
     identical: bool = False
 
 
+def _quotient(offset: Column, width: int) -> Column:
+    """offset div width in integers (a double quotient is inexact beyond 2^53)."""
+    return ((offset - F.pmod(offset, F.lit(width).cast("bigint"))).cast("decimal(20,0)")
+            / F.lit(width).cast("decimal(20,0)")).cast("bigint")
+
+
 def _refine_numeric(df, key: Column, scope: Column, lo: int, hi: int, r: int, cnt: int,
                     fanout: int, exact_limit: int, wide: bool, pushable=None):
     """Narrow [lo, hi] of ``key`` (within ``scope``) to the bucket holding rank r.
@@ -91,7 +97,7 @@ def _refine_numeric(df, key: Column, scope: Column, lo: int, hi: int, r: int, cn
             off = key.cast("decimal(21,0)") - F.lit(lo).cast("decimal(21,0)")
             bucket = F.floor(off / F.lit(width).cast("decimal(21,0)")).cast("bigint")
         else:
-            bucket = F.floor((key - F.lit(lo)) / F.lit(width)).cast("bigint")
+            bucket = _quotient(key - F.lit(lo), width)
         rng = key.between(lo, hi)
         if pushable is not None:
             rng = pushable(lo, hi) & rng

@@ -80,62 +80,80 @@ def flatten_valid(parsed: DataFrame, keep: tuple = ()) -> DataFrame:
     return parsed.filter(is_valid()).select(*[F.col(c) for c in keep], *transaction_fields())
 
 
+VARIANT = "_variant"
+
+
+def _value(name: str) -> Column:
+    """A top-level value of the text as VARIANT; SQL NULL when the key is absent."""
+    return F.try_variant_get(F.col(VARIANT), f"$.{name}", "variant")
+
+
+def _text_of(name: str) -> Column:
+    return F.try_variant_get(F.col(VARIANT), f"$.{name}", "string")
+
+
+def _kind(name: str) -> Column:
+    return F.schema_of_variant(_value(name))
+
+
 @cache
-def lenient_amount(text_col: str = "json_str") -> Column:
+def lenient_amount() -> Column:
     """The amount as the feature-store consumer reads it (FN10): a JSON number, or text that
-    holds a number ("12.5"); NULL otherwise. The raw text is read again only for rows whose
-    amount did not parse as a number."""
+    holds a number ("12.5"); NULL otherwise."""
     typed = _field("amount")
-    return F.when(typed.isNotNull(), typed).otherwise(
-        F.get_json_object(F.col(text_col), "$.amount").try_cast("double"))
-
-
-# The raw JSON token of a top-level key (a quoted string or a bare word/number)
-CARD_PRESENT_TOKEN = r'"card_present"\s*:\s*("(?:[^"\\]|\\.)*"|[^,}\s\]]+)'
-IS_FRAUD_TOKEN = r'"is_fraud"\s*:\s*("(?:[^"\\]|\\.)*"|[^,}\s\]]+)'
+    return F.when(typed.isNotNull(), typed).when(_kind("amount") == "STRING", _text_of("amount").try_cast("double"))
 
 
 @cache
-def bool_as_int_is_fraud(text_col: str = "json_str") -> Column:
+def bool_as_int_is_fraud() -> Column:
     """``is_fraud`` as the feature store accepts it: an integer, or a JSON boolean as 1 / 0
-    (a Python ``bool`` is an ``int``); floats and strings stay NULL (contract violation). The
-    raw text is read again only when the typed value is NULL."""
+    (a Python ``bool`` is an ``int``); floats and strings stay NULL (contract violation)."""
     typed = _field("is_fraud")
-    tok = F.regexp_extract(F.col(text_col), IS_FRAUD_TOKEN, 1)
-    return F.when(typed.isNotNull(), typed).otherwise(
-        F.when(tok == "true", F.lit(1)).when(tok == "false", F.lit(0)))
+    return F.when(typed.isNotNull(), typed).when(
+        _kind("is_fraud") == "BOOLEAN", F.try_variant_get(F.col(VARIANT), "$.is_fraud", "boolean").cast("int"))
 
 
 @cache
-def truthy_card_present(text_col: str = "json_str") -> Column:
-    """``card_present`` with Python truthiness, as the consumers evaluate it: a JSON boolean
-    as is; a string is true unless empty; a number is true unless zero; JSON null (or a
-    missing key) stays NULL. The raw text is read again only when the typed value is NULL."""
-    typed = _field("card_present")
-    tok = F.regexp_extract(F.col(text_col), CARD_PRESENT_TOKEN, 1)
-    truthy = (F.when(tok.startswith('"'), tok != F.lit('""'))
-              .when(tok.rlike(r"^-?[0-9.]"), tok.try_cast("double") != 0))
-    return F.when(typed.isNotNull(), typed).otherwise(truthy)
+def truthy_card_present() -> Column:
+    """``card_present`` with Python truthiness, as the consumers evaluate it: false, null, 0,
+    an empty string, object or array are not present; everything else is. NULL only when the
+    text has no such key."""
+    kind = _kind("card_present")
+    shown = F.to_json(_value("card_present"))
+    return (F.when(_value("card_present").isNull(), F.lit(None).cast("boolean"))
+            .when(kind == "VOID", F.lit(False))
+            .when(kind == "BOOLEAN", shown == "true")
+            .when(kind == "STRING", shown != '""')
+            .when(kind.startswith("OBJECT"), shown != "{}")
+            .when(kind.startswith("ARRAY"), shown != "[]")
+            .otherwise(shown.try_cast("double") != 0))
 
 
 def consumer_fields(parsed: DataFrame, keep: tuple = (), text_col: str = "json_str"):
     """Every parsed row as transaction fields, with ``card_present`` under Python truthiness,
-    plus ``amount_lenient`` and ``is_fraud_lenient`` for the feature store (see
-    :func:`lenient_amount`, :func:`bool_as_int_is_fraud`): what the consumers see, since they
-    read raw events."""
-    fields = [truthy_card_present(text_col).alias("card_present") if f.name == "card_present"
+    plus what the feature store reads differently (``amount_lenient``, ``is_fraud_lenient``,
+    and ``id_strict``, ``timestamp_strict``: NULL unless the text holds a JSON string): what
+    the consumers see, since they read raw events. The text is parsed once more, into a
+    VARIANT that all these values come from (behind a generator, as in ``parse_raw``)."""
+    fields = [truthy_card_present().alias("card_present") if f.name == "card_present"
               else _field(f.name).alias(f.name) for f in TRANSACTION.fields]
-    return parsed.select(*[F.col(c) for c in keep], *fields,
-                         lenient_amount(text_col).alias("amount_lenient"),
-                         bool_as_int_is_fraud(text_col).alias("is_fraud_lenient"))
+    strict = {c: F.when(_kind(c) == "STRING", _field(c)) for c in ("transaction_id", "timestamp")}
+    variant = F.explode(F.array(F.try_parse_json(F.col(text_col)))).alias(VARIANT)
+    return parsed.select("*", variant).select(
+        *[F.col(c) for c in keep], *fields, lenient_amount().alias("amount_lenient"),
+        bool_as_int_is_fraud().alias("is_fraud_lenient"), strict["transaction_id"].alias("id_strict"),
+        strict["timestamp"].alias("timestamp_strict"))
+
+
+CONSUMER_ONLY = ("amount_lenient", "is_fraud_lenient", "id_strict", "timestamp_strict")
 
 
 def store_view(fields: DataFrame) -> DataFrame:
-    """Consumer fields with the feature store's lenient amount and is_fraud in place of the
-    typed ones."""
+    """Consumer fields as the feature store reads them, in place of the typed ones."""
     return (fields.withColumn("amount", F.col("amount_lenient"))
             .withColumn("is_fraud", F.col("is_fraud_lenient"))
-            .drop("amount_lenient", "is_fraud_lenient"))
+            .withColumn("transaction_id", F.col("id_strict"))
+            .withColumn("timestamp", F.col("timestamp_strict")).drop(*CONSUMER_ONLY))
 
 
 @cache

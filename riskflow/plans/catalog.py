@@ -7,10 +7,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.features import (gold_features, online_features, rule_score, rule_tier,
+from ..functions.features import (ONLINE, gold_features, online_features, rule_score, rule_tier,
                                   rule_tier_rate, store_features)
 from ..operators import contract, drift, metrics, registry, scoring, silver, training
-from ..schemas import MODEL_FEATURES, TRANSACTION
+from ..schemas import MODEL_FEATURES, MODEL_RUNS, TRANSACTION
+from ..session import remove_path, scratch_path
+from ..sources.raw import bronze_projection, read_raw, read_raw_stream
+from ..sources.tables import read_features
+from ..streaming.medallion import COMMITS, bronze_query, commits_path, gold_query, silver_query
+from ..streaming.scoring import ChampionLoader, scoring_query
+from ..streaming.sinks import batch_folder
 from . import derived as D
 
 
@@ -43,10 +49,10 @@ def silver_valid(spark, sf_dir):
 
 
 def silver_quarantine_reasons(spark, sf_dir):
-    """FLT2, PRJ4: rejected rows with their reasons."""
+    """FLT2, PRJ4: rejected rows with their text and reasons."""
     q = silver.quarantine(D.parsed(spark, sf_dir), keep=("data",))
     return q.select(F.col("data.transaction_id").alias("transaction_id"),
-                    _reasons_text(F.col("reasons")).alias("reasons"))
+                    _reasons_text(F.col("reasons")).alias("reasons"), "json_str")
 
 
 def silver_partition_counts(spark, sf_dir):
@@ -165,30 +171,63 @@ def eval_accuracy(spark, sf_dir):
 
 # --- drift -------------------------------------------------------------------------------
 
+#: Rows that the cut ranks at last: small, so that the range passes run at every size.
+CUT_ROWS = 256
+_CUT = {"materialize": True, "exact_limit": CUT_ROWS}
+#: A threshold that several metrics exceed in the derived log (the default is 10 %).
+LOW_THRESHOLD_PCT = 1.0
+
+
 def drift_segments(spark, sf_dir):
     """WIN1, AGG1-AGG3, FN14: 70/30 positional split of the log and the segment summaries."""
-    return drift.segment_summaries(D.scored_log(spark, sf_dir), materialize=True)
+    return drift.segment_summaries(D.scored_log(spark, sf_dir), **_CUT)
 
 
 def drift_report(spark, sf_dir):
-    """DRF1, DRF2, FN11-FN13, FN20, FN21, LIM2."""
-    return drift.drift_report(D.scored_log(spark, sf_dir), materialize=True)
+    """DRF1, DRF2, FN11-FN13, FN20, FN21."""
+    return drift.drift_report(D.scored_log(spark, sf_dir), **_CUT)
 
 
 def drift_gauges(spark, sf_dir):
     """DRF3, AGG4: gauge values (pct change published to 6 digits here)."""
-    return drift.drift_gauges(D.scored_log(spark, sf_dir), digits=6, materialize=True)
+    return drift.drift_gauges(D.scored_log(spark, sf_dir), digits=6, **_CUT)
 
 
 def drift_alerts(spark, sf_dir):
     """DRF5: only the drifted metrics."""
-    return drift.drift_alerts(drift.drift_report(D.scored_log(spark, sf_dir), materialize=True))
+    return drift.drift_alerts(drift_report(spark, sf_dir))
 
 
 def retrain_decision(spark, sf_dir):
     """DRF4, AGG8: retrain when risk score or amount drifted."""
-    return drift.retrain_decision(drift.drift_report(D.scored_log(spark, sf_dir),
-                                                       materialize=True))
+    return drift.retrain_decision(drift_report(spark, sf_dir))
+
+
+def _low_report(spark, sf_dir):
+    return drift.drift_report(D.scored_log(spark, sf_dir), threshold=LOW_THRESHOLD_PCT, **_CUT)
+
+
+def drift_alerts_1pct(spark, sf_dir):
+    """DRF5, FN12 with metrics that drift."""
+    return drift.drift_alerts(_low_report(spark, sf_dir))
+
+
+def retrain_decision_1pct(spark, sf_dir):
+    """DRF4, AGG8 with metrics that drift."""
+    return drift.retrain_decision(_low_report(spark, sf_dir))
+
+
+def drift_gauges_1pct(spark, sf_dir):
+    """DRF3, SNK11 with flags that are set."""
+    return drift.drift_gauges(D.scored_log(spark, sf_dir), digits=6, threshold=LOW_THRESHOLD_PCT, **_CUT)
+
+
+def drift_min_rows(spark, sf_dir):
+    """LIM2: a log below the least number of rows has an empty report, not an error."""
+    log = D.scored_log(spark, sf_dir)
+    report = drift.drift_report(log, min_rows=10 ** 15, **_CUT)
+    return log.agg(F.count(F.lit(1)).alias("log_rows")).crossJoin(
+        report.agg(F.count(F.lit(1)).alias("report_rows")))
 
 
 # --- registry ----------------------------------------------------------------------------
@@ -209,7 +248,7 @@ def current_champion(spark, sf_dir):
 
 def drift_gauge_rows(spark, sf_dir):
     """SNK11: the gauge table rows (metric, value) a refresh appends (time column left out)."""
-    g = drift.gauge_rows(drift.drift_gauges(D.scored_log(spark, sf_dir), materialize=True))
+    g = drift.gauge_rows(drift.drift_gauges(D.scored_log(spark, sf_dir), **_CUT))
     return g.select("metric", F.round("value", 6).alias("value"))
 
 
@@ -222,36 +261,80 @@ def latest_version(spark, sf_dir):
     return registry.latest_version(weekly)
 
 
+def registry_cycle(spark, sf_dir):
+    """REG1-REG5, SRC10, SNK10, FLT7: runs written to the runs table, one more registered, and
+    read back: the newest version of that run, the next version and the champion."""
+    root = scratch_path(spark, "registry_cycle")
+    path = f"{root}/runs"
+    daily = D.daily_runs(spark, sf_dir)
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in daily.columns
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in MODEL_RUNS.fields]
+    daily.select(*cols).write.parquet(path)
+    f1 = metrics.weighted_f1(_eval_frame(spark, sf_dir)).first()["f1"]
+    registry.register_run(spark, path, D.MODEL_NAME, "run-all", {"f1_score": f1},
+                          registry.run_params(MODEL_FEATURES), None, candidate=True)
+    runs = registry.read_runs(spark, path)
+    champion = registry.current_champion(runs).select(
+        F.col("version").alias("champion_version"), F.col("run_id").alias("champion_run"), "model_name")
+    newest = registry.latest_version(runs, run_id="run-all")
+    out = newest.join(champion, "model_name").select(
+        "run_id", "latest_version", F.lit(registry.next_version(runs, D.MODEL_NAME)).alias("next_version"),
+        "champion_version", "champion_run")
+    return _kept(spark, out, root)
+
+
+def store_training_frame(spark, sf_dir):
+    """SRC6, SRC7: the training frame read from a stored feature table."""
+    root = scratch_path(spark, "store_training_frame")
+    D.feature_store(spark, sf_dir).write.parquet(f"{root}/features")
+    tf = training.training_frame(read_features(spark, f"{root}/features"), keep=("transaction_id",))
+    return _kept(spark, tf, root)
+
+
+def _kept(spark, df, root):
+    """``df`` in the checkpoint folder, after which the scratch tables it was read from go."""
+    out = df.checkpoint(eager=True)
+    remove_path(spark, root)
+    return out
+
+
 # --- model (Spark ML) --------------------------------------------------------------------
 
 def _fit(spark, sf_dir):
-    tf = training.training_frame(D.feature_store(spark, sf_dir), keep=("transaction_id",))
+    # the labelled rows are derived once: the forest reads its input several times (metadata,
+    # split candidates, bagging), and the held-out side is read again
+    tf = training.training_frame(D.feature_store(spark, sf_dir), keep=("transaction_id",)) \
+        .checkpoint(eager=True)
     train, test = training.hash_split(tf)
-    # the forest reads its input several times (metadata, split candidates, bagging)
-    train = train.drop("transaction_id").persist()
-    try:
-        model = training.fit_model(train)
-    finally:
-        train.unpersist()
-    return model, test
+    return training.fit_model(train.drop("transaction_id")), train, test
 
 
 def scored_sample(spark, sf_dir):
-    """LIM1, ML1-ML4, PRJ19, FN18, FN19: 20 scored held-out rows."""
-    model, test = _fit(spark, sf_dir)
-    return training.scored_sample(model, test)
+    """LIM1, ML1-ML4, PRJ19, FN18, FN19: 20 scored held-out rows. Of the forest's answers, what
+    any forest must satisfy is returned."""
+    model, _, test = _fit(spark, sf_dir)
+    p = F.col("probability")
+    return training.scored_sample(model, test).select(
+        "transaction_id", "label", "amount", "risk_score",
+        (F.abs(p[0] + p[1] - 1) < 1e-9).alias("probabilities_sum_to_1"),
+        (F.col("prediction") == F.when(p[1] > p[0], 1).otherwise(0)).alias("prediction_follows"))
 
 
 def rf_metrics(spark, sf_dir):
-    """ML1-ML5, REG1, REG2, FN22: fit the forest, evaluate on the held-out split."""
-    model, test = _fit(spark, sf_dir)
-    m = training.evaluate(model, test)
+    """ML1-ML5, REG1, REG2, FN22: fit the forest, evaluate on the held-out split; F1 and
+    accuracy are held against Spark ML's evaluators."""
+    model, train, test = _fit(spark, sf_dir)
+    m, check = training.evaluate(model, test), metrics.evaluator_metrics(model.transform(test))
     params = registry.run_params(MODEL_FEATURES)
-    return spark.createDataFrame(
-        [(m["auc"], m["f1_score"], m["accuracy"], params["num_trees"], params["max_depth"],
-          params["feature_cols"])],
-        "auc double, f1_score double, accuracy double, num_trees string, max_depth string, "
-        "feature_cols string")
+
+    def side(df, name):
+        return df.agg(F.count(F.lit(1)).alias(f"{name}_rows"), F.sum("label").alias(f"{name}_positives"))
+
+    same = {k: abs(m[v] - check[v]) < 1e-9 for k, v in (("f1", "f1_score"), ("accuracy", "accuracy"))}
+    return side(train, "train").crossJoin(side(test, "test")).select(
+        "*", *[F.lit(params[k]).alias(k) for k in ("num_trees", "max_depth", "feature_cols")],
+        F.lit(same["f1"]).alias("f1_is_evaluators"), F.lit(same["accuracy"]).alias("accuracy_is_evaluators"),
+        F.lit(0.0 <= m["auc"] <= 1.0).alias("auc_in_range"))
 
 
 QUERIES = {
@@ -283,75 +366,162 @@ QUERIES = {
     "drift_gauge_rows": drift_gauge_rows,
     "scored_sample": scored_sample,
     "rf_metrics": rf_metrics,
+    "drift_alerts_1pct": drift_alerts_1pct,
+    "retrain_decision_1pct": retrain_decision_1pct,
+    "drift_gauges_1pct": drift_gauges_1pct,
+    "drift_min_rows": drift_min_rows,
+    "registry_cycle": registry_cycle,
+    "store_training_frame": store_training_frame,
 }
 
 
 # --- streams (availableNow runs over files in the shared checkpoint folder) --------------
 
-def _publish_bronze(spark, sf_dir, root, files: int = 4):
-    """Producer side (SNK13): raw text written as bronze JSON lines, a few files so the
-    streams see several micro-batches."""
-    path = f"{root}/bronze"
-    D.raw(spark, sf_dir).select("json_str").repartition(files).write.json(path)
+#: Bound of a micro-batch of the registered streams.
+BATCH_BYTES = 8 << 30
+_NOW = {"availableNow": True}
+
+
+def _publish_bronze(spark, sf_dir, root, condition=None, name="bronze"):
+    """Producer side (SNK13): raw text written as bronze JSON lines, by the scan's partitions."""
+    path = f"{root}/{name}"
+    rows = D.raw(spark, sf_dir)
+    (rows if condition is None else rows.where(condition)).select("json_str").write \
+        .option("ignoreNullFields", "false").json(path)
     return path
 
 
-def _run_silver(spark, sf_dir, root):
-    from ..streaming.medallion import silver_query
-    bronze = _publish_bronze(spark, sf_dir, root)
-    q = silver_query(spark, bronze, f"{root}/silver", f"{root}/quarantine",
-                     f"{root}/_chk/silver", trigger={"availableNow": True},
-                     max_files_per_trigger=1)
-    q.awaitTermination()
-    return f"{root}/silver"
+def _run_silver(spark, sf_dir, root, condition=None, name=""):
+    bronze = _publish_bronze(spark, sf_dir, root, condition, f"bronze{name}")
+    silver_query(spark, bronze, f"{root}/silver", f"{root}/quarantine", f"{root}/_chk/silver{name}",
+                 trigger=_NOW, max_bytes_per_trigger=BATCH_BYTES).awaitTermination()
+
+
+def _silver_rows(spark, root):
+    df = spark.read.schema(TRANSACTION).option("recursiveFileLookup", "true").parquet(f"{root}/silver")
+    return _kept(spark, _flat_location(df), root)
 
 
 def stream_silver(spark, sf_dir):
-    """SRC4, SNK2, SNK3, STR1-STR5: bronze files -> silver stream (one parse per batch)."""
-    from ..session import scratch_path
+    """SRC4, SNK2, STR1-STR5: bronze files -> silver stream (one parse per batch)."""
     root = scratch_path(spark, "stream_silver")
-    path = _run_silver(spark, sf_dir, root)
-    df = spark.read.schema(TRANSACTION).option("recursiveFileLookup", "true").parquet(path)
-    return _flat_location(df)
+    _run_silver(spark, sf_dir, root)
+    return _silver_rows(spark, root)
+
+
+def stream_two_writers(spark, sf_dir):
+    """SNK2, STR7: two queries with checkpoints of their own write one table; both number
+    their batches from 0."""
+    root = scratch_path(spark, "stream_two_writers")
+    _run_silver(spark, sf_dir, root, F.col("event_id") % 2 == 0, "_a")
+    _run_silver(spark, sf_dir, root, F.col("event_id") % 2 != 0, "_b")
+    return _silver_rows(spark, root)
+
+
+def stream_quarantine(spark, sf_dir):
+    """SNK3: the silver stream's quarantine, with the text."""
+    root = scratch_path(spark, "stream_quarantine")
+    _run_silver(spark, sf_dir, root)
+    q = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/quarantine")
+    parsed = silver.parse_raw(q)
+    return _kept(spark, parsed.select(F.col("data.transaction_id").alias("transaction_id"),
+                                      _reasons_text(F.col("reasons")).alias("reasons"), "json_str"), root)
+
+
+def stream_bronze(spark, sf_dir):
+    """SRC1-SRC3's projection, PRJ1, SNK1: message bytes -> text -> bronze file sink."""
+    root = scratch_path(spark, "stream_bronze")
+    D.raw(spark, sf_dir).select(F.encode("json_str", "UTF-8").alias("value")).write.parquet(f"{root}/topic")
+    topic = spark.readStream.schema("value binary").parquet(f"{root}/topic")
+    bronze_query(bronze_projection(topic), f"{root}/bronze", f"{root}/_chk", trigger=_NOW).awaitTermination()
+    return _kept(spark, read_raw(spark, "json", f"{root}/bronze"), root)
+
+
+def _run_gold(spark, root):
+    gold_query(spark, f"{root}/silver", f"{root}/gold", f"{root}/_chk/gold", trigger=_NOW).awaitTermination()
+
+
+def _gold_rows(spark, root):
+    g = spark.read.parquet(f"{root}/gold").drop("query_id", "batch_id")
+    return _kept(spark, g.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), root)
 
 
 def stream_gold(spark, sf_dir):
-    """SRC5, SNK4: silver files -> gold stream (file sink with its commit log)."""
-    from ..session import scratch_path
-    from ..streaming.medallion import gold_query
+    """SRC5, SNK4: committed silver batches -> gold stream."""
     root = scratch_path(spark, "stream_gold")
-    silver_path = _run_silver(spark, sf_dir, root)
-    q = gold_query(spark, silver_path, f"{root}/gold", f"{root}/_chk/gold",
-                   trigger={"availableNow": True})
-    q.awaitTermination()
-    g = spark.read.parquet(f"{root}/gold").drop("event_date")
-    return g.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    _run_silver(spark, sf_dir, root)
+    _run_gold(spark, root)
+    return _gold_rows(spark, root)
+
+
+def stream_gold_replay(spark, sf_dir):
+    """STR5, STR7: a silver batch whose files are there but not its commit (the writer died
+    just before) is not gold's yet; its replay brings it there once."""
+    root = scratch_path(spark, "stream_gold_replay")
+    _run_silver(spark, sf_dir, root)
+    marks = spark.read.schema(COMMITS).option("recursiveFileLookup", "true").json(commits_path(f"{root}/silver"))
+    for r in marks.collect():  # a row per micro-batch
+        remove_path(spark, batch_folder(commits_path(f"{root}/silver"), r["query_id"], r["batch_id"]))
+        remove_path(spark, batch_folder(f"{root}/silver", r["query_id"], r["batch_id"]) + "/_SUCCESS")
+        remove_path(spark, f"{root}/_chk/silver/commits/{r['batch_id']}")
+        remove_path(spark, f"{root}/_chk/silver/commits/.{r['batch_id']}.crc")
+    _run_gold(spark, root)
+    silver_query(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/_chk/silver",
+                 trigger=_NOW, max_bytes_per_trigger=BATCH_BYTES).awaitTermination()
+    _run_gold(spark, root)
+    return _gold_rows(spark, root)
+
+
+def _run_scoring(spark, sf_dir, root, **options):
+    bronze = _publish_bronze(spark, sf_dir, root)
+    raw = read_raw_stream(spark, "json", bronze, maxBytesPerTrigger=BATCH_BYTES)
+    scoring_query(raw, f"{root}/features", f"{root}/predictions", f"{root}/rejects",
+                  f"{root}/_chk/scoring", trigger=_NOW, **options).awaitTermination()
 
 
 def stream_scored(spark, sf_dir):
-    """SRC2/SRC3 (file source), ML7, SNK7, SNK8, STR6, STR7: raw stream -> features ->
-    contract -> score -> feature store + prediction log + rejects."""
-    from ..session import scratch_path
-    from ..sources.raw import read_raw_stream
-    from ..streaming.scoring import scoring_query
+    """SRC2/SRC3 (file source), ML7, SNK8, STR6, STR7: the second consumer: raw stream ->
+    online features -> input check -> score -> rich prediction log."""
     root = scratch_path(spark, "stream_scored")
-    bronze = _publish_bronze(spark, sf_dir, root)
-    raw = read_raw_stream(spark, "json", bronze, max_files_per_trigger=1)
-    q = scoring_query(raw, f"{root}/features", f"{root}/predictions", f"{root}/rejects",
-                      f"{root}/_chk/scoring", trigger={"availableNow": True})
-    q.awaitTermination()
+    _run_scoring(spark, sf_dir, root, spec=ONLINE)
     log = spark.read.parquet(f"{root}/predictions")
-    return log.select(
+    return _kept(spark, log.select(
         "model_run_id", "transaction_id",
         F.col("transaction.user_id").alias("user_id"),
         F.col("transaction.payment_method").alias("payment_method"),
         F.col("transaction.card_present").alias("card_present"),
         *[F.col(f"features.{c}").alias(c) for c in MODEL_FEATURES],
-        *[F.col(f"prediction.{c}").alias(c) for c in scoring.SCORE_COLS])
+        *[F.col(f"prediction.{c}").alias(c) for c in scoring.SCORE_COLS]), root)
+
+
+def stream_scored_store(spark, sf_dir):
+    """ML7, SNK5/SNK6's record: the first consumer: raw stream -> store features -> contract ->
+    score on those features -> short record."""
+    root = scratch_path(spark, "stream_scored_store")
+    _run_scoring(spark, sf_dir, root, record="short")
+    log = spark.read.parquet(f"{root}/predictions")
+    return _kept(spark, log.select(
+        "transaction_id", *[F.col(f"features.{c}").alias(c) for c in MODEL_FEATURES],
+        *[F.col(f"prediction.{c}").alias(c) for c in scoring.SCORE_COLS]), root)
+
+
+def stream_features(spark, sf_dir):
+    """SNK7: the feature store that the scoring stream writes."""
+    root = scratch_path(spark, "stream_features")
+    _run_scoring(spark, sf_dir, root)
+    rows = read_features(spark, f"{root}/features").select(*contract.FEATURE_KEYS)
+    return _kept(spark, rows, root)
+
+
+def stream_rejects(spark, sf_dir):
+    """FLT4, FLT6: rejects keep the text; without a champion every scorable row is there too."""
+    root = scratch_path(spark, "stream_rejects")
+    _run_scoring(spark, sf_dir, root, champion=ChampionLoader(spark, f"{root}/runs", D.MODEL_NAME))
+    r = spark.read.parquet(f"{root}/rejects")
+    return _kept(spark, r.select("transaction_id", "stage", _reasons_text(F.col("violations")).alias("violations"),
+                                 "json_str"), root)
 
 
-QUERIES.update({
-    "stream_silver": stream_silver,
-    "stream_gold": stream_gold,
-    "stream_scored": stream_scored,
-})
+QUERIES.update({f.__name__: f for f in (
+    stream_silver, stream_two_writers, stream_quarantine, stream_bronze, stream_gold, stream_gold_replay,
+    stream_scored, stream_scored_store, stream_features, stream_rejects)})

@@ -15,16 +15,14 @@ from ..schemas import TRANSACTION
 from ..session import ensure_utc
 from ..sources.events import raw_events, transactions_from_events
 from ..sources.tables import read_table
+from .jobs import MODEL_NAME
 
-MODEL_NAME = "fraud_model"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table; spread over the cores when it arrives as fewer splits than
-    cores, since every row then goes through a JSON round trip (CPU-bound)."""
-    from ..operators.partitioning import spread_if_narrow
+    """The ``events`` table with the scan's own partitions."""
     ensure_utc(spark)
-    return spread_if_narrow(read_table(spark, sf_dir, "events"))
+    return read_table(spark, sf_dir, "events")
 
 
 def transactions(spark, sf_dir) -> DataFrame:
@@ -80,9 +78,10 @@ def daily_runs(spark, sf_dir) -> DataFrame:
     fs = feature_store(spark, sf_dir)
     lab = fs.select(F.substring("timestamp", 1, 10).alias("day"),
                     F.col("is_fraud").cast("double").alias("label"),
-                    F.when(F.col("risk_score") >= 2, 1.0).otherwise(0.0).alias("prediction"))
+                    F.when(F.col("risk_score") >= 2, 1.0).otherwise(0.0).alias("prediction")) \
+        .filter(F.try_to_date("day").isNotNull())
     per_day = metrics.classification_metrics(lab, by=("day",))
-    # one row per day: a small table, ranked in one window
+    # one row per calendar day: a small table, ranked in one window
     version = F.dense_rank().over(Window.orderBy("day"))
     return per_day.select(
         F.lit(MODEL_NAME).alias("model_name"),

@@ -17,6 +17,7 @@ from ..operators import drift, registry, training
 from ..schemas import MODEL_FEATURES
 from ..sources.tables import read_features, read_predictions
 
+# Fixed value: the registered model name of the reference
 MODEL_NAME = "fraud_model"
 
 
@@ -85,9 +86,11 @@ def drift_job(spark: SparkSession, paths: Paths, retrain: bool = True):
 
 def gauges_job(spark: SparkSession, paths: Paths) -> DataFrame:
     """Refresh the drift gauges: append (metric, value, computed_at) rows to the gauge table
-    (nothing when the log is shorter than 20 records)."""
+    (nothing when the log is shorter than 20 records). The eight rows are computed once; what
+    is returned is what was written."""
     log = read_predictions(spark, paths.predictions)
-    rows = drift.gauge_rows(drift.drift_gauges(log))
-    if paths.gauges:
+    gauges = drift.gauge_rows(drift.drift_gauges(log))
+    rows = spark.createDataFrame(gauges.collect(), gauges.schema)
+    if paths.gauges and not rows.isEmpty():
         rows.write.mode("append").parquet(paths.gauges)
     return rows

@@ -1,6 +1,8 @@
 """DuckDB SQL twin of every named query in ``catalog.py`` (same column names and types)."""
 
-from .oracle_base import ONLINE, PARSED, STORE
+from .oracle_base import ONLINE, PARSED, STORE, TEXT
+
+_TX_ONLY = PARSED.split(",\nparsed AS")[0]
 
 _VALID_COLS = """transaction_id, user_id, merchant_id, device_id, amount, currency, timestamp,
   merchant_category, payment_method, card_present, location_city, location_state,
@@ -91,6 +93,14 @@ report AS (
   FROM cmp
 )"""
 
+_EVAL_F1 = """evalset AS (
+  SELECT CAST(is_fraud AS DOUBLE) AS label, CASE WHEN risk_score >= 2 THEN 1.0 ELSE 0.0 END AS prediction
+  FROM fstore WHERE ('0x' || substr(md5(transaction_id), 1, 8))::BIGINT % 10 >= 8
+),""" + _F1.format(by="", src="evalset", act_by="", join_by="").replace("cm AS", "cm2 AS").replace(
+    "FROM cm ", "FROM cm2 ").replace("act AS", "act2 AS").replace("FROM act ", "FROM act2 act ").replace(
+    "prd AS", "prd2 AS").replace("JOIN prd ", "JOIN prd2 prd ").replace("per AS", "per2 AS").replace(
+    "FROM per ", "FROM per2 ").replace("f1s AS", "eval_f1 AS")
+
 _RUNS = STORE + """,
 lab AS (
   SELECT substr(timestamp, 1, 10) AS day, CAST(is_fraud AS DOUBLE) AS label,
@@ -104,36 +114,7 @@ runs AS (
   FROM f1s
 )"""
 
-ORACLES = {
-    # the raw text, byte for byte: JSON built by hand in the key order and number formatting
-    # Spark's to_json uses (checked equal on every row of sf0.001, sf0.01 and sf0.1)
-    "bronze_json": PARSED.split(",\nparsed AS")[0] + """
-SELECT event_id,
-  CASE WHEN f_broken THEN '{bad' ELSE
-    '{"transaction_id":"' || transaction_id || '"'
-    || CASE WHEN f_no_user THEN '' ELSE ',"user_id":"' || user_id || '"' END
-    || ',"merchant_id":"' || merchant_id || '","device_id":"' || device_id || '"'
-    || CASE WHEN f_text_amount THEN '' ELSE ',"amount":'
-         || CAST(CASE WHEN f_neg_amount THEN -amount ELSE amount END AS VARCHAR) END
-    || ',"currency":"USD","timestamp":"'
-    || CASE WHEN f_bad_ts THEN 'not-a-ts' ELSE timestamp END || '"'
-    || ',"merchant_category":"' || merchant_category || '","payment_method":"'
-    || payment_method || '"'
-    || ',"card_present":' || CASE WHEN card_present THEN 'true' ELSE 'false' END
-    || ',"location":{"city":"' || location_city || '","state":"' || location_state
-    || '","country":"USA"}'
-    || ',"ip_address":"' || ip_address || '","is_fraud":' || CAST(is_fraud AS VARCHAR)
-    || CASE WHEN f_text_amount THEN ',"amount":"abc"' ELSE '' END
-    || '}'
-  END AS json_str
-FROM txl""",
-
-    "silver_valid": PARSED + f"""
-SELECT {_VALID_COLS} FROM checked WHERE is_valid""",
-
-    "silver_quarantine_reasons": PARSED + """
-SELECT transaction_id,
-  concat_ws(',',
+_REASONS = """CASE WHEN no_text THEN 'empty_payload' ELSE concat_ws(',',
     CASE WHEN malformed THEN 'malformed_record' END,
     CASE WHEN transaction_id IS NULL THEN 'missing_transaction_id' END,
     CASE WHEN user_id IS NULL THEN 'missing_user_id' END,
@@ -142,8 +123,23 @@ SELECT transaction_id,
     CASE WHEN amount IS NULL THEN 'missing_amount' END,
     CASE WHEN currency IS NULL THEN 'missing_currency' END,
     CASE WHEN timestamp IS NULL THEN 'missing_timestamp' END,
-    CASE WHEN amount <= 0 THEN 'non_positive_amount' END) AS reasons
-FROM checked WHERE NOT is_valid""",
+    CASE WHEN amount <= 0 THEN 'non_positive_amount' END) END"""
+
+_TEXTS = f""",
+texts AS (SELECT event_id, {TEXT} AS json_str FROM txl)"""
+
+_QUARANTINE = PARSED + _TEXTS + f"""
+SELECT transaction_id, {_REASONS} AS reasons, json_str
+FROM checked JOIN texts USING (event_id) WHERE NOT is_valid"""
+
+ORACLES = {
+    "bronze_json": _TX_ONLY + f"""
+SELECT event_id, {TEXT} AS json_str FROM txl""",
+
+    "silver_valid": PARSED + f"""
+SELECT {_VALID_COLS} FROM checked WHERE is_valid""",
+
+    "silver_quarantine_reasons": _QUARANTINE,
 
     "silver_partition_counts": PARSED + """
 SELECT count(*) AS input_rows, count(*) FILTER (WHERE is_valid) AS valid_rows,
@@ -172,7 +168,7 @@ FROM fstore""",
     "features_online": ONLINE + f"""
 SELECT transaction_id, {_MODEL} FROM online_f""",
 
-    "rule_tiers": PARSED.split(",\nparsed AS")[0] + """
+    "rule_tiers": _TX_ONLY + """
 SELECT rule_score,
   CASE WHEN rule_score >= 2 THEN 'high' ELSE 'low' END AS rule_tier,
   CASE WHEN rule_score >= 2 THEN CAST(0.8 AS DOUBLE) ELSE CAST(0.1 AS DOUBLE) END
@@ -181,27 +177,15 @@ SELECT rule_score,
 FROM txl GROUP BY rule_score""",
 
     "feature_contract_violations": STORE + """
-SELECT transaction_id,
-  concat_ws(',',
-    CASE WHEN transaction_id IS NULL THEN 'transaction_id' END,
-    CASE WHEN amount IS NULL THEN 'amount' END,
-    CASE WHEN is_high_amount IS NULL THEN 'is_high_amount' END,
-    CASE WHEN is_card_not_present IS NULL THEN 'is_card_not_present' END,
-    CASE WHEN tx_hour IS NULL THEN 'tx_hour' END,
-    CASE WHEN is_night_tx IS NULL THEN 'is_night_tx' END,
-    CASE WHEN is_risky_payment IS NULL THEN 'is_risky_payment' END,
-    CASE WHEN risk_score IS NULL THEN 'risk_score' END,
-    CASE WHEN is_fraud IS NULL THEN 'is_fraud' END,
-    CASE WHEN timestamp IS NULL THEN 'timestamp' END) AS violations
-FROM store_f
-WHERE transaction_id IS NULL OR amount IS NULL OR tx_hour IS NULL OR is_fraud IS NULL
-  OR timestamp IS NULL""",
+SELECT transaction_id, violations FROM store_v WHERE violations <> ''""",
 
     "scoring_input_rejects": ONLINE + """
 SELECT transaction_id,
   concat_ws(',', CASE WHEN amount IS NULL THEN 'amount' END,
-    CASE WHEN tx_hour IS NULL THEN 'tx_hour' END) AS violations
-FROM online_f WHERE amount IS NULL OR tx_hour IS NULL""",
+    CASE WHEN is_card_not_present IS NULL THEN 'is_card_not_present' END,
+    CASE WHEN tx_hour IS NULL THEN 'tx_hour' END,
+    CASE WHEN risk_score IS NULL THEN 'risk_score' END) AS violations
+FROM online_f WHERE amount IS NULL OR tx_hour IS NULL OR is_card_not_present IS NULL""",
 
     "prediction_record_short": STORE + f"""
 SELECT transaction_id, {_MODEL}, {_RULE_PRED} FROM fstore""",
@@ -312,13 +296,81 @@ SELECT model_name,
   'week-' || strftime(date_trunc('week', CAST(day AS DATE)), '%Y-%m-%d') AS run_id,
   max(version) AS latest_version
 FROM runs GROUP BY ALL""",
+
+    # thresholds of 1 %, so that several metrics count as drifted
+    "drift_alerts_1pct": _LOG + """
+SELECT metric, round(pct, 2) AS pct_change FROM cmp WHERE abs(pct) > 1""",
+
+    "retrain_decision_1pct": _LOG + """
+SELECT
+  COALESCE(bool_or(abs(pct) > 1) FILTER (WHERE metric IN ('avg_risk_score', 'avg_amount')),
+    FALSE) AS should_retrain,
+  COALESCE(bool_or(abs(pct) > 1) FILTER (WHERE metric = 'avg_risk_score'), FALSE)
+    AS risk_score_drift,
+  COALESCE(bool_or(abs(pct) > 1) FILTER (WHERE metric = 'avg_amount'), FALSE)
+    AS amount_drift
+FROM cmp HAVING count(*) > 0""",
+
+    "drift_gauges_1pct": _LOG + """
+SELECT metric, round(pct, 6) AS pct_change, CAST(abs(pct) > 1 AS INTEGER) AS drift_detected
+FROM cmp WHERE metric <> 'avg_tx_hour'""",
+
+    "drift_min_rows": _LOG + """
+SELECT (SELECT count(*) FROM predlog) AS log_rows, 0::BIGINT AS report_rows""",
+
+    "store_training_frame": STORE + f"""
+SELECT transaction_id, {_MODEL}, CAST(is_fraud AS DOUBLE) AS label FROM fstore""",
+
+    "registry_cycle": _RUNS + ", " + _EVAL_F1 + """,
+every AS (
+  SELECT run_id, version, f1_score FROM runs
+  UNION ALL SELECT 'run-all', (SELECT max(version) + 1 FROM runs), f1 FROM eval_f1
+),
+h AS (
+  SELECT *, count(*) OVER w AS n_prior, max(f1_score) OVER w AS prior_best FROM every
+  WINDOW w AS (ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+champion AS (SELECT version, run_id FROM h WHERE n_prior = 0 OR f1_score > prior_best
+             ORDER BY version DESC LIMIT 1)
+SELECT 'run-all' AS run_id, (SELECT max(version) FROM every) AS latest_version,
+  (SELECT max(version) + 1 FROM every) AS next_version, champion.version AS champion_version,
+  champion.run_id AS champion_run FROM champion""",
+
+    # a forest has no SQL twin: what is determined is checked
+    "scored_sample": STORE + """
+SELECT transaction_id, CAST(is_fraud AS DOUBLE) AS label, amount, risk_score,
+  TRUE AS probabilities_sum_to_1, TRUE AS prediction_follows
+FROM fstore WHERE ('0x' || substr(md5(transaction_id), 1, 8))::BIGINT % 10 >= 8
+ORDER BY transaction_id, event_id LIMIT 20""",
+
+    "rf_metrics": STORE + """,
+s AS (SELECT CAST(is_fraud AS DOUBLE) AS label,
+        ('0x' || substr(md5(transaction_id), 1, 8))::BIGINT % 10 >= 8 AS test FROM fstore)
+SELECT count(*) FILTER (WHERE NOT test) AS train_rows, count(*) FILTER (WHERE test) AS test_rows,
+  sum(label) FILTER (WHERE NOT test) AS train_positives, sum(label) FILTER (WHERE test) AS test_positives,
+  '50' AS num_trees, '5' AS max_depth,
+  'amount,is_high_amount,is_card_not_present,tx_hour,is_night_tx,is_risky_payment,risk_score'
+    AS feature_cols,
+  TRUE AS f1_is_evaluators, TRUE AS accuracy_is_evaluators, TRUE AS auc_in_range
+FROM s""",
 }
 
 # Streams must equal their batch twins (the scored stream stamps inference time at run time,
 # so that column is left out)
 ORACLES["stream_silver"] = ORACLES["silver_valid"]
+ORACLES["stream_two_writers"] = ORACLES["silver_valid"]
+ORACLES["stream_quarantine"] = _QUARANTINE
+ORACLES["stream_bronze"] = _TX_ONLY + f"""
+SELECT {TEXT} AS json_str FROM txl"""
 ORACLES["stream_gold"] = ORACLES["features_gold"]
+ORACLES["stream_gold_replay"] = ORACLES["features_gold"]
+ORACLES["stream_features"] = ORACLES["features_store"]
+ORACLES["stream_scored_store"] = ORACLES["prediction_record_short"]
 ORACLES["stream_scored"] = ONLINE + f"""
 SELECT 'unknown' AS model_run_id, transaction_id, user_id, payment_method, card_present,
   {_MODEL}, prediction, fraud_probability, 1.0 - fraud_probability AS non_fraud_probability
 FROM predlog"""
+ORACLES["stream_rejects"] = STORE + _TEXTS + """
+SELECT transaction_id, CASE WHEN violations = '' THEN 'no_champion' ELSE 'feature_contract' END AS stage,
+  violations, json_str
+FROM store_v JOIN texts USING (event_id)"""

@@ -12,6 +12,7 @@ LOCATION = StructType([
     StructField("country", StringType(), True),
 ])
 
+# Names, types and order of the transaction, feature and model-input fields
 # Typed transaction parsed from json_str (silver)
 TRANSACTION = StructType([
     StructField("transaction_id", StringType(), True),

@@ -57,12 +57,22 @@ def ensure_checkpoint_dir(spark: SparkSession, default: str | None = None) -> st
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if default is None and not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver "
+                               f"and all executors of {master} share")
         d = default or os.path.join(os.environ.get("TMPDIR", "/tmp"), "riskflow-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller made (scratch of a finished step)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the shared checkpoint root, for stream sinks and lineage cuts."""
     return "/".join([checkpoint_root(spark), "riskflow", *parts, uuid.uuid4().hex])

@@ -14,14 +14,31 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import md5_prefix_int
 
-# Bad-row injection rules (event_id divisor -> what is broken in the JSON text)
+# Damage of the raw text (event_id divisor -> what is unusual in it)
 MISSING_USER_ID_MOD = 29      # user_id key omitted
 NEGATIVE_AMOUNT_MOD = 31      # amount negated
 BROKEN_TEXT_MOD = 37          # whole text replaced by the literal {bad
 TEXT_AMOUNT_MOD = 41          # amount given as the string "abc"
 BAD_TIMESTAMP_MOD = 43        # timestamp given as "not-a-ts"
+NULL_TEXT_MOD = 47            # no text at all
+BLANK_TEXT_MOD = 53           # blanks only
+QUOTED_AMOUNT_MOD = 59        # amount given as a string that holds the number
+ZERO_AMOUNT_MOD = 61          # amount 0
+NO_CARD_PRESENT_MOD = 67      # card_present key omitted
+NULL_CARD_PRESENT_MOD = 71    # card_present null, behind a nested key of the same name
+TEXT_CARD_PRESENT_MOD = 73    # card_present given as the string "yes"
+NO_IS_FRAUD_MOD = 79          # is_fraud key omitted
+BOOL_IS_FRAUD_MOD = 83        # is_fraud given as true or false
+OFFSET_MOD = 89               # the wall clock carries the offset +05:30
+AMOUNT_2000_MOD = 97          # amount exactly at the consumers' threshold
+AMOUNT_3000_MOD = 101         # amount exactly at the gold threshold
+REPEATED_ID_MOD = 103         # one of five transaction ids shared by many events
+NUMBER_ID_MOD = 107           # transaction_id given as a JSON number
+MONTH_TIMESTAMP_MOD = 113     # timestamp without a day
 BROKEN_TEXT = "{bad"
 BAD_TIMESTAMP = "not-a-ts"
+MONTH_TIMESTAMP = "2026-04"
+OFFSET = "+05:30"
 
 # Rule tiers of the simulated fraud label
 RULE_HIGH_AMOUNT = 2000.0
@@ -88,24 +105,50 @@ def raw_events(events: DataFrame, inject_bad_rows: bool = True) -> DataFrame:
 
 @cache
 def _raw_text(inject_bad_rows: bool) -> Column:
-    e = F.col("event_id")
     if not inject_bad_rows:
         return F.to_json(F.struct(*[F.col(c) for c in _JSON_FIELDS]))
-    amount = (F.when(e % TEXT_AMOUNT_MOD == 0, F.lit(None).cast("double"))
-              .when(e % NEGATIVE_AMOUNT_MOD == 0, -F.col("amount"))
+
+    def hit(divisor: int) -> Column:
+        return F.col("event_id") % divisor == 0
+
+    nothing = F.lit(None)
+    amount = (F.when(hit(AMOUNT_2000_MOD), F.lit(2000.0)).when(hit(AMOUNT_3000_MOD), F.lit(3000.0))
               .otherwise(F.col("amount")))
+    amount = (F.when(hit(ZERO_AMOUNT_MOD), F.lit(0.0)).when(hit(NEGATIVE_AMOUNT_MOD), -amount)
+              .otherwise(amount))
+    as_text = hit(TEXT_AMOUNT_MOD) | hit(QUOTED_AMOUNT_MOD)
+    odd_card = hit(NO_CARD_PRESENT_MOD) | hit(NULL_CARD_PRESENT_MOD) | hit(TEXT_CARD_PRESENT_MOD)
+    odd_fraud = hit(NO_IS_FRAUD_MOD) | hit(BOOL_IS_FRAUD_MOD)
+    wall_clock = F.substring("timestamp", 1, 26)
     fields = {
-        "user_id": F.when(e % MISSING_USER_ID_MOD != 0, F.col("user_id")),
-        "amount": amount,
-        "timestamp": F.when(e % BAD_TIMESTAMP_MOD == 0, F.lit(BAD_TIMESTAMP))
+        "transaction_id": F.when(hit(NUMBER_ID_MOD), nothing)
+                           .when(hit(REPEATED_ID_MOD), F.concat(F.lit("dup-"), (F.col("event_id") % 5).cast("string")))
+                           .otherwise(F.col("transaction_id")),
+        "user_id": F.when(~hit(MISSING_USER_ID_MOD), F.col("user_id")),
+        "amount": F.when(~as_text, amount),
+        "timestamp": F.when(hit(BAD_TIMESTAMP_MOD), F.lit(BAD_TIMESTAMP))
+                      .when(hit(MONTH_TIMESTAMP_MOD), F.lit(MONTH_TIMESTAMP))
+                      .when(hit(OFFSET_MOD), F.concat(wall_clock, F.lit(OFFSET)))
                       .otherwise(F.col("timestamp")),
+        "card_present": F.when(~odd_card, F.col("card_present")),
+        "is_fraud": F.when(~odd_fraud, F.col("is_fraud")),
     }
-    # to_json drops null fields, which is how a key is omitted; the text is referenced once
+    # to_json drops null fields, which is how a key is omitted; unusual values follow as text
     text = F.to_json(F.struct(*[fields.get(c, F.col(c)).alias(c) for c in _JSON_FIELDS]))
-    text = F.concat(F.regexp_replace(text, r"\}$", ""),
-                    F.when(e % TEXT_AMOUNT_MOD == 0, F.lit(',"amount":"abc"}'))
-                    .otherwise(F.lit("}")))
-    return F.when(e % BROKEN_TEXT_MOD == 0, F.lit(BROKEN_TEXT)).otherwise(text)
+    nested = F.when(hit(NULL_CARD_PRESENT_MOD), F.lit('{"extra":{"card_present":true},')).otherwise(F.lit("{"))
+    extras = [
+        F.when(hit(TEXT_AMOUNT_MOD), F.lit(',"amount":"abc"'))
+         .when(hit(QUOTED_AMOUNT_MOD), F.concat(F.lit(',"amount":"'), amount.cast("string"), F.lit('"'))),
+        F.when(hit(NO_CARD_PRESENT_MOD), nothing).when(hit(NULL_CARD_PRESENT_MOD), F.lit(',"card_present":null'))
+         .when(hit(TEXT_CARD_PRESENT_MOD), F.lit(',"card_present":"yes"')),
+        F.when(hit(NO_IS_FRAUD_MOD), nothing)
+         .when(hit(BOOL_IS_FRAUD_MOD), F.concat(F.lit(',"is_fraud":'), (F.col("is_fraud") == 1).cast("string"))),
+        F.when(hit(NUMBER_ID_MOD), F.concat(F.lit(',"transaction_id":'), F.col("transaction_id"))),
+    ]
+    text = F.concat(nested, F.regexp_replace(text, r"^\{|\}$", ""),
+                    *[F.coalesce(x, F.lit("")) for x in extras], F.lit("}"))
+    return (F.when(hit(NULL_TEXT_MOD), nothing).when(hit(BLANK_TEXT_MOD), F.lit("  "))
+            .when(hit(BROKEN_TEXT_MOD), F.lit(BROKEN_TEXT)).otherwise(text))
 
 
 _JSON_FIELDS = ["transaction_id", "user_id", "merchant_id", "device_id", "amount", "currency",

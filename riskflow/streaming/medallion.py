@@ -3,6 +3,11 @@
 All three are stateless appends (no exchange, no state store): they scale with source
 partitions and files. Each query has its own checkpoint folder, which must be on shared
 storage on a cluster.
+
+Silver hands over committed batches only: once both outputs of a batch are committed, one row
+(query_id, batch_id) is added to ``<silver>_commits``. Gold follows that table, not silver's
+files, and files its output under silver's ids. So a silver batch that was written but not
+committed and is replayed reaches gold once, and so does one whose row was announced twice.
 """
 
 from __future__ import annotations
@@ -13,9 +18,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import gold_features
 from ..operators import silver
-from ..operators.partitioning import spread_if_narrow
 from ..schemas import BRONZE, TRANSACTION
-from .sinks import apply_trigger, write_batch
+from .sinks import apply_trigger, batch_folder, query_id, write_batch
+
+COMMITS = "query_id string, batch_id bigint"
+
+
+def commits_path(valid_path: str) -> str:
+    return f"{valid_path.rstrip('/')}_commits"
 
 
 def bronze_query(raw: DataFrame, bronze_path: str, checkpoint: str,
@@ -28,44 +38,75 @@ def bronze_query(raw: DataFrame, bronze_path: str, checkpoint: str,
 
 def silver_writer(valid_path: str, quarantine_path: str, fmt: str = "parquet"):
     """foreachBatch function: parse the batch once, write valid rows and quarantined rows
-    (text + reasons). Both outputs of a batch come from the same persisted parse."""
+    (text + reasons), then announce the batch. Both outputs come from one persisted parse."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = silver.parse_raw(spread_if_narrow(batch)).persist()
+        spark = batch.sparkSession
+        query = query_id(spark)
+        parsed = silver.parse_raw(batch).persist()
         try:
-            write_batch(silver.flatten_valid(parsed), valid_path, batch_id, fmt)
+            write_batch(silver.flatten_valid(parsed), valid_path, batch_id, fmt, query=query)
             write_batch(silver.quarantine(parsed), quarantine_path, batch_id, fmt,
-                        rebalance=True)
+                        rebalance=True, query=query)
         finally:
             parsed.unpersist()
+        done = spark.createDataFrame([(query, batch_id)], COMMITS).coalesce(1)
+        write_batch(done, commits_path(valid_path), batch_id, "json", query=query)
     return write
 
 
 def silver_query(spark: SparkSession, bronze_path: str, valid_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    reader = spark.readStream.schema(BRONZE)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+                 max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: int | None = None) -> StreamingQuery:
+    """A micro-batch is bounded by files, or by bytes when they vary in size."""
+    reader = _bounded(spark.readStream.schema(BRONZE), max_files_per_trigger, max_bytes_per_trigger)
     w = (reader.json(bronze_path).writeStream
          .foreachBatch(silver_writer(valid_path, quarantine_path))
          .option("checkpointLocation", checkpoint))
     return apply_trigger(w, trigger).start()
 
 
+def _bounded(reader, files: int | None, size: int | None):
+    if files:
+        return reader.option("maxFilesPerTrigger", files)
+    return reader.option("maxBytesPerTrigger", size) if size else reader
+
+
+def gold_writer(silver_path: str, gold_path: str, fmt: str = "parquet",
+                partition_by_date: bool = False):
+    """foreachBatch function over announced silver batches: their rows -> gold features, filed
+    under the silver batch's own ids. The announcements of a micro-batch (a row per silver
+    batch, bounded by the trigger's file limit) are listed on the driver; data rows are not."""
+    def write(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        for r in batch.distinct().orderBy("query_id", "batch_id").collect():
+            src = spark.read.schema(TRANSACTION).parquet(
+                batch_folder(silver_path, r["query_id"], r["batch_id"]))
+            gold = gold_features(src)
+            if partition_by_date:
+                gold = gold.withColumn("event_date", F.to_date("timestamp"))
+            write_batch(gold, gold_path, r["batch_id"], fmt, query=r["query_id"],
+                        partition_by=["event_date"] if partition_by_date else None)
+    return write
+
+
 def gold_query(spark: SparkSession, silver_path: str, gold_path: str, checkpoint: str,
-               trigger: dict | None = None, max_files_per_trigger: int | None = None,
+               trigger: dict | None = None, max_batches_per_trigger: int = 16,
                fmt: str = "parquet", partition_by_date: bool = False) -> StreamingQuery:
-    """Silver files -> gold features -> file sink (exactly-once through the sink's log),
-    optionally partitioned by ``event_date`` for readers that filter by date. Parquet by
-    default: the JSON sink would cut timestamps to milliseconds and drop NULL fields."""
-    reader = spark.readStream.schema(TRANSACTION)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.option("recursiveFileLookup", "true").parquet(silver_path)
-    gold = gold_features(src)
-    w = gold.writeStream.format(fmt).outputMode("append")
-    if partition_by_date:
-        w = gold.withColumn("event_date", F.to_date("timestamp")).writeStream.format(fmt) \
-            .outputMode("append").partitionBy("event_date")
-    w = w.option("path", gold_path).option("checkpointLocation", checkpoint)
+    """Committed silver batches -> gold features, optionally partitioned by ``event_date`` for
+    readers that filter by date. Parquet by default: JSON would cut timestamps to milliseconds
+    and drop NULL fields."""
+    announced = (spark.readStream.schema(COMMITS).option("recursiveFileLookup", "true")
+                 .option("maxFilesPerTrigger", max_batches_per_trigger)
+                 .json(_made(spark, commits_path(silver_path))))
+    w = (announced.writeStream
+         .foreachBatch(gold_writer(silver_path, gold_path, fmt, partition_by_date))
+         .option("checkpointLocation", checkpoint))
     return apply_trigger(w, trigger).start()
+
+
+def _made(spark: SparkSession, path: str) -> str:
+    """``path``, created if silver has not announced anything yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return path

@@ -1,28 +1,41 @@
 """Per-micro-batch writers used inside ``foreachBatch``.
 
-Each batch is written to ``<path>/batch_id=<n>``. A batch replayed after a failure
-(``foreachBatch`` is at-least-once) carries the same input, since the offset log fixes it, so:
-a folder whose write committed (``_SUCCESS`` present) is left alone, and one that did not
-commit is overwritten. No duplicate rows, and no new file names for a downstream file-stream
-reader to pick up a second time. Readers see the folder as one table with a ``batch_id``
-partition column.
+Each batch is written to ``<path>/query_id=<q>/batch_id=<n>``, where q is the streaming query's
+own id (kept in its checkpoint). A batch replayed after a failure (``foreachBatch`` is
+at-least-once) carries the same input, since the offset log fixes it, so: a folder whose write
+committed (``_SUCCESS`` present) is left alone, and one that did not commit is overwritten.
+Another query, or the same one on a new checkpoint, has another id and so other folders:
+nothing it writes is taken for a replay. Readers see one table with two partition columns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+#: The local property under which Spark keeps the id of the query that runs a micro-batch.
+QUERY_ID = "sql.streaming.queryId"
+
+
+def query_id(spark: SparkSession) -> str:
+    """Id of the streaming query whose micro-batch is being written; "batch" outside of one."""
+    return spark.sparkContext.getLocalProperty(QUERY_ID) or "batch"
+
+
+def batch_folder(path: str, query: str, batch_id: int) -> str:
+    return f"{path.rstrip('/')}/query_id={query}/batch_id={batch_id}"
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
                 compression: str | None = None, partition_by: list | None = None,
-                rebalance: bool = False) -> None:
+                rebalance: bool = False, query: str | None = None) -> None:
     """``compression`` e.g. "uncompressed" (the reference's parquet setting); default is the
     session's codec. ``partition_by`` adds folders below the batch (e.g. a date), which
     readers use for partition pruning. ``rebalance`` lets adaptive execution size the output
     partitions (one shuffle of this output): for small side outputs such as quarantine and
-    rejects, which would otherwise leave one tiny file per task."""
-    target = f"{path.rstrip('/')}/batch_id={batch_id}"
-    if _committed(df.sparkSession, target):
+    rejects, which would otherwise leave one tiny file per task. ``query``: the id to file the
+    batch under (default: the running query's)."""
+    target = batch_folder(path, query or query_id(df.sparkSession), batch_id)
+    if committed(df.sparkSession, target):
         return
     if rebalance:
         df = df.hint("rebalance")
@@ -34,7 +47,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
     w.save(target)
 
 
-def _committed(spark, folder: str) -> bool:
+def committed(spark, folder: str) -> bool:
     from ..sources.tables import _exists
     return _exists(spark, f"{folder}/_SUCCESS")
 

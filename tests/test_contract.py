@@ -38,12 +38,24 @@ def test_null_is_fraud_and_missing_transaction_id(spark):
     assert got == [("is_fraud",), ("transaction_id",)]
 
 
-def test_numeric_text_is_coerced(spark):
-    """Contract types are applied with try_cast: '3' becomes 3, 'x' becomes a violation."""
-    df = spark.createDataFrame([("t1", "3"), ("t2", "x")], "transaction_id string, tx_hour string")
-    checked = contract.check_features(df).orderBy("transaction_id").collect()
-    assert checked[0]["tx_hour"] == 3 and "tx_hour" not in checked[0]["violations"]
-    assert "tx_hour" in checked[1]["violations"]
+def test_feature_contract_is_strict(spark):
+    """The feature contract converts nothing: text or a float for an int field, an int for a
+    float field and a number for a text field are violations."""
+    df = spark.createDataFrame([("t1", "3", 1.0, 5, 7)],
+                               "transaction_id string, tx_hour string, is_night_tx double, amount int, timestamp int")
+    r = contract.check_features(df).first()
+    assert r["tx_hour"] is None
+    assert {"tx_hour", "is_night_tx", "amount", "timestamp"} <= set(r["violations"])
+    assert "transaction_id" not in r["violations"]
+
+
+def test_request_schema_converts_but_takes_no_fraction(spark):
+    """The scorer's request schema takes whole numbers and numeric text for an int field."""
+    df = spark.createDataFrame([("a", "3", 1.0), ("b", "x", 1.5), ("c", "2.0", 0.0)],
+                               "transaction_id string, tx_hour string, is_night_tx double")
+    rows = {r["transaction_id"]: r for r in contract.check_model_input(df).collect()}
+    assert rows["a"]["tx_hour"] == 3 and rows["a"]["is_night_tx"] == 1 and rows["c"]["tx_hour"] == 2
+    assert {"tx_hour", "is_night_tx"} <= set(rows["b"]["violations"])
 
 
 def test_model_input_rejects(spark):
@@ -84,7 +96,7 @@ def test_card_present_python_truthiness(spark):
     base = {"transaction_id": "t", "user_id": "u", "merchant_id": "m", "device_id": "d",
             "amount": 10.0, "currency": "USD", "timestamp": "2024-01-01T12:00:00+00:00",
             "payment_method": "upi", "is_fraud": 0}
-    values = [True, False, "false", "", 0, 1, 2.5, None]
+    values = [True, False, "false", "", 0, 1, 2.5, None, {}, {"a": 1}, [], [0]]
     texts = [json.dumps({**base, "transaction_id": f"t{i}", "card_present": v})
              for i, v in enumerate(values)]
     raw = spark.createDataFrame([(t,) for t in texts], "json_str string")
@@ -93,11 +105,32 @@ def test_card_present_python_truthiness(spark):
              for r in store_features(silver.store_view(fields)).collect()}
     online = {r["transaction_id"]: r["is_card_not_present"]
               for r in online_features(fields).collect()}
-    expect = [0, 1, 0, 1, 1, 0, 0, 1]
+    expect = [0, 1, 0, 1, 1, 0, 0, 1, 1, 0, 1, 0]
     assert [store[f"t{i}"] for i in range(len(values))] == expect
     assert [online[f"t{i}"] for i in range(len(values))] == expect
 
 
+def test_missing_and_nested_keys(spark):
+    """A missing card_present, a numeric id and a numeric timestamp fail the contract, as the
+    consumer drops such events; a nested key of the same name does not count."""
+    import json
+    from riskflow.functions.features import online_features, store_features
+    from riskflow.operators import silver
+    base = {"user_id": "u", "amount": 10.0, "timestamp": "2024-01-01T12:00:00+00:00", "is_fraud": 0}
+    texts = [json.dumps({**base, "transaction_id": "none"}),
+             json.dumps({"x": {"card_present": True}, **base, "transaction_id": "nested", "card_present": None}),
+             json.dumps({**base, "transaction_id": 5, "card_present": True}),
+             json.dumps({**base, "transaction_id": "num_ts", "timestamp": 20240101120000, "card_present": True})]
+    fields = silver.consumer_fields(silver.parse_raw(spark.createDataFrame([(t,) for t in texts], "json_str string")))
+    ok, bad = contract.split_contract(store_features(silver.store_view(fields)))
+    assert [(r["transaction_id"], r["is_card_not_present"]) for r in ok.collect()] == [("nested", 1)]
+    found = {r["transaction_id"]: r["violations"] for r in bad.collect()}
+    assert found == {"none": ["is_card_not_present", "risk_score"], None: ["transaction_id"],
+                     "num_ts": ["tx_hour", "timestamp"]}
+    _, unscored = contract.split_model_input(online_features(fields))
+    assert {r["transaction_id"] for r in unscored.collect()} >= {"none"}
+
+
 def test_is_fraud_bool_accepted_by_store(spark):
     """The feature store takes JSON true/false as is_fraud 1/0 (Python bool is int); a float
     or a string still fails the contract."""

@@ -1,6 +1,7 @@
 """Driver contract: entry runs, every query has the right shape, SQL twins agree at sf0.001."""
 
 import math
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -23,8 +24,8 @@ def test_oracle_keys_subset():
 @pytest.fixture(scope="module")
 def duck(sf_small):
     con = duckdb.connect()
-    for t in ("events",):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+    for file in Path(sf_small).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
     return con
 
 

@@ -25,7 +25,7 @@ def test_auc_ties_and_spread(spark):
     want = _auc_brute(rows)
     got = metrics.auc_exact(df, num_buckets=16).first()["auc"]            # small path
     assert got == pytest.approx(want, abs=1e-12)
-    got = metrics.auc_exact(df, num_buckets=16, small_distinct=0).first()["auc"]  # bucketed
+    got = metrics.auc_exact(df, num_buckets=16).first()["auc"]  # bucketed
     assert got == pytest.approx(want, abs=1e-12)
 
 

@@ -63,7 +63,7 @@ def test_raw_text_and_json_sources(spark):
 def test_uncompressed_batch(spark):
     path = scratch_path(spark, "unc")
     write_batch(spark.range(5), path, 0, compression="uncompressed")
-    files = [f for f in os.listdir(f"{path}/batch_id=0") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{path}/query_id=batch/batch_id=0") if f.endswith(".parquet")]
     assert files and all(".snappy." not in f for f in files)
     assert spark.read.parquet(path).count() == 5
 

@@ -6,7 +6,7 @@ from riskflow.plans import catalog as C
 from riskflow.plans import derived as D
 from riskflow.session import scratch_path
 from riskflow.streaming.medallion import silver_query
-from riskflow.streaming.sinks import write_batch
+from riskflow.streaming.sinks import batch_folder, write_batch
 
 
 def _sorted(df):
@@ -30,6 +30,31 @@ def test_stream_scored_counts(spark, sf_small):
     assert s.count() == D.scored_log(spark, sf_small).count()
 
 
+def test_two_writers_and_replayed_silver_batch(spark, sf_small):
+    """Queries on checkpoints of their own both start at batch 0 of one table; gold takes a
+    silver batch only once it is committed, and only once."""
+    b = C.silver_valid(spark, sf_small)
+    assert _sorted(C.stream_two_writers(spark, sf_small).select(*b.columns)) == _sorted(b)
+    g = C.features_gold(spark, sf_small)
+    assert _sorted(C.stream_gold_replay(spark, sf_small).select(*g.columns)) == _sorted(g)
+
+
+def test_scored_rows_are_the_training_rows(spark, sf_small):
+    """The default preset scores the features that training reads, row by row."""
+    from riskflow.schemas import MODEL_FEATURES
+    scored = C.stream_scored_store(spark, sf_small).select("transaction_id", *MODEL_FEATURES)
+    trained = C.training_frame(spark, sf_small).select("transaction_id", *MODEL_FEATURES)
+    assert _sorted(scored) == _sorted(trained)
+
+
+def test_no_champion_rows_are_kept(spark, sf_small):
+    r = C.stream_rejects(spark, sf_small)
+    assert r.count() == D.raw(spark, sf_small).count()
+    waiting = r.filter("stage = 'no_champion'")
+    assert waiting.count() == C.features_store(spark, sf_small).count()
+    assert waiting.filter("json_str IS NULL").count() == 0
+
+
 def test_restart_adds_nothing(spark, sf_small):
     root = scratch_path(spark, "test_restart")
     bronze = C._publish_bronze(spark, sf_small, root)
@@ -46,13 +71,16 @@ def test_replayed_batch_is_idempotent(spark):
     root = scratch_path(spark, "test_idem")
     df = spark.range(10)
     write_batch(df, root, 3)
-    files = sorted(os.listdir(f"{root}/batch_id=3"))
+    folder = batch_folder(root, "batch", 3)
+    files = sorted(os.listdir(folder))
     write_batch(df, root, 3)              # replay of a committed batch: left alone
-    assert sorted(os.listdir(f"{root}/batch_id=3")) == files
+    assert sorted(os.listdir(folder)) == files
     assert spark.read.parquet(root).count() == 10
-    os.remove(f"{root}/batch_id=3/_SUCCESS")   # an uncommitted attempt is overwritten
+    os.remove(f"{folder}/_SUCCESS")       # an uncommitted attempt is overwritten
     write_batch(df, root, 3)
     assert spark.read.parquet(root).count() == 10
+    write_batch(spark.range(100, 105), root, 3, query="another")   # its own batch 3
+    assert spark.read.parquet(root).count() == 15
 
 
 def test_scoring_dedup_option(spark, sf_small):
@@ -74,25 +102,25 @@ def test_scoring_dedup_option(spark, sf_small):
         q.awaitTermination()
         counts[tag] = (spark.read.parquet(f"{root}/p_{tag}").count(),
                        spark.read.parquet(f"{root}/r_{tag}").count())
-    single = D.scored_log(spark, sf_small).count()
-    assert counts["off"][0] == 2 * single
-    assert counts["on"][0] == single
-    # rows without an id are never collapsed: both copies of each broken text keep their
-    # rejects (one per stage: feature contract and scoring input)
-    broken = D.raw(spark, sf_small).filter(F.col("json_str") == "{bad").count()
-    assert counts["on"][1] == counts["off"][1] // 2 + 2 * broken
+    tid = F.get_json_object("json_str", "$.transaction_id")
+    store = C.features_store(spark, sf_small)
+    assert counts["off"] == (2 * store.count(), 2 * (raw.count() - store.count()))
+    # one row per id; rows without an id are never collapsed: both copies keep their rejects
+    ids = raw.filter(tid.isNotNull()).select(tid).distinct().count()
+    assert sum(counts["on"]) == ids + 2 * raw.filter(tid.isNull()).count()
 
 
 def test_scoring_partition_by_date(spark, sf_small):
+    from riskflow.functions.features import ONLINE
     from riskflow.operators import drift
     from riskflow.sources.raw import read_raw_stream
     from riskflow.sources.tables import read_predictions
     from riskflow.streaming.scoring import scoring_query
     root = scratch_path(spark, "test_pdate")
-    bronze = C._publish_bronze(spark, sf_small, root, files=1)
+    bronze = C._publish_bronze(spark, sf_small, root)
     q = scoring_query(read_raw_stream(spark, "json", bronze), f"{root}/f", f"{root}/p",
                       f"{root}/r", f"{root}/_chk", trigger={"availableNow": True},
-                      partition_by_date=True)
+                      partition_by_date=True, spec=ONLINE)
     q.awaitTermination()
     log = read_predictions(spark, f"{root}/p")
     assert "inference_date" in log.columns
@@ -108,17 +136,18 @@ def test_bronze_sink_and_stream_quarantine(spark, sf_small):
     from riskflow.sources.raw import read_raw, read_raw_stream
     from riskflow.streaming.medallion import bronze_query
     root = scratch_path(spark, "test_bronze")
-    D.raw(spark, sf_small).select("json_str").coalesce(2).write.text(f"{root}/raw")
+    raw = D.raw(spark, sf_small).select("json_str").filter("json_str IS NOT NULL")
+    raw.coalesce(2).write.text(f"{root}/raw")
     q = bronze_query(read_raw_stream(spark, "text", f"{root}/raw"), f"{root}/bronze",
                      f"{root}/_chk", trigger={"availableNow": True})
     q.awaitTermination()
     bronze = read_raw(spark, "json", f"{root}/bronze")
-    assert _sorted(bronze) == _sorted(D.raw(spark, sf_small).select("json_str"))
+    assert _sorted(bronze) == _sorted(raw)
     silver_query(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quar", f"{root}/_chk2",
                  trigger={"availableNow": True}).awaitTermination()
     streamed = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/quar") \
         .select("json_str", F.array_join("reasons", ",").alias("r"))
-    batch = silver.quarantine(silver.parse_raw(D.raw(spark, sf_small))) \
+    batch = silver.quarantine(silver.parse_raw(raw)) \
         .select("json_str", F.array_join("reasons", ",").alias("r"))
     assert _sorted(streamed) == _sorted(batch)
 
@@ -129,6 +158,6 @@ def test_rebalanced_side_output_has_few_files(spark):
     df = spark.range(0, 2000, numPartitions=16).filter("id % 100 = 0")   # sparse rows
     write_batch(df, f"{root}/plain", 0)
     write_batch(df, f"{root}/rebal", 0, rebalance=True)
-    files = lambda p: [f for f in os.listdir(f"{p}/batch_id=0") if f.endswith(".parquet")]  # noqa
+    files = lambda p: [f for f in os.listdir(batch_folder(p, "batch", 0)) if f.endswith(".parquet")]  # noqa
     assert len(files(f"{root}/rebal")) < len(files(f"{root}/plain"))
     assert spark.read.parquet(f"{root}/rebal").count() == 20
