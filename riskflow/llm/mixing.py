@@ -7,8 +7,8 @@ crosses. Documents stand in order of size class, so the words taken stay within
 documents' size of the target.
 
 The prefix sums need no window over a whole source: documents are counted per (source, size
-class, salt) cell, the cells of a source (at most ``classes x SALTS`` rows, whatever its size)
-are prefix-summed, and documents are ranked inside their cell only.
+class, salt) cell, the classes of a source and the salts of a class (``SALTS`` at most) are
+prefix-summed, and documents are ranked inside their cell only.
 """
 
 from __future__ import annotations
@@ -73,11 +73,17 @@ def plan(docs: DataFrame, size: Column, id_col: str = "doc_id",
     cells = (rows.groupBy(src.alias("_src"), F.col("_cls").alias("_c"), F.col("_salt").alias("_s"))
              .agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words")))
     targets = source_targets(cells.select(F.col("_src").alias("source"), F.col("_words").alias("size")))
-    before = (Window.partitionBy("_src").orderBy("_c", "_s")
+    # two steps, so that no window holds more than a source's classes or a class's salts
+    classes = cells.groupBy(F.col("_src").alias("_k"), F.col("_c").alias("_kc")).agg(F.sum("_n").alias("_all"))
+    ahead = Window.partitionBy("_k").orderBy("_kc").rowsBetween(Window.unboundedPreceding, -1)
+    classes = classes.withColumn("_start", F.coalesce(F.sum("_all").over(ahead), F.lit(0))).drop("_all")
+    before = (Window.partitionBy("_src", "_c").orderBy("_s")
               .rowsBetween(Window.unboundedPreceding, -1))
     seed = F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("_src"), F.lit("\x00")))
     offset = F.conv(F.substring(F.md5(seed), 1, 5), 16, 10).cast("double") / _UNIT
     cells = (cells.withColumn("_ahead", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .join(classes, F.col("_src").eqNullSafe(F.col("_k")) & (F.col("_c") == F.col("_kc")))
+             .withColumn("_ahead", F.col("_ahead") + F.col("_start"))
              .join(targets.withColumnRenamed("source", "_t"), F.col("_src").eqNullSafe(F.col("_t")))
              .select("_src", "_c", "_s", "_ahead", offset.alias("_offset"), "source_size", "target"))
     rank = F.row_number().over(Window.partitionBy(src, "_cls", "_salt").orderBy("size", "_digest"))
