@@ -53,6 +53,20 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
     return out
 
 
+def salted_join(rows: DataFrame, keyed: DataFrame, keys: list[str], salt: Column, salts: int) -> DataFrame:
+    """Inner join of ``rows`` with ``keyed`` (one row per key) on ``keys``, where the rows of
+    one key are dealt over ``salts`` tasks by the integer column ``salt`` of ``rows``. ``keyed``
+    is repeated once per salt, so it should be the far smaller side."""
+    r, k = fresh(rows.join(keyed.limit(0), keys), "salt", "salt_of_key")
+    dealt = rows.withColumn(r, F.pmod(salt, F.lit(salts)).cast("int")).alias("dealt")
+    every = keyed.withColumn(k, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("every")
+    cond = F.col(f"dealt.{r}") == F.col(f"every.{k}")
+    for key in keys:
+        cond = cond & (F.col(f"dealt.{key}") == F.col(f"every.{key}"))
+    rest = [F.col(f"every.{c}") for c in keyed.columns if c not in keys]
+    return dealt.join(every, cond).select(*[F.col(f"dealt.{c}") for c in rows.columns], *rest)
+
+
 _SHIPPED: set[str] = set()
 
 

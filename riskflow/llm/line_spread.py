@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, salted_join
 
 #: A line on so many distinct sites is boilerplate.
 MIN_SITES = 10
@@ -22,6 +22,8 @@ LG_K = 9
 #: Estimates within this share of the threshold are counted exactly (several times the sketch's
 #: standard error of 1.04 / sqrt(2^LG_K), under 5 %).
 BAND = 0.5
+#: Tasks that the occurrences of one line are dealt over where they meet the line's verdict.
+SALTS = 16
 _BLANK = " \t\r\x0b\x0c"
 
 
@@ -42,7 +44,8 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     spread = lines.groupBy("h1", "h2").agg(F.hll_sketch_agg(site, F.lit(LG_K)).alias("sketch"))
     suspects = (spread.withColumn("sites", F.hll_sketch_estimate("sketch"))
                 .where(F.col("sites") >= min_sites * (1 - BAND)).select("h1", "h2", "sites"))
-    seen = materialize(lines.join(suspects, ["h1", "h2"]))
+    deal = F.xxhash64("doc", "pos")
+    seen = materialize(salted_join(lines, suspects, ["h1", "h2"], deal, SALTS))
     near = F.col("sites") <= min_sites * (1 + BAND)
     exact = (seen.where(near).select("h1", "h2", "site").distinct()
              .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("sites"))
@@ -51,7 +54,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     place = F.struct("doc", "body", "pos")
     first = seen.groupBy("h1", "h2").agg(F.min(place).alias("at"))
     found = exact.unionByName(sure).join(first, ["h1", "h2"])
-    return (seen.join(found, ["h1", "h2"])
+    return (salted_join(seen, found, ["h1", "h2"], deal, SALTS)
             .select("doc", "body", "pos", place.eqNullSafe(F.col("at")).alias("first")))
 
 
