@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, salted_join
+
+#: Tasks that the links of one node are dealt over where they meet the node's smallest neighbour.
+SALTS = 16
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,9 +28,9 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, F.col("u") == F.col("x"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = (salted_join(both.where("v > u"), least, ["u"], F.xxhash64("v"), SALTS)
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = salted_join(large, low, ["u"], F.xxhash64("v"), SALTS).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
