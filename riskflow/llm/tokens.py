@@ -13,7 +13,7 @@ import numpy as np
 
 from .wordhash import _PIECE, pieces, span_hashes, word_bounds
 
-_CACHE = 400_000
+_CACHE = 1_000_000
 #: Words of Latin-1 letters only: one unit for the tokenizer's pattern, lower-cased per letter.
 _LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 
@@ -92,10 +92,13 @@ class Encoder:
         if len(self.slot) + len(unique) > max(_CACHE, len(unique)):
             self._empty()
         names = unique.tolist()
-        new = [i for i, h in enumerate(names) if h not in self.slot]
-        if new:
-            self._add([names[i] for i in new], [data[starts[first[i]]:ends[first[i]]] for i in new])
-        slots = np.fromiter((self.slot[h] for h in names), np.int64, len(names))[back]
+        found = list(map(self.slot.get, names))
+        if None in found:
+            new = [i for i, s in enumerate(found) if s is None]
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._add([names[i] for i in new], [data[a:b] for a, b in spans])
+            found = list(map(self.slot.get, names))
+        slots = np.array(found, np.int64)[back]
         lens = self.size[slots]
         ends_at = np.cumsum(lens)
         at = np.repeat(self.start[slots] - (ends_at - lens), lens) + np.arange(int(ends_at[-1]))
