@@ -8,7 +8,7 @@ boilerplate. Its first occurrence in the corpus stays and every other one is rem
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, salted_join
@@ -27,6 +27,11 @@ SALTS = 16
 _BLANK = " \t\r\x0b\x0c"
 
 
+def is_judged(line: Column) -> Column:
+    """Whether a line is long enough to be judged (compared without outer blanks)."""
+    return F.length(F.btrim(line, F.lit(_BLANK))) >= MIN_CHARS
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per judged line of a document: key of the row, site, line number, line hash."""
     parts = F.posexplode(F.split(F.col("text"), "\n", -1)).alias("pos", "line")

@@ -54,6 +54,26 @@ def test_stages(spark, make_docs, tmp_path):
     assert run.columns == ["doc_id", *(x.split()[0] for x in packing.PIECE.split(", "))]
 
 
+def test_stages_on_empty_tables_and_odd_rows(spark, make_docs, tmp_path):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    odd = [(None, None, None, None), (None, "", None, None), (1, "a b", None, None), (1, "a b", None, None), (2, "W!! X!!", None, "s")]
+    for rows in ([], odd):
+        docs = make_docs(rows).withColumnRenamed("lang", "score").withColumnRenamed("n_chars", "copies")
+        for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            assert i == 4 or out.columns == docs.columns
+            docs = out
+        assert docs.count() == 0 or rows
+
+
+def test_documents_made_of_boilerplate_go(spark, make_docs):
+    line = "one line that every site repeats"
+    rows = [(i, f"{line}\nok." if i else f"{line}\nbody of the first", None, f"s{i}") for i in range(12)]
+    out = corpus_pipeline.line_dedup(spark, make_docs(rows), "").collect()
+    assert [(r["doc_id"], r["text"]) for r in out] == [(0, rows[0][1])]
+
+
 def test_registration():
     names = list(entry.queries())
     assert "pipeline" in names
