@@ -1,9 +1,9 @@
 """Drift between the oldest 70 % and the newest 30 % of the prediction log.
 
 The reference loads the whole log into one process and slices a list. Here the split is an
-exact positional cut located by distributed selection (``ordered.positional_cut``), and both
-segments are summarised in one conditional-aggregation pass; no row is sorted globally or
-shuffled. A log shorter than ``min_rows`` gives an empty report, not an error.
+exact positional cut: it is found on a summary by buckets of time (one pass, or none where the
+scoring stream has written it), and only the rows of the bucket that holds it are read and
+ranked (``ordered.positional_cut``). No row is sorted globally or shuffled. A log shorter than ``min_rows`` gives an empty report, not an error.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import pct_change
 from ..schemas import DRIFT_REPORT
-from .ordered import label_first_k, positional_cut
+from .ordered import label_first_k, order_number, positional_cut, raw_range, running_sum
 
 # Drift parameters and metric definitions of the reference
 BASELINE_FRACTION = 0.7
@@ -42,60 +42,103 @@ ORDER = ("inference_timestamp", "transaction_id")
 
 
 DATE_COL = "inference_date"
+BATCH_COLS = ("query_id", "batch_id")
+#: Width of a summary's buckets of time.
+BUCKET_SECONDS = 60
+_SUMS = [f"{m}_{x}" for m, _ in METRICS for x in ("sum", "n")]
 
 
 def _flat(log: DataFrame, order=ORDER) -> DataFrame:
-    # only the nested leaves that are used: parquet reads just these columns; the date
-    # partition column (when the log has one) lets the selection passes prune folders
+    # only the nested leaves that are used: parquet reads just these columns; the partition
+    # columns (when the log has them) let range reads prune folders
     extra = [F.col(DATE_COL)] if DATE_COL in log.columns and order[0] == ORDER[0] else []
+    extra += [F.col(c) for c in BATCH_COLS if set(BATCH_COLS) <= set(log.columns)]
     return log.select(*[F.col(c) for c in order], *extra,
                       *[F.col(path).cast("double").alias(m) for m, path in METRICS])
 
 
 def _materialized(flat: DataFrame, materialize: bool) -> DataFrame:
-    """The selection reads the log several times. A stored log is re-read cheaply (two
-    pruned columns, ranges pushed down); a computed one (``materialize=True``) is checkpointed
-    once in its flat form (Spark removes it when the report is no longer referenced)."""
+    """The report reads the log twice. A stored log is re-read cheaply (pruned columns, the
+    second time one bucket of time, pushed down); a computed one (``materialize=True``) is
+    checkpointed once in its flat form (Spark removes it when no longer referenced)."""
     return flat.checkpoint(eager=True) if materialize else flat
 
 
+def _parts(weight) -> list:
+    """Per metric the weighted sum and the weight of its values (NULL adds to neither)."""
+    out = []
+    for m, _ in METRICS:
+        out += [(F.col(m) * weight).alias(f"{m}_sum"), F.when(F.col(m).isNotNull(), weight).alias(f"{m}_n")]
+    return out
+
+
+def summarise(log: DataFrame, order=ORDER, seconds: int = BUCKET_SECONDS, by: tuple = ()) -> DataFrame:
+    """What the report needs of every bucket of time: (bucket, rows, and per metric the sum and
+    number of its values), per ``by`` columns. Bucket NULL holds rows without a time. One pass,
+    combined on the map side; the result has a row per bucket, whatever the log's rate."""
+    flat = _flat(log, order)
+    return _summary_of(flat, order_number(flat, order[0]), seconds, by)
+
+
+def _summary_of(flat: DataFrame, t, seconds: int, by: tuple = ()) -> DataFrame:
+    one = F.lit(1).cast("bigint")
+    bucket = (t - F.pmod(t, F.lit(seconds * 1_000_000))).alias("bucket")
+    rows = flat.select(bucket, *[F.col(c) for c in by], one.alias("rows"), *_parts(one))
+    return rows.groupBy("bucket", *by).agg(*[F.sum(c).alias(c) for c in ("rows", *_SUMS)])
+
+
 def baseline_count(n: int, fraction: float = BASELINE_FRACTION) -> int:
     """``int(n * fraction)`` with binary floating point, as the reference slices (90 -> 62)."""
     return int(n * fraction)
 
 
 def labelled_log(log: DataFrame, fraction: float = BASELINE_FRACTION, min_rows: int = MIN_ROWS,
-                 order=ORDER, materialize: bool = False, **cut_options):
-    """(flat log with ``is_baseline`` and weight ``_w``, n), or (None, n) below ``min_rows``.
-    ``materialize``: the log is computed (not a stored table), write its flat form once."""
+                 order=ORDER, materialize: bool = False, summary: DataFrame | None = None,
+                 seconds: int = BUCKET_SECONDS, **cut_options):
+    """(parts of the log with ``is_baseline``, ``rows`` and the sums of ``summarise``; n), or
+    (None, n) below ``min_rows``.
+
+    The cut is found on the bucket summary. Buckets on one side of it are parts as they are;
+    only the rows of the bucket that holds it are read, and ranked. ``summary``: a stored
+    summary (rows of ``summarise``, any number per bucket, with the batch columns of the log);
+    the log then counts as far as the summary reaches. ``materialize``: the log is computed."""
     flat = _materialized(_flat(log, order), materialize)
-    from .ordered import order_number
     t = order_number(flat, order[0])
-    st = flat.agg(F.count(F.lit(1)).alias("n"), F.count(t).alias("nn"),
-                  F.min(t).alias("lo"), F.max(t).alias("hi")).first()
-    n = st["n"]
+    known = summary if summary is not None else _summary_of(flat, t, seconds)
+    known = known.checkpoint(eager=True)
+    per = known.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("rows", *_SUMS)])
+    st = per.agg(F.sum("rows").alias("n"), F.sum(F.when(F.col("bucket").isNull(), F.col("rows"))).alias("none")).first()
+    n = st["n"] or 0
     if n < min_rows:
         return None, n
-    if st["nn"] != n:
-        raise ValueError(f"{n - st['nn']} log rows have a NULL {order[0]}")
+    if st["none"]:
+        raise ValueError(f"{st['none']} log rows have a NULL {order[0]}")
     k = baseline_count(n, fraction)
     if k == 0:
-        return flat.select("*", F.lit(False).alias("is_baseline"),
-                           F.lit(1).cast("bigint").alias("_w")), n
+        return per.withColumn("is_baseline", F.lit(False)), n
+    placed = running_sum(per.select("bucket", "rows"), "bucket", ["rows"])
+    at = placed.where((F.col("rows_before") < k) & (F.col("rows_before") + F.col("rows") >= k)).first()
+    lo, hi = at["bucket"], at["bucket"] + seconds * 1_000_000 - 1
     date_col = DATE_COL if DATE_COL in flat.columns else None
-    cut = positional_cut(flat, k, order[0], order[1] if len(order) > 1 else None,
-                         n=n, bounds=(st["lo"], st["hi"]), date_col=date_col, **cut_options)
-    return label_first_k(flat, cut, "is_baseline", "_w"), n
-
-
-def _mean(x):
-    """Weighted mean of the values that are not NULL."""
-    w = F.col("_w")
-    return F.sum(x * w) / F.sum(F.when(x.isNotNull(), w))
-
-
-def _wavg(x, cond):
-    return F.coalesce(_mean(F.when(cond, x)), F.lit(0.0))
+    inside = flat.filter(raw_range(flat, order[0], lo, hi, date_col) & t.between(lo, hi))
+    if summary is not None and set(BATCH_COLS) <= set(known.columns):
+        # rows of batches that are not summed up yet do not count
+        inside = inside.join(known.where(F.col("bucket") == lo).select(*BATCH_COLS).distinct(),
+                             list(BATCH_COLS), "left_semi")
+    cut = positional_cut(inside, k - at["rows_before"], order[0], order[1] if len(order) > 1 else None,
+                         n=at["rows"], bounds=(lo, hi), date_col=date_col, **cut_options)
+    rows = label_first_k(inside, cut, "is_baseline", "_w")
+    rows = rows.select("is_baseline", F.col("_w").alias("rows"), *_parts(F.col("_w")))
+    whole = per.where(F.col("bucket") != lo).select((F.col("bucket") < lo).alias("is_baseline"), "rows", *_SUMS)
+    return whole.unionByName(rows), n
+
+
+def _mean(m: str, cond=None):
+    """Mean of a metric over the parts where ``cond`` holds; NULL values weigh nothing."""
+    total, number = F.col(f"{m}_sum"), F.col(f"{m}_n")
+    if cond is not None:
+        total, number = F.when(cond, total), F.when(cond, number)
+    return F.sum(total) / F.sum(number)
 
 
 def segment_summaries(log: DataFrame, fraction: float = BASELINE_FRACTION,
@@ -108,10 +151,8 @@ def segment_summaries(log: DataFrame, fraction: float = BASELINE_FRACTION,
         return log.sparkSession.createDataFrame(
             [], "segment string, count bigint, " + ", ".join(f"{m} double" for m, _ in METRICS))
     seg = F.when(F.col("is_baseline"), F.lit("baseline")).otherwise(F.lit("recent"))
-    w = F.col("_w")
     out = lab.groupBy(seg.alias("segment")).agg(
-        F.sum(w).alias("count"),
-        *[_mean(F.col(m)).alias(m) for m, _ in METRICS])
+        F.sum("rows").alias("count"), *[_mean(m).alias(m) for m, _ in METRICS])
     if digits is not None:
         out = out.select("segment", "count", *[F.round(m, digits).alias(m) for m, _ in METRICS])
     return out.select(*cols)
@@ -120,8 +161,8 @@ def segment_summaries(log: DataFrame, fraction: float = BASELINE_FRACTION,
 def _compare(lab: DataFrame, metrics: list, threshold: float) -> DataFrame:
     """Both segments' means in one pass, then one row per metric."""
     b = F.col("is_baseline")
-    wide = lab.agg(*[_wavg(F.col(m), b).alias(f"b_{m}") for m in metrics],
-                   *[_wavg(F.col(m), ~b).alias(f"r_{m}") for m in metrics])
+    wide = lab.agg(*[F.coalesce(_mean(m, b), F.lit(0.0)).alias(f"b_{m}") for m in metrics],
+                   *[F.coalesce(_mean(m, ~b), F.lit(0.0)).alias(f"r_{m}") for m in metrics])
     stack = "stack({}, {}) as (metric, base, recent)".format(
         len(metrics), ", ".join(f"'{m}', b_{m}, r_{m}" for m in metrics))
     long = wide.select(F.expr(stack))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..operators import drift, registry, training
 from ..schemas import MODEL_FEATURES
-from ..sources.tables import read_features, read_predictions
+from ..sources.tables import _exists, read_features, read_predictions
+from ..streaming.scoring import summary_path
 
 # Fixed value: the registered model name of the reference
 MODEL_NAME = "fraud_model"
@@ -71,12 +72,18 @@ def retrain_job(spark: SparkSession, paths: Paths, split: str = "hash") -> DataF
     return registry.champion_history(runs).filter(F.col("run_id") == run_id)
 
 
+def _summary(spark: SparkSession, paths: Paths):
+    """The scoring stream's sums, or None for a log that has none (they are then computed)."""
+    path = summary_path(paths.predictions)
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
 def drift_job(spark: SparkSession, paths: Paths, retrain: bool = True):
     """Drift report over the prediction log; when risk score or amount drifted (and
     ``retrain``), run :func:`retrain_job`. Returns (report, decision, retrain result); the
     report is persisted (five rows), the caller unpersists it when done."""
     log = read_predictions(spark, paths.predictions)
-    report = drift.drift_report(log).persist()
+    report = drift.drift_report(log, summary=_summary(spark, paths)).persist()
     decision = drift.retrain_decision(report).first()
     result = None
     if retrain and decision is not None and decision["should_retrain"]:
@@ -89,7 +96,7 @@ def gauges_job(spark: SparkSession, paths: Paths) -> DataFrame:
     (nothing when the log is shorter than 20 records). The eight rows are computed once; what
     is returned is what was written."""
     log = read_predictions(spark, paths.predictions)
-    gauges = drift.gauge_rows(drift.drift_gauges(log))
+    gauges = drift.gauge_rows(drift.drift_gauges(log, summary=_summary(spark, paths)))
     rows = spark.createDataFrame(gauges.collect(), gauges.schema)
     if paths.gauges and not rows.isEmpty():
         rows.write.mode("append").parquet(paths.gauges)

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import (ONLINE, STORE, FeatureSpec, model_input_columns,
                                   online_features, store_features)
-from ..operators import contract, registry, scoring, silver
+from ..operators import contract, drift, registry, scoring, silver
 from ..schemas import TRANSACTION
 from .sinks import apply_trigger, write_batch, write_kafka
 
@@ -46,6 +46,11 @@ class ChampionLoader:
         return self._model, self._run_id
 
 
+def summary_path(predictions_path: str) -> str:
+    """Where the sums per batch and bucket of time of a prediction log are."""
+    return f"{predictions_path.rstrip('/')}_summary"
+
+
 def parse_fields(batch: DataFrame) -> DataFrame:
     """Raw text -> one row of transaction fields per message (NULLs where parsing failed),
     plus the feature store's own reading and the text itself."""
@@ -130,14 +135,16 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
             dated = partition_by_date and "inference_timestamp" in records.columns
             if dated:
                 records = records.withColumn("inference_date", F.to_date("inference_timestamp"))
-            if kafka:                   # written twice: keep one copy of the records
-                records = records.persist()
+            records = records.persist()    # read again for the summary
             write_batch(records, predictions_path, batch_id,
                         partition_by=["inference_date"] if dated else None)
+            if "inference_timestamp" in records.columns:
+                # committed after the batch's records: the drift report trusts what is here
+                write_batch(drift.summarise(records).coalesce(1), summary_path(predictions_path), batch_id)
             if kafka:
                 write_kafka(scoring.to_json_value(records.drop("inference_date")),
                             kafka["servers"], kafka["topic"])
-                records.unpersist()
+            records.unpersist()
         finally:
             fields.unpersist()
     return write

@@ -100,3 +100,31 @@ def test_partitioned_log_prunes_and_matches(spark):
                                    "inference_date"))._jdf.queryExecution() \
         .executedPlan().toString()
     assert "PartitionFilters: [isnotnull(inference_date" in plan
+
+
+def test_report_from_stored_summaries(spark):
+    """Sums written per batch give the same report as the log; rows of a batch that is not
+    summed up yet do not count; the raw log is read inside one bucket of time only."""
+    import datetime as dt
+    from riskflow.session import scratch_path
+    amounts = [float(i % 17) for i in range(300)]
+    log = _log(spark, amounts, prob=[(i % 10) / 10 for i in range(300)])
+    path = scratch_path(spark, "summaries")
+    n = (F.unix_timestamp("inference_timestamp") / 60).cast("long") % 2
+    for b in (0, 1):
+        part = log.filter(n == b)
+        part.write.parquet(f"{path}/log/query_id=q/batch_id={b}")
+        drift.summarise(part, seconds=1800).write.parquet(f"{path}/sums/query_id=q/batch_id={b}")
+    extra = log.withColumn("inference_timestamp", F.col("inference_timestamp") + F.lit(dt.timedelta(seconds=5)))
+    extra.write.parquet(f"{path}/log/query_id=q/batch_id=2")
+    stored, sums = spark.read.parquet(f"{path}/log"), spark.read.parquet(f"{path}/sums")
+    want = sorted(map(tuple, drift.drift_report(log).collect()))
+    assert sorted(map(tuple, drift.drift_report(log, seconds=1800, exact_limit=4).collect())) == want
+    got = drift.drift_report(stored, summary=sums, seconds=1800)
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_null_metric_weighs_nothing(spark):
+    log = _log(spark, [100.0 if i % 2 else None for i in range(40)])
+    seg = {r["segment"]: r["avg_amount"] for r in drift.segment_summaries(log).collect()}
+    assert seg == {"baseline": 100.0, "recent": 100.0}
