@@ -28,68 +28,73 @@ _LETTER = np.zeros(256, np.float32)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = 1
 
 
-def _sigmoid(x):
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
-def _cell(x, h, u):
-    """One step of the gated unit: update gate, reset gate, candidate, its recurrent part, state."""
+def _cell(xg, xn, h, ug, un):
+    """One step of the gated unit: gates (update, reset), candidate, its recurrent part, state.
+    The gates are piecewise linear sigmoids, the candidate is x / (1 + |x|): both cost a few
+    passes over memory, where the exponentials would take most of the time."""
     k = h.shape[1]
-    a = h @ u
-    gates = _sigmoid(x[:, :2 * k] + a[:, :2 * k])
-    z, r = gates[:, :k], gates[:, k:]
-    n = np.tanh(x[:, 2 * k:] + r * a[:, 2 * k:])
-    return z, r, n, a[:, 2 * k:], n + z * (h - n)
+    g = h @ ug
+    g += xg
+    g *= 0.25
+    g += 0.5
+    np.clip(g, 0, 1, out=g)
+    a = h @ un
+    n = a * g[:, k:]
+    n += xn
+    n /= np.abs(n) + 1
+    new = h - n
+    new *= g[:, :k]
+    new += n
+    return g, n, a, new
 
 
 class Network:
-    """Weights by name: ``g*`` input gates per byte, ``u*`` recurrent, ``v*`` output; f and b
-    are the two directions."""
+    """Weights by name: ``x*`` and ``c*`` inputs per byte of the gates and the candidate, ``u*``
+    and ``r*`` their recurrent parts, ``v*`` output; f and b are the two directions."""
 
     def __init__(self, languages: list[str], seed: int = SEED):
         rng = np.random.default_rng(seed)
         draw = lambda *s: (rng.standard_normal(s) * (1 / np.sqrt(HIDDEN))).astype(np.float32)
         self.languages = languages
         self.w = {f"{k}{d}": draw(*s) for d in "fb" for k, s in
-                  (("g", (256, 3 * HIDDEN)), ("u", (HIDDEN, 3 * HIDDEN)), ("v", (HIDDEN, len(languages))))}
+                  (("x", (256, 2 * HIDDEN)), ("c", (256, HIDDEN)), ("u", (HIDDEN, 2 * HIDDEN)),
+                   ("r", (HIDDEN, HIDDEN)), ("v", (HIDDEN, len(languages))))}
         self.w["o"] = np.zeros(len(languages), np.float32)
 
-    def _run(self, data: np.ndarray, d: str, back: bool) -> list[tuple]:
-        """Steps of one direction over bytes (time, side): (state before, *cell)."""
-        g, u = self.w["g" + d], self.w["u" + d]
-        h, out = np.zeros((data.shape[1], HIDDEN), np.float32), []
+    def _steps(self, data: np.ndarray, d: str, back: bool):
+        """Steps of one direction over bytes (time, side): (time, state before, *cell)."""
+        x, c, u, r = (self.w[k + d] for k in "xcur")
+        h = np.zeros((data.shape[1], HIDDEN), x.dtype)
         for t in (reversed(range(len(data))) if back else range(len(data))):
-            step = _cell(g[data[t]], h, u)
-            out.append((h, *step))
+            step = _cell(x.take(data[t], axis=0), c.take(data[t], axis=0), h, u, r)
+            yield t, h, *step
             h = step[-1]
-        return out
 
-    def _grad_run(self, data, d, back, steps, dh_out, grads):
+    def _grad_run(self, data, d, steps, dh_out, grads):
         """Backpropagation through time of one direction; ``dh_out``: gradient of each state."""
-        u, k = self.w["u" + d], HIDDEN
-        du, dx_all, carry = np.zeros_like(u), np.empty((*data.shape, 3 * k), np.float32), np.zeros_like(dh_out[0])
-        times = list(reversed(range(len(data))) if back else range(len(data)))
-        for i in reversed(range(len(times))):
-            before, z, r, n, a, _ = steps[i]
-            dh = dh_out[times[i]] + carry
-            dn = dh * (1 - z) * (1 - n * n)
-            dz = dh * (before - n) * z * (1 - z)
-            dr = dn * a * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn], axis=1)
-            da = np.concatenate([dz, dr, dn * r], axis=1)
-            dx_all[times[i]] = dx
-            du += before.T @ da
-            carry = dh * z + da @ u.T
-        flat, rows = data.ravel(), dx_all.reshape(-1, 3 * k)
+        u, r, k = self.w["u" + d], self.w["r" + d], HIDDEN
+        du, dr, carry = np.zeros_like(u), np.zeros_like(r), np.zeros_like(dh_out[0])
+        dx, dc = np.empty((*data.shape, 2 * k), u.dtype), np.empty((*data.shape, k), u.dtype)
+        for t, before, g, n, a, _ in reversed(steps):
+            dh = dh_out[t] + carry
+            dn = dh * (1 - g[:, :k]) * np.square(1 - np.abs(n))
+            dg = np.concatenate([dh * (before - n), dn * a], axis=1) * ((g > 0) & (g < 1)) * 0.25
+            da = dn * g[:, k:]
+            dx[t], dc[t] = dg, dn
+            du += before.T @ dg
+            dr += before.T @ da
+            carry = dh * g[:, :k] + dg @ u.T + da @ r.T
+        flat = data.ravel()
         order = np.argsort(flat, kind="stable")
         first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
-        dg = np.zeros_like(self.w["g" + d])
-        dg[flat[order][first]] = np.add.reduceat(rows[order], first)
-        grads["u" + d], grads["g" + d] = du, dg
+        for name, rows in (("x", dx.reshape(-1, 2 * k)), ("c", dc.reshape(-1, k))):
+            grads[name + d] = np.zeros_like(self.w[name + d])
+            grads[name + d][flat[order][first]] = np.add.reduceat(rows[order], first)
+        grads["u" + d], grads["r" + d] = du, dr
 
     def gradients(self, data: np.ndarray, label: np.ndarray) -> tuple[float, dict]:
         """Mean cross-entropy over all positions of letters and its gradients."""
-        sf, sb = self._run(data, "f", False), self._run(data, "b", True)
+        sf, sb = list(self._steps(data, "f", False)), list(self._steps(data, "b", True))
         hf, hb = np.stack([s[-1] for s in sf]), np.stack([s[-1] for s in sb][::-1])
         logits = hf @ self.w["vf"] + hb @ self.w["vb"] + self.w["o"]
         p = np.exp(logits - logits.max(axis=2, keepdims=True))
@@ -101,8 +106,8 @@ class Network:
         p[:, side, label] -= 1
         p *= weight[:, :, None]
         grads = {"o": p.sum(axis=(0, 1)), "vf": np.einsum("tbh,tbl->hl", hf, p), "vb": np.einsum("tbh,tbl->hl", hb, p)}
-        self._grad_run(data, "f", False, sf, p @ self.w["vf"].T, grads)
-        self._grad_run(data, "b", True, sb, p @ self.w["vb"].T, grads)
+        self._grad_run(data, "f", sf, p @ self.w["vf"].T, grads)
+        self._grad_run(data, "b", sb, p @ self.w["vb"].T, grads)
         return loss, grads
 
     def fit(self, windows: np.ndarray, label: np.ndarray, steps: int = STEPS) -> None:
@@ -128,16 +133,18 @@ class Network:
 
     def label_windows(self, data: np.ndarray) -> np.ndarray:
         """Sums over letter positions of the language probabilities: bytes (SPAN, side) -> (side, languages)."""
-        back = [s[-1] for s in self._run(data, "b", True)][::-1]
-        g, u = self.w["gf"], self.w["uf"]
-        h = np.zeros((data.shape[1], HIDDEN), np.float32)
-        out = np.zeros((data.shape[1], len(self.languages)), np.float64)
-        for t in range(len(data)):
-            h = _cell(g[data[t]], h, u)[-1]
-            logits = h @ self.w["vf"] + back[t] @ self.w["vb"] + self.w["o"]
-            p = np.exp(logits - logits.max(axis=1, keepdims=True))
-            out += p * (_LETTER[data[t]] / p.sum(axis=1))[:, None]
-        return out
+        states = np.empty((len(data), data.shape[1], 2 * HIDDEN), np.float32)
+        for d, at, back in (("f", 0, False), ("b", HIDDEN, True)):
+            for t, *_, h in self._steps(data, d, back):
+                states[t, :, at:at + HIDDEN] = h
+        weights = np.concatenate([self.w["vf"], self.w["vb"]])
+        # states lie within -1 and 1, so the exponentials stay in range after this shift
+        p = states.reshape(-1, 2 * HIDDEN) @ weights
+        p += self.w["o"] - np.abs(weights).sum(axis=0).max() / 4
+        np.clip(p, -80, 80, out=p)
+        np.exp(p, out=p)
+        p *= (_LETTER[data].ravel() / (p @ np.ones(p.shape[1], np.float32)))[:, None]
+        return p.reshape(len(data), data.shape[1], -1).sum(axis=0, dtype=np.float64)
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and its probability for every text; ``und`` and 0 without a letter."""

@@ -13,7 +13,7 @@ def test_gradients_match_finite_differences():
     data[5:, 0] = 0
     label = np.array([0, 1, 2, 1])
     _, grads = net.gradients(data, label)
-    for name in ("gf", "gb", "uf", "ub", "vf", "vb", "o"):
+    for name in ("xf", "xb", "cf", "cb", "uf", "ub", "rf", "rb", "vf", "vb", "o"):
         flat, g = net.w[name].reshape(-1), grads[name].reshape(-1)
         for i in np.argsort(-np.abs(g))[:4]:
             keep, e = flat[i], 1e-3
