@@ -91,7 +91,7 @@ def plan(docs: DataFrame, size: Column, id_col: str = "doc_id",
               .join(cells, src.eqNullSafe(F.col("_src")) & (F.col("_cls") == F.col("_c"))
                     & (F.col("_salt") == F.col("_s"))))
     place = F.col("_ahead") + F.col("_rank")
-    each = F.col("target") / F.col("source_size")
+    each = F.try_divide("target", "source_size")
     crossed = (F.floor(place * each + F.col("_offset"))
                - F.floor((place - 1) * each + F.col("_offset")))
     return (joined.withColumn("copies", F.when(F.col("size") > 0, F.least(crossed, F.lit(MAX_COPIES)))
