@@ -21,6 +21,8 @@ SPAN, HIDDEN, SIDE = 128, 16, 2048
 PER_LANGUAGE, SAMPLE, CUTS = 600, 20_000, 4
 #: Adam steps, windows per step, learning rate.
 STEPS, BATCH, RATE = 260, 96, 0.02
+#: Tasks that the rows of one language are dealt over while the sample is drawn.
+SALTS = 64
 UNKNOWN = "und"
 SEED = 5
 
@@ -183,9 +185,13 @@ def training_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(lang, data): ``CUTS`` windows at places spread evenly over each sampled document. At most
     ``PER_LANGUAGE`` documents of a language (the first by a hash of the id) and ``SAMPLE`` in
     all are read; only rows that may be learned from, with a language and a text."""
+    # first among the rows of a language that share a salt, then among the few that are left
+    salt = F.pmod("h", F.lit(SALTS))
+    near = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h", "k"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "k"))
     ids = (docs.select(F.col(id_col).alias("k"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
            .where(F.col("lang").isNotNull() & learnable("k") & F.col(text_col).isNotNull())
+           .withColumn("salt", salt).withColumn("r", near).where(F.col("r") <= PER_LANGUAGE)
            .withColumn("r", rank).where(F.col("r") <= PER_LANGUAGE)
            .orderBy("r", "h", "k").limit(SAMPLE).select("k").distinct())
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
