@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words
+from .common import materialize, n_words
 
 #: Weights of the sources in code-point order, repeating; null stands last.
 WEIGHTS = (1, 2, 3)
@@ -70,8 +70,9 @@ def plan(docs: DataFrame, size: Column, id_col: str = "doc_id",
             .withColumn("_cls", (bits * 64 + F.floor(F.col("size") / F.pow(F.lit(2.0), bits))).cast("long"))
             .withColumn("_digest", F.md5(F.coalesce(doc.cast("string"), F.lit(""))))
             .withColumn("_salt", F.substring("_digest", 1, 2)))
-    cells = (rows.groupBy(src.alias("_src"), F.col("_cls").alias("_c"), F.col("_salt").alias("_s"))
-             .agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words")))
+    cells = rows.groupBy(src.alias("_src"), F.col("_cls").alias("_c"), F.col("_salt").alias("_s"))
+    # read three times below; without this the words would be counted as often
+    cells = materialize(cells.agg(F.count(F.lit(1)).alias("_n"), F.sum("size").alias("_words")))
     targets = source_targets(cells.select(F.col("_src").alias("source"), F.col("_words").alias("size")))
     # two steps, so that no window holds more than a source's classes or a class's salts
     classes = cells.groupBy(F.col("_src").alias("_k"), F.col("_c").alias("_kc")).agg(F.sum("_n").alias("_all"))
