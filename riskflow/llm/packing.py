@@ -1,8 +1,12 @@
 """Packing documents into sequences by lexical retrieval.
 
-Documents are tokenized once and dealt into shards of about ``SHARD_TOKENS`` tokens. Every
-shard holds a BM25 inverted index over its documents' token ids, with document frequencies and
-mean length taken over the whole corpus. A sequence starts with a seed document; its unused
+Documents are tokenized once and dealt into shards of about ``SHARD_TOKENS`` tokens by content:
+the terms a document would ask for are projected to ``WIDTH`` numbers, and documents go to the
+nearest of centroids that are fitted on a bounded sample, so that lexical neighbours of the whole
+corpus meet in one shard. Small cells beside each other share a shard; a cell beyond a shard's
+size (such as a large group of copies) is dealt over several. Every shard holds a BM25 inverted
+index over its documents' token ids, with document frequencies and mean length taken over the
+whole corpus. A sequence starts with a seed document; its unused
 neighbours by BM25 fill the window one after the other, and the document that crosses the end
 is cut there and becomes the next seed. So all sequences of a shard are full but the last,
 which is cut into parts whose lengths are powers of two and need no padding.
@@ -17,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ann import fit
 from .common import materialize, ship
 from .tokens import Encoder
 
@@ -28,6 +33,9 @@ SHARD_TOKENS = 2_000_000
 #: Terms of a seed's query (those of highest weight) and neighbours taken from one query.
 QUERY_TERMS, NEIGHBOURS = 24, 16
 K1, B = 1.2, 0.75
+#: Numbers of a document's projection; documents that centroids are fitted on, per shard and at most.
+WIDTH, SHARD_SAMPLE, SAMPLE = 128, 64, 100_000
+SEED = 11
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -41,6 +49,78 @@ def _encoder(path: str | None) -> Encoder:
     return _ENCODERS[path]
 
 
+def term_weights(tf: np.ndarray, idf: np.ndarray, length, mean: float) -> np.ndarray:
+    """BM25 weights of terms by their counts in documents of these lengths."""
+    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+
+
+def projections(docs: list[np.ndarray], idf: np.ndarray, mean: float, axes: np.ndarray) -> np.ndarray:
+    """One unit vector per document: its ``QUERY_TERMS`` terms of highest weight, among those that
+    another document has (``idf`` above 0), on random axes."""
+    out = np.zeros((len(docs), axes.shape[1]), np.float32)
+    for i, d in enumerate(docs):
+        term, count = np.unique(d, return_counts=True)
+        weight = term_weights(count, idf[term], len(d), mean)
+        if len(weight) > QUERY_TERMS:
+            best = np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]
+            term, weight = term[best], weight[best]
+        out[i] = weight.astype(np.float32) @ axes[term]
+    size = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return out / np.where(size > 0, size, 1)
+
+
+_AXES: dict[int, np.ndarray] = {}
+
+
+def _axes(terms: int) -> np.ndarray:
+    if terms not in _AXES:
+        _AXES[terms] = np.random.default_rng(SEED).standard_normal((terms, WIDTH), np.float32)
+    return _AXES[terms]
+
+
+class Cells:
+    """Two levels of centroids; cells are numbered so that those of one upper centroid adjoin."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        upper = max(1, min(round(cells ** 0.5), len(sample)))
+        self.upper = fit(sample, upper).astype(np.float32)
+        near = self._nearest(sample, self.upper)
+        self.lower, self.first = [], [0]
+        for i in range(upper):
+            inside = sample[near == i]
+            wanted = max(1, min(round(cells * len(inside) / len(sample)), len(inside)))
+            self.lower.append((fit(inside, wanted) if len(inside) else self.upper[i:i + 1]).astype(np.float32))
+            self.first.append(self.first[-1] + wanted)
+
+    @staticmethod
+    def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+        return np.argmax(x @ centers.T - 0.5 * (centers * centers).sum(axis=1), axis=1)
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        upper = self._nearest(x, self.upper)
+        out = np.zeros(len(x), np.int64)
+        for i in np.unique(upper):
+            mine = upper == i
+            out[mine] = self.first[i] + self._nearest(x[mine], self.lower[i])
+        return out
+
+
+def shards_of_cells(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first shard, number of shards) of every cell by its tokens. A cell beyond
+    ``SHARD_TOKENS`` has shards of its own; smaller ones share one with their neighbours."""
+    first, parts, shard, filled = [], [], 0, 0.0
+    for n in tokens:
+        if filled and filled + n > SHARD_TOKENS:
+            shard, filled = shard + 1, 0.0
+        first.append(shard)
+        parts.append(max(1, int(np.ceil(n / SHARD_TOKENS))))
+        if parts[-1] > 1:
+            shard, filled = shard + parts[-1], 0.0
+        else:
+            filled += n
+    return np.array(first, np.int64), np.array(parts, np.int64)
+
+
 class Index:
     """BM25 inverted index over the documents of a shard; ``idf`` by token id."""
 
@@ -50,7 +130,7 @@ class Index:
         term, tf = np.concatenate(terms).astype(np.int64), np.concatenate(counts).astype(np.float64)
         owner = np.repeat(np.arange(len(docs)), sizes)
         length = np.array([len(d) for d in docs], np.float64)
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[owner] / mean))
+        weight = term_weights(tf, idf[term], length[owner], mean)
         local = np.bincount(term, minlength=len(idf))
         order = np.argsort(term, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
@@ -181,9 +261,47 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          "sequence_id": (key[0].as_py() << 32) + sequence, "offset": offset})
 
     # the checkpointed rows have fixed places, so a row's number is the same in every attempt
-    dealt = (rows.withColumn("row", F.monotonically_increasing_id())
-             .withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards).cast("long"))))
+    dealt = rows.withColumn("row", F.monotonically_increasing_id())
+    if shards == 1:
+        dealt = dealt.withColumn("shard", F.lit(0).cast("long"))
+    else:
+        dealt = _by_content(dealt, read, np.where(count > 1, idf, 0.0), n, total, shards)
     return dealt.groupBy("shard").applyInArrow(fill, f"doc_id {id_kind}, {PIECE}")
 
 
+def _by_content(rows: DataFrame, read, idf: np.ndarray, n: int, total: int, shards: int) -> DataFrame:
+    """``rows`` with ``shard``: that of the cell nearest to the row's projection. Tokens of a cell
+    are taken from the sample; rows of a cell with several shards are dealt by row number."""
+    mean, terms = total / n, len(idf)
+
+    def project(batch):
+        docs = [read(d, w) for d, w in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist())]
+        return projections(docs, idf, mean, _axes(terms))
+
+    def draw(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in project(b)], pa.binary()), b.column("tokens")],
+                                             names=["at", "tokens"])
+
+    wanted = min(SAMPLE, SHARD_SAMPLE * shards)
+    share = F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(1 << 30)) < int(min(1.0, wanted / n) * (1 << 30)) + 1
+    drawn = rows.where(share).select("ids", "wide", "tokens").mapInArrow(draw, "at binary, tokens long").toPandas()
+    sample = np.frombuffer(b"".join(drawn["at"]), np.float32).reshape(-1, WIDTH)
+    if not len(sample):
+        return rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards).cast("long")))
+    cells = Cells(sample, min(shards, max(1, len(sample) // 8)))
+    held = np.bincount(cells.of(sample), drawn["tokens"], cells.first[-1])
+    first, parts = shards_of_cells(held * (total / max(1.0, held.sum())))
+
+    def deal(batches):
+        for b in batches:
+            cell, row = cells.of(project(b)), b.column("dealt").to_numpy()
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(first[cell] + row % parts[cell])],
+                                             names=[*b.schema.names[:-1], "shard"])
+
+    out = rows.withColumn("dealt", F.pmod(F.xxhash64("row"), F.lit(1 << 40)))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
+    return out.mapInArrow(deal, f"{kinds}, shard long")
+
+
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

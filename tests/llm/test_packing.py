@@ -80,6 +80,32 @@ def test_seeds_retrieve_related_documents():
     assert same >= 45
 
 
+def test_lexical_neighbours_meet_in_one_shard(make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 8000)
+    rng = random.Random(6)
+    words = [f"{a}{b}{c}" for a in ("thun", "ed", "or", "qui", "mar") for b in ("ing", "ble", "ter", "x") for c in ("o", "us", "ty", "ez")]
+    rng.shuffle(words)
+    texts = [" ".join(rng.choice(words[i % 8 * 10:i % 8 * 10 + 10]) for _ in range(60)) for i in range(320)]
+    rows = packing.pack(make_docs(list(enumerate(texts)))).collect()
+    assert check_pieces(rows, texts) == 0
+    shard = {r["doc_id"]: r["sequence_id"] >> 32 for r in rows}
+    assert len(set(shard.values())) >= 4
+    mates = [(i, j) for i in range(320) for j in range(i + 8, 320, 8)]
+    # dealt by row number, about one pair in as many as there are shards
+    assert sum(shard[i] == shard[j] for i, j in mates) >= 0.5 * len(mates)
+
+
+def test_a_large_cell_is_dealt_over_several_shards(make_docs, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 1000)
+    texts = ["the very same words in every document"] * 400
+    rows = packing.pack(make_docs(list(enumerate(texts)))).collect()
+    assert check_pieces(rows, texts) == 0
+    held = defaultdict(int)
+    for r in rows:
+        held[r["sequence_id"] >> 32] += r["length"]
+    assert max(held.values()) <= 2000
+
+
 @pytest.mark.parametrize("lengths", [[1], [2048], [2047, 2], [5000, 1, 1, 100], [3] * 10])
 def test_cut_has_no_padding(lengths):
     docs = [np.zeros(n) for n in lengths]
