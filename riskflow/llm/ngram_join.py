@@ -14,8 +14,8 @@ prefixes cost more postings but demand more matches, so ``l`` follows the estima
 
 Equal sets are one class from the start, and only classes go through the join. Candidate
 classes are grouped into connected groups, each class's set is sent once to its group, and
-there an inverted index verifies every pair exactly; groups beyond ``BLOCK`` shingles are
-indexed in blocks that all of the group's sets are held against.
+there an inverted index verifies every pair exactly; groups beyond ``BLOCK`` shingles are dealt
+into blocks, and every two blocks meet in a task of their own, which holds no more than these.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ PERCENT = 80
 STEP = 16
 #: A shingle of more sets than this makes no candidate pairs in the first round.
 COMMON = 24
-#: Shingles of one inverted index.
+#: Shingles of one inverted index, and of the sets of another block that are held against it.
 BLOCK = 4_000_000
 _ROWS = 200_000
 
@@ -227,17 +227,33 @@ def link_sets(cls: list[int], sets: list[np.ndarray], indexed: list[bool]) -> li
     return [(cls[x], cls[r]) for x in range(len(cls)) if (r := union.root(x)) != x]
 
 
+def dealt(placed: DataFrame) -> DataFrame:
+    """(part, cls, n, tokens) -> (part, low, high, cls, n, tokens, indexed).
+
+    The sets of a part are dealt into blocks of about ``BLOCK`` shingles. Every pair of blocks
+    is one key, whose lower block is indexed and whose higher one is held against it (a block is
+    also paired with itself), so any two sets of a part meet and no key holds more than two."""
+    size = placed.groupBy(F.col("part").alias("p")).agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+    # few parts have several blocks: as many as the corpus has blocks at most
+    rows = (placed.join(F.broadcast(size.where("blocks > 1")), F.col("part") == F.col("p"), "left")
+            .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+            .withColumn("own", F.pmod(F.hash("cls"), F.col("blocks")))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    return rows.select("part", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                       "cls", "n", "tokens", (F.col("own") <= F.col("other")).alias("indexed"))
+
+
 def _verify(rows: DataFrame) -> DataFrame:
-    """(part, block, cls, tokens, indexed) sorted by (part, block) in each partition -> links."""
+    """Rows of ``dealt`` sorted by (part, low, high) in each partition -> links."""
 
     def run(batches):
         key, cls, sets, flag = None, [], [], []
         for b in batches:
-            for p, k, c, t, i in zip(*(c.to_pylist() for c in b.columns)):
-                if (p, k) != key:
+            for p, k, h, c, t, i in zip(*(c.to_pylist() for c in b.columns)):
+                if (p, k, h) != key:
                     if len(cls) > 1:
                         yield from pack(link_sets(cls, sets, flag))
-                    key, cls, sets, flag = (p, k), [], [], []
+                    key, cls, sets, flag = (p, k, h), [], [], []
                 cls.append(c)
                 sets.append(np.frombuffer(t, np.uint64))
                 flag.append(i)
@@ -249,7 +265,7 @@ def _verify(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()),
                                               pa.array([x[1] for x in links], pa.int64())], names=["u", "v"])
 
-    return rows.select("part", "block", "cls", "tokens", "indexed").mapInArrow(run, "u long, v long")
+    return rows.select("part", "low", "high", "cls", "tokens", "indexed").mapInArrow(run, "u long, v long")
 
 
 def candidate_links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -289,12 +305,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     parts = components(links)
     member = parts.unionByName(parts.select(F.col("root").alias("node"), "root")).distinct()
     placed = sets.join(member, F.col("cls") == F.col("node")).select(F.col("root").alias("part"), "cls", "n", "tokens")
-    blocks = (sets.select("cls", "n").join(member, F.col("cls") == F.col("node"))
-              .groupBy(F.col("root").alias("p")).agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks")))
-    spread = (placed.join(blocks, F.col("part") == F.col("p"))
-              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("indexed", F.pmod(F.hash("cls"), F.col("blocks")) == F.col("block")))
-    ready = spread.repartition("part", "block").sortWithinPartitions("part", "block")
+    ready = dealt(placed).repartition("part", "low", "high").sortWithinPartitions("part", "low", "high")
     linked = components(_verify(ready))
     group = (linked.join(reps, F.col("node") == F.col("cls")).select("root", "doc_id")
              .groupBy("root").agg(F.min("doc_id").alias("low")))

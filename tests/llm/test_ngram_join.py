@@ -88,6 +88,28 @@ def test_one_large_group_of_near_copies(make_docs):
     assert got(make_docs(rows)) == by_hand(rows)
 
 
+def test_a_group_beyond_a_block_is_held_in_no_task(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 1000)
+    sets = [(p, 1000 * p + i, 50, b"") for p, size in ((1, 200), (2, 3)) for i in range(size)]
+    rows = ngram_join.dealt(spark.createDataFrame(sets, "part long, cls long, n long, tokens binary")).collect()
+    keys = defaultdict(list)
+    for r in rows:
+        keys[r["part"], r["low"], r["high"]].append(r)
+    # the group of part 1 has 10 blocks' shingles; a task holds two of them
+    assert max(sum(r["n"] for r in held) for held in keys.values()) <= 4 * 1000
+    met = defaultdict(int)
+    for held in keys.values():
+        for a in held:
+            for b in held:
+                if a["cls"] < b["cls"] and (a["indexed"] or b["indexed"]):
+                    met[a["cls"], b["cls"]] += 1
+    assert len(met) == 200 * 199 // 2 + 3
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    texts = [(i, " ".join(f"x{rng.randint(0, 10 ** 6)}" if rng.random() < 0.02 else w for w in base)) for i in range(80)]
+    assert got(make_docs(texts)) == by_hand(texts)
+
+
 def test_edge_cases(make_docs):
     text = "one two three four five six seven"
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, text), (7, text), (8, text.upper()),
