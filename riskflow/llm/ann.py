@@ -8,7 +8,7 @@ scored by the cosine of the original vectors in double precision.
 
 Centroids are fitted on a bounded sample; every row is indexed. The number of lists scanned is
 the least that reaches ``TARGET`` of the true neighbours of a bounded sample of queries, found
-by holding those against all rows.
+by holding those against all rows; a query whose lists hold too few other ids scans further ones.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ def scan_list(ids: np.ndarray, x: np.ndarray, unit: np.ndarray, query_id: int, q
     ``unit`` and ``unit_q`` are rotated unit vectors. The first rows set the bound; then
     candidates go when their partial distance, scaled to all columns, exceeds the bound by more
     than the test allows. Rows as far as the bound stay, so ties are decided by exact scores."""
-    alive = np.flatnonzero(ids != query_id)
+    others = alive = np.flatnonzero(ids != query_id)
     if not len(alive):
         return ids[:0], np.empty(0)
     width = unit.shape[1]
@@ -104,9 +104,21 @@ def scan_list(ids: np.ndarray, x: np.ndarray, unit: np.ndarray, query_id: int, q
         else:
             ok = part <= bound * (1 + 1e-6) + 1e-9
         alive, part = alive[ok], part[ok]
-    score = cosine(x[alive], q)
-    best = top(score, ids[alive], k)
-    return ids[alive[best]], score[best]
+    got, score = best_ids(x[alive], ids[alive], q, k)
+    if len(got) < k and len(alive) < len(others):
+        # the tests have dropped too many, or the bound was set by rows of one id
+        got, score = best_ids(x[others], ids[others], q, k)
+    return got, score
+
+
+def best_ids(x: np.ndarray, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best distinct ids by cosine with q, with their scores."""
+    score = cosine(x, q)
+    best = top(score, ids, k)
+    if len(np.unique(ids[best])) < len(best):
+        order = np.lexsort((ids, -score))
+        best = order[np.sort(np.unique(ids[order], return_index=True)[1])][:k]
+    return ids[best], score[best]
 
 
 def usable(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -159,13 +171,22 @@ def search(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     if not probes:
         return empty
 
+    # ids by list, each counted in one of its lists: so many the list is sure to add
+    held = np.zeros(len(centers), np.int64)
+    for r in indexed.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        held[r["list"]] = r["count"]
+
     def choose(batches):
         for pdf in batches:
             u = _unit(_matrix(pdf["vec"], width))
-            order = np.argsort(half - u @ centers.T, axis=1, kind="stable")[:, :probes]
-            yield pd.DataFrame({"list": order.ravel().astype(np.int32),
-                                "query_id": np.repeat(pdf["vec_id"].to_numpy(), probes),
-                                "q": np.repeat(pdf["vec"].to_numpy(), probes)})
+            order = np.argsort(half - u @ centers.T, axis=1, kind="stable")
+            # the query's own id is no neighbour; all lists are few enough if they hold fewer than k
+            covered = np.cumsum(held[order], axis=1) > k
+            need = np.where(covered.any(axis=1), covered.argmax(axis=1) + 1, len(held))
+            take = np.maximum(need, probes)
+            yield pd.DataFrame({"list": order[np.arange(len(held)) < take[:, None]].astype(np.int32),
+                                "query_id": np.repeat(pdf["vec_id"].to_numpy(), take),
+                                "q": np.repeat(pdf["vec"].to_numpy(), take)})
 
     asked = queries.mapInPandas(choose, "list int, query_id long, q binary")
     # one row per list: how many blocks its rows and its queries are dealt into

@@ -50,6 +50,26 @@ def test_copies_tie_to_smaller_ids(spark):
     assert [a for a, _ in got[350]] == [i for i in range(0, 400, 7) if i != 350][:5]
 
 
+def test_lone_vectors_beside_dense_clusters_get_k_neighbours(spark):
+    rng = np.random.default_rng(5)
+    ids = np.arange(4000)
+    x = rng.standard_normal((8, 32))[rng.integers(0, 8, 4000)] + 1e-4 * rng.standard_normal((4000, 32))
+    lone = ids[ids % 1000 == 50]
+    x[lone] = 20 * rng.standard_normal((len(lone), 32))
+    got = found(ann.search(frame(spark, ids, x)))
+    assert sorted(got) == ids[ids % 50 == 0].tolist()
+    assert {len(rows) for rows in got.values()} == {5}
+
+
+def test_k_distinct_neighbours_beside_a_repeated_id():
+    rng = np.random.default_rng(6)
+    x = np.concatenate([np.ones((40, 32)), rng.standard_normal((60, 32))])
+    ids = np.append(np.full(40, 7), np.arange(100, 160))
+    unit, q = ann._unit(x) @ ann.rotation(32), np.ones(32)
+    got, _ = ann.scan_list(ids, x, unit, 0, q, ann._unit(q[None])[0] @ ann.rotation(32), 5)
+    assert got[0] == 7 and len(set(got.tolist())) == 5
+
+
 def test_unusable_vectors_few_rows_and_repeats(spark):
     rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]),
             (6, []), (7, [0.5, 0.5]), (7, [0.5, 0.5]), (None, [1.0, 1.0]), (8, [1.0, 2.0, 3.0]), (50, [0.0, 2.0]), (50, [0.0, 2.0])]
