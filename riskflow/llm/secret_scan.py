@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
@@ -20,7 +22,7 @@ from .common import ship
 KINDS = ("assign", "access", "hex", "novel")
 #: Characters of text on each side that prime the compressor, beside the dictionary.
 AROUND = 256
-#: Characters before a candidate in which a sensitive word must stand.
+#: Characters between a sensitive word's end and a candidate's start at most.
 CONTEXT = 48
 #: Marginal compressed bytes per character from which a candidate is reported, and its length.
 MIN_NOVELTY, MIN_LENGTH = 0.77, 20
@@ -57,6 +59,8 @@ _KEYS = [b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key"]
 _SENSITIVE = re.compile("|".join(map(re.escape, SENSITIVE)), re.IGNORECASE | re.ASCII)
 _SENSITIVE_BYTES = [x.encode() for x in SENSITIVE]
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
+# what stands between the lines of one block: a line break (or a written one) and quoting
+_GAP = re.compile(r"""[\s"'`,\\>#*|]*[\n\r\\][\s"'`,\\>#*|]*""")
 _DICT = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
@@ -91,23 +95,54 @@ def base_spans(text: str, data: bytes | None = None) -> list[tuple[str, int, int
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+def _blocks(text: str) -> Iterator[tuple[list[tuple[int, int]], int, tuple[int, int]]]:
+    """Every maximal candidate string with the lines of its block and its place among them."""
+    blocks = []
+    for m in _CANDIDATE.finditer(text):
+        last = blocks[-1][-1][1] if blocks else None
+        if last is not None and m.start() - last <= CONTEXT and _GAP.fullmatch(text, last, m.start()):
+            blocks[-1].append(m.span())
+        else:
+            blocks.append([m.span()])
+    for lines in blocks:
+        for line, span in enumerate(lines):
+            yield lines, line, span
+
+
 def novel_spans(text: str, taken: list[tuple[str, int, int]], data: bytes | None = None) -> list[tuple[str, int, int]]:
     """Incompressible candidates in a sensitive context that touch no base span."""
     low = (data if data is not None else text.encode("utf-8", "surrogatepass")).lower()
     if not any(k in low for k in _SENSITIVE_BYTES):
         return []
-    out, marks = [], sorted((s, e) for _, s, e in taken)
-    for word in _SENSITIVE.finditer(text):
-        for m in _CANDIDATE.finditer(text, word.end(), min(len(text), word.end() + CONTEXT)):
-            start, end = m.start(), m.end()
-            while end < len(text) and (text[end].isascii() and (text[end].isalnum() or text[end] in "+/_=-")):
-                end += 1  # the context bounds the start only
-            if any(s < end and start < e for s, e in marks) or ("novel", start, end) in out:
-                continue
-            found = text[start:end]
-            varied = any(c.isdigit() for c in found) and any(c.isalpha() for c in found)
-            if varied and novelty(text[max(0, start - AROUND):start], found, text[end:end + AROUND]) >= MIN_NOVELTY:
-                out.append(("novel", start, end))
+    words = [m.span() for m in _SENSITIVE.finditer(text)]
+    ends = [e for _, e in words]
+    out, marks, block = [], sorted((s, e) for _, s, e in taken), None
+
+    def fits(start: int, end: int) -> bool:
+        if end - start < MIN_LENGTH or any(s < end and start < e for s, e in marks):
+            return False
+        # a block's lines are held against the text around the block, not against each other
+        before = lines[0][0] if line else start
+        after = end if line == len(lines) - 1 else lines[-1][1]
+        return novelty(text[max(0, before - AROUND):before], text[start:end], text[after:after + AROUND]) >= MIN_NOVELTY
+
+    for lines, line, (start, end) in _blocks(text):
+        at = bisect_right(ends, start)
+        near = at > 0 and start - ends[at - 1] <= CONTEXT
+        # the next line of an accepted block, as in a key file
+        near = near or (line > 0 and block == lines[line - 1][1])
+        inside = words[at:bisect_right(ends, end)]
+        if not near and not inside:
+            continue
+        # the whole string, what follows the first sensitive word in it, or the strings between such words
+        whole = [(start, end)] * near + [(e, end) for _, e in inside[:1]]
+        found = next(([span] for span in whole if fits(*span)), None)
+        if found is None:
+            stops = [s for s, _ in inside[1:]] + [end]
+            found = [(e, stop) for (_, e), stop in zip(inside, stops) if fits(e, stop)]
+        out += [("novel", *span) for span in found]
+        if found or any(s < end and start < e for s, e in marks):
+            block = end
     return out
 
 

@@ -41,6 +41,29 @@ def test_base_spans_stay_and_long_keys_end_outside_the_context():
     assert set(base) <= set(spans) and [k for k, *_ in base] == ["assign", "hex"]
 
 
+def test_the_context_bounds_only_the_start_of_a_key():
+    rng = random.Random(6)
+    chars = string.ascii_letters + string.digits
+    key = "".join(rng.choice(chars) for _ in range(40))
+    head = "credential for the production billing account: "
+    assert s.scan_text(head + key)[1] == [("novel", len(head), len(head) + 40)]
+    far = "credential" + " " * (s.CONTEXT + 1)
+    assert s.scan_text(far + key)[1] == []
+    assert s.scan_text(far[:-1] + key)[1] == [("novel", 10 + s.CONTEXT, 50 + s.CONTEXT)]
+    assert s.scan_text(f"x.{'y' * 60} bearer={key}")[1] == [("novel", 69, 110)]
+    letters = "".join(rng.choice(string.ascii_letters) for _ in range(40))
+    assert s.scan_text(f"the bearer {letters}")[1] == [("novel", 11, 51)]
+
+
+def test_later_lines_of_a_key_block():
+    rng = random.Random(7)
+    lines = ["".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(64)) for _ in range(5)]
+    head = "-----BEGIN PRIVATE KEY-----\n"
+    want = [("novel", len(head) + 65 * i, len(head) + 65 * i + 64) for i in range(5)]
+    assert s.scan_text(head + "\n".join(lines))[1] == want
+    assert s.scan_text("\n".join(lines))[1] == []
+
+
 def test_table(spark, make_docs):
     rows = [(1, None), (2, ""), (None, "token=abcdef1"), (3, "é token=abcdef1"), (3, "é token=abcdef1"), (2 ** 60 + 1, "x" * 200_000)]
     got = s.scan(make_docs(rows).withColumnRenamed("lang", "spans")).collect()
