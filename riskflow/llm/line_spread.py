@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import materialize, salted_join
 
 #: A line on so many distinct sites is boilerplate.
-MIN_SITES = 10
+MIN_SITES = 5
 #: Lines are judged from so many characters on (without outer blanks).
 MIN_CHARS = 10
 #: log2 of the sketch's registers. Below 3/4 of 2^(LG_K - 3) sites the sketch is a plain list.

@@ -59,5 +59,12 @@ def test_identical_rows_are_treated_alike(make_docs):
     assert all(r["lines_removed"] == 1 for r in out if r["doc_id"] != 5)
 
 
+def test_a_line_on_few_sites_is_boilerplate(make_docs):
+    line = "a passage that very many documents on a handful of sites share"
+    rows = [(i, f"body of {i} only\n{line}", None, f"s{i % 6}") for i in range(60)]
+    out = line_spread.remove_spread_lines(make_docs(rows)).collect()
+    assert {r["doc_id"]: r["lines_removed"] for r in out} == {i: int(i > 0) for i in range(60)}
+
+
 def test_empty_table(make_docs):
     assert line_spread.remove_spread_lines(make_docs([])).count() == 0
