@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, langid, line_rules, line_spread, mixing, ngram_join, packing, quality_rank, secret_scan, url_rules
+from . import ann, langid, line_rules, line_spread, minhash, mixing, ngram_join, packing, quality_rank, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -110,6 +110,15 @@ def op10_line_rules(spark, sf_dir):
     return line_rules.measure(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark, sf_dir):
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def minhash_classes(spark, sf_dir):
+    """The other half of operator 11: classes of near duplicates by signature bands."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_adaptive_scan": op1_adaptive_scan,
     "op2_byte_gru": op2_byte_gru,
@@ -121,5 +130,7 @@ QUERIES = {
     "op8_retrieval_packing": op8_retrieval_packing,
     "op9_mixing": op9_mixing,
     "op10_line_rules": op10_line_rules,
+    "op11_minhash": op11_minhash,
+    "minhash_classes": minhash_classes,
 }
 ORACLES = {"op4_url_rules": OP4_SQL, "op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL}
