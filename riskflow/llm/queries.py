@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, langid, line_rules, line_spread, minhash, mixing, ngram_join, packing, quality_rank, secret_scan, url_rules
+from . import ann, langid, line_rules, line_spread, minhash, mixing, ngram_join, packing, prefix_trie, quality_rank, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -119,6 +119,38 @@ def minhash_classes(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
+
+
+#: crc32 bit by bit: a byte is mixed in, and -1 stands for one shift.
+OP13_SQL = r"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, md5(role) || md5(text) AS dg, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS w,
+             row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, md5(role) || md5(text)) AS pos FROM t),
+v AS (SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT],
+               flatten(list_transform(string_split(c::VARCHAR, ''), lambda x: list_concat([ascii(x)::BIGINT], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))),
+               lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT) % 4 AS h
+      FROM (SELECT DISTINCT c FROM t)),
+b AS (SELECT v.c, o.pos, o.dg, o.w FROM v JOIN o ON o.c = v.c - v.c % 20 AND o.pos <= v.h),
+k AS (SELECT v.c, v.h, count(b.pos) AS m FROM v LEFT JOIN b ON b.c = v.c GROUP BY v.c, v.h),
+r AS (SELECT c, pos, dg, w FROM b UNION ALL SELECT o.c, o.pos - k.h + k.m, o.dg, o.w FROM o JOIN k ON o.c = k.c WHERE o.pos > k.h),
+p AS (SELECT c, pos AS depth, w, list(dg) OVER (PARTITION BY c ORDER BY pos) AS path FROM r),
+q AS (SELECT c, depth, w, md5(array_to_string(path, ',')) AS node,
+             CASE WHEN depth = 1 THEN '' ELSE md5(array_to_string(path[:-2], ',')) END AS up FROM p
+      UNION ALL SELECT c, 0, 0, '', NULL FROM v),
+e AS (SELECT v.c, count(r.pos) AS depth FROM v LEFT JOIN r ON r.c = v.c GROUP BY v.c),
+f AS (SELECT q.node, sha256(string_agg(q.c::VARCHAR, ',' ORDER BY q.c)) AS sha FROM q JOIN e ON q.c = e.c AND q.depth = e.depth GROUP BY q.node),
+n AS (SELECT node, depth, min(up) AS up, min(c) AS conv_id, count(*) AS n_convs, min(w) AS w FROM q GROUP BY node, depth),
+g AS (SELECT up, count(*) AS kids FROM n WHERE depth > 0 GROUP BY up),
+y AS (SELECT n.*, coalesce(g.kids, 0) AS n_children, (n_convs - 1) * w AS saved FROM n LEFT JOIN g ON n.node = g.up),
+s AS (SELECT q.node, count(*) FILTER (WHERE y.n_children = 0) AS n_leaves, sum(y.saved)::BIGINT AS saved_tokens
+      FROM y JOIN q ON q.c = y.conv_id AND q.depth <= y.depth GROUP BY q.node)
+SELECT y.conv_id, y.depth, z.conv_id AS parent_conv_id, y.n_convs, y.n_children, s.n_leaves, s.saved_tokens,
+       coalesce(f.sha, sha256('')) AS ends_sha256
+FROM y JOIN s ON s.node = y.node LEFT JOIN n z ON z.node = y.up LEFT JOIN f ON f.node = y.node
+"""
+
 QUERIES = {
     "op1_adaptive_scan": op1_adaptive_scan,
     "op2_byte_gru": op2_byte_gru,
@@ -132,5 +164,7 @@ QUERIES = {
     "op10_line_rules": op10_line_rules,
     "op11_minhash": op11_minhash,
     "minhash_classes": minhash_classes,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-ORACLES = {"op4_url_rules": OP4_SQL, "op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL}
+ORACLES = {"op4_url_rules": OP4_SQL, "op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL,
+           "op13_prefix_trie": OP13_SQL}
