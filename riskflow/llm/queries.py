@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import ann, langid, line_rules, line_spread, minhash, mixing, ngram_join, packing, prefix_trie, quality_rank, secret_scan, url_rules
+from . import ann, collocations, langid, line_rules, line_spread, minhash, mixing, ngram_join, packing, prefix_trie, quality_rank, secret_scan, url_rules
 from .common import materialize, n_words, table
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -119,6 +119,36 @@ def minhash_classes(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = rf"""
+WITH p AS (SELECT lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM (SELECT coalesce(lang, 'und') AS lang, text FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+k AS (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS k),
+g AS (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM w, k WHERE len(w) >= k),
+c AS (SELECT lang, k, w[i:i + k - 1] AS ws, count(*) AS n FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang),
+f AS (SELECT * FROM c WHERE n >= {collocations.THRESHOLD}),
+x AS (SELECT lang, ws[i:i + j - 1] AS ws, max(n) AS n
+      FROM (SELECT lang, ws, n, k, j, unnest(range(1, k - j + 2)) AS i
+            FROM (SELECT lang, ws, n, k, unnest(range(2, k)) AS j FROM f WHERE k > 2)) GROUP BY ALL),
+s AS (SELECT f.lang, f.ws, f.k, f.n AS a, unnest(range(1, f.k)) AS j
+      FROM f LEFT JOIN x ON x.lang = f.lang AND x.ws = f.ws WHERE f.k > 1 AND (x.n IS NULL OR x.n < f.n)),
+v AS (SELECT s.lang, s.ws, s.j, s.a, l.n AS l, r.n AS r, t.n,
+             ((1000::HUGEINT * s.a * t.n) // (l.n::HUGEINT * r.n))::BIGINT AS score
+      FROM s JOIN f l ON l.lang = s.lang AND l.ws = s.ws[1:s.j] JOIN f r ON r.lang = s.lang AND r.ws = s.ws[s.j + 1:]
+             JOIN t ON t.lang = s.lang),
+b AS (SELECT lang, ws, a, n, unnest(arg_min(struct_pack(l := l, r := r, score := score), struct_pack(score := score, j := j))) FROM v GROUP BY lang, ws, a, n),
+o AS (SELECT *, array_to_string(ws, ' ') AS phrase FROM b),
+z AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o)
+SELECT * FROM z WHERE rank <= {collocations.TOP}
+"""
+
+
 def op13_prefix_trie(spark, sf_dir):
     return prefix_trie.shared_prefixes(table(spark, sf_dir, "conversations"))
 
@@ -164,7 +194,8 @@ QUERIES = {
     "op10_line_rules": op10_line_rules,
     "op11_minhash": op11_minhash,
     "minhash_classes": minhash_classes,
+    "op12_collocations": op12_collocations,
     "op13_prefix_trie": op13_prefix_trie,
 }
 ORACLES = {"op4_url_rules": OP4_SQL, "op7_line_spread": OP7_SQL, "op9_mixing": OP9_SQL,
-           "op13_prefix_trie": OP13_SQL}
+           "op12_collocations": OP12_SQL, "op13_prefix_trie": OP13_SQL}
