@@ -30,11 +30,12 @@ from ..session import ensure_checkpoint_dir, remove_path, scratch_path
 from .common import materialize, salted_join, ship
 from .wordhash import mix, span_hashes, word_bounds
 
-SHARDS, LONGEST, THRESHOLD, TOP = 4, 5, 100, 2000
+SHARDS, LONGEST, THRESHOLD, TOP = 3, 5, 100, 2000
 #: Bytes of the filter (a power of two).
 CELLS = 1 << 24
-#: Words of one row of sequences; bytes of text that are gathered per language, and in all.
-ROW_WORDS, _GATHER, _HELD = 1 << 18, 1 << 21, 1 << 25
+#: Words of one row of sequences, and of the rows that are counted together; bytes of text that are
+#: gathered per language, and in all.
+ROW_WORDS, _TOGETHER, _GATHER, _HELD = 1 << 18, 1 << 20, 1 << 23, 3 << 24
 _SLICE = 1 << 20
 SALTS = 8
 _NEVER = 255
@@ -54,9 +55,9 @@ def _slices(data: bytes):
         at = end
 
 
-def sequence(data: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, list[bytes]]]]:
-    """Word hashes of a text in order, with 0 between pieces, and (hash, count, word) of its
-    distinct words for each slice."""
+def sequence(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Word hashes of a text in order, with 0 between pieces; hashes, counts and texts of its
+    distinct words."""
     out, words, broken = [], [], False
     for part in _slices(data.lower().translate(_MARKS)):
         buf = np.frombuffer(part, np.uint8)
@@ -74,7 +75,12 @@ def sequence(data: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray
         out.append(seq)
         unique, first, count = np.unique(hashes, return_index=True, return_counts=True)
         words.append((unique, count, [part[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]))
-    return (np.concatenate(out) if out else np.empty(0, np.uint64)), words
+    if not out:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64), []
+    hashes, counts = np.concatenate([w[0] for w in words]), np.concatenate([w[1] for w in words])
+    texts = [x for w in words for x in w[2]]
+    unique, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+    return np.concatenate(out), unique, np.bincount(back, counts).astype(np.int64), [texts[i] for i in first.tolist()]
 
 
 def _seed(lang: str) -> np.uint64:
@@ -100,14 +106,13 @@ def _step_of(key: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return np.maximum(cells[a], cells[b])
 
 
-def count_active(w: np.ndarray, own: int, lang: str, cells: np.ndarray, step: int, shards: int) -> list:
-    """(words, active from, count) of the phrases of two words or more that are active in this step and start at one of
-    the first ``own`` places of the sequence: one entry per length, words as a matrix."""
+def count_active(w: np.ndarray, own: np.ndarray, lang: str, cells: np.ndarray, step: int, shards: int) -> list:
+    """(words, active from, count) of the phrases of two words or more that are active in this step and
+    start at an ``own`` place of the sequence: one entry per length, words as a matrix."""
     out = []
     n = len(w)
     key = mix(w ^ _seed(lang))
     known = np.where(w != 0, _step_of(key, cells), np.uint8(_NEVER))
-    at = np.arange(n)
     for k in range(2, LONGEST + 1):
         # places whose phrase of k - 1 words, and the one that starts a word later, are known
         both = np.maximum(known[:-1], known[1:])
@@ -116,7 +121,7 @@ def count_active(w: np.ndarray, own: int, lang: str, cells: np.ndarray, step: in
             break
         since = both[at]
         longer = mix(key[at] * _MULT + w[at + k - 1])
-        active = np.flatnonzero((since.astype(np.int64) + shards > step) & (at < own))
+        active = np.flatnonzero((since.astype(np.int64) + shards > step) & own[at])
         if len(active):
             _, first, count = np.unique(longer[active], return_index=True, return_counts=True)
             first = active[first]
@@ -148,7 +153,7 @@ def _write_shards(docs: DataFrame, lang_col: str, text_col: str, path: str) -> N
 
         def flush(lang):
             nonlocal turn
-            seq, counted = sequence(b"\n".join(held.pop(lang)))
+            seq, hashes, count, words = sequence(b"\n".join(held.pop(lang)))
             size.pop(lang)
             for at in range(0, len(seq), ROW_WORDS):
                 row = seq[at:at + ROW_WORDS + LONGEST - 1]
@@ -157,8 +162,8 @@ def _write_shards(docs: DataFrame, lang_col: str, text_col: str, path: str) -> N
                      pa.array([min(ROW_WORDS, len(seq) - at)], pa.int32()), pa.nulls(1, pa.string()),
                      pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], names=names)
                 turn += 1
-            for hashes, count, words in counted:
-                n = len(hashes)
+            n = len(hashes)
+            if n:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, turn % SHARDS, np.int32)), pa.array([lang] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()),
                      pa.array([x.decode("utf-8", "replace") for x in words]), _binary(hashes[:, None]), pa.array(count)], names=names)
@@ -180,21 +185,36 @@ def _write_shards(docs: DataFrame, lang_col: str, text_col: str, path: str) -> N
      .write.partitionBy("shard").parquet(path))
 
 
-_STATE = "lang string, words binary, word string, since int, n long, known int"
+_STATE = "lang string, words binary, since int, n long, known int"
 
 
 def _scan(shard: DataFrame, cells, step: int) -> DataFrame:
-    shards = SHARDS
+    shards, together = SHARDS, _TOGETHER
+
+    def count(lang, rows):
+        # a 0 after every row keeps phrases inside it; words that only look ahead are not own
+        w = np.concatenate([x for seq, _ in rows for x in (seq, np.zeros(1, np.uint64))])
+        own = np.concatenate([np.arange(len(seq) + 1) < n for seq, n in rows])
+        for words, since, found in count_active(w, own, lang, cells.value, step, shards):
+            n = len(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * n), _binary(words), pa.array(since.astype(np.int32)),
+                 pa.array(found.astype(np.int64)), pa.nulls(n, pa.int32())],
+                names=["lang", "words", "since", "n", "known"])
 
     def run(batches):
+        held: dict[str, list] = {}
         for b in batches:
-            for lang, seq, own in zip(*(c.to_pylist() for c in b.columns)):
-                for words, since, count in count_active(np.frombuffer(seq, np.uint64), own, lang, cells.value, step, shards):
-                    n = len(count)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * n), _binary(words), pa.nulls(n, pa.string()), pa.array(since.astype(np.int32)),
-                         pa.array(count.astype(np.int64)), pa.nulls(n, pa.int32())],
-                        names=["lang", "words", "word", "since", "n", "known"])
+            for lang, seq, own in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                rows = held.setdefault(lang, [])
+                rows.append((np.frombuffer(seq.as_buffer(), np.uint64).copy(), own))
+                if sum(len(x) for x, _ in rows) >= together:
+                    yield from count(lang, held.pop(lang))
+                elif sum(len(x) for r in held.values() for x, _ in r) >= 4 * together:
+                    for x in list(held):
+                        yield from count(x, held.pop(x))
+        for x in list(held):
+            yield from count(x, held.pop(x))
 
     return shard.where("seq IS NOT NULL").select("lang", "seq", "own").mapInArrow(run, _STATE)
 
@@ -232,7 +252,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
         shard = prepared.where(F.col("shard") == step % SHARDS)
         parts = []
         if step < SHARDS:
-            parts.append(shard.where("seq IS NULL").select("lang", "words", "word", F.lit(0).alias("since"), "n", F.lit(None).cast("int").alias("known")))
+            parts.append(shard.where("seq IS NULL").select("lang", "words", F.lit(0).alias("since"), "n", F.lit(None).cast("int").alias("known")))
         shared = spark.sparkContext.broadcast(cells)
         if step:
             parts.append(_scan(shard, shared, step))
@@ -240,7 +260,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
         rows = parts[0]
         for p in parts[1:]:
             rows = rows.unionByName(p)
-        summed = rows.groupBy("lang", "words").agg(F.max("word").alias("word"), F.min("since").alias("since"), F.sum("n").alias("n"), F.max("known").alias("known"))
+        summed = rows.groupBy("lang", "words").agg(F.min("since").alias("since"), F.sum("n").alias("n"), F.max("known").alias("known"))
         # known: the first step whose scan may use it
         summed = summed.withColumn("known", F.coalesce("known", F.when(F.col("n") >= threshold, F.lit(step + 1))))
         over = F.col("since") + SHARDS <= step + 1
@@ -256,11 +276,16 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
             cells[at] = np.minimum(cells[at], step + 1)
         if found:
             last = max(last, step + SHARDS)
-        complete = now.where("over").select("lang", "words", "word", "n")
+        complete = now.where("over").select("lang", "words", "n")
         done = complete if done is None else done.unionByName(complete)
         state = now.where("NOT over").drop("over")
         step += 1
-    phrases = materialize(done)
+    done = materialize(done)
+    # the aggregations above hold numbers only; words are spelled once, at the end
+    spelled = (prepared.where("seq IS NULL").select("lang", "words", "word")
+               .join(done.where(F.length("words") == 8).select("lang", "words"), ["lang", "words"], "left_semi")
+               .groupBy("lang", "words").agg(F.max("word").alias("word")))
+    phrases = materialize(done.join(spelled, ["lang", "words"], "left").select("lang", "words", "word", "n"))
     totals = materialize(prepared.where("seq IS NULL").groupBy("lang").agg(F.sum("n").alias("total")))
     remove_path(spark, root)
     return phrases, totals
@@ -288,8 +313,7 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", top: i
     right = phrases.select("lang", F.col("words").alias("rest"), F.col("n").alias("r"))
     spread = F.xxhash64("words")
     cuts = salted_join(salted_join(cuts, left, ["lang", "first"], spread, SALTS), right, ["lang", "rest"], spread, SALTS)
-    # one row per language
-    cuts = cuts.join(totals, "lang").withColumn(
+    cuts = salted_join(cuts, totals, ["lang"], spread, SALTS).withColumn(
         "score", F.expr("(CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(17,0)) * CAST(total AS DECIMAL(17,0))) div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))"))
     best = (cuts.groupBy("lang", "words").agg(F.min(F.struct("score", "j", "a", "l", "r", "total")).alias("b"))
             .select("lang", "words", "b.*").withColumnRenamed("total", "n"))

@@ -88,7 +88,7 @@ def test_a_phrase_is_counted_once_per_shard_from_its_activation():
             cells[place] = np.minimum(cells[place], step)
     seen = Counter()
     for step in range(1, 9):
-        for words, since, count in collocations.count_active(shards[step % 3], 400, "en", cells, step, 3):
+        for words, since, count in collocations.count_active(shards[step % 3], np.ones(400, bool), "en", cells, step, 3):
             for w, n in zip(words.tolist(), count.tolist()):
                 seen[tuple(w)] += n
     want = Counter((int(a), int(b)) for s in shards for a, b in zip(s, s[1:]) if a and b)
@@ -99,10 +99,7 @@ def test_a_long_text_is_read_in_slices(monkeypatch):
     texts = [t.encode() for _, t in corpus(6, 60) if t]
     whole = [collocations.sequence(t) for t in texts]
     monkeypatch.setattr(collocations, "_SLICE", 9)
-    for t, (seq, words) in zip(texts, whole):
-        cut, more = collocations.sequence(t)
-        assert cut.tolist() == seq.tolist()
-        counts = Counter()
-        for h, n, w in more:
-            counts.update(dict(zip(w, n.tolist())))
-        assert counts == Counter({w: n for _, c, ws in words for w, n in zip(ws, c.tolist())})
+    for t, (seq, hashes, counts, words) in zip(texts, whole):
+        cut, h, n, w = collocations.sequence(t)
+        assert cut.tolist() == seq.tolist() and h.tolist() == hashes.tolist()
+        assert n.tolist() == counts.tolist() and w == words
