@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, ship
+from .common import give_back, materialize, ship
 from .graph import components
 from .wordhash import mix, shingle_set, word_hashes
 
@@ -259,6 +259,8 @@ def _verify(rows: DataFrame) -> DataFrame:
                 flag.append(i)
         if len(cls) > 1:
             yield from pack(link_sets(cls, sets, flag))
+        key, cls, sets, flag = None, [], [], []
+        give_back()
 
     def pack(links):
         if links:

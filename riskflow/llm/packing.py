@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ann import fit
-from .common import materialize, ship
+from .common import give_back, materialize, ship
 from .tokens import Encoder
 
 WINDOW = 2048
@@ -32,10 +32,14 @@ END = 1
 SHARD_TOKENS = 2_000_000
 #: Terms of a seed's query (those of highest weight) and neighbours taken from one query.
 QUERY_TERMS, NEIGHBOURS = 24, 16
+#: Terms of more documents than this are not asked for where most documents of the shard have them.
+COMMON = 1000
 K1, B = 1.2, 0.75
 #: Numbers of a document's projection; documents that centroids are fitted on, per shard and at most.
 WIDTH, SHARD_SAMPLE, SAMPLE = 128, 64, 100_000
 SEED = 11
+#: Documents whose terms are counted together.
+_TOGETHER = 256
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -58,24 +62,27 @@ def projections(docs: list[np.ndarray], idf: np.ndarray, mean: float, axes: np.n
     """One unit vector per document: its ``QUERY_TERMS`` terms of highest weight, among those that
     another document has (``idf`` above 0), on random axes."""
     out = np.zeros((len(docs), axes.shape[1]), np.float32)
-    for i, d in enumerate(docs):
-        term, count = np.unique(d, return_counts=True)
-        weight = term_weights(count, idf[term], len(d), mean)
-        if len(weight) > QUERY_TERMS:
-            best = np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]
-            term, weight = term[best], weight[best]
-        out[i] = weight.astype(np.float32) @ axes[term]
+    for at in range(0, len(docs), _TOGETHER):
+        some = docs[at:at + _TOGETHER]
+        length = np.array([len(d) for d in some], np.int64)
+        # counts of all terms of some documents at once: (document, term) as one sorted number
+        pair, tf = np.unique(np.repeat(np.arange(len(some)), length) * len(idf) + np.concatenate(some), return_counts=True)
+        doc, term = np.divmod(pair, len(idf))
+        weight = term_weights(tf, idf[term], length[doc], mean)
+        order = np.lexsort((-weight, doc))
+        doc, term, weight = doc[order], term[order], weight[order]
+        first = np.searchsorted(doc, np.arange(len(some)))
+        best = np.arange(len(doc)) - first[doc] < QUERY_TERMS
+        doc, term, weight = doc[best], term[best], weight[best].astype(np.float32)
+        first = np.searchsorted(doc, np.arange(len(some)))
+        out[at:at + len(some)] = np.add.reduceat(axes[term] * weight[:, None], first, axis=0)
     size = np.sqrt((out * out).sum(axis=1, keepdims=True))
     return out / np.where(size > 0, size, 1)
 
 
-_AXES: dict[int, np.ndarray] = {}
-
-
 def _axes(terms: int) -> np.ndarray:
-    if terms not in _AXES:
-        _AXES[terms] = np.random.default_rng(SEED).standard_normal((terms, WIDTH), np.float32)
-    return _AXES[terms]
+    """The random axes; made anew in every task, so that workers do not keep them."""
+    return np.random.default_rng(SEED).standard_normal((terms, WIDTH), np.float32)
 
 
 class Cells:
@@ -125,35 +132,38 @@ class Index:
     """BM25 inverted index over the documents of a shard; ``idf`` by token id."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
-        terms, counts = zip(*(np.unique(d, return_counts=True) for d in docs))
-        sizes = np.array([len(t) for t in terms], np.int64)
-        term, tf = np.concatenate(terms).astype(np.int64), np.concatenate(counts).astype(np.float64)
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        length = np.array([len(d) for d in docs], np.float64)
+        length = np.array([len(d) for d in docs], np.int64)
+        pair, tf = np.unique(np.repeat(np.arange(len(docs)), length) * len(idf) + np.concatenate(docs), return_counts=True)
+        owner, term = np.divmod(pair, len(idf))
         weight = term_weights(tf, idf[term], length[owner], mean)
+        # a query asks for the terms that weigh most and that another document of the shard has,
+        # but not for those that most of its documents have, which tell nothing apart
         local = np.bincount(term, minlength=len(idf))
+        useful = (local > 1) & ((2 * local <= len(docs)) | (local <= COMMON))
+        value = np.where(useful[term], weight, 0)
+        best = np.lexsort((-value, owner))
+        place = np.arange(len(best)) - np.searchsorted(owner, np.arange(len(docs)))[owner[best]]
+        best = best[(place < QUERY_TERMS) & (value[best] > 0)]
+        self.query = np.split(term[best], np.searchsorted(owner[best], np.arange(1, len(docs))))
         order = np.argsort(term, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
         self.first = np.append(0, np.cumsum(local))
-        # a query asks for the terms that weigh most and that another document of the shard has
-        self.query = []
-        useful = np.where(local > 1, 1.0, 0.0)
-        for a, b in zip(np.cumsum(sizes) - sizes, np.cumsum(sizes)):
-            value = weight[a:b] * useful[term[a:b]]
-            best = np.argsort(-value, kind="stable")[:QUERY_TERMS]
-            self.query.append(term[a:b][best[value[best] > 0]])
-        self.n = len(docs)
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents with a term of the seed's query, best first, at most ``NEIGHBOURS``."""
+        """Unused documents with a term of the seed's query, best first (ties to the smaller
+        place), at most ``NEIGHBOURS``."""
         spans = [slice(self.first[t], self.first[t + 1]) for t in self.query[seed]]
         if not spans:
             return np.empty(0, np.int64)
-        score = np.bincount(np.concatenate([self.owner[s] for s in spans]),
-                            np.concatenate([self.weight[s] for s in spans]), self.n)
-        score[used] = 0
-        best = np.argsort(-score, kind="stable")[:NEIGHBOURS]
-        return best[score[best] > 0]
+        owner = np.concatenate([self.owner[s] for s in spans])
+        weight = np.concatenate([self.weight[s] for s in spans])
+        free = ~used[owner]
+        docs, back = np.unique(owner[free], return_inverse=True)
+        score = np.bincount(back, weight[free], len(docs))
+        if len(score) > 4 * NEIGHBOURS:
+            near = np.flatnonzero(score >= np.partition(score, -NEIGHBOURS)[-NEIGHBOURS])
+            docs, score = docs[near], score[near]
+        return docs[np.argsort(-score, kind="stable")[:NEIGHBOURS]]
 
 
 def order_documents(docs: list[np.ndarray], idf: np.ndarray, mean: float) -> list[int]:
@@ -216,11 +226,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def tokenize(batches):
         encoder = _encoder(tokenizer)
         for b in batches:
-            ids = [np.append(x, np.array([END], x.dtype)) for x in encoder.encode(b.column(1).to_pylist())]
+            texts = b.column(1).cast(pa.binary()).to_pylist()
+            ids = [np.append(x, np.array([END], x.dtype)) for x in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x.tobytes() for x in ids], pa.binary()),
                  pa.array([x.dtype.itemsize == 4 for x in ids], pa.bool_()),
                  pa.array([len(x) for x in ids], pa.int64())], names=["doc_id", "ids", "wide", "tokens"])
+        give_back()
 
     rows = docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text")
     rows = materialize(rows.mapInArrow(tokenize, f"doc_id {id_kind}, ids binary, wide boolean, tokens long"))
@@ -251,6 +263,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shards = -(-total // SHARD_TOKENS)
 
     def fill(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+        try:
+            return packed(key, part)
+        finally:
+            give_back()
+
+    def packed(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
         part = part.sort_by("row")
         docs_ = [read(d, w) for d, w in zip(part["ids"].to_pylist(), part["wide"].to_pylist())]
         pieces = cut(order_documents(docs_, idf, mean), docs_)
@@ -274,13 +292,14 @@ def _by_content(rows: DataFrame, read, idf: np.ndarray, n: int, total: int, shar
     are taken from the sample; rows of a cell with several shards are dealt by row number."""
     mean, terms = total / n, len(idf)
 
-    def project(batch):
+    def project(batch, axes):
         docs = [read(d, w) for d, w in zip(batch.column("ids").to_pylist(), batch.column("wide").to_pylist())]
-        return projections(docs, idf, mean, _axes(terms))
+        return projections(docs, idf, mean, axes)
 
     def draw(batches):
+        axes = _axes(terms)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in project(b)], pa.binary()), b.column("tokens")],
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in project(b, axes)], pa.binary()), b.column("tokens")],
                                              names=["at", "tokens"])
 
     wanted = min(SAMPLE, SHARD_SAMPLE * shards)
@@ -294,10 +313,12 @@ def _by_content(rows: DataFrame, read, idf: np.ndarray, n: int, total: int, shar
     first, parts = shards_of_cells(held * (total / max(1.0, held.sum())))
 
     def deal(batches):
+        axes = _axes(terms)
         for b in batches:
-            cell, row = cells.of(project(b)), b.column("dealt").to_numpy()
+            cell, row = cells.of(project(b, axes)), b.column("dealt").to_numpy()
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(first[cell] + row % parts[cell])],
                                              names=[*b.schema.names[:-1], "shard"])
+        give_back()
 
     out = rows.withColumn("dealt", F.pmod(F.xxhash64("row"), F.lit(1 << 40)))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)

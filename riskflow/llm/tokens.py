@@ -2,7 +2,8 @@
 
 The tokenizer splits at white space and between letters and a closing full stop or comma, so a
 text's ids are those of these parts in order. Parts are told apart by 64-bit hashes; each new
-one is tokenized once per worker until the cache is full, which empties it.
+one is tokenized once per worker until the cache is full, which empties it. The cache is a few flat
+arrays (about 25 bytes a word), so its size in bytes is bounded.
 """
 
 from __future__ import annotations
@@ -13,7 +14,8 @@ import numpy as np
 
 from .wordhash import _PIECE, pieces, span_hashes, word_bounds
 
-_CACHE = 1_000_000
+#: Words in the cache, and words that are looked up apart until they are merged into it.
+_CACHE, _RECENT = 2_000_000, 1 << 16
 #: Words of Latin-1 letters only: one unit for the tokenizer's pattern, lower-cased per letter.
 _LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+")
 
@@ -38,13 +40,34 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.start = np.zeros(1024, np.int64)
-        self.size = np.zeros(1024, np.int64)
+        # sorted hashes with the places of their words, twice: merged ones and recent ones
+        self.known = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+        self.slot = [np.empty(0, np.int32), np.empty(0, np.int32)]
+        self.words = 0
+        self.start = np.zeros(1024, np.int32)
+        self.size = np.zeros(1024, np.int32)
         self.flat = np.zeros(4096, self.kind)
         self.used = 0
 
-    def _add(self, hashes: list[int], parts: list[bytes]) -> None:
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of every word (sorted hashes), or -1."""
+        out = np.full(len(hashes), -1, np.int32)
+        for known, slot in zip(self.known, self.slot):
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                hit = known[at] == hashes
+                out[hit] = slot[at[hit]]
+        return out
+
+    def _keep(self, level: int, hashes: np.ndarray, slots: np.ndarray) -> None:
+        known, slot = np.concatenate([self.known[level], hashes]), np.concatenate([self.slot[level], slots])
+        order = np.argsort(known, kind="stable")
+        self.known[level], self.slot[level] = known[order], slot[order]
+        if level and len(known) > _RECENT:
+            self._keep(0, self.known[1], self.slot[1])
+            self.known[1], self.slot[1] = self.known[1][:0], self.slot[1][:0]
+
+    def _add(self, hashes: np.ndarray, parts: list[bytes]) -> None:
         texts = [p.decode("utf-8", "replace") for p in parts]
         ids: list = [None] * len(texts)
         rest = []
@@ -60,7 +83,7 @@ class Encoder:
             ids[i] = e.ids
         lens = np.array([len(x) for x in ids], np.int64)
         new = np.fromiter((t for x in ids for t in x), self.kind, int(lens.sum()))
-        at, n = len(self.slot), len(ids)
+        at, n = self.words, len(ids)
         while len(self.start) < at + n:
             self.start, self.size = np.append(self.start, np.zeros_like(self.start)), np.append(self.size, np.zeros_like(self.size))
         while len(self.flat) < self.used + len(new):
@@ -69,8 +92,8 @@ class Encoder:
         self.size[at:at + n] = lens
         self.flat[self.used:self.used + len(new)] = new
         self.used += len(new)
-        for k, h in enumerate(hashes):
-            self.slot[h] = at + k
+        self.words += n
+        self._keep(1, hashes, np.arange(at, at + n, dtype=np.int32))
 
     def _piece(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, number of ids per part, start of each part) of a piece."""
@@ -89,23 +112,23 @@ class Encoder:
         order = np.argsort(starts, kind="stable")
         starts, ends = starts[order], ends[order]
         unique, first, back = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slot) + len(unique) > max(_CACHE, len(unique)):
+        slots = self._find(unique)
+        new = np.flatnonzero(slots < 0)
+        if self.words + len(new) > _CACHE and self.words:
             self._empty()
-        names = unique.tolist()
-        found = list(map(self.slot.get, names))
-        if None in found:
-            new = [i for i, s in enumerate(found) if s is None]
+            slots, new = np.full(len(unique), -1, np.int32), np.arange(len(unique))
+        if len(new):
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self._add([names[i] for i in new], [data[a:b] for a, b in spans])
-            found = list(map(self.slot.get, names))
-        slots = np.array(found, np.int64)[back]
-        lens = self.size[slots]
+            self._add(unique[new], [data[a:b] for a, b in spans])
+            slots = self._find(unique)
+        slots = slots[back]
+        lens = self.size[slots].astype(np.int64)
         ends_at = np.cumsum(lens)
         at = np.repeat(self.start[slots] - (ends_at - lens), lens) + np.arange(int(ends_at[-1]))
         return self.flat[at], lens, starts
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of every text, in order; null texts have none."""
+    def encode(self, texts: list[str | bytes | None]) -> list[np.ndarray]:
+        """Ids of every text (UTF-8, if bytes), in order; null texts have none."""
         out: list = [None] * len(texts)
         group, size = [], 0
 
@@ -119,7 +142,7 @@ class Encoder:
                 out[i] = ids[a:b]
 
         for i, t in enumerate(texts):
-            data = (t or "").encode("utf-8", "surrogatepass")
+            data = t if isinstance(t, bytes) else (t or "").encode("utf-8", "surrogatepass")
             if len(data) > _PIECE:
                 out[i] = np.concatenate([self._piece(x)[0] for x in pieces(data)])
                 continue

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -114,3 +115,36 @@ def test_cut_has_no_padding(lengths):
         sums[sequence] += length
     assert sum(sums.values()) == sum(lengths)
     assert all(v & (v - 1) == 0 and v <= 2048 for v in sums.values())
+
+
+def test_neighbours_equal_a_direct_ranking():
+    rng = np.random.default_rng(12)
+    docs = [rng.zipf(1.3, rng.integers(1, 200)).clip(2, 3999).astype(np.uint16) for _ in range(150)] + [np.array([1], np.uint16)] * 5
+    docs = [np.append(d, np.uint16(1)) for d in docs]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=4000)
+    idf, mean = np.log1p((len(docs) - df + 0.5) / (df + 0.5)), float(np.mean([len(d) for d in docs]))
+    index, used = packing.Index(docs, idf, mean), np.zeros(len(docs), bool)
+    used[::7] = True
+    for seed in range(len(docs)):
+        weights = {}
+        for t, n in zip(*np.unique(docs[seed], return_counts=True)):
+            if df[t] > 1:
+                weights[t] = packing.term_weights(n, idf[t], len(docs[seed]), mean)
+        query = sorted(weights, key=lambda t: (-weights[t], t))[:packing.QUERY_TERMS]
+        score = {}
+        for d, ids in enumerate(docs):
+            if not used[d]:
+                value = sum(packing.term_weights((ids == t).sum(), idf[t], len(ids), mean) for t in query if (ids == t).any())
+                if value > 0:
+                    score[d] = value
+        best = sorted(score, key=lambda d: (-round(score[d], 9), d))[:packing.NEIGHBOURS]
+        got = index.neighbours(seed, used)
+        assert len(got) == len(best)
+        assert np.allclose([score[d] for d in got], [score[d] for d in best])
+
+
+def test_many_empty_documents_are_packed_in_linear_time():
+    docs = [np.array([1], np.uint16)] * 60_000
+    begin = time.perf_counter()
+    assert sorted(packing.order_documents(docs, np.full(2, 0.1), 1.0)) == list(range(60_000))
+    assert time.perf_counter() - begin < 20
