@@ -58,6 +58,11 @@ def term_weights(tf: np.ndarray, idf: np.ndarray, length, mean: float) -> np.nda
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
+def _by_weight(doc: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Order of terms by document, then falling weight: both in one number."""
+    return np.argsort(doc - weight / (weight.max(initial=0.0) + 1.0), kind="stable")
+
+
 def projections(docs: list[np.ndarray], idf: np.ndarray, mean: float, axes: np.ndarray) -> np.ndarray:
     """One unit vector per document: its ``QUERY_TERMS`` terms of highest weight, among those that
     another document has (``idf`` above 0), on random axes."""
@@ -69,7 +74,7 @@ def projections(docs: list[np.ndarray], idf: np.ndarray, mean: float, axes: np.n
         pair, tf = np.unique(np.repeat(np.arange(len(some)), length) * len(idf) + np.concatenate(some), return_counts=True)
         doc, term = np.divmod(pair, len(idf))
         weight = term_weights(tf, idf[term], length[doc], mean)
-        order = np.lexsort((-weight, doc))
+        order = _by_weight(doc, weight)
         doc, term, weight = doc[order], term[order], weight[order]
         first = np.searchsorted(doc, np.arange(len(some)))
         best = np.arange(len(doc)) - first[doc] < QUERY_TERMS
@@ -140,10 +145,10 @@ class Index:
         # but not for those that most of its documents have, which tell nothing apart
         local = np.bincount(term, minlength=len(idf))
         useful = (local > 1) & ((2 * local <= len(docs)) | (local <= COMMON))
-        value = np.where(useful[term], weight, 0)
-        best = np.lexsort((-value, owner))
-        place = np.arange(len(best)) - np.searchsorted(owner, np.arange(len(docs)))[owner[best]]
-        best = best[(place < QUERY_TERMS) & (value[best] > 0)]
+        asked = np.flatnonzero(useful[term] & (weight > 0))
+        best = asked[_by_weight(owner[asked], weight[asked])]
+        place = np.arange(len(best)) - np.searchsorted(owner[asked], np.arange(len(docs)))[owner[best]]
+        best = best[place < QUERY_TERMS]
         self.query = np.split(term[best], np.searchsorted(owner[best], np.arange(1, len(docs))))
         order = np.argsort(term, kind="stable")
         self.owner, self.weight = owner[order], weight[order]
@@ -158,8 +163,13 @@ class Index:
         owner = np.concatenate([self.owner[s] for s in spans])
         weight = np.concatenate([self.weight[s] for s in spans])
         free = ~used[owner]
-        docs, back = np.unique(owner[free], return_inverse=True)
-        score = np.bincount(back, weight[free], len(docs))
+        if 8 * len(owner) < len(used):  # few postings in a shard of many short documents
+            docs, back = np.unique(owner[free], return_inverse=True)
+            score = np.bincount(back, weight[free], len(docs))
+        else:
+            score = np.bincount(owner[free], weight[free], len(used))
+            docs = np.flatnonzero(score)
+            score = score[docs]
         if len(score) > 4 * NEIGHBOURS:
             near = np.flatnonzero(score >= np.partition(score, -NEIGHBOURS)[-NEIGHBOURS])
             docs, score = docs[near], score[near]
