@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import pct_change
-from ..schemas import DRIFT_REPORT
+from ..schemas import DRIFT_REPORT, PREDICTION
+from .arrival import arrival_cut, cut_batch, read_manifest
 from .ordered import label_first_k, order_number, positional_cut, raw_range, running_sum
 
 # Drift parameters and metric definitions of the reference
@@ -125,6 +126,11 @@ def labelled_log(log: DataFrame, fraction: float = BASELINE_FRACTION, min_rows:
         # rows of batches that are not summed up yet do not count
         inside = inside.join(known.where(F.col("bucket") == lo).select(*BATCH_COLS).distinct(),
                              list(BATCH_COLS), "left_semi")
+    if summary is not None:
+        found = inside.count()
+        if found != at["rows"]:
+            raise RuntimeError(f"the log holds {found} rows of the {seconds} s from {lo} (microseconds), its summary "
+                               f"says {at['rows']}: the summary was not made from this log")
     cut = positional_cut(inside, k - at["rows_before"], order[0], order[1] if len(order) > 1 else None,
                          n=at["rows"], bounds=(lo, hi), date_col=date_col, **cut_options)
     rows = label_first_k(inside, cut, "is_baseline", "_w")
@@ -133,6 +139,32 @@ def labelled_log(log: DataFrame, fraction: float = BASELINE_FRACTION, min_rows:
     return whole.unionByName(rows), n
 
 
+def labelled_arrivals(spark, predictions_path: str, summary: DataFrame, fraction: float = BASELINE_FRACTION,
+                      min_rows: int = MIN_ROWS):
+    """As ``labelled_log``, but cut in order of arrival, from the stored log's manifest: batches
+    before and after the one that holds the cut are taken from ``summary`` (rows with the batch
+    columns), and only that batch is read. Batches without a manifest are not committed yet and
+    do not count."""
+    manifest = read_manifest(spark, predictions_path)
+    n = manifest.agg(F.sum("rows")).first()[0] or 0
+    if n < min_rows:
+        return None, n
+    batches = manifest.select(*BATCH_COLS).distinct()
+    sums = (summary.join(batches, list(BATCH_COLS), "left_semi").groupBy(*BATCH_COLS)
+            .agg(*[F.sum(c).alias(c) for c in ("rows", *_SUMS)]))
+    k = baseline_count(n, fraction)
+    if k == 0:
+        return sums.withColumn("is_baseline", F.lit(False)), n
+    cut = arrival_cut(manifest, k)
+    here = F.struct("query_id", F.col("batch_id").cast("bigint"))
+    at = F.struct(F.lit(cut.query_id), F.lit(cut.batch_id).cast("bigint"))
+    whole = sums.where(here != at).select((here < at).alias("is_baseline"), "rows", *_SUMS)
+    rows = cut_batch(spark, predictions_path, PREDICTION, cut)
+    flat = rows.select("is_baseline", *[F.col(path).cast("double").alias(m) for m, path in METRICS])
+    one = F.lit(1).cast("bigint")
+    return whole.unionByName(flat.select("is_baseline", one.alias("rows"), *_parts(one))), n
+
+
 def _mean(m: str, cond=None):
     """Mean of a metric over the parts where ``cond`` holds; NULL values weigh nothing."""
     total, number = F.col(f"{m}_sum"), F.col(f"{m}_n")
@@ -178,8 +210,19 @@ def drift_report(log: DataFrame, fraction: float = BASELINE_FRACTION,
     """metric, baseline, recent, diff (4 digits), pct_change (2 digits), drift_detected
     (decided on the unrounded change) for the five metrics."""
     lab, _ = labelled_log(log, fraction, min_rows, order, **cut_options)
+    return _report(log.sparkSession, lab, threshold)
+
+
+def arrival_report(spark, predictions_path: str, summary: DataFrame, fraction: float = BASELINE_FRACTION,
+                   threshold: float = DRIFT_THRESHOLD_PCT, min_rows: int = MIN_ROWS) -> DataFrame:
+    """``drift_report`` of a stored log, cut in order of arrival as the reference cuts its file."""
+    lab, _ = labelled_arrivals(spark, predictions_path, summary, fraction, min_rows)
+    return _report(spark, lab, threshold)
+
+
+def _report(spark, lab: DataFrame | None, threshold: float) -> DataFrame:
     if lab is None:
-        return log.sparkSession.createDataFrame([], DRIFT_REPORT)
+        return spark.createDataFrame([], DRIFT_REPORT)
     c = _compare(lab, [m for m, _ in METRICS], threshold)
     return c.select("metric", F.round("base", 4).alias("baseline"),
                     F.round("recent", 4).alias("recent"), F.round("diff", 4).alias("diff"),

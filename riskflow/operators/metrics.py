@@ -20,22 +20,23 @@ def _is_pos(label: Column) -> Column:
 
 
 def auc_exact(df: DataFrame, label_col: str = "label", score_col: str = "score",
-              num_buckets: int = 1024, materialize: bool = True) -> DataFrame:
-    """One row ``auc``: area under the ROC curve with ties counted half (Mann-Whitney),
-    exact (the ML evaluator bins thresholds). NULL when one class is absent. ``materialize``
-    writes the distinct scores to the checkpoint folder, as the prefix sums read them twice."""
+              num_buckets: int = 1024, materialize: bool = True, by: tuple = ()) -> DataFrame:
+    """``auc`` (one row, or one per group of ``by``): area under the ROC curve with ties counted
+    half (Mann-Whitney), exact (the ML evaluator bins thresholds). NULL when one class is absent.
+    ``materialize`` writes the distinct scores to the checkpoint folder once, for the quantiles,
+    the bucket totals and the sums to read."""
     lab, sc = F.col(label_col), F.col(score_col)
     g = (df.filter(lab.isNotNull() & sc.isNotNull())
-         .groupBy(sc.alias("_s"))
+         .groupBy(*by, sc.alias("_s"))
          .agg(F.sum(F.when(_is_pos(lab), 1).otherwise(0)).cast("bigint").alias("pos"),
               F.sum(F.when(_is_pos(lab), 0).otherwise(1)).cast("bigint").alias("neg")))
     if materialize:
-        g = g.checkpoint(eager=False)  # written by the quantile pass, read by the sums
-    pref = running_sum(g, "_s", ["neg"], num_buckets=num_buckets)
-    out = pref.agg(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5))
-                   .alias("_num"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return out.select(F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                             F.col("_num") / (F.col("_p").cast("double") * F.col("_n").cast("double"))).alias("auc"))
+        g = g.checkpoint(eager=True)
+    pref = running_sum(g, "_s", ["neg"], num_buckets=num_buckets, by=by)
+    out = pref.groupBy(*by).agg(F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") * 0.5))
+                                .alias("_num"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    return out.select(*by, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
+                                  F.col("_num") / (F.col("_p").cast("double") * F.col("_n").cast("double"))).alias("auc"))
 
 
 def confusion(df: DataFrame, label_col: str = "label", pred_col: str = "prediction",

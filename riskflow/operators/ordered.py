@@ -208,9 +208,10 @@ def label_first_k(df: DataFrame, cut: Cut, flag_col: str = "in_first_k",
 
 
 def running_sum(df: DataFrame, order_col: str, value_cols: list,
-                num_buckets: int = 1024, rel_err: float | None = None) -> DataFrame:
-    """``df`` plus ``<v>_before`` = sum of ``v`` over rows with a smaller ``order_col``
-    (which must be unique and numeric). NaN sorts last, as in Spark."""
+                num_buckets: int = 1024, rel_err: float | None = None, by: tuple = ()) -> DataFrame:
+    """``df`` plus ``<v>_before`` = sum of ``v`` over rows of the same ``by`` columns with a smaller
+    ``order_col`` (numeric, and unique within ``by``). NaN sorts last, as in Spark. Buckets are
+    quantiles over all rows, so a ``by`` value that holds most rows is split over them too."""
     probs = [i / num_buckets for i in range(1, num_buckets)]
     err = rel_err if rel_err is not None else 1.0 / (4 * num_buckets)
     qs = df.approxQuantile(order_col, probs, err) if num_buckets > 1 else []
@@ -218,14 +219,23 @@ def running_sum(df: DataFrame, order_col: str, value_cols: list,
         + [float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol=order_col, outputCol="_bucket",
                           handleInvalid="keep").transform(df)
-    totals = bucketed.groupBy("_bucket").agg(*[F.sum(v).alias(f"_bt_{v}") for v in value_cols])
-    prior = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_bt_{v}").over(prior), F.lit(0))
-                                         .alias(f"_off_{v}") for v in value_cols])
-    within = Window.partitionBy("_bucket").orderBy(order_col) \
+    totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(v).alias(f"_bt_{v}") for v in value_cols])
+    # at most num_buckets + 1 rows of totals per value of by
+    prior = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_bucket", *[F.coalesce(F.sum(f"_bt_{v}").over(prior), F.lit(0))
+                                              .alias(f"_off_{v}") for v in value_cols])
+    within = Window.partitionBy(*by, "_bucket").orderBy(order_col) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    # offsets has at most num_buckets rows (+1 for NaN): broadcast is bounded by a parameter
-    joined = bucketed.join(F.broadcast(offsets), "_bucket")
+    if by:
+        keys = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*by, "_bucket")]
+        cond = keys[0]
+        for k in keys[1:]:
+            cond = cond & k
+        joined = bucketed.alias("l").join(offsets.alias("r"), cond).select(
+            "l.*", *[F.col(f"r._off_{v}") for v in value_cols])
+    else:
+        # offsets has at most num_buckets rows (+1 for NaN): broadcast is bounded by a parameter
+        joined = bucketed.join(F.broadcast(offsets), "_bucket")
     return joined.select(*[F.col(c) for c in df.columns],
                          *[(F.col(f"_off_{v}") + F.coalesce(F.sum(v).over(within), F.lit(0)))
                            .alias(f"{v}_before") for v in value_cols])

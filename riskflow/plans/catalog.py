@@ -13,10 +13,9 @@ from ..operators import contract, drift, metrics, registry, scoring, silver, tra
 from ..schemas import MODEL_FEATURES, MODEL_RUNS, TRANSACTION
 from ..session import remove_path, scratch_path
 from ..sources.raw import bronze_projection, read_raw, read_raw_stream
-from ..sources.tables import read_features
-from ..streaming.medallion import COMMITS, bronze_query, commits_path, gold_query, silver_query
-from ..streaming.scoring import ChampionLoader, scoring_query
-from ..streaming.sinks import batch_folder
+from ..sources.tables import read_features, read_predictions
+from ..streaming.medallion import bronze_query, gold_query, silver_query
+from ..streaming.scoring import ChampionLoader, scoring_query, scoring_writer, summary_path
 from . import derived as D
 
 
@@ -158,6 +157,15 @@ def eval_auc(spark, sf_dir):
         .select(F.round("auc", 6).alias("auc"))
 
 
+def daily_auc(spark, sf_dir):
+    """AGG5, REG2: exact ROC AUC of every daily run, keyed by day."""
+    fs = D.feature_store(spark, sf_dir).select(
+        F.substring("timestamp", 1, 10).alias("day"), F.col("is_fraud").cast("double").alias("label"),
+        (F.col("risk_score") * 1000000 + F.col("amount")).alias("score"))
+    per_day = metrics.auc_exact(fs.filter(F.try_to_date("day").isNotNull()), by=("day",))
+    return per_day.select(F.concat(F.lit("run-"), F.col("day")).alias("run_id"), F.round("auc", 6).alias("auc"))
+
+
 def eval_f1(spark, sf_dir):
     """AGG6: class-weighted F1 on the held-out split."""
     return metrics.weighted_f1(_eval_frame(spark, sf_dir)).select(F.round("f1", 6).alias("f1"))
@@ -353,6 +361,7 @@ QUERIES = {
     "training_frame": training_frame,
     "hash_split_counts": hash_split_counts,
     "eval_auc": eval_auc,
+    "daily_auc": daily_auc,
     "eval_f1": eval_f1,
     "eval_accuracy": eval_accuracy,
     "drift_segments": drift_segments,
@@ -455,20 +464,12 @@ def stream_gold(spark, sf_dir):
 
 
 def stream_gold_replay(spark, sf_dir):
-    """STR5, STR7: a silver batch whose files are there but not its commit (the writer died
-    just before) is not gold's yet; its replay brings it there once."""
+    """STR5, STR7: all announcements are replayed by a second gold query on a checkpoint of its
+    own; output is filed under silver's ids, so every row is there once."""
     root = scratch_path(spark, "stream_gold_replay")
     _run_silver(spark, sf_dir, root)
-    marks = spark.read.schema(COMMITS).option("recursiveFileLookup", "true").json(commits_path(f"{root}/silver"))
-    for r in marks.collect():  # a row per micro-batch
-        remove_path(spark, batch_folder(commits_path(f"{root}/silver"), r["query_id"], r["batch_id"]))
-        remove_path(spark, batch_folder(f"{root}/silver", r["query_id"], r["batch_id"]) + "/_SUCCESS")
-        remove_path(spark, f"{root}/_chk/silver/commits/{r['batch_id']}")
-        remove_path(spark, f"{root}/_chk/silver/commits/.{r['batch_id']}.crc")
-    _run_gold(spark, root)
-    silver_query(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/_chk/silver",
-                 trigger=_NOW, max_bytes_per_trigger=BATCH_BYTES).awaitTermination()
     _run_gold(spark, root)
+    gold_query(spark, f"{root}/silver", f"{root}/gold", f"{root}/_chk/gold_again", trigger=_NOW).awaitTermination()
     return _gold_rows(spark, root)
 
 
@@ -522,6 +523,47 @@ def stream_rejects(spark, sf_dir):
                                  "json_str"), root)
 
 
+def stream_drift_report(spark, sf_dir):
+    """DRF2, STR6: the scoring stream replays history (inference at the event's time) and keeps sums
+    of every batch; the report takes them and reads only the minute that holds the cut."""
+    root = scratch_path(spark, "stream_drift_report")
+    _run_scoring(spark, sf_dir, root, spec=ONLINE, inference_ts=F.try_to_timestamp("timestamp"))
+    log = read_predictions(spark, f"{root}/predictions")
+    report = drift.drift_report(log, summary=spark.read.parquet(summary_path(f"{root}/predictions")), exact_limit=CUT_ROWS)
+    return _kept(spark, report, root)
+
+
+#: Batches that the log of ``drift_report_arrival`` arrives in.
+ARRIVALS = 4
+
+
+def drift_report_arrival(spark, sf_dir):
+    """WIN1, DRF1: events arrive in order of their id, in batches; the log is cut in order of
+    arrival, from the manifest."""
+    root = scratch_path(spark, "drift_report_arrival")
+    raw = D.raw(spark, sf_dir)
+    lo, hi = raw.agg(F.min("event_id"), F.max("event_id")).first()
+    write = scoring_writer(f"{root}/features", f"{root}/predictions", f"{root}/rejects", spec=ONLINE)
+    width = -(-((hi or 0) - (lo or 0) + 1) // ARRIVALS)
+    for i in range(ARRIVALS):
+        first = (lo or 0) + i * width
+        part = raw.where(F.col("event_id").between(first, first + width - 1))
+        write(part.repartitionByRange(8, "event_id").sortWithinPartitions("event_id").select("json_str"), i)
+    summary = spark.read.parquet(summary_path(f"{root}/predictions"))
+    return _kept(spark, drift.arrival_report(spark, f"{root}/predictions", summary), root)
+
+
+def drift_report_json(spark, sf_dir):
+    """SRC8, FN16: the log as a file of JSON lines with blank lines between them, read back."""
+    root = scratch_path(spark, "drift_report_json")
+    lines = scoring.to_json_value(D.scored_log(spark, sf_dir))
+    blank = F.explode(F.array(F.col("value"), F.lit(""))).alias("value")
+    lines.select(blank).write.text(f"{root}/predictions")
+    log = read_predictions(spark, f"{root}/predictions", fmt="json")
+    return _kept(spark, drift.drift_report(log, **_CUT), root)
+
+
 QUERIES.update({f.__name__: f for f in (
+    stream_drift_report, drift_report_arrival, drift_report_json,
     stream_silver, stream_two_writers, stream_quarantine, stream_bronze, stream_gold, stream_gold_replay,
     stream_scored, stream_scored_store, stream_features, stream_rejects)})

@@ -78,12 +78,18 @@ def _summary(spark: SparkSession, paths: Paths):
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
-def drift_job(spark: SparkSession, paths: Paths, retrain: bool = True):
-    """Drift report over the prediction log; when risk score or amount drifted (and
+def drift_job(spark: SparkSession, paths: Paths, retrain: bool = True, order: str = "time"):
+    """Drift report over the prediction log, cut in order of inference time, or of arrival
+    (``order="arrival"``, from the manifest that the scoring stream keeps); when risk score or amount drifted (and
     ``retrain``), run :func:`retrain_job`. Returns (report, decision, retrain result); the
     report is persisted (five rows), the caller unpersists it when done."""
-    log = read_predictions(spark, paths.predictions)
-    report = drift.drift_report(log, summary=_summary(spark, paths)).persist()
+    summary = _summary(spark, paths)
+    if order == "arrival":
+        if summary is None:
+            raise ValueError(f"{paths.predictions} has no summary: only a log that the scoring stream wrote has an order of arrival")
+        report = drift.arrival_report(spark, paths.predictions, summary).persist()
+    else:
+        report = drift.drift_report(read_predictions(spark, paths.predictions), summary=summary).persist()
     decision = drift.retrain_decision(report).first()
     result = None
     if retrain and decision is not None and decision["should_retrain"]:

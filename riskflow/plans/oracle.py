@@ -374,3 +374,27 @@ ORACLES["stream_rejects"] = STORE + _TEXTS + """
 SELECT transaction_id, CASE WHEN violations = '' THEN 'no_champion' ELSE 'feature_contract' END AS stage,
   violations, json_str
 FROM store_v JOIN texts USING (event_id)"""
+
+ORACLES["stream_drift_report"] = ORACLES["drift_report"]
+ORACLES["drift_report_json"] = ORACLES["drift_report"]
+ORACLES["drift_report_arrival"] = ORACLES["drift_report"].replace(
+    "SELECT parsed_ts AS inference_timestamp,", "SELECT event_id, parsed_ts AS inference_timestamp,").replace(
+    "ORDER BY inference_timestamp, transaction_id", "ORDER BY event_id")
+ORACLES["daily_auc"] = STORE + """,
+lab AS (
+  SELECT substr(timestamp, 1, 10) AS day, CAST(is_fraud AS DOUBLE) AS label, risk_score * 1000000 + amount AS score
+  FROM fstore WHERE TRY_CAST(substr(timestamp, 1, 10) AS DATE) IS NOT NULL
+),
+g AS (
+  SELECT day, score, CAST(sum(CASE WHEN label > 0.5 THEN 1 ELSE 0 END) AS DOUBLE) AS pos,
+    CAST(sum(CASE WHEN label > 0.5 THEN 0 ELSE 1 END) AS DOUBLE) AS neg
+  FROM lab GROUP BY day, score
+),
+c AS (
+  SELECT day, pos, neg, COALESCE(sum(neg) OVER (PARTITION BY day ORDER BY score
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before
+  FROM g
+)
+SELECT 'run-' || day AS run_id, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+  THEN round(sum(pos * (neg_before + neg * 0.5)) / (sum(pos) * sum(neg)), 6) END AS auc
+FROM c GROUP BY day"""

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions.features import gold_features
 from ..operators import silver
@@ -75,18 +76,25 @@ def _bounded(reader, files: int | None, size: int | None):
 def gold_writer(silver_path: str, gold_path: str, fmt: str = "parquet",
                 partition_by_date: bool = False):
     """foreachBatch function over announced silver batches: their rows -> gold features, filed
-    under the silver batch's own ids. The announcements of a micro-batch (a row per silver
-    batch, bounded by the trigger's file limit) are listed on the driver; data rows are not."""
+    under the silver batch's own ids by one write job, whatever their number. It replaces just
+    the folders of these batches (dynamic partition overwrite), so a replay leaves each row once.
+    The announcements of a micro-batch (a row per silver batch, bounded by the trigger's file
+    limit) are listed on the driver; data rows are not."""
+    ids = [StructField("query_id", StringType()), StructField("batch_id", LongType())]
+
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        for r in batch.distinct().orderBy("query_id", "batch_id").collect():
-            src = spark.read.schema(TRANSACTION).parquet(
-                batch_folder(silver_path, r["query_id"], r["batch_id"]))
-            gold = gold_features(src)
-            if partition_by_date:
-                gold = gold.withColumn("event_date", F.to_date("timestamp"))
-            write_batch(gold, gold_path, r["batch_id"], fmt, query=r["query_id"],
-                        partition_by=["event_date"] if partition_by_date else None)
+        folders = [batch_folder(silver_path, r["query_id"], r["batch_id"]) for r in batch.distinct().collect()]
+        if not folders:
+            return
+        src = spark.read.schema(StructType(TRANSACTION.fields + ids)).option("basePath", silver_path).parquet(*folders)
+        gold = gold_features(src)
+        by = ["query_id", "batch_id"]
+        if partition_by_date:
+            gold = gold.withColumn("event_date", F.to_date("timestamp"))
+            by.append("event_date")
+        (gold.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*by).format(fmt).save(gold_path))
     return write
 
 

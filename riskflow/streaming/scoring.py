@@ -15,9 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import (ONLINE, STORE, FeatureSpec, model_input_columns,
                                   online_features, store_features)
-from ..operators import contract, drift, registry, scoring, silver
+from ..operators import arrival, contract, drift, registry, scoring, silver
 from ..schemas import TRANSACTION
-from .sinks import apply_trigger, write_batch, write_kafka
+from .sinks import apply_trigger, batch_folder, query_id, write_batch, write_kafka
 
 # Topic names of the reference's deployment
 RAW_TOPIC = "transactions_raw"
@@ -104,7 +104,7 @@ def score_batch(fields: DataFrame, model=None, run_id: str | None = None,
 def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path: str,
                    champion: ChampionLoader | None = None, kafka: dict | None = None,
                    partition_by_date: bool = False, spec: FeatureSpec = STORE,
-                   record: str = "rich"):
+                   record: str = "rich", inference_ts=None):
     """foreachBatch function. Feature rows are written before scoring, so they survive a
     failed scoring step; every output is keyed by query and batch, so a replay is idempotent.
 
@@ -115,15 +115,19 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
     ``partition_by_date`` adds ``inference_date`` / ``event_date`` folders below each batch.
     Off by default: one micro-batch stamps one inference time, so each batch's files already
     carry tight min/max statistics for the time range; dates pay off for a replay of history
-    (many dates per batch) only when readers filter by them."""
+    (many dates per batch) only when readers filter by them.
+
+    What follows a batch's predictions (sums, manifest, topic) is made from the committed folder as
+    read back, so a replay after a crash between the two repeats the stored records, with their
+    times. ``inference_ts``: see ``score_batch``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         # parsed once per micro-batch; the three outputs read the persisted fields
         fields = parse_fields(batch).persist()
         try:
             model, run_id = champion.get() if champion is not None else (None, None)
             can_score = champion is None or model is not None
-            feats, records, rejects = score_batch(fields, model, run_id, spec=spec, record=record,
-                                                  can_score=can_score)
+            feats, records, rejects = score_batch(fields, model, run_id, inference_ts, spec=spec,
+                                                  record=record, can_score=can_score)
             if partition_by_date:
                 feats = feats.withColumn("event_date",
                                          F.to_date(F.try_to_timestamp("timestamp")))
@@ -135,16 +139,19 @@ def scoring_writer(feature_store_path: str, predictions_path: str, rejects_path:
             dated = partition_by_date and "inference_timestamp" in records.columns
             if dated:
                 records = records.withColumn("inference_date", F.to_date("inference_timestamp"))
-            records = records.persist()    # read again for the summary
             write_batch(records, predictions_path, batch_id,
                         partition_by=["inference_date"] if dated else None)
+            spark = batch.sparkSession
+            stored = spark.read.schema(records.schema).parquet(
+                batch_folder(predictions_path, query_id(spark), batch_id))
             if "inference_timestamp" in records.columns:
                 # committed after the batch's records: the drift report trusts what is here
-                write_batch(drift.summarise(records).coalesce(1), summary_path(predictions_path), batch_id)
+                write_batch(drift.summarise(stored).coalesce(1), summary_path(predictions_path), batch_id)
+                if not dated:  # date folders have no one order of files
+                    write_batch(arrival.manifest_of(stored).coalesce(1), arrival.manifest_path(predictions_path), batch_id)
             if kafka:
-                write_kafka(scoring.to_json_value(records.drop("inference_date")),
+                write_kafka(scoring.to_json_value(stored.drop("inference_date")),
                             kafka["servers"], kafka["topic"])
-            records.unpersist()
         finally:
             fields.unpersist()
     return write
@@ -165,7 +172,7 @@ def scoring_query(raw: DataFrame, feature_store_path: str, predictions_path: str
                   rejects_path: str, checkpoint: str, champion: ChampionLoader | None = None,
                   trigger: dict | None = None, kafka: dict | None = None,
                   dedup_within: str | None = None, partition_by_date: bool = False,
-                  spec: FeatureSpec = STORE, record: str = "rich") -> StreamingQuery:
+                  spec: FeatureSpec = STORE, record: str = "rich", inference_ts=None) -> StreamingQuery:
     """``raw`` is a streaming frame with ``json_str``. ``dedup_within`` (e.g. "1 hour") drops
     replayed events by transaction id (see ``without_replays``); off by default, as the
     reference does not deduplicate. ``spec`` and ``record``: see ``score_batch``."""
@@ -173,6 +180,6 @@ def scoring_query(raw: DataFrame, feature_store_path: str, predictions_path: str
         raw = without_replays(raw, dedup_within)
     w = (raw.writeStream
          .foreachBatch(scoring_writer(feature_store_path, predictions_path, rejects_path,
-                                      champion, kafka, partition_by_date, spec, record))
+                                      champion, kafka, partition_by_date, spec, record, inference_ts))
          .option("checkpointLocation", checkpoint))
     return apply_trigger(w, trigger).start()

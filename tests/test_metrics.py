@@ -65,3 +65,18 @@ def test_rule_model_figures_at_sf001(spark):
     assert round(metrics.auc_exact(df, "label", "score").first()["auc"], 4) == 0.8561
     m = metrics.classification_metrics(df).first()
     assert round(m["f1"], 4) == 0.8657 and round(m["accuracy"], 4) == 0.8653
+
+
+def test_auc_by_group_equals_brute_force(spark):
+    """One group holds most rows; ties, a group of one class, NULL group."""
+    rng = random.Random(9)
+    rows = [(g, float(rng.random() < 0.3), rng.choice([0.1, 0.2, 0.5, rng.random()]))
+            for g, n in (("hot", 900), ("b", 40), (None, 30)) for _ in range(n)] + [("one", 1.0, 0.4)] * 3
+    df = spark.createDataFrame(rows, "g string, label double, score double")
+    got = {r["g"]: r["auc"] for r in metrics.auc_exact(df, num_buckets=16, by=("g",)).collect()}
+    assert set(got) == {"hot", "b", None, "one"} and got["one"] is None
+    for g in ("hot", "b", None):
+        pos = [s for h, y, s in rows if h == g and y > 0.5]
+        neg = [s for h, y, s in rows if h == g and y <= 0.5]
+        wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+        assert got[g] == pytest.approx(wins / (len(pos) * len(neg)), abs=1e-12)

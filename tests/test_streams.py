@@ -1,5 +1,6 @@
 """Streams equal their batch twins; a restart adds nothing; replayed batches are idempotent."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from riskflow.plans import catalog as C
@@ -161,3 +162,77 @@ def test_rebalanced_side_output_has_few_files(spark):
     files = lambda p: [f for f in os.listdir(batch_folder(p, "batch", 0)) if f.endswith(".parquet")]  # noqa
     assert len(files(f"{root}/rebal")) < len(files(f"{root}/plain"))
     assert spark.read.parquet(f"{root}/rebal").count() == 20
+
+
+def test_crash_between_the_log_and_its_sums(spark, sf_small):
+    """The predictions of a batch are committed, its sums and manifest are not; the replay makes
+    them from the stored records, so times agree and the report is the one of the whole log."""
+    import time
+
+    from riskflow.functions.features import ONLINE
+    from riskflow.operators import arrival, drift
+    from riskflow.sources.tables import read_predictions
+    from riskflow.streaming.scoring import scoring_writer, summary_path
+    root = scratch_path(spark, "test_crash")
+    batch = D.raw(spark, sf_small).select("json_str").repartition(3)
+    write = scoring_writer(f"{root}/f", f"{root}/p", f"{root}/r", spec=ONLINE)
+    write(batch, 0)
+    before = read_predictions(spark, f"{root}/p").agg(F.min("inference_timestamp"), F.count("*")).first()
+    for path in (summary_path(f"{root}/p"), arrival.manifest_path(f"{root}/p")):
+        C.remove_path(spark, path)
+    time.sleep(1.1)
+    write(batch, 0)
+    log = read_predictions(spark, f"{root}/p")
+    assert log.agg(F.min("inference_timestamp"), F.count("*")).first() == before
+    stored = spark.read.parquet(summary_path(f"{root}/p"))
+    assert _sorted(drift.segment_summaries(log, summary=stored)) == _sorted(drift.segment_summaries(log))
+    assert arrival.read_manifest(spark, f"{root}/p").agg(F.sum("rows")).first()[0] == before[1]
+    # sums that were made from another log are an error, not an empty report
+    moved = stored.withColumn("bucket", F.col("bucket") + 60_000_000)
+    with pytest.raises(RuntimeError, match="summary"):
+        drift.segment_summaries(log, summary=moved).collect()
+
+
+def test_gold_waits_for_the_commit_of_a_silver_batch(spark, sf_small):
+    """A silver batch whose files are there but not its announcement (the writer died just before)
+    is not gold's yet; its replay brings it there once. The crash is staged by taking back what
+    the last step of a batch leaves."""
+    from riskflow.streaming.medallion import COMMITS, commits_path
+    root = scratch_path(spark, "test_gold_crash")
+    C._run_silver(spark, sf_small, root)
+    marks = spark.read.schema(COMMITS).option("recursiveFileLookup", "true").json(commits_path(f"{root}/silver")).collect()
+    for r in marks:
+        C.remove_path(spark, batch_folder(commits_path(f"{root}/silver"), r["query_id"], r["batch_id"]))
+        C.remove_path(spark, batch_folder(f"{root}/silver", r["query_id"], r["batch_id"]) + "/_SUCCESS")
+        C.remove_path(spark, f"{root}/_chk/silver/commits/{r['batch_id']}")
+        C.remove_path(spark, f"{root}/_chk/silver/commits/.{r['batch_id']}.crc")
+    C._run_gold(spark, root)
+    silver_query(spark, f"{root}/bronze", f"{root}/silver", f"{root}/quarantine", f"{root}/_chk/silver",
+                 trigger={"availableNow": True}).awaitTermination()
+    C._run_gold(spark, root)
+    g = C.features_gold(spark, sf_small)
+    assert _sorted(C._gold_rows(spark, root).select(*g.columns)) == _sorted(g)
+
+
+def test_arrival_cut_equals_positions(spark, monkeypatch):
+    """Every k: the rows before the cut are the first k in order of batch, file and row."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from riskflow.operators import arrival
+    monkeypatch.setattr(arrival, "CELL", 2)
+    root = scratch_path(spark, "test_arrival")
+    sizes = [5, 0, 1, 7, 3]
+    at = 0
+    for b, n in enumerate(sizes):
+        part = spark.range(at, at + n, numPartitions=2)
+        write_batch(part, f"{root}/log", b)
+        stored = spark.read.schema(part.schema).parquet(batch_folder(f"{root}/log", "batch", b))
+        write_batch(arrival.manifest_of(stored), arrival.manifest_path(f"{root}/log"), b)
+        at += n
+    manifest = arrival.read_manifest(spark, f"{root}/log")
+    ends = [sum(sizes[:b]) for b in range(len(sizes))]
+    for k in (1, 4, 5, 6, 7, 13, 16):
+        cut = arrival.arrival_cut(manifest, k)
+        rows = arrival.cut_batch(spark, f"{root}/log", StructType([StructField("id", LongType())]), cut).collect()
+        assert {r["id"] for r in rows if r["is_baseline"]} == set(range(ends[cut.batch_id], k))
+        assert len(rows) == sizes[cut.batch_id]
