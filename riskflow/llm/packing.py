@@ -58,6 +58,16 @@ def term_weights(tf: np.ndarray, idf: np.ndarray, length, mean: float) -> np.nda
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
 
 
+def _term_counts(docs: list[np.ndarray], length: np.ndarray, terms: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted ``document * terms + term`` of some documents, and how often each occurs; held in 32 bits
+    where they suffice."""
+    kind = np.uint32 if len(docs) * terms < 1 << 32 else np.int64
+    pair = np.repeat(np.arange(len(docs), dtype=kind) * kind(terms), length)
+    pair += np.concatenate(docs).astype(kind)
+    pair, tf = np.unique(pair, return_counts=True)
+    return pair.astype(np.int64), tf
+
+
 def _by_weight(doc: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Order of terms by document, then falling weight: both in one number."""
     return np.argsort(doc - weight / (weight.max(initial=0.0) + 1.0), kind="stable")
@@ -71,7 +81,7 @@ def projections(docs: list[np.ndarray], idf: np.ndarray, mean: float, axes: np.n
         some = docs[at:at + _TOGETHER]
         length = np.array([len(d) for d in some], np.int64)
         # counts of all terms of some documents at once: (document, term) as one sorted number
-        pair, tf = np.unique(np.repeat(np.arange(len(some)), length) * len(idf) + np.concatenate(some), return_counts=True)
+        pair, tf = _term_counts(some, length, len(idf))
         doc, term = np.divmod(pair, len(idf))
         weight = term_weights(tf, idf[term], length[doc], mean)
         order = _by_weight(doc, weight)
@@ -138,7 +148,7 @@ class Index:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean: float):
         length = np.array([len(d) for d in docs], np.int64)
-        pair, tf = np.unique(np.repeat(np.arange(len(docs)), length) * len(idf) + np.concatenate(docs), return_counts=True)
+        pair, tf = _term_counts(docs, length, len(idf))
         owner, term = np.divmod(pair, len(idf))
         weight = term_weights(tf, idf[term], length[owner], mean)
         # a query asks for the terms that weigh most and that another document of the shard has,
