@@ -28,6 +28,8 @@ def main(argv=None):
     ap.add_argument("--predictions-topic", default=PREDICTION_TOPIC)
     ap.add_argument("--once", action="store_true", help="process what is available and stop")
     ap.add_argument("--no-retrain", action="store_true")
+    ap.add_argument("--order", default="time", choices=["time", "arrival"],
+                    help="drift: cut the log by inference time or in order of arrival")
     ap.add_argument("--preset", default="store", choices=["store", "online"],
                     help="score: which consumer's features are scored")
     ap.add_argument("--record", default="rich", choices=["rich", "short"])
@@ -48,7 +50,7 @@ def main(argv=None):
     elif a.job in ("drift", "gauges"):
         while True:
             if a.job == "drift":
-                report, decision, _ = drift_job(spark, paths, retrain=not a.no_retrain)
+                report, decision, _ = drift_job(spark, paths, retrain=not a.no_retrain, order=a.order)
                 report.show(truncate=False)
                 print(decision)
                 report.unpersist()
