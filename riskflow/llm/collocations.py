@@ -12,8 +12,10 @@ that hold steps (its size does not depend on the corpus). A cell keeps the first
 in, so the step read for a phrase is the same in every scan; a false hit only makes a phrase active
 that cannot reach the threshold, and its count drops it.
 
-Counts travel as (lang, word hashes), summed per row of sequences and per task before the shuffle.
-Two words of one language with equal 64-bit hashes would be taken for one word.
+Counts travel as arrays of word hashes and numbers, one row per task, language, length and bucket of
+phrase hashes; a bucket's rows are added up in one task. There is a bucket for every ``BUCKET_WORDS``
+words of the corpus, and a phrase adds at most one entry per counted chunk, so neither the corpus nor a hot
+phrase swells a bucket. Two words of one language with equal 64-bit hashes would be taken for one word.
 """
 
 from __future__ import annotations
@@ -35,9 +37,14 @@ SHARDS, LONGEST, THRESHOLD, TOP = 3, 5, 100, 2000
 CELLS = 1 << 24
 #: Words of one row of sequences, and of the rows that are counted together; bytes of text that are
 #: gathered per language, and in all.
-ROW_WORDS, _TOGETHER, _GATHER, _HELD = 1 << 18, 1 << 20, 1 << 23, 3 << 24
+ROW_WORDS, _TOGETHER, _GATHER, _HELD = 1 << 16, 1 << 20, 1 << 23, 3 << 24
 _SLICE = 1 << 20
+#: Words of the corpus per bucket of phrases.
+BUCKET_WORDS = 1 << 20
 SALTS = 8
+#: Rows hold up to a few MB, so the writer looks at its buffers after each row, not after the first 100.
+_FEW_LARGE_ROWS = {"parquet.block.size": str(1 << 25), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1",
+                   "parquet.block.size.row.check.max": "8", "parquet.page.size.row.check.max": "8", "parquet.enable.dictionary": "false"}
 _NEVER = 255
 _MULT = np.uint64(0x9FB21C651E98DF25)
 #: Marks that end a piece become line feeds, tabs become spaces; the rest are letters of words.
@@ -136,37 +143,48 @@ def count_active(w: np.ndarray, own: np.ndarray, lang: str, cells: np.ndarray, s
 
 def _binary(words: np.ndarray) -> pa.Array:
     """Rows of a matrix of hashes as binary values."""
-    n, k = words.shape
-    offsets = np.arange(n + 1, dtype=np.int32) * (8 * k)
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(words))])
+    return _cut(words, np.arange(len(words) + 1))
+
+
+def _cut(rows: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """``rows`` between successive bounds as binary values."""
+    width = rows.itemsize * (rows.shape[1] if rows.ndim > 1 else 1)
+    offsets = np.asarray(bounds * width, np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _array(value, kind) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), kind)
+
+
+_SHARD = "shard int, lang string, seq binary, own int, words binary, n binary, texts binary, total long"
 
 
 def _write_shards(docs: DataFrame, lang_col: str, text_col: str, path: str) -> None:
-    """``path``: parquet partitioned by shard with rows of word hashes (lang, seq, own) and rows of counted words
-    (lang, word, words, n)."""
-    names = ["shard", "lang", "seq", "own", "word", "words", "n"]
+    """``path``: parquet partitioned by shard with rows of word hashes (lang, seq, own) and rows of counted
+    words (lang, words, n, texts, total), many words a row."""
+    names = ["shard", "lang", "seq", "own", "words", "n", "texts", "total"]
 
     def run(batches):
         turn = TaskContext.get().partitionId()
         held: dict[str, list[bytes]] = {}
         size: dict[str, int] = {}
 
+        def row(lang, **values):
+            kinds = (pa.int32(), pa.string(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+            values |= {"shard": turn % SHARDS, "lang": lang}
+            return pa.RecordBatch.from_arrays([pa.array([values.get(c)], k) for c, k in zip(names, kinds)], names=names)
+
         def flush(lang):
             nonlocal turn
             seq, hashes, count, words = sequence(b"\n".join(held.pop(lang)))
             size.pop(lang)
             for at in range(0, len(seq), ROW_WORDS):
-                row = seq[at:at + ROW_WORDS + LONGEST - 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([turn % SHARDS], pa.int32()), pa.array([lang]), pa.array([row.tobytes()], pa.binary()),
-                     pa.array([min(ROW_WORDS, len(seq) - at)], pa.int32()), pa.nulls(1, pa.string()),
-                     pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64())], names=names)
+                yield row(lang, seq=seq[at:at + ROW_WORDS + LONGEST - 1].tobytes(), own=min(ROW_WORDS, len(seq) - at))
                 turn += 1
-            n = len(hashes)
-            if n:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, turn % SHARDS, np.int32)), pa.array([lang] * n), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int32()),
-                     pa.array([x.decode("utf-8", "replace") for x in words]), _binary(hashes[:, None]), pa.array(count)], names=names)
+            for at in range(0, len(hashes), ROW_WORDS):
+                part = slice(at, at + ROW_WORDS)
+                yield row(lang, words=hashes[part].tobytes(), n=count[part].tobytes(), texts=b"\n".join(words[part]), total=int(count[part].sum()))
 
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -181,14 +199,41 @@ def _write_shards(docs: DataFrame, lang_col: str, text_col: str, path: str) -> N
             yield from flush(x)
 
     rows = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    (rows.mapInArrow(run, "shard int, lang string, seq binary, own int, word string, words binary, n long")
-     .write.partitionBy("shard").parquet(path))
+    rows.mapInArrow(run, _SHARD).write.options(**_FEW_LARGE_ROWS).partitionBy("shard").parquet(path)
+
+
+_COUNTS = "bucket int, lang string, k int, words binary, since binary, n binary, known binary"
+
 
+def _dealt(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """New counts of phrases of one length, one row per bucket of their hashes."""
+    which = ((_keys(words, lang) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(which, kind="stable")
+    ids, starts = np.unique(which[order], return_index=True)
+    bounds = np.append(starts, len(order))
+    never = np.full(len(order), _NEVER, np.uint8)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array([lang] * len(ids)), pa.array(np.full(len(ids), words.shape[1], np.int32)), _cut(words[order], bounds),
+         _cut(since[order].astype(np.uint8), bounds), _cut(n[order].astype(np.int64), bounds), _cut(never, bounds)],
+        names=["bucket", "lang", "k", "words", "since", "n", "known"])
 
-_STATE = "lang string, words binary, since int, n long, known int"
 
+def summed(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, known: np.ndarray) -> tuple:
+    """(words, since, n, known, keys) of the distinct rows of ``words``: counts are added, steps are the first."""
+    key = _keys(words, lang)
+    order = np.argsort(key, kind="stable")
+    new = key[order][1:] != key[order][:-1]
+    other = (words[order][1:] != words[order][:-1]).any(axis=1)
+    if (other & ~new).any():  # two phrases of one key: sort by the words as well
+        order = np.lexsort((*words.T, key))
+        other = (words[order][1:] != words[order][:-1]).any(axis=1)
+    first = np.flatnonzero(np.append(True, other))
+    at = order[first]
+    return words[at], np.minimum.reduceat(since[order], first), np.add.reduceat(n[order], first), np.minimum.reduceat(known[order], first), key[at]
 
-def _scan(shard: DataFrame, cells, step: int) -> DataFrame:
+
+def _scan(shard: DataFrame, cells, step: int, buckets: int) -> DataFrame:
+    """New counts of one step: the shard's words in the first cycle, and its active phrases."""
     shards, together = SHARDS, _TOGETHER
 
     def count(lang, rows):
@@ -196,46 +241,112 @@ def _scan(shard: DataFrame, cells, step: int) -> DataFrame:
         w = np.concatenate([x for seq, _ in rows for x in (seq, np.zeros(1, np.uint64))])
         own = np.concatenate([np.arange(len(seq) + 1) < n for seq, n in rows])
         for words, since, found in count_active(w, own, lang, cells.value, step, shards):
-            n = len(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * n), _binary(words), pa.array(since.astype(np.int32)),
-                 pa.array(found.astype(np.int64)), pa.nulls(n, pa.int32())],
-                names=["lang", "words", "since", "n", "known"])
+            yield _dealt(lang, words, since, found, buckets)
+
+    def count_words(lang, rows):
+        words, n = np.concatenate([w for w, _ in rows]), np.concatenate([n for _, n in rows])
+        zero = np.zeros(len(words), np.uint8)
+        words, since, n, _, _ = summed(lang, words[:, None], zero, n, zero)
+        yield _dealt(lang, words, since, n, buckets)
 
     def run(batches):
-        held: dict[str, list] = {}
+        held: dict[tuple[str, bool], list] = {}
+        size: dict[tuple[str, bool], int] = {}
+
+        def flush(what):
+            size.pop(what)
+            yield from (count if what[1] else count_words)(what[0], held.pop(what))
+
         for b in batches:
-            for lang, seq, own in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
-                rows = held.setdefault(lang, [])
-                rows.append((np.frombuffer(seq.as_buffer(), np.uint64).copy(), own))
-                if sum(len(x) for x, _ in rows) >= together:
-                    yield from count(lang, held.pop(lang))
-                elif sum(len(x) for r in held.values() for x, _ in r) >= 4 * together:
+            for lang, seq, own, words, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3), b.column(4)):
+                what = lang, own is not None
+                row = (_array(seq, np.uint64).copy(), own) if what[1] else (_array(words, np.uint64).copy(), _array(n, np.int64).copy())
+                held.setdefault(what, []).append(row)
+                size[what] = size.get(what, 0) + len(row[0])
+                if size[what] >= together:
+                    yield from flush(what)
+                elif sum(size.values()) >= 4 * together:
                     for x in list(held):
-                        yield from count(x, held.pop(x))
+                        yield from flush(x)
         for x in list(held):
-            yield from count(x, held.pop(x))
+            yield from flush(x)
 
-    return shard.where("seq IS NOT NULL").select("lang", "seq", "own").mapInArrow(run, _STATE)
+    if step == 0:
+        shard = shard.where("own IS NULL")
+    elif step >= SHARDS:
+        shard = shard.where("own IS NOT NULL")
+    return shard.select("lang", "seq", "own", "words", "n").mapInArrow(run, _COUNTS)
+
+
+def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
+    """Sums of a step, per bucket: what is over (its cycle is complete) and frequent, and what goes on; ``fresh``
+    holds the keys of the phrases that have just reached the threshold."""
+    shards, longest, most = SHARDS, LONGEST, ROW_WORDS
+    names = ["bucket", "lang", "k", "over", "words", "since", "n", "known", "fresh"]
+
+    def merge(table):
+        parts: dict[tuple[str, int], list] = {}
+        for lang, k, *blobs in zip(table["lang"].to_pylist(), table["k"].to_pylist(), *(table[c] for c in ("words", "since", "n", "known"))):
+            arrays = [_array(x, kind) for x, kind in zip(blobs, (np.uint64, np.uint8, np.int64, np.uint8))]
+            parts.setdefault((lang, k), []).append([arrays[0].reshape(-1, k), *arrays[1:]])
+        bucket, out = table["bucket"][0].as_py(), []
+        for (lang, k), found in parts.items():
+            words, since, n, known, key = summed(lang, *(np.concatenate(x) for x in zip(*found)))
+            # known: the first step whose scan may use it
+            known = np.where((known == _NEVER) & (n >= threshold), np.uint8(step + 1), known)
+            over = since.astype(np.int64) + shards <= step + 1
+            for done, which in ((True, np.flatnonzero(over & (n >= threshold))), (False, np.flatnonzero(~over))):
+                for at in (which[i:i + most] for i in range(0, len(which), most)):
+                    fresh = key[at][(known[at] == step + 1) & (k < longest)]
+                    out.append((bucket, lang, k, done, *(x[at].tobytes() for x in (words, since, n, known)), fresh.tobytes()))
+        kinds = (pa.int32(), pa.string(), pa.int32(), pa.bool_(), *[pa.binary()] * 5)
+        return pa.table([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names)
+
+    return rows.groupBy("bucket").applyInArrow(merge, "bucket int, lang string, k int, over boolean, words binary, since binary, n binary, known binary, fresh binary")
 
 
 def _cells_of(rows: DataFrame, size: int) -> list:
-    """(block, bits) of the filter's cells of phrases; at most ``CELLS / 32768`` rows of 4 KB."""
+    """(block, bits) of the filter's cells of fresh phrases; at most ``CELLS / 32768`` rows of 4 KB."""
 
     def run(batches):
         for b in batches:
-            found: dict[tuple[str, int], list[bytes]] = {}
-            for lang, words in zip(*(c.to_pylist() for c in b.columns)):
-                found.setdefault((lang, len(words) // 8), []).append(words)
-            for (lang, k), rows_ in found.items():
-                key = _keys(np.frombuffer(b"".join(rows_), np.uint64).reshape(-1, k), lang)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(key, size)))], names=["cell"])
-
-    cells = rows.select("lang", "words").mapInArrow(run, "cell long").distinct()
+            for keys in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(_array(keys, np.uint64), size)))], names=["cell"])
+
+    cells = rows.select("fresh").where("length(fresh) > 0").mapInArrow(run, "cell long").distinct()
     return (cells.groupBy(F.bitmap_bucket_number(F.col("cell") + 1).alias("block"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("cell") + 1)).alias("bits")).collect())
 
 
+def _rows_of(counts: DataFrame) -> DataFrame:
+    """One row per phrase: lang, words, n."""
+
+    def run(batches):
+        for b in batches:
+            for lang, k, words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
+                n = _array(n, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), _binary(_array(words, np.uint64).reshape(-1, k)), pa.array(n)], names=["lang", "words", "n"])
+
+    return counts.select("lang", "k", "words", "n").mapInArrow(run, "lang string, words binary, n long")
+
+
+def _spelled(prepared: DataFrame, cells) -> DataFrame:
+    """(lang, words, word) of the words that the filter holds."""
+
+    def run(batches):
+        for b in batches:
+            for lang, words, texts in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+                words = _array(words, np.uint64)
+                at = np.flatnonzero(_step_of(mix(words ^ _seed(lang)), cells.value) != _NEVER)
+                texts = texts.split(b"\n")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(at), pa.string()), _binary(words[at][:, None]), pa.array([texts[i].decode("utf-8", "replace") for i in at.tolist()], pa.string())],
+                    names=["lang", "words", "word"])
+
+    found = prepared.where("own IS NULL").select("lang", "words", "texts").mapInArrow(run, "lang string, words binary, word string")
+    return found.groupBy("lang", "words").agg(F.max("word").alias("word"))
+
+
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): (lang, words, word, n) of every phrase of up to ``LONGEST`` words that occurs
     ``threshold`` times, with its exact count (``word`` is the text where it is one word), and
@@ -245,48 +356,36 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
     ensure_checkpoint_dir(spark)
     root = scratch_path(spark, "collocations")
     _write_shards(docs, lang_col, text_col, f"{root}/shards")
-    prepared = spark.read.schema("lang string, seq binary, own int, word string, words binary, n long, shard int").parquet(f"{root}/shards")
+    prepared = spark.read.schema(_SHARD).parquet(f"{root}/shards")
+    totals = materialize(prepared.where("own IS NULL").groupBy("lang").agg(F.sum("total").alias("total")))
+    buckets = 1 + (totals.agg(F.sum("total")).first()[0] or 0) // BUCKET_WORDS
     cells = np.full(CELLS, _NEVER, np.uint8)
     state, done, step, last = None, None, 0, SHARDS - 1
     while step <= last:
-        shard = prepared.where(F.col("shard") == step % SHARDS)
-        parts = []
-        if step < SHARDS:
-            parts.append(shard.where("seq IS NULL").select("lang", "words", F.lit(0).alias("since"), "n", F.lit(None).cast("int").alias("known")))
         shared = spark.sparkContext.broadcast(cells)
-        if step:
-            parts.append(_scan(shard, shared, step))
-            parts.append(state)
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        summed = rows.groupBy("lang", "words").agg(F.min("since").alias("since"), F.sum("n").alias("n"), F.max("known").alias("known"))
-        # known: the first step whose scan may use it
-        summed = summed.withColumn("known", F.coalesce("known", F.when(F.col("n") >= threshold, F.lit(step + 1))))
-        over = F.col("since") + SHARDS <= step + 1
+        rows = _scan(prepared.where(F.col("shard") == step % SHARDS), shared, step, buckets)
+        if state is not None:
+            rows = rows.unionByName(state)
         path = f"{root}/step={step}"
-        summed.where(~over | (F.col("n") >= threshold)).withColumn("over", over).write.parquet(path)
+        _add_up(rows, step, threshold).write.options(**_FEW_LARGE_ROWS).parquet(path)
         shared.destroy()
-        now = spark.read.schema(_STATE + ", over boolean").parquet(path)
-        fresh = now.where((F.col("known") == step + 1) & (F.length("words") < 8 * LONGEST))
-        found = _cells_of(fresh, len(cells))
+        now = spark.read.schema(_COUNTS + ", over boolean, fresh binary").parquet(path)
+        found = _cells_of(now, len(cells))
         for block, bits in found:
             on = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
             at = (block - 1) * 32768 + on
             cells[at] = np.minimum(cells[at], step + 1)
         if found:
             last = max(last, step + SHARDS)
-        complete = now.where("over").select("lang", "words", "n")
+        complete = now.where("over")
         done = complete if done is None else done.unionByName(complete)
-        state = now.where("NOT over").drop("over")
+        state = now.where("NOT over").drop("over", "fresh")
         step += 1
-    done = materialize(done)
-    # the aggregations above hold numbers only; words are spelled once, at the end
-    spelled = (prepared.where("seq IS NULL").select("lang", "words", "word")
-               .join(done.where(F.length("words") == 8).select("lang", "words"), ["lang", "words"], "left_semi")
-               .groupBy("lang", "words").agg(F.max("word").alias("word")))
-    phrases = materialize(done.join(spelled, ["lang", "words"], "left").select("lang", "words", "word", "n"))
-    totals = materialize(prepared.where("seq IS NULL").groupBy("lang").agg(F.sum("n").alias("total")))
+    done = materialize(_rows_of(done))
+    # counts travel as numbers only; words are spelled once, at the end
+    shared = spark.sparkContext.broadcast(cells)
+    phrases = materialize(done.join(_spelled(prepared, shared), ["lang", "words"], "left").select("lang", "words", "word", "n"))
+    shared.destroy()
     remove_path(spark, root)
     return phrases, totals
 

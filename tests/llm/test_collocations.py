@@ -58,6 +58,7 @@ def test_equals_the_definition(spark, monkeypatch, seed, shards, row_words):
     monkeypatch.setattr(collocations, "SHARDS", shards)
     monkeypatch.setattr(collocations, "ROW_WORDS", row_words)
     monkeypatch.setattr(collocations, "_GATHER", 900)
+    monkeypatch.setattr(collocations, "BUCKET_WORDS", 1000)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, "x") for r in rows], "lang string, text string, words string").repartition(3)
     assert got(collocations.mine(df, threshold=12, top=60)) == brute(rows, 12, 60)
@@ -95,6 +96,20 @@ def test_a_phrase_is_counted_once_per_shard_from_its_activation():
     assert seen == want
 
 
+def test_sums_of_phrases_whose_keys_are_equal(monkeypatch):
+    rng = np.random.default_rng(7)
+    words = rng.integers(1, 4, (200, 2)).astype(np.uint64)
+    since, n, known = rng.integers(1, 5, 200).astype(np.uint8), rng.integers(1, 9, 200), rng.integers(1, 9, 200).astype(np.uint8)
+    want = {}
+    for w, s, c, k in zip(words.tolist(), since.tolist(), n.tolist(), known.tolist()):
+        old = want.get(tuple(w), (255, 0, 255))
+        want[tuple(w)] = (min(old[0], s), old[1] + c, min(old[2], k))
+    for keys in (collocations._keys, lambda w, lang: np.zeros(len(w), np.uint64)):
+        monkeypatch.setattr(collocations, "_keys", keys)
+        out = collocations.summed("en", words, since, n, known)
+        assert {tuple(w): tuple(r) for w, *r in zip(*(x.tolist() for x in out[:4]))} == want and len(out[0]) == len(want)
+
+
 def test_a_long_text_is_read_in_slices(monkeypatch):
     texts = [t.encode() for _, t in corpus(6, 60) if t]
     whole = [collocations.sequence(t) for t in texts]
