@@ -24,6 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from ..session import ensure_checkpoint_dir, remove_path, scratch_path
 from .common import materialize, salted_join, ship
 from .wordhash import mix, span_hashes, word_bounds
 
-SHARDS, LONGEST, THRESHOLD, TOP = 3, 5, 100, 2000
+SHARDS, LONGEST, THRESHOLD, TOP = 2, 5, 100, 2000
 #: Bytes of the filter (a power of two).
 CELLS = 1 << 24
 #: Words of one row of sequences, and of the rows that are counted together; bytes of text that are
@@ -44,7 +45,7 @@ BUCKET_WORDS = 1 << 20
 SALTS = 8
 #: Rows hold up to a few MB, so the writer looks at its buffers after each row, not after the first 100.
 _FEW_LARGE_ROWS = {"parquet.block.size": str(1 << 25), "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1",
-                   "parquet.block.size.row.check.max": "8", "parquet.page.size.row.check.max": "8", "parquet.enable.dictionary": "false"}
+                   "parquet.block.size.row.check.max": "8", "parquet.page.size.row.check.max": "8", "parquet.enable.dictionary": "false", "compression": "zstd"}
 _NEVER = 255
 _MULT = np.uint64(0x9FB21C651E98DF25)
 #: Marks that end a piece become line feeds, tabs become spaces; the rest are letters of words.
@@ -157,6 +158,15 @@ def _array(value, kind) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), kind)
 
 
+def _squeezed(words: np.ndarray) -> bytes:
+    """Rows of words by columns, compressed: sorted rows repeat their first word."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(words.T).tobytes())
+
+
+def _words_of(value, k: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_py()), np.uint64).reshape(k, -1).T
+
+
 _SHARD = "shard int, lang string, seq binary, own int, words binary, n binary, texts binary, total long"
 
 
@@ -208,12 +218,12 @@ _COUNTS = "bucket int, lang string, k int, words binary, since binary, n binary,
 def _dealt(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
     """New counts of phrases of one length, one row per bucket of their hashes."""
     which = ((_keys(words, lang) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(which, kind="stable")
+    order = np.lexsort((words[:, 0], which))
     ids, starts = np.unique(which[order], return_index=True)
     bounds = np.append(starts, len(order))
     never = np.full(len(order), _NEVER, np.uint8)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array([lang] * len(ids)), pa.array(np.full(len(ids), words.shape[1], np.int32)), _cut(words[order], bounds),
+        [pa.array(ids), pa.array([lang] * len(ids)), pa.array(np.full(len(ids), words.shape[1], np.int32)), pa.array([_squeezed(words[order[a:b]]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
          _cut(since[order].astype(np.uint8), bounds), _cut(n[order].astype(np.int64), bounds), _cut(never, bounds)],
         names=["bucket", "lang", "k", "words", "since", "n", "known"])
 
@@ -287,8 +297,7 @@ def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
     def merge(table):
         parts: dict[tuple[str, int], list] = {}
         for lang, k, *blobs in zip(table["lang"].to_pylist(), table["k"].to_pylist(), *(table[c] for c in ("words", "since", "n", "known"))):
-            arrays = [_array(x, kind) for x, kind in zip(blobs, (np.uint64, np.uint8, np.int64, np.uint8))]
-            parts.setdefault((lang, k), []).append([arrays[0].reshape(-1, k), *arrays[1:]])
+            parts.setdefault((lang, k), []).append([_words_of(blobs[0], k), *(_array(x, kind) for x, kind in zip(blobs[1:], (np.uint8, np.int64, np.uint8)))])
         bucket, out = table["bucket"][0].as_py(), []
         for (lang, k), found in parts.items():
             words, since, n, known, key = summed(lang, *(np.concatenate(x) for x in zip(*found)))
@@ -296,9 +305,10 @@ def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
             known = np.where((known == _NEVER) & (n >= threshold), np.uint8(step + 1), known)
             over = since.astype(np.int64) + shards <= step + 1
             for done, which in ((True, np.flatnonzero(over & (n >= threshold))), (False, np.flatnonzero(~over))):
+                which = which[np.argsort(words[which, 0], kind="stable")]
                 for at in (which[i:i + most] for i in range(0, len(which), most)):
                     fresh = key[at][(known[at] == step + 1) & (k < longest)]
-                    out.append((bucket, lang, k, done, *(x[at].tobytes() for x in (words, since, n, known)), fresh.tobytes()))
+                    out.append((bucket, lang, k, done, _squeezed(words[at]), *(x[at].tobytes() for x in (since, n, known)), fresh.tobytes()))
         kinds = (pa.int32(), pa.string(), pa.int32(), pa.bool_(), *[pa.binary()] * 5)
         return pa.table([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names)
 
@@ -325,32 +335,58 @@ def _rows_of(counts: DataFrame) -> DataFrame:
         for b in batches:
             for lang, k, words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                 n = _array(n, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), _binary(_array(words, np.uint64).reshape(-1, k)), pa.array(n)], names=["lang", "words", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), _binary(_words_of(words, k)), pa.array(n)], names=["lang", "words", "n"])
 
     return counts.select("lang", "k", "words", "n").mapInArrow(run, "lang string, words binary, n long")
 
 
-def _spelled(prepared: DataFrame, cells) -> DataFrame:
-    """(lang, words, word) of the words that the filter holds."""
+def _spelled(prepared: DataFrame, needed: DataFrame) -> DataFrame:
+    """(lang, w, word) of the words ``needed`` (lang, w), and of few others: tasks learn the needed ones from a
+    filter of ``CELLS`` bytes and spell each once."""
+    size = CELLS
+
+    def places(batches):
+        for b in batches:
+            for lang, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                key = _keys(np.frombuffer(w, np.uint64)[:, None], lang)
+                yield pa.RecordBatch.from_arrays([pa.array([key.tobytes()], pa.binary())], names=["fresh"])
+
+    held = np.full(size, _NEVER, np.uint8)
+    for block, bits in _cells_of(needed.mapInArrow(places, "fresh binary"), size):
+        held[(block - 1) * 32768 + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))] = 0
+    cells = prepared.sparkSession.sparkContext.broadcast(held)
 
     def run(batches):
+        spelled: dict[str, np.ndarray] = {}
         for b in batches:
             for lang, words, texts in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 words = _array(words, np.uint64)
-                at = np.flatnonzero(_step_of(mix(words ^ _seed(lang)), cells.value) != _NEVER)
+                old = spelled.get(lang, words[:0])
+                at = np.flatnonzero((_step_of(mix(words ^ _seed(lang)), cells.value) != _NEVER) & ~np.isin(words, old))
+                spelled[lang] = np.concatenate([old, words[at]])
                 texts = texts.split(b"\n")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(at), pa.string()), _binary(words[at][:, None]), pa.array([texts[i].decode("utf-8", "replace") for i in at.tolist()], pa.string())],
-                    names=["lang", "words", "word"])
+                    names=["lang", "w", "word"])
+
+    found = prepared.where("own IS NULL").select("lang", "words", "texts").mapInArrow(run, "lang string, w binary, word string")
+    words = materialize(found.groupBy("lang", "w").agg(F.max("word").alias("word")))
+    cells.destroy()
+    return words
+
 
-    found = prepared.where("own IS NULL").select("lang", "words", "texts").mapInArrow(run, "lang string, words binary, word string")
-    return found.groupBy("lang", "words").agg(F.max("word").alias("word"))
+def _part(spark, path: str) -> DataFrame:
+    """Counts under ``path``; none where no row of the step went there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], _COUNTS)
+    return spark.read.schema(_COUNTS).parquet(path)
 
 
-def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(phrases, totals): (lang, words, word, n) of every phrase of up to ``LONGEST`` words that occurs
-    ``threshold`` times, with its exact count (``word`` is the text where it is one word), and
-    (lang, total) words of every language."""
+def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str = "lang", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame, str]:
+    """(phrases, totals, prepared, root): (lang, words, n) of every phrase of up to ``LONGEST`` words that
+    occurs ``threshold`` times, with its exact count, (lang, total) words of every language, the
+    prepared shards, and the folder that holds them, which the caller removes."""
     spark = docs.sparkSession
     ship(spark)
     ensure_checkpoint_dir(spark)
@@ -367,9 +403,11 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
         if state is not None:
             rows = rows.unionByName(state)
         path = f"{root}/step={step}"
-        _add_up(rows, step, threshold).write.options(**_FEW_LARGE_ROWS).parquet(path)
+        _add_up(rows, step, threshold).write.options(**_FEW_LARGE_ROWS).partitionBy("over").parquet(path)
         shared.destroy()
-        now = spark.read.schema(_COUNTS + ", over boolean, fresh binary").parquet(path)
+        if step:
+            remove_path(spark, f"{root}/step={step - 1}/over=false")
+        now = spark.read.schema(_COUNTS + ", fresh binary, over boolean").parquet(path)
         found = _cells_of(now, len(cells))
         for block, bits in found:
             on = np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
@@ -377,17 +415,11 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
             cells[at] = np.minimum(cells[at], step + 1)
         if found:
             last = max(last, step + SHARDS)
-        complete = now.where("over")
+        complete = _part(spark, f"{path}/over=true")
         done = complete if done is None else done.unionByName(complete)
-        state = now.where("NOT over").drop("over", "fresh")
+        state = _part(spark, f"{path}/over=false")
         step += 1
-    done = materialize(_rows_of(done))
-    # counts travel as numbers only; words are spelled once, at the end
-    shared = spark.sparkContext.broadcast(cells)
-    phrases = materialize(done.join(_spelled(prepared, shared), ["lang", "words"], "left").select("lang", "words", "word", "n"))
-    shared.destroy()
-    remove_path(spark, root)
-    return phrases, totals
+    return materialize(_rows_of(done)), totals, prepared, root
 
 
 def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", top: int = TOP, threshold: int = THRESHOLD) -> DataFrame:
@@ -398,7 +430,7 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", top: i
     longer one that is as frequent are left out. Null languages are ``und``, null texts empty; texts of
     any length are taken whole; equal documents count each; further columns are ignored. Ties of score
     and count go by the phrase's bytes. An empty table gives no rows."""
-    phrases, totals = frequent_phrases(docs, threshold, lang_col, text_col)
+    phrases, totals, prepared, root = frequent_phrases(docs, threshold, lang_col, text_col)
     long = phrases.where(F.length("words") > 8).select("lang", "words", F.col("n").alias("a"), (F.length("words") / 8).cast("int").alias("k"))
     # inside a longer phrase that is as frequent
     spans = F.expr("flatten(transform(sequence(2, k - 1), j -> transform(sequence(0, k - j), i -> substring(words, i * 8 + 1, j * 8))))")
@@ -416,8 +448,12 @@ def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", top: i
         "score", F.expr("(CAST(1000 AS DECIMAL(4,0)) * CAST(a AS DECIMAL(17,0)) * CAST(total AS DECIMAL(17,0))) div (CAST(l AS DECIMAL(19,0)) * CAST(r AS DECIMAL(19,0)))"))
     best = (cuts.groupBy("lang", "words").agg(F.min(F.struct("score", "j", "a", "l", "r", "total")).alias("b"))
             .select("lang", "words", "b.*").withColumnRenamed("total", "n"))
-    words = phrases.where(F.length("words") == 8).select("lang", F.col("words").alias("w"), "word")
+    # counts travel as numbers only; words are spelled at the end, where score and count leave a phrase a chance
+    chance = F.rank().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc()))
+    best = materialize(best.withColumn("chance", chance).where(F.col("chance") <= top).drop("chance"))
     spelled = best.select("lang", "words", F.posexplode(F.expr("transform(sequence(0, length(words) div 8 - 1), i -> substring(words, i * 8 + 1, 8))")).alias("at", "w"))
+    words = _spelled(prepared, spelled.select("lang", "w").distinct())
+    remove_path(prepared.sparkSession, root)
     spelled = (salted_join(spelled, words, ["lang", "w"], F.xxhash64("words"), SALTS).groupBy("lang", "words")
                .agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("parts"))
                .select("lang", "words", F.array_join("parts.word", " ").alias("phrase")))
