@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -116,10 +117,16 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], data: bytes | None
         return []
     words = [m.span() for m in _SENSITIVE.finditer(text)]
     ends = [e for _, e in words]
-    out, marks, block = [], sorted((s, e) for _, s, e in taken), None
+    marks = sorted((s, e) for _, s, e in taken)
+    starts, furthest = [s for s, _ in marks], list(accumulate((e for _, e in marks), max))
+    out, block = [], None
+
+    def touches(start: int, end: int) -> bool:
+        before = bisect_left(starts, end)
+        return before > 0 and furthest[before - 1] > start
 
     def fits(start: int, end: int) -> bool:
-        if end - start < MIN_LENGTH or any(s < end and start < e for s, e in marks):
+        if end - start < MIN_LENGTH or touches(start, end):
             return False
         # a block's lines are held against the text around the block, not against each other
         before = lines[0][0] if line else start
@@ -141,7 +148,7 @@ def novel_spans(text: str, taken: list[tuple[str, int, int]], data: bytes | None
             stops = [s for s, _ in inside[1:]] + [end]
             found = [(e, stop) for (_, e), stop in zip(inside, stops) if fits(e, stop)]
         out += [("novel", *span) for span in found]
-        if found or any(s < end and start < e for s, e in marks):
+        if found or touches(start, end):
             block = end
     return out
 

@@ -73,3 +73,12 @@ def test_table(spark, make_docs):
     assert by[1]["base_sha256"] == by[2]["base_sha256"] == by[2 ** 60 + 1]["base_sha256"] == empty
     assert by[3]["spans"] == "assign:2:15" and by[None]["spans"] == "assign:0:13"
     assert s.scan(make_docs([])).count() == 0
+
+
+def test_candidates_beside_many_base_spans():
+    key = "Qz7Xk2Lm9Vb4Tn8Rw3Yc6Hd1Jf5Gs0Pa"
+    lines = [f'token = "{i:040x}"' for i in range(20_000)]
+    text = "\n".join([*lines, f"the bearer is {key} here", *lines])
+    base, spans = s.scan_text(text)
+    assert len(base) == 2 * 2 * len(lines)
+    assert [text[a:b] for k, a, b in spans if k == "novel"] == [key]
