@@ -1,8 +1,9 @@
 """Line-first cleaning: rules judge single lines, then documents that lose too much go.
 
 A line with a word fails when it shouts or is mostly symbols (punctuation rules), lists short
-entries between bars or arrows (navigation rules), or carries a boilerplate phrase. Failing
-lines are removed; a document is rejected if fewer than ``MIN_LEFT`` of its words stay.
+entries between bars or arrows (navigation rules), or consists of boilerplate phrases to the
+share ``MIN_PHRASE`` of its words (a long line that mentions one does not fail). Failing lines
+are removed; a document is rejected if fewer than ``MIN_LEFT`` of its words stay.
 Base counts over the whole text (repeated lines and repeated three-word windows, symbols)
 come with the verdict.
 """
@@ -29,6 +30,8 @@ MIN_LEFT = 0.6
 MAX_SYMBOL_WORDS, MAX_MARK_WORDS, MAX_CAPITALS, MIN_SHOUT = 0.3, 0.3, 0.7, 8
 #: Navigation rules: entries between separators, and the mean number of words in one.
 MIN_ENTRIES, MAX_ENTRY_WORDS = 4, 3
+#: Boilerplate rule: share of a line's words that lie in boilerplate phrases.
+MIN_PHRASE = 0.15
 
 # Phrases of boilerplate lines.
 BOILERPLATE = [
@@ -41,7 +44,7 @@ _SYMBOL_BYTES = SYMBOLS.encode()
 _SYMBOL_WORD = re.compile(rb"[^\x20\x09-\x0D]*[" + re.escape(_SYMBOL_BYTES) + rb"][^\x20\x09-\x0D]*")
 _MARKS = re.compile(rb"(?:!!|\?\?|\.\.\.\.)[^\x20\x09-\x0D]*(?![^\x20\x09-\x0D])")
 _SEPARATOR = re.compile(b"[ \t](?:[|>]|" + "»|›|•|·".encode() + b")[ \t]")
-_PHRASES = [x.encode() for x in BOILERPLATE]
+_PHRASES = {x.encode(): len(x.split()) for x in BOILERPLATE}
 _UPPER, _LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -64,7 +67,8 @@ def line_fails(line: bytes, n: int, phrases: bool = True) -> bool:
             return True
     if phrases:
         low = line.lower()
-        return any(x in low for x in _PHRASES)
+        return any(x in low for x in _PHRASES) and sum(
+            low.count(x) * words for x, words in _PHRASES.items()) >= MIN_PHRASE * n
     return False
 
 

@@ -36,6 +36,16 @@ def test_line_rules():
         assert lr.line_fails(bad.encode(), len(bad.split())), bad
 
 
+def test_a_phrase_in_a_long_line_is_no_boilerplate():
+    words = ["plain"] * 900
+    text = " ".join(words[:400] + ["read", "more"] + words[400:])
+    assert not lr.line_fails(text.encode(), 902)
+    assert lr.judge(text)[7] == 902 and lr.clean_text(text) == text
+    for n, fails in ((11, True), (12, False)):  # two words of 13, of 14
+        line = " ".join([f"w{i}" for i in range(n)] + ["Read More"])
+        assert lr.line_fails(line.encode(), n + 2) is fails
+
+
 def test_documents_that_lose_too_much_go():
     rng = random.Random(7)
     prose = [" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(12)) + "." for _ in range(10)]
