@@ -56,19 +56,23 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def plan(docs: DataFrame, size: Column, id_col: str = "doc_id",
-         source_col: str = "source") -> DataFrame:
+         source_col: str = "source", text_col: str | None = None) -> DataFrame:
     """Every column of ``docs`` plus ``size``, ``source_size``, ``target`` and ``copies``.
 
     Null sources form one source that stands last. Null and repeated ids are separate rows,
-    each with its own copies; rows of equal size class and id are interchangeable, so their
-    order does not matter. Size 0 gives target 0 and no copies. An empty table gives no rows.
+    each with its own copies. Rows of equal size and id stand in order of a digest of their
+    text if ``text_col`` is given; otherwise (and if the text is the same, too) they are
+    interchangeable, so their order does not matter. Size 0 gives target 0 and no copies. An empty table gives no rows.
     Columns of ``docs`` with one of the new names are not allowed (rename them first).
     ``docs`` is read twice: once for the counts, once for the ranks."""
-    src, doc = F.col(source_col), F.col(id_col)
+    src = F.col(source_col)
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    if text_col:  # also deals the rows of a repeated id over the salts
+        key = F.concat(key, F.lit("\x00"), F.coalesce(F.col(text_col), F.lit("")))
     bits = F.greatest(F.length(F.bin("size")) - 7, F.lit(0))
     rows = (docs.withColumn("size", size.cast("long"))
             .withColumn("_cls", (bits * 64 + F.floor(F.col("size") / F.pow(F.lit(2.0), bits))).cast("long"))
-            .withColumn("_digest", F.md5(F.coalesce(doc.cast("string"), F.lit(""))))
+            .withColumn("_digest", F.md5(key))
             .withColumn("_salt", F.substring("_digest", 1, 2)))
     cells = rows.groupBy(src.alias("_src"), F.col("_cls").alias("_c"), F.col("_salt").alias("_s"))
     # read three times below; without this the words would be counted as often
@@ -104,10 +108,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text") -> DataFrame:
     """``docs`` with every row repeated by its copies (0 to 3); the columns stay the same.
 
-    Repeated rows keep their own copies; rows without a word are never taken."""
+    Repeated rows keep their own copies; rows without a word are never taken. Rows that share
+    id and size are told apart by their texts, so reruns agree however rows are dealt."""
     inner = docs.select([F.col(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
     name = {c: f"c{i}" for i, c in enumerate(docs.columns)}
-    planned = plan(inner, n_words(F.col(name[text_col])), name[id_col], name[source_col])
+    planned = plan(inner, n_words(F.col(name[text_col])), name[id_col], name[source_col],
+                   name[text_col])
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
     return (planned.where("copies > 0").withColumn("_copy", copies)
             .select([F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]))

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,9 @@ def test_hot_repeated_rows_take_their_share(make_docs):
     rows = [r for r in planned(docs) if r["source"] == "s"]
     taken = sum(r["copies"] * r["size"] for r in rows)
     assert abs(taken - rows[0]["target"]) <= 8
+
+
+def test_rows_that_share_id_and_size_mix_alike_in_reruns(make_docs):
+    docs = make_docs([(7, f"w{i} x", "en", "a") for i in range(600)] + [(8, "y " * 900, "en", "b")])
+    got = [Counter(r["text"] for r in mixing.mix(docs.repartition(n, F.xxhash64("text", F.lit(n)))).collect()) for n in (1, 3, 7)]
+    assert got[0] == got[1] == got[2] and sum(got[0].values()) > 0
