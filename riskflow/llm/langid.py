@@ -184,18 +184,21 @@ def training_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                      lang_col: str = "lang") -> DataFrame:
     """(lang, data): ``CUTS`` windows at places spread evenly over each sampled document. At most
     ``PER_LANGUAGE`` documents of a language (the first by a hash of the id) and ``SAMPLE`` in
-    all are read; only rows that may be learned from, with a language and a text."""
+    all are read; only rows that may be learned from, with a language and a text. Of the rows
+    that share an id and a language only the smallest text is read, so the bounds hold."""
     # first among the rows of a language that share a salt, then among the few that are left
     salt = F.pmod("h", F.lit(SALTS))
     near = F.row_number().over(Window.partitionBy("lang", "salt").orderBy("h", "k"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "k"))
     ids = (docs.select(F.col(id_col).alias("k"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
-           .where(F.col("lang").isNotNull() & learnable("k") & F.col(text_col).isNotNull())
+           .where(F.col("lang").isNotNull() & learnable("k") & F.col(text_col).isNotNull()).distinct()
            .withColumn("salt", salt).withColumn("r", near).where(F.col("r") <= PER_LANGUAGE)
            .withColumn("r", rank).where(F.col("r") <= PER_LANGUAGE)
-           .orderBy("r", "h", "k").limit(SAMPLE).select("k").distinct())
+           .orderBy("r", "h", "k").limit(SAMPLE).select("k", F.col("lang").alias("l")))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    texts = rows.where("lang IS NOT NULL AND text IS NOT NULL").join(F.broadcast(ids), F.col("id") == F.col("k"))
+    texts = (rows.where("lang IS NOT NULL AND text IS NOT NULL")
+             .join(F.broadcast(ids), (F.col("id") == F.col("k")) & (F.col("lang") == F.col("l")))
+             .groupBy("k", "lang").agg(F.min("text").alias("text")))
 
     def run(batches):
         for b in batches:

@@ -88,12 +88,14 @@ class Ranking:
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   label_col: str = "quality") -> DataFrame:
     """(features, label) of at most ``SAMPLE`` labelled documents that may be learned from.
-    Null labels are left out; a document labelled twice counts as poor if one label says so."""
+    Null labels are left out; a document labelled twice counts as poor if one label says so. Of the rows that share an id
+    only the smallest text is read, so the bound holds."""
     ids = (labels.select(F.col(id_col).alias("k"), F.col(label_col).cast("int").alias("label"))
            .where(F.col("label").isin(0, 1) & learnable("k")).groupBy("k").agg(F.min("label").alias("label"))
            .orderBy(F.xxhash64("k"), "k").limit(SAMPLE))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    texts = rows.join(F.broadcast(ids), F.col("id") == F.col("k")).select("text", "label")
+    texts = (rows.join(F.broadcast(ids), F.col("id") == F.col("k"))
+             .groupBy("k", "label").agg(F.min("text").alias("text")).select("text", "label"))
 
     def run(batches):
         for b in batches:

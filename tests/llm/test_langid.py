@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 
@@ -55,3 +56,10 @@ def test_without_languages_all_is_unknown(make_docs):
     got = langid.identify_documents(make_docs([(1, "some text"), (1, "some text")])).collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("und", 0.0)] * 2
     assert langid.identify_documents(make_docs([])).count() == 0
+
+
+def test_repeated_ids_do_not_swell_the_sample(make_docs, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 4)
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = make_docs([(i, f"w{n}", "en" if i % 2 else "de") for i in ids for n in range(30)])
+    assert langid.training_windows(docs).count() == 4

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -43,3 +44,11 @@ def test_one_kind_of_label_repeats_and_clashing_columns(spark, make_docs):
     assert [c for c in out.columns if c == "score"] == ["score"] and out.count() == 3
     assert {round(r["score"], 6) for r in out.collect()} == {q.CUT}
     assert q.score_documents(make_docs([]), labels.limit(0)).count() == 0
+
+
+def test_repeated_ids_do_not_swell_the_sample(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(q, "SAMPLE", 3)
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5]
+    docs = make_docs([(i, f"text {n}") for i in ids for n in range(30)])
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    assert q.training_rows(docs, labels).count() == 3
