@@ -12,10 +12,10 @@ that hold steps (its size does not depend on the corpus). A cell keeps the first
 in, so the step read for a phrase is the same in every scan; a false hit only makes a phrase active
 that cannot reach the threshold, and its count drops it.
 
-Counts travel as arrays of word hashes and numbers, one row per task, language, length and bucket of
-phrase hashes; a bucket's rows are added up in one task. There is a bucket for every ``BUCKET_WORDS``
-words of the corpus, and a phrase adds at most one entry per counted chunk, so neither the corpus nor a hot
-phrase swells a bucket. Two words of one language with equal 64-bit hashes would be taken for one word.
+A task adds up the counts of its chunks, ``_PHRASES`` phrases at a time. They travel as arrays of word
+hashes and numbers, one row per language, length and bucket of phrase hashes; a bucket's rows are added
+up in one task. There is a bucket for every ``BUCKET_WORDS`` words of the corpus, and a phrase adds at
+most one entry per such sum, so neither the corpus nor a hot phrase swells a bucket. Two words of one language with equal 64-bit hashes would be taken for one word.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ CELLS = 1 << 24
 #: gathered per language, and in all.
 ROW_WORDS, _TOGETHER, _GATHER, _HELD = 1 << 16, 1 << 20, 1 << 23, 3 << 24
 _SLICE = 1 << 20
+#: Phrases whose counts a task holds and adds up before it sends them on.
+_PHRASES = 1 << 20
 #: Words of the corpus per bucket of phrases.
 BUCKET_WORDS = 1 << 20
 SALTS = 8
@@ -158,13 +160,31 @@ def _array(value, kind) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), kind)
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers compressed by the significance of their bytes, so that small ones cost little."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _numbers(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def _squeezed(words: np.ndarray) -> bytes:
-    """Rows of words by columns, compressed: sorted rows repeat their first word."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(words.T).tobytes())
+    """Rows of words: their distinct hashes, as differences, then every word's place among these."""
+    unique, at = np.unique(words, return_inverse=True)
+    hashes = _packed(np.diff(unique, prepend=np.uint64(0)))
+    kind, mark = (np.uint16, b"s") if len(unique) <= 1 << 16 else (np.uint32, b"l")
+    places = _packed(at.reshape(words.shape).T.astype(kind).ravel())
+    return mark + len(hashes).to_bytes(4, "little") + hashes + places
 
 
 def _words_of(value, k: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_py()), np.uint64).reshape(k, -1).T
+    data = value.as_py()
+    cut = 5 + int.from_bytes(data[1:5], "little")
+    unique = np.cumsum(_numbers(data[5:cut], np.uint64), dtype=np.uint64)
+    return unique[_numbers(data[cut:], np.uint16 if data[:1] == b"s" else np.uint32)].reshape(k, -1).T
 
 
 _SHARD = "shard int, lang string, seq binary, own int, words binary, n binary, texts binary, total long"
@@ -224,7 +244,7 @@ def _dealt(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, bucke
     never = np.full(len(order), _NEVER, np.uint8)
     return pa.RecordBatch.from_arrays(
         [pa.array(ids), pa.array([lang] * len(ids)), pa.array(np.full(len(ids), words.shape[1], np.int32)), pa.array([_squeezed(words[order[a:b]]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
-         _cut(since[order].astype(np.uint8), bounds), _cut(n[order].astype(np.int64), bounds), _cut(never, bounds)],
+         _cut(since[order].astype(np.uint8), bounds), pa.array([_packed(n[order[a:b]].astype(np.int64)) for a, b in zip(bounds, bounds[1:])], pa.binary()), _cut(never, bounds)],
         names=["bucket", "lang", "k", "words", "since", "n", "known"])
 
 
@@ -232,11 +252,12 @@ def summed(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, known
     """(words, since, n, known, keys) of the distinct rows of ``words``: counts are added, steps are the first."""
     key = _keys(words, lang)
     order = np.argsort(key, kind="stable")
-    new = key[order][1:] != key[order][:-1]
-    other = (words[order][1:] != words[order][:-1]).any(axis=1)
+    new, rows = key[order][1:] != key[order][:-1], words[order]
+    other = (rows[1:] != rows[:-1]).any(axis=1)
     if (other & ~new).any():  # two phrases of one key: sort by the words as well
         order = np.lexsort((*words.T, key))
-        other = (words[order][1:] != words[order][:-1]).any(axis=1)
+        rows = words[order]
+        other = (rows[1:] != rows[:-1]).any(axis=1)
     first = np.flatnonzero(np.append(True, other))
     at = order[first]
     return words[at], np.minimum.reduceat(since[order], first), np.add.reduceat(n[order], first), np.minimum.reduceat(known[order], first), key[at]
@@ -244,28 +265,39 @@ def summed(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, known
 
 def _scan(shard: DataFrame, cells, step: int, buckets: int) -> DataFrame:
     """New counts of one step: the shard's words in the first cycle, and its active phrases."""
-    shards, together = SHARDS, _TOGETHER
+    shards, together, most = SHARDS, _TOGETHER, _PHRASES
 
     def count(lang, rows):
         # a 0 after every row keeps phrases inside it; words that only look ahead are not own
         w = np.concatenate([x for seq, _ in rows for x in (seq, np.zeros(1, np.uint64))])
         own = np.concatenate([np.arange(len(seq) + 1) < n for seq, n in rows])
-        for words, since, found in count_active(w, own, lang, cells.value, step, shards):
-            yield _dealt(lang, words, since, found, buckets)
+        return count_active(w, own, lang, cells.value, step, shards)
 
     def count_words(lang, rows):
         words, n = np.concatenate([w for w, _ in rows]), np.concatenate([n for _, n in rows])
-        zero = np.zeros(len(words), np.uint8)
-        words, since, n, _, _ = summed(lang, words[:, None], zero, n, zero)
-        yield _dealt(lang, words, since, n, buckets)
+        return [(words[:, None], np.zeros(len(words), np.uint8), n)]
 
     def run(batches):
         held: dict[tuple[str, bool], list] = {}
         size: dict[tuple[str, bool], int] = {}
+        sums: dict[tuple[str, int], list] = {}
+
+        def add_up():
+            for (lang, k), parts in sums.items():
+                words, since, n = (np.concatenate(x) for x in zip(*parts))
+                parts[:] = [summed(lang, words, since, n, np.zeros(len(n), np.uint8))[:3]]
+            return sum(len(parts[0][0]) for parts in sums.values())
+
+        def send():
+            for lang, k in list(sums):
+                yield _dealt(lang, *sums.pop((lang, k))[0], buckets)
 
         def flush(what):
             size.pop(what)
-            yield from (count if what[1] else count_words)(what[0], held.pop(what))
+            for found in (count if what[1] else count_words)(what[0], held.pop(what)):
+                sums.setdefault((what[0], found[0].shape[1]), []).append(found)
+            if sum(len(x[0]) for parts in sums.values() for x in parts) > most and add_up() > most // 2:
+                yield from send()
 
         for b in batches:
             for lang, seq, own, words, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3), b.column(4)):
@@ -280,6 +312,8 @@ def _scan(shard: DataFrame, cells, step: int, buckets: int) -> DataFrame:
                         yield from flush(x)
         for x in list(held):
             yield from flush(x)
+        add_up()
+        yield from send()
 
     if step == 0:
         shard = shard.where("own IS NULL")
@@ -297,7 +331,8 @@ def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
     def merge(table):
         parts: dict[tuple[str, int], list] = {}
         for lang, k, *blobs in zip(table["lang"].to_pylist(), table["k"].to_pylist(), *(table[c] for c in ("words", "since", "n", "known"))):
-            parts.setdefault((lang, k), []).append([_words_of(blobs[0], k), *(_array(x, kind) for x, kind in zip(blobs[1:], (np.uint8, np.int64, np.uint8)))])
+            words, since, n, known = blobs
+            parts.setdefault((lang, k), []).append([_words_of(words, k), _array(since, np.uint8), _numbers(n.as_py(), np.int64), _array(known, np.uint8)])
         bucket, out = table["bucket"][0].as_py(), []
         for (lang, k), found in parts.items():
             words, since, n, known, key = summed(lang, *(np.concatenate(x) for x in zip(*found)))
@@ -308,7 +343,7 @@ def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
                 which = which[np.argsort(words[which, 0], kind="stable")]
                 for at in (which[i:i + most] for i in range(0, len(which), most)):
                     fresh = key[at][(known[at] == step + 1) & (k < longest)]
-                    out.append((bucket, lang, k, done, _squeezed(words[at]), *(x[at].tobytes() for x in (since, n, known)), fresh.tobytes()))
+                    out.append((bucket, lang, k, done, _squeezed(words[at]), since[at].tobytes(), _packed(n[at]), known[at].tobytes(), fresh.tobytes()))
         kinds = (pa.int32(), pa.string(), pa.int32(), pa.bool_(), *[pa.binary()] * 5)
         return pa.table([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names)
 
@@ -334,7 +369,7 @@ def _rows_of(counts: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for lang, k, words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
-                n = _array(n, np.int64)
+                n = _numbers(n.as_py(), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), _binary(_words_of(words, k)), pa.array(n)], names=["lang", "words", "n"])
 
     return counts.select("lang", "k", "words", "n").mapInArrow(run, "lang string, words binary, n long")

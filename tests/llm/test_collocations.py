@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskflow.llm import collocations
@@ -59,6 +60,8 @@ def test_equals_the_definition(spark, monkeypatch, seed, shards, row_words):
     monkeypatch.setattr(collocations, "ROW_WORDS", row_words)
     monkeypatch.setattr(collocations, "_GATHER", 900)
     monkeypatch.setattr(collocations, "BUCKET_WORDS", 1000)
+    monkeypatch.setattr(collocations, "_TOGETHER", 400)
+    monkeypatch.setattr(collocations, "_PHRASES", 300)
     rows = corpus(seed)
     df = spark.createDataFrame([(*r, "x") for r in rows], "lang string, text string, words string").repartition(3)
     assert got(collocations.mine(df, threshold=12, top=60)) == brute(rows, 12, 60)
@@ -118,3 +121,12 @@ def test_a_long_text_is_read_in_slices(monkeypatch):
         cut, h, n, w = collocations.sequence(t)
         assert cut.tolist() == seq.tolist() and h.tolist() == hashes.tolist()
         assert n.tolist() == counts.tolist() and w == words
+
+
+@pytest.mark.parametrize("rows, distinct", [(0, 1), (1, 1), (5, 3), (70_000, 70_000)])
+def test_phrases_survive_their_coding(rows, distinct):
+    rng = np.random.default_rng(rows)
+    words = rng.integers(0, 2**64, distinct, np.uint64)[rng.integers(0, distinct, (rows, 3))]
+    assert (collocations._words_of(pa.scalar(collocations._squeezed(words)), 3) == words).all()
+    n = rng.integers(0, 2**40, rows)
+    assert (collocations._numbers(collocations._packed(n), np.int64) == n).all()
