@@ -42,6 +42,9 @@ ROW_WORDS, _TOGETHER, _GATHER, _HELD = 1 << 16, 1 << 20, 1 << 23, 3 << 24
 _SLICE = 1 << 20
 #: Phrases whose counts a task holds and adds up before it sends them on.
 _PHRASES = 1 << 20
+#: Words that a task of a scan should read at least, where that leaves every core a task: the more words
+#: a task adds up, the fewer counts are sent.
+TASK_WORDS = 1 << 22
 #: Words of the corpus per bucket of phrases.
 BUCKET_WORDS = 1 << 20
 SALTS = 8
@@ -263,7 +266,7 @@ def summed(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, known
     return words[at], np.minimum.reduceat(since[order], first), np.add.reduceat(n[order], first), np.minimum.reduceat(known[order], first), key[at]
 
 
-def _scan(shard: DataFrame, cells, step: int, buckets: int) -> DataFrame:
+def _scan(shard: DataFrame, cells, step: int, buckets: int, tasks: int) -> DataFrame:
     """New counts of one step: the shard's words in the first cycle, and its active phrases."""
     shards, together, most = SHARDS, _TOGETHER, _PHRASES
 
@@ -296,7 +299,7 @@ def _scan(shard: DataFrame, cells, step: int, buckets: int) -> DataFrame:
             size.pop(what)
             for found in (count if what[1] else count_words)(what[0], held.pop(what)):
                 sums.setdefault((what[0], found[0].shape[1]), []).append(found)
-            if sum(len(x[0]) for parts in sums.values() for x in parts) > most and add_up() > most // 2:
+            if sum(len(x[0]) for parts in sums.values() for x in parts) > most and add_up() > most * 3 // 4:
                 yield from send()
 
         for b in batches:
@@ -319,7 +322,7 @@ def _scan(shard: DataFrame, cells, step: int, buckets: int) -> DataFrame:
         shard = shard.where("own IS NULL")
     elif step >= SHARDS:
         shard = shard.where("own IS NOT NULL")
-    return shard.select("lang", "seq", "own", "words", "n").mapInArrow(run, _COUNTS)
+    return shard.select("lang", "seq", "own", "words", "n").coalesce(tasks).mapInArrow(run, _COUNTS)
 
 
 def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
@@ -429,12 +432,14 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
     _write_shards(docs, lang_col, text_col, f"{root}/shards")
     prepared = spark.read.schema(_SHARD).parquet(f"{root}/shards")
     totals = materialize(prepared.where("own IS NULL").groupBy("lang").agg(F.sum("total").alias("total")))
-    buckets = 1 + (totals.agg(F.sum("total")).first()[0] or 0) // BUCKET_WORDS
+    total = totals.agg(F.sum("total")).first()[0] or 0
+    buckets = 1 + total // BUCKET_WORDS
+    tasks = max(spark.sparkContext.defaultParallelism, total // (SHARDS * TASK_WORDS))
     cells = np.full(CELLS, _NEVER, np.uint8)
     state, done, step, last = None, None, 0, SHARDS - 1
     while step <= last:
         shared = spark.sparkContext.broadcast(cells)
-        rows = _scan(prepared.where(F.col("shard") == step % SHARDS), shared, step, buckets)
+        rows = _scan(prepared.where(F.col("shard") == step % SHARDS), shared, step, buckets, tasks)
         if state is not None:
             rows = rows.unionByName(state)
         path = f"{root}/step={step}"
