@@ -9,8 +9,10 @@ cycle is complete. The loop ends when every cycle that was started is complete.
 
 Tasks learn the step at which a phrase reached the threshold from a Bloom filter of ``CELLS`` bytes
 that hold steps (its size does not depend on the corpus). A cell keeps the first step it was set
-in, so the step read for a phrase is the same in every scan; a false hit only makes a phrase active
-that cannot reach the threshold, and its count drops it.
+in, so the step read for a phrase is the same in every scan. A false hit may name a step before the
+phrase itself was active; it then stands for the step the phrase became active, as nothing was counted
+before. So a false hit only makes phrases active that cannot reach the threshold, or others earlier, and
+every count still covers one full cycle.
 
 A task adds up the counts of its chunks, ``_PHRASES`` phrases at a time. They travel as arrays of word
 hashes and numbers, one row per language, length and bucket of phrase hashes; a bucket's rows are added
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, remove_path, scratch_path
 from .common import materialize, salted_join, ship
-from .wordhash import mix, span_hashes, word_bounds
+from .wordhash import mix, spread_hashes, word_bounds
 
 SHARDS, LONGEST, THRESHOLD, TOP = 2, 5, 100, 2000
 #: Bytes of the filter (a power of two).
@@ -78,7 +80,7 @@ def sequence(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[byte
         if not len(starts):
             broken = broken or b"\n" in part
             continue
-        hashes = span_hashes(buf, starts, ends)
+        hashes = spread_hashes(buf, starts, ends)
         hashes[hashes == 0] = 1
         line = np.cumsum(buf == 10)
         new = np.append(broken or line[starts[0]] > 0, line[starts[1:]] != line[starts[:-1]])
@@ -143,7 +145,8 @@ def count_active(w: np.ndarray, own: np.ndarray, lang: str, cells: np.ndarray, s
             break
         key = np.zeros(n - k + 1, np.uint64)
         known = np.full(n - k + 1, _NEVER, np.uint8)
-        key[at], known[at] = longer, _step_of(longer, cells)
+        # not before the phrase itself was active: what is counted from there on would miss a part of the cycle
+        key[at], known[at] = longer, np.maximum(_step_of(longer, cells), since)
     return out
 
 

@@ -99,6 +99,34 @@ def test_a_phrase_is_counted_once_per_shard_from_its_activation():
     assert seen == want
 
 
+@pytest.mark.parametrize("false_step", [1, 2])
+def test_a_false_hit_before_its_activation_loses_no_count(false_step):
+    # 1 2 is known at step 3, all else at step 1; 1 2 3 and 2 3 4 are false hits of an earlier step
+    shards = [np.tile(np.array([1, 2, 3, 4, 0], np.uint64), 10 + s) for s in range(2)]
+    cells = np.full(collocations.CELLS, 255, np.uint8)
+    known = {(1,): 1, (2,): 1, (3,): 1, (4,): 1, (1, 2): 3, (2, 3): 1, (3, 4): 1, (1, 2, 3): false_step, (2, 3, 4): false_step}
+    for words, step in known.items():
+        for place in collocations._places(collocations._keys(np.array([words], np.uint64), "en"), len(cells)):
+            cells[place] = step
+    seen = Counter()
+    for step in range(1, 8):
+        w = shards[step % 2]
+        for words, since, count in collocations.count_active(w, np.ones(len(w), bool), "en", cells, step, 2):
+            for x, n in zip(words.tolist(), count.tolist()):
+                seen[tuple(x)] += n
+    assert seen == {(1, 2): 21, (2, 3): 21, (3, 4): 21, (1, 2, 3): 21, (2, 3, 4): 21, (1, 2, 3, 4): 21}
+
+
+def test_long_regular_words_are_told_apart(spark):
+    a = "a"
+    while len(a) < 1024:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [("en", f"{a} x {b} y\n" * 6)] * 3 + [("en", f"{b} x. {a} y z")] * 2
+    df = spark.createDataFrame(rows, "lang string, text string")
+    assert got(collocations.mine(df, threshold=12)) == brute(rows, 12, 2000)
+
+
 def test_sums_of_phrases_whose_keys_are_equal(monkeypatch):
     rng = np.random.default_rng(7)
     words = rng.integers(1, 4, (200, 2)).astype(np.uint64)
