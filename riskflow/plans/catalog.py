@@ -12,6 +12,7 @@ from ..functions.features import (ONLINE, gold_features, online_features, rule_s
 from ..operators import contract, drift, metrics, registry, scoring, silver, training
 from ..schemas import MODEL_FEATURES, MODEL_RUNS, TRANSACTION
 from ..session import remove_path, scratch_path
+from ..sources.events import raw_events
 from ..sources.raw import bronze_projection, read_raw, read_raw_stream
 from ..sources.tables import read_features, read_predictions
 from ..streaming.medallion import bronze_query, gold_query, silver_query
@@ -533,22 +534,31 @@ def stream_drift_report(spark, sf_dir):
     return _kept(spark, report, root)
 
 
-#: Batches that the log of ``drift_report_arrival`` arrives in.
-ARRIVALS = 4
+#: Batches that the log of ``drift_report_arrival`` arrives in, and events of one task (and file) of a batch.
+ARRIVALS, ARRIVAL_ROWS = 4, 1 << 17
+
+
+def _arrivals(events):
+    """Raw texts in order of their event's id, one frame per batch (an equal range of ids). Only the table's own
+    columns are sampled and shuffled; texts are made behind the shuffle, by as many tasks as the batch needs."""
+    lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
+    lo = lo or 0
+    width = -(-((hi or 0) - lo + 1) // ARRIVALS)
+    batch = F.floor((F.col("event_id").cast("double") - float(lo)) / width).cast("int")
+    sizes = dict(events.where("event_id IS NOT NULL").groupBy(batch).count().collect())
+    for i in range(ARRIVALS):
+        part = events.where(F.col("event_id").between(lo + i * width, lo + (i + 1) * width - 1))
+        tasks = max(events.sparkSession.sparkContext.defaultParallelism, -(-sizes.get(i, 0) // ARRIVAL_ROWS))
+        yield raw_events(part.repartitionByRange(tasks, "event_id").sortWithinPartitions("event_id")).select("json_str")
 
 
 def drift_report_arrival(spark, sf_dir):
     """WIN1, DRF1: events arrive in order of their id, in batches; the log is cut in order of
     arrival, from the manifest."""
     root = scratch_path(spark, "drift_report_arrival")
-    raw = D.raw(spark, sf_dir)
-    lo, hi = raw.agg(F.min("event_id"), F.max("event_id")).first()
     write = scoring_writer(f"{root}/features", f"{root}/predictions", f"{root}/rejects", spec=ONLINE)
-    width = -(-((hi or 0) - (lo or 0) + 1) // ARRIVALS)
-    for i in range(ARRIVALS):
-        first = (lo or 0) + i * width
-        part = raw.where(F.col("event_id").between(first, first + width - 1))
-        write(part.repartitionByRange(8, "event_id").sortWithinPartitions("event_id").select("json_str"), i)
+    for i, texts in enumerate(_arrivals(D.events(spark, sf_dir))):
+        write(texts, i)
     summary = spark.read.parquet(summary_path(f"{root}/predictions"))
     return _kept(spark, drift.arrival_report(spark, f"{root}/predictions", summary), root)
 

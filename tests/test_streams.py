@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from riskflow.plans import catalog as C
 from riskflow.plans import derived as D
 from riskflow.session import scratch_path
+from riskflow.sources.events import raw_events
 from riskflow.streaming.medallion import silver_query
 from riskflow.streaming.sinks import batch_folder, write_batch
 
@@ -236,3 +237,22 @@ def test_arrival_cut_equals_positions(spark, monkeypatch):
         rows = arrival.cut_batch(spark, f"{root}/log", StructType([StructField("id", LongType())]), cut).collect()
         assert {r["id"] for r in rows if r["is_baseline"]} == set(range(ends[cut.batch_id], k))
         assert len(rows) == sizes[cut.batch_id]
+
+
+def test_arrivals_are_in_order_and_tasks_grow_with_the_batch(spark, monkeypatch):
+    monkeypatch.setattr(C, "ARRIVAL_ROWS", 50)
+    rows = spark.range(4000).withColumnRenamed("id", "event_id").selectExpr(
+        "event_id", "TIMESTAMP'2026-04-01' + make_dt_interval(0, 0, 0, event_id) AS ts", "event_id % 7 AS user_id", "'x' AS event_type",
+        "CAST(event_id AS DOUBLE) AS value", "'{}' AS props").orderBy(F.rand(1))
+    want = dict(raw_events(rows).collect())
+    at = 0
+    for batch in C._arrivals(rows):
+        # the texts are made behind the shuffle
+        plan = batch._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS json_str" in plan and "json_str" not in plan[plan.index("RepartitionByExpression"):]
+        parts = batch.rdd.glom().collect()
+        assert len(parts) == 20 and max(len(p) for p in parts) < 150
+        texts = [r.json_str for p in parts for r in p]
+        assert texts == [want[i] for i in range(at, at + len(texts))]
+        at += len(texts)
+    assert at == 4000
