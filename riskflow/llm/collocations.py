@@ -16,7 +16,7 @@ every count still covers one full cycle.
 
 A task adds up the counts of its chunks, ``_PHRASES`` phrases at a time. They travel as arrays of word
 hashes and numbers, one row per language, length and bucket of phrase hashes; a bucket's rows are added
-up in one task. There is a bucket for every ``BUCKET_WORDS`` words of the corpus, and a phrase adds at
+up in one task. Up to ``COMMON`` words that were frequent in the first shard travel as numbers, all others as hashes. There is a bucket for every ``BUCKET_WORDS`` words of the corpus, and a phrase adds at
 most one entry per such sum, so neither the corpus nor a hot phrase swells a bucket. Two words of one language with equal 64-bit hashes would be taken for one word.
 """
 
@@ -47,6 +47,8 @@ _PHRASES = 1 << 20
 #: Words that a task of a scan should read at least, where that leaves every core a task: the more words
 #: a task adds up, the fewer counts are sent.
 TASK_WORDS = 1 << 22
+#: Frequent words that every task knows by number (8 bytes each); the others travel as hashes.
+COMMON = 1 << 20
 #: Words of the corpus per bucket of phrases.
 BUCKET_WORDS = 1 << 20
 SALTS = 8
@@ -177,20 +179,31 @@ def _numbers(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
-def _squeezed(words: np.ndarray) -> bytes:
-    """Rows of words: their distinct hashes, as differences, then every word's place among these."""
+_NONE = np.empty(0, np.uint64)
+
+
+def _squeezed(words: np.ndarray, common: np.ndarray = _NONE) -> bytes:
+    """Rows of words: their distinct hashes, as differences (of places in the sorted hashes ``common``, where
+    they are among these), then every word's place among them."""
     unique, at = np.unique(words, return_inverse=True)
-    hashes = _packed(np.diff(unique, prepend=np.uint64(0)))
+    found = np.searchsorted(common, unique)
+    shared = np.zeros(len(unique), bool)
+    inside = found < len(common)
+    shared[inside] = common[found[inside]] == unique[inside]
+    ranks = _packed(np.diff(found[shared], prepend=0).astype(np.uint32))
+    hashes = _packed(np.diff(unique[~shared], prepend=np.uint64(0)))
     kind, mark = (np.uint16, b"s") if len(unique) <= 1 << 16 else (np.uint32, b"l")
     places = _packed(at.reshape(words.shape).T.astype(kind).ravel())
-    return mark + len(hashes).to_bytes(4, "little") + hashes + places
+    return mark + len(ranks).to_bytes(4, "little") + len(hashes).to_bytes(4, "little") + ranks + hashes + places
 
 
-def _words_of(value, k: int) -> np.ndarray:
+def _words_of(value, k: int, common: np.ndarray = _NONE) -> np.ndarray:
     data = value.as_py()
-    cut = 5 + int.from_bytes(data[1:5], "little")
-    unique = np.cumsum(_numbers(data[5:cut], np.uint64), dtype=np.uint64)
-    return unique[_numbers(data[cut:], np.uint16 if data[:1] == b"s" else np.uint32)].reshape(k, -1).T
+    cut = 9 + int.from_bytes(data[1:5], "little")
+    end = cut + int.from_bytes(data[5:9], "little")
+    ranks, hashes = _numbers(data[9:cut], np.uint32), _numbers(data[cut:end], np.uint64)
+    unique = np.sort(np.concatenate([common[np.cumsum(ranks, dtype=np.int64)], np.cumsum(hashes, dtype=np.uint64)]))
+    return unique[_numbers(data[end:], np.uint16 if data[:1] == b"s" else np.uint32)].reshape(k, -1).T
 
 
 _SHARD = "shard int, lang string, seq binary, own int, words binary, n binary, texts binary, total long"
@@ -241,7 +254,7 @@ def _write_shards(docs: DataFrame, lang_col: str, text_col: str, path: str) -> N
 _COUNTS = "bucket int, lang string, k int, words binary, since binary, n binary, known binary"
 
 
-def _dealt(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+def _dealt(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, buckets: int, common: np.ndarray) -> pa.RecordBatch:
     """New counts of phrases of one length, one row per bucket of their hashes."""
     which = ((_keys(words, lang) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
     order = np.lexsort((words[:, 0], which))
@@ -249,7 +262,7 @@ def _dealt(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, bucke
     bounds = np.append(starts, len(order))
     never = np.full(len(order), _NEVER, np.uint8)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array([lang] * len(ids)), pa.array(np.full(len(ids), words.shape[1], np.int32)), pa.array([_squeezed(words[order[a:b]]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+        [pa.array(ids), pa.array([lang] * len(ids)), pa.array(np.full(len(ids), words.shape[1], np.int32)), pa.array([_squeezed(words[order[a:b]], common) for a, b in zip(bounds, bounds[1:])], pa.binary()),
          _cut(since[order].astype(np.uint8), bounds), pa.array([_packed(n[order[a:b]].astype(np.int64)) for a, b in zip(bounds, bounds[1:])], pa.binary()), _cut(never, bounds)],
         names=["bucket", "lang", "k", "words", "since", "n", "known"])
 
@@ -269,7 +282,7 @@ def summed(lang: str, words: np.ndarray, since: np.ndarray, n: np.ndarray, known
     return words[at], np.minimum.reduceat(since[order], first), np.add.reduceat(n[order], first), np.minimum.reduceat(known[order], first), key[at]
 
 
-def _scan(shard: DataFrame, cells, step: int, buckets: int, tasks: int) -> DataFrame:
+def _scan(shard: DataFrame, cells, common, step: int, buckets: int, tasks: int) -> DataFrame:
     """New counts of one step: the shard's words in the first cycle, and its active phrases."""
     shards, together, most = SHARDS, _TOGETHER, _PHRASES
 
@@ -296,7 +309,7 @@ def _scan(shard: DataFrame, cells, step: int, buckets: int, tasks: int) -> DataF
 
         def send():
             for lang, k in list(sums):
-                yield _dealt(lang, *sums.pop((lang, k))[0], buckets)
+                yield _dealt(lang, *sums.pop((lang, k))[0], buckets, common.value)
 
         def flush(what):
             size.pop(what)
@@ -328,7 +341,7 @@ def _scan(shard: DataFrame, cells, step: int, buckets: int, tasks: int) -> DataF
     return shard.select("lang", "seq", "own", "words", "n").coalesce(tasks).mapInArrow(run, _COUNTS)
 
 
-def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
+def _add_up(rows: DataFrame, common, step: int, threshold: int) -> DataFrame:
     """Sums of a step, per bucket: what is over (its cycle is complete) and frequent, and what goes on; ``fresh``
     holds the keys of the phrases that have just reached the threshold."""
     shards, longest, most = SHARDS, LONGEST, ROW_WORDS
@@ -338,7 +351,7 @@ def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
         parts: dict[tuple[str, int], list] = {}
         for lang, k, *blobs in zip(table["lang"].to_pylist(), table["k"].to_pylist(), *(table[c] for c in ("words", "since", "n", "known"))):
             words, since, n, known = blobs
-            parts.setdefault((lang, k), []).append([_words_of(words, k), _array(since, np.uint8), _numbers(n.as_py(), np.int64), _array(known, np.uint8)])
+            parts.setdefault((lang, k), []).append([_words_of(words, k, common.value), _array(since, np.uint8), _numbers(n.as_py(), np.int64), _array(known, np.uint8)])
         bucket, out = table["bucket"][0].as_py(), []
         for (lang, k), found in parts.items():
             words, since, n, known, key = summed(lang, *(np.concatenate(x) for x in zip(*found)))
@@ -349,7 +362,7 @@ def _add_up(rows: DataFrame, step: int, threshold: int) -> DataFrame:
                 which = which[np.argsort(words[which, 0], kind="stable")]
                 for at in (which[i:i + most] for i in range(0, len(which), most)):
                     fresh = key[at][(known[at] == step + 1) & (k < longest)]
-                    out.append((bucket, lang, k, done, _squeezed(words[at]), since[at].tobytes(), _packed(n[at]), known[at].tobytes(), fresh.tobytes()))
+                    out.append((bucket, lang, k, done, _squeezed(words[at], common.value), since[at].tobytes(), _packed(n[at]), known[at].tobytes(), fresh.tobytes()))
         kinds = (pa.int32(), pa.string(), pa.int32(), pa.bool_(), *[pa.binary()] * 5)
         return pa.table([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=names)
 
@@ -369,14 +382,32 @@ def _cells_of(rows: DataFrame, size: int) -> list:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("cell") + 1)).alias("bits")).collect())
 
 
-def _rows_of(counts: DataFrame) -> DataFrame:
+def _common(rows: DataFrame, buckets: int, threshold: int) -> np.ndarray:
+    """Sorted hashes of single words that reached the threshold, up to about ``COMMON`` in all."""
+    each = -(-COMMON // buckets)
+
+    def run(batches):
+        left: dict[int, int] = {}
+        for b in batches:
+            for bucket, words, n in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                words, n = _words_of(words, 1)[:, 0], _numbers(n.as_py(), np.int64)
+                at = np.flatnonzero(n >= threshold)
+                at = at[np.argsort(-n[at], kind="stable")][:left.get(bucket, each)]
+                left[bucket] = left.get(bucket, each) - len(at)
+                yield pa.RecordBatch.from_arrays([pa.array([words[at].tobytes()], pa.binary())], names=["words"])
+
+    found = rows.where("k = 1").select("bucket", "words", "n").mapInArrow(run, "words binary").where("length(words) > 0").collect()
+    return np.unique(np.concatenate([_NONE, *(np.frombuffer(r["words"], np.uint64) for r in found)]))
+
+
+def _rows_of(counts: DataFrame, common) -> DataFrame:
     """One row per phrase: lang, words, n."""
 
     def run(batches):
         for b in batches:
             for lang, k, words, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3)):
                 n = _numbers(n.as_py(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), _binary(_words_of(words, k)), pa.array(n)], names=["lang", "words", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), _binary(_words_of(words, k, common.value)), pa.array(n)], names=["lang", "words", "n"])
 
     return counts.select("lang", "k", "words", "n").mapInArrow(run, "lang string, words binary, n long")
 
@@ -440,13 +471,14 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
     tasks = max(spark.sparkContext.defaultParallelism, total // (SHARDS * TASK_WORDS))
     cells = np.full(CELLS, _NEVER, np.uint8)
     state, done, step, last = None, None, 0, SHARDS - 1
+    common = spark.sparkContext.broadcast(_NONE)
     while step <= last:
         shared = spark.sparkContext.broadcast(cells)
-        rows = _scan(prepared.where(F.col("shard") == step % SHARDS), shared, step, buckets, tasks)
+        rows = _scan(prepared.where(F.col("shard") == step % SHARDS), shared, common, step, buckets, tasks)
         if state is not None:
             rows = rows.unionByName(state)
         path = f"{root}/step={step}"
-        _add_up(rows, step, threshold).write.options(**_FEW_LARGE_ROWS).partitionBy("over").parquet(path)
+        _add_up(rows, common, step, threshold).write.options(**_FEW_LARGE_ROWS).partitionBy("over").parquet(path)
         shared.destroy()
         if step:
             remove_path(spark, f"{root}/step={step - 1}/over=false")
@@ -461,8 +493,10 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD, lang_col: str
         complete = _part(spark, f"{path}/over=true")
         done = complete if done is None else done.unionByName(complete)
         state = _part(spark, f"{path}/over=false")
+        if step == 0:  # what was written before holds no place in it, and can be read with any
+            common = spark.sparkContext.broadcast(_common(now, buckets, threshold))
         step += 1
-    return materialize(_rows_of(done)), totals, prepared, root
+    return materialize(_rows_of(done, common)), totals, prepared, root
 
 
 def mine(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", top: int = TOP, threshold: int = THRESHOLD) -> DataFrame:

@@ -158,3 +158,26 @@ def test_phrases_survive_their_coding(rows, distinct):
     assert (collocations._words_of(pa.scalar(collocations._squeezed(words)), 3) == words).all()
     n = rng.integers(0, 2**40, rows)
     assert (collocations._numbers(collocations._packed(n), np.int64) == n).all()
+
+
+@pytest.mark.parametrize("common", [0, 3, 1000])
+def test_words_that_all_tasks_know_travel_as_numbers(common):
+    rng = np.random.default_rng(common)
+    every = rng.integers(0, 2**64, 1000, np.uint64)
+    known = np.unique(every[:common])
+    words = every[rng.integers(0, 1000, (500, 2))]
+    blob = collocations._squeezed(words, known)
+    assert (collocations._words_of(pa.scalar(blob), 2, known) == words).all()
+    if common == 1000:  # a hash costs 8 bytes, a number about one
+        assert len(blob) < len(collocations._squeezed(words)) - 4 * len(np.unique(words))
+    # without numbers, any list will do to read it
+    assert (collocations._words_of(pa.scalar(collocations._squeezed(words)), 2, known) == words).all()
+
+
+@pytest.mark.parametrize("common", [1, 40])
+def test_few_common_words_change_no_count(spark, monkeypatch, common):
+    monkeypatch.setattr(collocations, "COMMON", common)
+    monkeypatch.setattr(collocations, "BUCKET_WORDS", 1000)
+    rows = corpus(9, 200)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert got(collocations.mine(df, threshold=12, top=60)) == brute(rows, 12, 60)
