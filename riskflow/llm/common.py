@@ -28,6 +28,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def rematerialize(df: DataFrame) -> DataFrame:
+    """``materialize`` for the rounds of a loop, without Spark's estimate of the rows' size.
+
+    A checkpointed frame keeps the estimate of the plan it came from, and a join's estimate is the
+    product of its sides'. Where each round joins the one before with itself, the number's digits
+    multiply with every round, until the driver's memory is full of them."""
+    done, session = materialize(df)._jdf, df.sparkSession
+    rows = done.queryExecution().analyzed().rdd()
+    return DataFrame(session._jsparkSession.internalCreateDataFrame(rows, done.schema(), False), session)
+
+
 def n_words(text) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, salted_join
+from .common import rematerialize, salted_join
 
 #: Tasks that the links of one node are dealt over where they meet the node's smallest neighbour.
 SALTS = 16
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     neighbours; rounds are written to the shared checkpoint folder, and the loop ends when a
     round changes nothing, which takes about log2 of the longest path."""
     a, b = F.greatest("u", "v"), F.least("u", "v")
-    now = materialize(edges.where("u <> v").select(a.alias("u"), b.alias("v")).distinct())
+    now = rematerialize(edges.where("u <> v").select(a.alias("u"), b.alias("v")).distinct())
     before = None
     while True:
         state = now.agg(F.count(F.lit(1)).alias("n"),
@@ -33,4 +33,4 @@ def components(edges: DataFrame) -> DataFrame:
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_join(large, low, ["u"], F.xxhash64("v"), SALTS).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        now = rematerialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())

@@ -133,6 +133,15 @@ def test_components_of_paths_and_stars(spark):
     assert roots == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 30)}, 201: 200}
 
 
+def test_rounds_of_a_long_path_leave_the_estimated_size_small(spark):
+    names = list(range(300))
+    random.Random(3).shuffle(names)
+    out = graph.components(spark.createDataFrame(list(zip(names, names[1:])), "u long, v long"))
+    assert {r["node"]: r["root"] for r in out.collect()} == {i: 0 for i in range(1, 300)}
+    # a join's estimate is the product of its sides': its digits multiplied by four each round
+    assert out._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2 ** 64
+
+
 def test_word_hashes_of_long_texts_are_those_of_their_parts(monkeypatch):
     data = ("Word éa b " * 3000 + "x" * 5000 + " \t\n end").encode()
     whole = wordhash.word_hashes(data)
